@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from distributary.functions.event_layout import LINE_FIELDS
 from distributary.functions.schema_uri import KEY_COLUMNS, URI_PREFIX
@@ -50,6 +49,7 @@ CASES = {
 PARSING_CASES = [0, 1, 2, 8, 9, 10, 11, 12, 13, 14, 15, 24]
 SCHEMA_CASES = [5, 6, 7, 20]
 RUNTIME_CASES = [3, 4, 18, 19]
+EMPTY = "''"
 BAD_CASES = sorted(PARSING_CASES + SCHEMA_CASES + RUNTIME_CASES)
 
 
@@ -128,148 +128,139 @@ def registry(spark: SparkSession) -> Registry:
     return _registries[key]
 
 
-def uuid_of(value: Column) -> Column:
-    return F.regexp_replace(
-        F.md5(value.cast("string")), "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5"
-    )
+def uuid_of(value: str) -> str:
+    """SQL of a UUID made from a value."""
+    groups = "(.{8})(.{4})(.{4})(.{4})(.{12})"
+    return f"regexp_replace(md5(cast({value} as string)), '{groups}', '$1-$2-$3-$4-$5')"
 
 
-def case(*numbers: int) -> Column:
-    return (F.col("event_id") % 50).isin(*numbers)
+def choose(default: str, cases: dict[int | tuple[int, ...], str]) -> str:
+    """SQL of a text that differs in some cases."""
+    branches = []
+    for numbers, value in cases.items():
+        numbers = numbers if isinstance(numbers, tuple) else (numbers,)
+        branches.append(f"when event_id % 50 in ({', '.join(map(str, numbers))}) then {value}")
+    return f"case {' '.join(branches)} else cast({default} as string) end"
 
 
-def json_object(**fields: Column | str) -> Column:
-    """JSON object from the JSON texts of its fields."""
-    parts: list[Column] = []
+def json_object(**fields: str) -> str:
+    """SQL of a JSON object, from the SQL of its fields' JSON texts."""
+    parts = []
     for i, (name, value) in enumerate(fields.items()):
-        parts.append(F.lit(f'{"," if i else "{"}"{name}":'))
-        parts.append(F.lit(value) if isinstance(value, str) else value.cast("string"))
-    return F.concat(*parts, F.lit("}"))
+        parts += [f"""'{"," if i else "{"}"{name}":'""", f"cast({value} as string)"]
+    return f"concat({', '.join(parts)}, '}}')"
 
 
-def quoted(value: Column | str) -> Column:
-    value = F.lit(value) if isinstance(value, str) else value.cast("string")
-    return F.concat(F.lit('"'), value, F.lit('"'))
+def quoted(value: str) -> str:
+    """SQL of a JSON string, from the SQL of its parts."""
+    return f"""concat('"', {value}, '"')"""
 
 
-def entity(uri: Column | str, data: Column) -> Column:
-    uri = F.lit(uri) if isinstance(uri, str) else uri
-    return json_object(schema=quoted(F.concat(F.lit(URI_PREFIX), uri)), data=data)
+def entity(uri: str, data: str) -> str:
+    return json_object(schema=quoted(f"concat('{URI_PREFIX}', {uri})"), data=data)
 
 
-def props_entity() -> Column:
-    e, value = F.col("event_id"), F.col("value")
-    k = F.get_json_object("props", "$.k")
-    k = F.when(case(6, 8), quoted("many")).when(case(23), F.concat(k, F.lit(".0"))).otherwise(k)
-    label = F.when(case(18), F.lit("x" * 30)).otherwise(
-        F.concat(F.lit("label "), F.col("user_id").cast("string"))
-    )
-    data = (
-        F.when(case(19), "{}")
-        .when((e % 3 == 1) | case(18), json_object(k=k, label=quoted(label)))
-        .when(e % 3 == 2, json_object(k=k, label=quoted(label), ratio=value))
-        .otherwise(json_object(k=k))
-    )
-    version = F.concat(F.lit("com.acme/props/jsonschema/1-0-"), (e % 3).cast("string"))
-    return entity(version, data)
+def props_entity() -> str:
+    k = "get_json_object(props, '$.k')"
+    k = choose(k, {(6, 8): quoted("'many'"), 23: f"concat({k}, '.0')"})
+    label = quoted(choose("concat('label ', user_id)", {18: "repeat('x', 30)"}))
+    data = f"""case when event_id % 50 = 19 then '{{}}'
+        when event_id % 3 = 1 or event_id % 50 = 18 then {json_object(k=k, label=label)}
+        when event_id % 3 = 2 then {json_object(k=k, label=label, ratio="value")}
+        else {json_object(k=k)} end"""
+    return entity("'com.acme/props/jsonschema/1-0-', event_id % 3", data)
 
 
-def user_entity() -> Column:
+def user_entity() -> str:
     data = json_object(
-        userId=quoted(F.concat(F.lit("u"), F.col("user_id").cast("string"))),
-        score=F.when(case(7), quoted("high")).otherwise(F.col("value").cast("string")),
-        active=F.when(case(7), "1").when(F.col("event_id") % 2 == 0, "true").otherwise("false"),
-        registeredAt=quoted(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        address=json_object(
-            city=quoted(F.concat(F.lit("city "), (F.col("user_id") % 7).cast("string"))),
-            zipCode=F.col("user_id") + 10000,
-        ),
-        tags=F.concat(F.lit('["a",'), F.col("user_id").cast("string"), F.lit(',{"b":null}]')),
+        userId=quoted("'u', user_id"),
+        score=choose("value", {7: quoted("'high'")}),
+        active=choose("event_id % 2 = 0", {7: "'1'"}),
+        registeredAt=quoted("""date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")"""),
+        address=json_object(city=quoted("'city ', user_id % 7"), zipCode="user_id + 10000"),
+        tags="""concat('["a",', user_id, ',{"b":null}]')""",
     )
-    return entity("com.acme/user_profile/jsonschema/1-0-0", data)
+    return entity("'com.acme/user_profile/jsonschema/1-0-0'", data)
 
 
-def device_entity() -> Column:
-    device = F.when(case(20), F.lit("no-uuid")).otherwise(F.upper(uuid_of(F.col("user_id"))))
+def device_entity() -> str:
     data = json_object(
-        deviceId=quoted(device),
-        osVersion=F.when(case(22), "null").otherwise(quoted("14.1")),
-        releaseDate=quoted(F.date_format("ts", "yyyy-MM-dd")),
+        deviceId=quoted(choose(f"upper({uuid_of('user_id')})", {20: "'no-uuid'"})),
+        osVersion=choose(quoted("'14.1'"), {22: "'null'"}),
+        releaseDate=quoted("date_format(ts, 'yyyy-MM-dd')"),
     )
-    return entity("org.acme-labs/DeviceInfo/jsonschema/2-0-1", data)
+    return entity("'org.acme-labs/DeviceInfo/jsonschema/2-0-1'", data)
 
 
-def envelope(name: str, data: Column) -> Column:
-    return entity(f"com.acme/{name}/jsonschema/1-0-0", data)
+def envelope(name: str, data: str) -> str:
+    return entity(f"'com.acme/{name}/jsonschema/1-0-0'", data)
 
 
-def contexts() -> Column:
-    unknown = entity("com.acme/unknown/jsonschema/1-0-0", F.lit("{}"))
-    has_user = (F.col("user_id") % 3 == 0) | case(7)
-    listed = F.concat_ws(
-        ",",
-        props_entity(),
-        F.when(case(21), props_entity()),
-        F.when(case(5), unknown),
-        F.when(has_user, user_entity()),
-    )
-    text = envelope("contexts", F.concat(F.lit("["), listed, F.lit("]")))
-    return F.when(case(9), F.lit('{"schema":')).when(case(24), F.concat(text, F.lit(" x"))).otherwise(text)
+def contexts() -> str:
+    unknown = entity("'com.acme/unknown/jsonschema/1-0-0'", "'{}'")
+    listed = f"""concat_ws(',', {props_entity()},
+        if(event_id % 50 = 21, {props_entity()}, null),
+        if(event_id % 50 = 5, {unknown}, null),
+        if(user_id % 3 = 0 or event_id % 50 = 7, {user_entity()}, null))"""
+    text = envelope("contexts", f"concat('[', {listed}, ']')")
+    return choose(text, {9: """'{"schema":'""", 24: f"concat({text}, ' x')"})
 
 
-def event_fields() -> dict[str, Column]:
-    e, user = F.col("event_id"), F.col("user_id")
-    clock = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS")
-    bad_clock = F.lit("2024-13-01 00:00:00.000")
-    amount = F.round(F.col("value") * 100).cast("int")
+def event_fields() -> dict[str, str]:
+    clock = "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS')"
+    bad_clock = "'2024-13-01 00:00:00.000'"
     unstruct = entity(
-        F.concat(F.lit("com.acme/"), F.col("event_type"), F.lit("/jsonschema/1-0-0")),
-        json_object(value=F.col("value"), amountCents=amount),
+        "'com.acme/', event_type, '/jsonschema/1-0-0'",
+        json_object(value="value", amountCents="cast(round(value * 100) as int)"),
     )
     return {
-        "app_id": F.concat(F.lit("app"), (e % 5).cast("string")),
-        "platform": F.lit("web"),
+        "app_id": "concat('app', event_id % 5)",
+        "platform": "'web'",
         "etl_tstamp": clock,
-        "collector_tstamp": F.when(case(14), bad_clock).otherwise(clock),
-        "dvce_created_tstamp": F.when(case(8), bad_clock).otherwise(F.lit("")),
-        "event": F.lit("unstruct"),
-        "event_id": F.when(case(0), F.lit("no-uuid")).otherwise(uuid_of(e)),
-        "txn_id": e,
-        "v_collector": F.lit("collector-1"),
-        "v_etl": F.when(case(2), F.lit("")).otherwise(F.lit("etl-1")),
-        "user_id": F.concat(F.lit("u"), user.cast("string")),
-        "user_ipaddress": F.sha2(user.cast("string"), 512),
-        "domain_userid": F.sha2(F.concat(F.lit("d"), user.cast("string")), 512),
-        "domain_sessionidx": F.when(case(12, 15), F.lit("x1")).otherwise((e % 9).cast("string")),
-        "network_userid": F.sha2(F.concat(F.lit("n"), user.cast("string")), 512),
-        "geo_country": F.when(case(3), F.lit("USA")).otherwise(F.lit("DE")),
-        "geo_latitude": F.when(case(13), F.lit("north")).otherwise(F.col("value").cast("string")),
-        "page_url": F.when(
-            case(17), F.concat(F.lit("https://a.example/"), F.repeat(F.lit("p"), 1982))
-        ).otherwise(F.concat(F.lit("https://a.example/"), user.cast("string"))),
-        "page_title": F.when(case(16), F.repeat(F.lit("title "), 250)).otherwise(F.col("event_type")),
+        "collector_tstamp": choose(clock, {14: bad_clock}),
+        "dvce_created_tstamp": choose("''", {8: bad_clock}),
+        "event": "'unstruct'",
+        "event_id": choose(uuid_of("event_id"), {0: "'no-uuid'"}),
+        "txn_id": "event_id",
+        "v_collector": "'collector-1'",
+        "v_etl": choose("'etl-1'", {2: "''"}),
+        "user_id": "concat('u', user_id)",
+        "user_ipaddress": "sha2(cast(user_id as string), 512)",
+        "domain_userid": "sha2(concat('d', user_id), 512)",
+        "domain_sessionidx": choose("event_id % 9", {(12, 15): "'x1'"}),
+        "network_userid": "sha2(concat('n', user_id), 512)",
+        "geo_country": choose("'DE'", {3: "'USA'"}),
+        "geo_latitude": choose("value", {13: "'north'"}),
+        "page_url": choose(
+            "concat('https://a.example/', user_id)",
+            {17: "concat('https://a.example/', repeat('p', 1982))"},
+        ),
+        "page_title": choose("event_type", {16: "repeat('title ', 250)"}),
         "contexts": contexts(),
         "unstruct_event": envelope("unstruct_event", unstruct),
-        "br_name": F.when(case(4), F.repeat(F.lit("b"), 60)).otherwise(F.lit("Browser")),
-        "br_cookies": F.when(case(11, 15), F.lit("2")).otherwise((e % 2).cast("string")),
-        "derived_contexts": envelope(
-            "contexts", F.concat(F.lit("["), device_entity(), F.lit("]"))
-        ),
-        "refr_domain_userid": F.sha2(F.concat(F.lit("r"), user.cast("string")), 512),
-        "domain_sessionid": F.sha2(F.concat(F.lit("s"), user.cast("string")), 512),
-        "event_name": F.col("event_type"),
+        "br_name": choose("'Browser'", {4: "repeat('b', 60)"}),
+        "br_cookies": choose("event_id % 2", {(11, 15): "'2'"}),
+        "derived_contexts": envelope("contexts", f"concat('[', {device_entity()}, ']')"),
+        "refr_domain_userid": "sha2(concat('r', user_id), 512)",
+        "domain_sessionid": "sha2(concat('s', user_id), 512)",
+        "event_name": "event_type",
     }
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Use all cores where a small file gives fewer partitions; large inputs are left as they are."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def enriched_lines(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
     """One tab-separated line per event, in ``value``; ``carried`` columns of the event stay beside it."""
     configure(spark)
     values = event_fields()
-    fields = F.array(*[values.get(f.name, F.lit("")).cast("string") for f in LINE_FIELDS])
-    events = table(spark, sf_dir, "events").select("*", fields.alias("fields"))
-    line = (
-        F.when(case(10), F.lit("no tabs here"))
-        .when(case(1), F.array_join(F.slice("fields", 1, 130), "\t"))
-        .otherwise(F.array_join("fields", "\t"))
+    fields = ", ".join(f"cast({values.get(f.name, EMPTY)} as string)" for f in LINE_FIELDS)
+    events = spread(table(spark, sf_dir, "events")).selectExpr("*", f"array({fields}) as fields")
+    line = choose(
+        "array_join(fields, '\t')",
+        {10: "'no tabs here'", 1: "array_join(slice(fields, 1, 130), '\t')"},
     )
-    return events.select(*carried, line.alias("value"))
+    return events.selectExpr(*carried, f"{line} as value")

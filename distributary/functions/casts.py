@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from distributary.functions.event_layout import SPARK_TYPES
-from distributary.functions.json_values import is_number, json_text, kind_of, let, plain_text
+from distributary.functions.json_values import is_number, json_text, kind_of, plain_text
 
 UUID_PATTERN = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 INSTANT_PATTERN = (
@@ -75,7 +75,7 @@ def cast_text(
         type_name,
         {
             "VARCHAR": text,
-            "JSONB": json_text(value),
+            "JSONB": F.nullif(json_text(value), F.lit("null")),
             "BIGINT": whole_number(value, kind, "bigint"),
             "INTEGER": whole_number(value, kind, "int"),
             "DOUBLE": F.when(is_number(kind), text),
@@ -116,38 +116,20 @@ def cast_json(
     """Typed value and error of one VARIANT; both are NULL where the value is null or missing."""
     name, size = F.lit(type_name), F.lit(length).cast("int")
     kind = kind_of(value)
-    text = F.when(kind.isNotNull(), cast_text(value, kind, name, size, date_mode))
+    text = cast_text(value, kind, name, size, date_mode)
     error = F.when(kind.isNotNull() & text.isNull(), cast_message(value, kind, name, size))
     return text.cast(SPARK_TYPES[type_name]), error
 
 
-def cast_cell(value: Column, prop: Column, date_mode: str = "parse") -> Column:
-    """Cell of one property inside a lambda: its text, and the message where the cast failed."""
-
-    def cell(bound: Column) -> Column:
-        text = F.when(
-            bound["kind"].isNotNull(),
-            cast_text(bound["value"], bound["kind"], prop["type"], prop["length"], date_mode),
-        )
-        return let(
-            F.struct(bound["value"], bound["kind"], text.alias("text")),
-            lambda done: F.struct(
-                done["text"].alias("text"),
-                F.when(
-                    done["kind"].isNotNull() & done["text"].isNull(),
-                    F.struct(
-                        cast_message(done["value"], done["kind"], prop["type"], prop["length"]).alias(
-                            "message"
-                        ),
-                        json_text(done["value"]).alias("value"),
-                    ),
-                ).alias("failure"),
-            ),
-        )
-
-    return let(
-        F.struct(value.alias("value")),
-        lambda raw: let(
-            F.struct(raw["value"].alias("value"), kind_of(raw["value"]).alias("kind")), cell
-        ),
+def cell_text(value: Column, column: Column, date_mode: str = "parse") -> Column:
+    """Text of one cell, given its column as a struct of ``type`` and ``length``."""
+    return cast_text(value, kind_of(value), column["type"], column["length"], date_mode)
+
+
+def cell_failure(value: Column, column: Column) -> Column:
+    """Message and offending value of a cell that has no text although its value is not null."""
+    kind = kind_of(value)
+    message = cast_message(value, kind, column["type"], column["length"])
+    return F.when(
+        kind.isNotNull(), F.struct(message.alias("message"), json_text(value).alias("value"))
     )

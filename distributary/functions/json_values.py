@@ -15,16 +15,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def parse_document(text: Column) -> Column:
-    """The one JSON document in ``text`` as VARIANT, NULL where there is not exactly one.
+def boxed_document(text: Column) -> Column:
+    """List whose first member is the one JSON document in ``text``; NULL where there is not exactly one.
 
-    ``try_parse_json`` stops after the first value, so the text is parsed inside a list and inside an
-    object: text that leaves the list early cannot also leave the object early.
+    ``try_parse_json`` stops after the first value. The text is parsed as the first member of a list whose
+    second member is a hash of the text: whatever follows the document pushes the hash out of its place.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    boxed = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    single = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    return F.when(single & wrapped.isNotNull(), F.try_variant_get(boxed, "$.v", "variant"))
+    seal = F.xxhash64(text)
+    boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal.cast("string"), F.lit("]")))
+    in_place = F.try_variant_get(boxed, "$[1]", "bigint") == seal
+    return F.when(in_place & F.try_variant_get(boxed, "$[2]", "variant").isNull(), boxed)
+
+
+def parse_document(text: Column) -> Column:
+    """The one JSON document in ``text`` as VARIANT, NULL where there is not exactly one."""
+    return F.try_variant_get(boxed_document(text), "$[0]", "variant")
 
 
 def kind_of(value: Column) -> Column:

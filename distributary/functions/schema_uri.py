@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from distributary.functions.json_values import let
+
 # Prefix and grammar of a schema URI, and the codes of its two faults.
 URI_PREFIX = "iglu:"
 NAMES_PATTERN = "[a-zA-Z0-9_.-]+/[a-zA-Z0-9_-]+/[a-zA-Z0-9_-]+/"
 VERSION_PATTERN = "[1-9][0-9]*-(0|[1-9][0-9]*)-(0|[1-9][0-9]*)"
 URI_PATTERN = f"^{URI_PREFIX}{NAMES_PATTERN}{VERSION_PATTERN}$"
+SHORT_URI_PATTERN = URI_PATTERN.replace("*", "{0,8}")
 INVALID_URI = "INVALID_IGLUURI"
 INVALID_VERSION = "INVALID_SCHEMAVER"
 
@@ -23,42 +26,56 @@ GROUP_COLUMNS = ["vendor", "name", "model"]
 def parse_uri(uri: Column) -> Column:
     """Schema key of a URI, or NULL where the text is not one."""
     names = F.split(F.substring(uri, len(URI_PREFIX) + 1, 2**31 - 1), "/")
-    version = F.split(names[3], "-")
-    numbers = [version[i].try_cast("int") for i in range(3)]
-    key = F.struct(
-        names[0].alias("vendor"),
-        names[1].alias("name"),
-        names[2].alias("format"),
-        *[n.alias(c) for n, c in zip(numbers, KEY_COLUMNS[3:])],
-    )
-    in_range = numbers[0].isNotNull() & numbers[1].isNotNull() & numbers[2].isNotNull()
-    return F.when(uri.rlike(URI_PATTERN), F.when(in_range, key))
+
+    def key(parts: Column) -> Column:
+        numbers = [parts["version"][i].try_cast("int") for i in range(3)]
+        struct = F.struct(
+            parts["names"][0].alias("vendor"),
+            parts["names"][1].alias("name"),
+            parts["names"][2].alias("format"),
+            *[n.alias(c) for n, c in zip(numbers, KEY_COLUMNS[3:])],
+        )
+        in_range = [n.isNotNull() for n in numbers]
+        return F.when(in_range[0] & in_range[1] & in_range[2], struct)
+
+    def split_version(parts: Column) -> Column:
+        return let(
+            F.struct(parts.alias("names"), F.split(parts[3], "-").alias("version")), key
+        )
+
+    return F.when(uri.rlike(URI_PATTERN), let(names, split_version))
 
 
 def is_uri(uri: Column) -> Column:
-    """True where the text is a full schema URI; false for NULL."""
-    return parse_uri(uri).isNotNull()
+    """True where the text is a full schema URI. Only long version numbers need parsing to know."""
+    return uri.rlike(SHORT_URI_PATTERN) | (uri.rlike(URI_PATTERN) & parse_uri(uri).isNotNull())
 
 
 def uri_error(uri: Column) -> Column:
     """Code of what is wrong with a URI, NULL for a right one."""
     return F.when(
-        ~is_uri(uri),
+        ~F.coalesce(is_uri(uri), F.lit(False)),
         F.when(uri.rlike(f"^{URI_PREFIX}{NAMES_PATTERN}[^/]*$"), INVALID_VERSION).otherwise(
             INVALID_URI
         ),
     )
 
 
+def joined(separator: str, *parts: Column) -> Column:
+    """Parts as text with a separator; NULL where one of them is."""
+    pieces = [piece for part in parts for piece in (F.lit(separator), part.cast("string"))]
+    return F.concat(*pieces[1:])
+
+
 def format_version(key: Column) -> Column:
-    return F.concat_ws("-", key["model"], key["revision"], key["addition"])
+    return joined("-", key["model"], key["revision"], key["addition"])
 
 
 def format_uri(key: Column) -> Column:
     """URI of a schema key."""
     return F.concat(
         F.lit(URI_PREFIX),
-        F.concat_ws("/", key["vendor"], key["name"], key["format"], format_version(key)),
+        joined("/", key["vendor"], key["name"], key["format"], format_version(key)),
     )
 
 
@@ -82,9 +99,9 @@ def column_name(pointer: Column) -> Column:
 def table_name(key: Column) -> Column:
     """Table of a model group: vendor, name and model, whatever the revision."""
     vendor = F.lower(F.regexp_replace(key["vendor"], "[.-]", "_"))
-    return F.concat_ws("_", vendor, snake_case(key["name"]), key["model"])
+    return joined("_", vendor, snake_case(key["name"]), key["model"])
 
 
 def group_key(key: Column) -> Column:
     """One text for a model group; a slash cannot occur inside its parts."""
-    return F.concat_ws("/", key["vendor"], key["name"], key["model"])
+    return joined("/", key["vendor"], key["name"], key["model"])

@@ -26,14 +26,15 @@ def cut(text: Column) -> Column:
     return F.substring(text, 1, ATOMIC_STRING_LIMIT)
 
 
-def shred_atomic(atomic: Column) -> Column:
-    """Row of the events table, from the typed fields of a parsed line."""
-    return F.struct(
-        *[
-            (cut(atomic[f.name]) if f.kind in ("VARCHAR", "CHAR") else atomic[f.name]).alias(f.name)
-            for f in ATOMIC_FIELDS
-        ]
-    )
+def shred_atomic(atomic: str) -> Column:
+    """Row of the events table, from the column with the typed fields of a parsed line."""
+    cells = [
+        f"substring({atomic}.{f.name}, 1, {ATOMIC_STRING_LIMIT}) as {f.name}"
+        if f.kind in ("VARCHAR", "CHAR")
+        else f"{atomic}.{f.name} as {f.name}"
+        for f in ATOMIC_FIELDS
+    ]
+    return F.expr(f"struct({', '.join(cells)})")
 
 
 def shred_atomic_json(events: DataFrame, document: str, atomic_schema: str) -> DataFrame:

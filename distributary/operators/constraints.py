@@ -18,7 +18,8 @@ WIDTH_NAMES = {"VARCHAR": "character varying", "CHAR": "character"}
 def width_violation(text: Column, length: Column, kind: str = "VARCHAR") -> Column:
     """Trailing blanks do not count, as when a table cuts them off."""
     message = F.concat(F.lit(f"value too long for type {WIDTH_NAMES[kind]}("), length, F.lit(")"))
-    return F.when(F.length(F.rtrim(text)) > length, message)
+    too_long = (F.length(text) > length) & (F.length(F.rtrim(text)) > length)
+    return F.when(too_long, message)
 
 
 def null_violation(value: Column, name: Column) -> Column:
@@ -32,15 +33,21 @@ def first_violation(checks: Column) -> Column:
     return F.get(F.array_compact(checks), F.lit(0))
 
 
-def atomic_violation(atomic: Column) -> Column:
+def atomic_violation(atomic: str) -> Column:
     """First violation of a row of the events table: widths of all columns, then missing values."""
     widths = [
-        width_violation(atomic[f.name], F.lit(f.length), f.kind)
+        f"if(length(rtrim({atomic}.{f.name})) > {f.length}, "
+        f"'value too long for type {WIDTH_NAMES[f.kind]}({f.length})', null)"
         for f in ATOMIC_FIELDS
         if f.length is not None
     ]
-    nulls = [null_violation(atomic[f.name], F.lit(f.name)) for f in ATOMIC_FIELDS if not f.nullable]
-    return F.coalesce(*widths, *nulls)
+    nulls = [
+        f"if({atomic}.{f.name} is null, "
+        f"'null value in column \"{f.name}\" violates not-null constraint', null)"
+        for f in ATOMIC_FIELDS
+        if not f.nullable
+    ]
+    return F.expr(f"coalesce({', '.join([*widths, *nulls])})")
 
 
 def cells_violation(columns: Column, cells: Column, must_have_value: bool) -> Column:

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from distributary.functions.event_layout import EVENTS_TABLE
-from distributary.functions.schema_uri import format_version, parse_uri, table_name
+from distributary.functions.schema_uri import format_version, parse_uri
 
 
 def explode_entities(parsed: DataFrame, *parent: str) -> DataFrame:
     """One row per entity in load order, copies kept; ``parent`` columns are carried along."""
-    return parsed.select(*parent, F.posexplode("entities").alias("position", "entity")).select(
-        *parent, "position", "entity.schema", "entity.data"
-    )
+    exploded = parsed.select(*parent, F.posexplode("entities").alias("position", "entity"))
+    key = parse_uri(F.col("entity.schema")).alias("key")
+    return exploded.select(*parent, "position", "entity.schema", key, "entity.data")
 
 
 def meta_columns(key: Column, root_id: Column, root_tstamp: Column) -> list[Column]:
@@ -29,12 +29,11 @@ def meta_columns(key: Column, root_id: Column, root_tstamp: Column) -> list[Colu
 
 
 def add_metadata(entities: DataFrame) -> DataFrame:
-    """Put the meta columns before the entity; expects ``schema``, ``event_id``, ``collector_tstamp``."""
-    keyed = entities.withColumn("key", parse_uri(F.col("schema")))
+    """Put the meta columns before the entity; expects ``key``, ``event_id``, ``collector_tstamp``."""
     meta = meta_columns(F.col("key"), F.col("event_id"), F.col("collector_tstamp"))
-    return keyed.select(*meta, "position", "schema", "data")
+    return entities.select(*meta, "position", "schema", "data")
 
 
-def route(schema: Column, atomic_schema: str) -> Column:
+def route(schema: Column, atomic_schema: str, entity_table: Column) -> Column:
     """Table of an entity; the schema of the event itself goes to the table of events."""
-    return F.when(schema == atomic_schema, EVENTS_TABLE).otherwise(table_name(parse_uri(schema)))
+    return F.when(schema == atomic_schema, EVENTS_TABLE).otherwise(entity_table)

@@ -73,10 +73,14 @@ def schemas_until(schemas: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def flat_properties(document: str) -> Iterator[tuple[list[str], bool, str]]:
-    """Leaves of a schema in the order they are written: path, whether required, definition."""
+def flatten_schemas(schemas: DataFrame) -> DataFrame:
+    """One row per leaf property of each schema, in the order they are written.
+
+    Nested objects give longer pointers. The helper is defined in here so that it travels with the plan and
+    workers need no copy of this package.
+    """
 
-    def visit(node: dict, path: list[str], required: bool) -> Iterator[tuple[list[str], bool, str]]:
+    def leaves(node: dict, path: list[str], required: bool) -> Iterator[tuple]:
         types = node.get("type", [])
         types = [types] if isinstance(types, str) else types
         properties = node.get("properties")
@@ -85,22 +89,18 @@ def flat_properties(document: str) -> Iterator[tuple[list[str], bool, str]]:
             inner = required and "null" not in types
             for name, child in properties.items():
                 child = child if isinstance(child, dict) else {}
-                yield from visit(child, [*path, name], inner and name in needed)
+                yield from leaves(child, [*path, name], inner and name in needed)
         else:
             yield path, required, json.dumps(node, ensure_ascii=False)
 
-    yield from visit(json.loads(document), [], True)
-
-
-def flatten_schemas(schemas: DataFrame) -> DataFrame:
-    """One row per leaf property of each schema; nested objects give longer pointers."""
-
     def flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
                 (*key, path, ordinal, required, definition)
                 for *key, document in batch[[*KEY_COLUMNS, "document"]].itertuples(index=False)
-                for ordinal, (path, required, definition) in enumerate(flat_properties(document))
+                for ordinal, (path, required, definition) in enumerate(
+                    leaves(json.loads(document), [], True)
+                )
             ]
             names = [*KEY_COLUMNS, "pointer", "ordinal", "required", "definition"]
             yield pd.DataFrame(rows, columns=names)

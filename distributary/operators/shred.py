@@ -10,14 +10,23 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from distributary.functions.casts import cast_cell
+from distributary.functions.casts import cell_failure, cell_text
 from distributary.functions.errors import ERROR, error, no_errors
 from distributary.functions.event_layout import META_FIELDS
 from distributary.functions.json_values import fields_of, let, walk
-from distributary.functions.schema_uri import GROUP_COLUMNS, format_version, group_key, parse_uri
+from distributary.functions.schema_uri import (
+    GROUP_COLUMNS,
+    KEY_COLUMNS,
+    SCHEMA_KEY,
+    URI_PREFIX,
+    format_version,
+    group_key,
+    parse_uri,
+    table_name,
+)
 from distributary.operators.constraints import cells_violation, width_violation
 from distributary.operators.entities import route
 from distributary.operators.registry import column_table, invalid_groups
@@ -26,10 +35,14 @@ from distributary.operators.registry import column_table, invalid_groups
 MAX_INLINE_COLUMNS = 50_000
 
 COLUMN = "struct<name:string,pointer:array<string>,type:string,length:int,nullable:boolean>"
-GROUP = f"struct<invalid_uri:string,columns:array<{COLUMN}>>"
+GROUP = f"struct<table_name:string,invalid_uri:string,columns:array<{COLUMN}>>"
+INLINE = (
+    f"struct<groups:array<{GROUP}>,group_index:map<string,int>,"
+    f"uris:map<string,struct<key:{SCHEMA_KEY},group:int>>>"
+)
 SHREDDED = (
-    "struct<schema:string,table_name:string,columns:array<string>,cells:array<string>,"
-    f"errors:array<{ERROR}>,violation:string>"
+    f"struct<schema:string,key:{SCHEMA_KEY},table_name:string,columns:array<string>,"
+    f"cells:array<string>,errors:array<{ERROR}>,violation:string>"
 )
 
 
@@ -46,33 +59,25 @@ class Registry:
     def from_schemas(cls, schemas: DataFrame, max_inline: int = MAX_INLINE_COLUMNS) -> Registry:
         columns = column_table(schemas)
         invalid = invalid_groups(schemas)
-        groups = schemas.select(*GROUP_COLUMNS).distinct()
-        known = groups.join(columns, GROUP_COLUMNS, "left").join(invalid, GROUP_COLUMNS, "left")
-        rows = (
-            known.select(
-                group_key(F.struct(*GROUP_COLUMNS)).alias("group"),
-                "invalid_uri",
-                "position",
-                F.col("column").alias("name"),
-                "pointer",
-                "type",
-                "length",
-                "nullable",
-            )
-            .limit(max_inline + 1)
-            .collect()
+        key = F.struct(*KEY_COLUMNS)
+        versions = schemas.groupBy(*GROUP_COLUMNS).agg(F.collect_set(key).alias("keys"))
+        known = versions.join(columns, GROUP_COLUMNS, "left").join(invalid, GROUP_COLUMNS, "left")
+        described = known.select(
+            group_key(F.struct(*GROUP_COLUMNS)).alias("group"),
+            table_name(F.struct(*GROUP_COLUMNS)).alias("table_name"),
+            "keys",
+            "invalid_uri",
+            "position",
+            F.col("column").alias("name"),
+            "pointer",
+            "type",
+            "length",
+            "nullable",
         )
-        inline = None
-        if len(rows) <= max_inline:
-            rows.sort(key=lambda r: (r.group, sort_position(r.position)))
-            tables: dict[str, dict] = {}
-            for row in rows:
-                table = tables.setdefault(row.group, {"invalid_uri": row.invalid_uri, "columns": []})
-                if row.name is not None:
-                    fields = ("name", "pointer", "type", "length", "nullable")
-                    table["columns"].append({f: row[f] for f in fields})
-            inline = json.dumps(tables, ensure_ascii=False)
-        return cls(schemas, columns, invalid, inline)
+        size = schemas.limit(max_inline + 1).count()
+        rows = described.limit(max_inline + 1).collect() if size <= max_inline else []
+        small = size <= max_inline and len(rows) <= max_inline
+        return cls(schemas, columns, invalid, inline_tables(rows) if small else None)
 
     def group_table(self) -> DataFrame:
         """One row per group with its columns in order."""
@@ -95,88 +100,126 @@ class Registry:
             .select(
                 group_key(F.struct(*GROUP_COLUMNS)).alias("group"),
                 F.struct(
-                    "invalid_uri", F.coalesce("columns", F.array()).alias("columns")
-                ).cast(GROUP).alias("known"),
+                    table_name(F.struct(*GROUP_COLUMNS)).alias("table_name"),
+                    "invalid_uri",
+                    F.coalesce("columns", F.array()).alias("columns"),
+                )
+                .cast(GROUP)
+                .alias("known"),
             )
         )
 
 
-def sort_position(position) -> tuple:
+def inline_tables(rows: list[Row]) -> str:
+    """JSON of all tables, for a constant of the plan: groups, and where URIs and group keys find them."""
+    rows = sorted(rows, key=lambda r: (r.group, sort_position(r.position)))
+    groups: list[dict] = []
+    index: dict[str, int] = {}
+    uris: dict[str, dict] = {}
+    for row in rows:
+        if row.group not in index:
+            index[row.group] = len(groups)
+            table = {"table_name": row.table_name, "invalid_uri": row.invalid_uri, "columns": []}
+            groups.append(table)
+            for key in row["keys"]:
+                version = f"{key.model}-{key.revision}-{key.addition}"
+                uri = f"{URI_PREFIX}{key.vendor}/{key.name}/{key.format}/{version}"
+                uris[uri] = {"key": key.asDict(), "group": index[row.group]}
+        if row.name is not None:
+            fields = ("name", "pointer", "type", "length", "nullable")
+            groups[index[row.group]]["columns"].append({f: row[f] for f in fields})
+    inline = {"groups": groups, "group_index": index, "uris": uris}
+    return json.dumps(inline, ensure_ascii=False)
+
+
+def sort_position(position: Row | None) -> tuple:
     """Order of a column inside its table, as Spark sorts the same struct (NULL first)."""
     if position is None:
         return ()
     return tuple((value is not None, value) for value in position)
 
 
-def shred_entity(entity: Column, known: Column, meta: bool, atomic_schema: str, date_mode: str) -> Column:
-    """Table, cells and errors of one entity, given what the registry knows about its group."""
-    schema = entity["schema"]
+def shred_entity(
+    entity: Column, key: Column, known: Column, meta: bool, atomic_schema: str, date_mode: str
+) -> Column:
+    """Table, cells and errors of one entity, given its key and what the registry knows of its group."""
+    schema, columns = entity["schema"], known["columns"]
 
     def refused(name: str, message: Column) -> Column:
         return F.array(error(name, message, schema=schema))
 
-    def cell(fields: Column, column: Column) -> Column:
+    def value_of(fields: Column, column: Column) -> Column:
         pointer = column["pointer"]
         top = fields[F.get(pointer, F.lit(0))]
-        value = F.when(F.size(pointer) == 1, top).otherwise(
-            walk(top, F.slice(pointer, 2, F.size(pointer)))
+        nested = walk(top, F.slice(pointer, 2, F.size(pointer)))
+        return F.when(F.size(pointer) == 1, top).otherwise(nested)
+
+    def cells_of(fields: Column) -> Column:
+        return F.transform(
+            columns,
+            lambda column: let(value_of(fields, column), lambda v: cell_text(v, column, date_mode)),
         )
-        return cast_cell(value, column, date_mode)
-
-    def failures(column: Column, result: Column) -> Column:
-        failure = result["failure"]
-        return F.when(
-            failure.isNotNull(),
-            error(
-                "WrongType",
-                failure["message"],
-                schema=schema,
-                field=F.concat(F.lit("/"), F.array_join(column["pointer"], "/")),
-                value=failure["value"],
-            ),
+
+    def failure(fields: Column, column: Column) -> Column:
+        def entry(found: Column) -> Column:
+            pointer = F.concat(F.lit("/"), F.array_join(column["pointer"], "/"))
+            wrong = error(
+                "WrongType", found["message"], schema=schema, field=pointer, value=found["value"]
+            )
+            return F.when(found.isNotNull(), wrong)
+
+        return let(
+            let(value_of(fields, column), lambda value: cell_failure(value, column)), entry
+        )
+
+    def failures(fields: Column, cells: Column) -> Column:
+        return F.array_compact(
+            F.zip_with(
+                columns, cells, lambda column, text: F.when(text.isNull(), failure(fields, column))
+            )
         )
 
-    def result(columns: Column, cells: Column) -> Column:
-        key = parse_uri(schema)
-        texts = cells["text"]
-        entity_violation = cells_violation(columns, texts, must_have_value=not meta)
+    def result(fields: Column, cells: Column) -> Column:
+        violation = cells_violation(columns, cells, must_have_value=not meta)
         if meta:
             origin = [key["vendor"], key["name"], key["format"], format_version(key)]
-            meta_violation = [
+            widths = [
                 width_violation(value, F.lit(field.length))
                 for value, field in zip(origin, META_FIELDS)
             ]
-            entity_violation = F.coalesce(*meta_violation, entity_violation)
+            violation = F.coalesce(*widths, violation)
         return F.struct(
             schema.alias("schema"),
-            route(schema, atomic_schema).alias("table_name"),
+            key.alias("key"),
+            route(schema, atomic_schema, known["table_name"]).alias("table_name"),
             columns["name"].alias("columns"),
-            texts.alias("cells"),
-            F.array_compact(F.zip_with(columns, cells, failures)).alias("errors"),
-            entity_violation.alias("violation"),
+            cells.alias("cells"),
+            F.when(F.exists(cells, lambda text: text.isNull()), failures(fields, cells))
+            .otherwise(no_errors())
+            .alias("errors"),
+            violation.alias("violation"),
         )
 
-    criterion = F.concat(F.lit("No schemas found for "), group_key(parse_uri(schema)), F.lit("-*-*"))
+    criterion = F.concat(F.lit("No schemas found for "), group_key(key), F.lit("-*-*"))
     invalid = F.concat(known["invalid_uri"], F.lit(" cannot be parsed as JSON Schema"))
-    refusal = F.when(known.isNull(), refused("SchemaListNotFound", criterion)).when(
-        known["invalid_uri"].isNotNull(), refused("InvalidSchema", invalid)
-    )
     no_text = F.array().cast("array<string>")
-    empty = F.struct(
+    refusal = F.struct(
         schema.alias("schema"),
+        key.alias("key"),
         F.lit(None).cast("string").alias("table_name"),
         no_text.alias("columns"),
         no_text.alias("cells"),
-        F.coalesce(refusal, no_errors()).alias("errors"),
+        F.when(known.isNull(), refused("SchemaListNotFound", criterion))
+        .otherwise(refused("InvalidSchema", invalid))
+        .alias("errors"),
         F.lit(None).cast("string").alias("violation"),
     )
-    columns = known["columns"]
-    cells = let(
+    shredded = let(
         fields_of(entity["data"]),
-        lambda fields: F.transform(columns, lambda column: cell(fields, column)),
+        lambda fields: let(cells_of(fields), lambda cells: result(fields, cells)),
     )
-    shredded = let(F.struct(cells.alias("cells")), lambda done: result(columns, done["cells"]))
-    return F.when(refusal.isNotNull(), empty.cast(SHREDDED)).otherwise(shredded.cast(SHREDDED))
+    usable = known.isNotNull() & known["invalid_uri"].isNull()
+    return F.when(usable, shredded).otherwise(refusal)
 
 
 def shred_entities(
@@ -185,15 +228,33 @@ def shred_entities(
     """Replace ``entities`` of parsed records by their shredded form, order kept."""
     if registry.inline is None:
         return shred_joined(parsed, registry, meta, atomic_schema, date_mode)
-    known = F.from_json(F.lit(registry.inline), f"map<string,{GROUP}>")
+    tables = F.from_json(F.lit(registry.inline), INLINE)
 
     def shred(entity: Column) -> Column:
-        group = group_key(parse_uri(entity["schema"]))
-        return let(
-            F.struct(known[group].alias("known")),
-            lambda k: shred_entity(entity, k["known"], meta, atomic_schema, date_mode),
+        """A URI of the registry is looked up whole; any other one is taken apart."""
+        schema = entity["schema"]
+        listed = tables["uris"][schema]
+        located = F.coalesce(
+            listed,
+            let(
+                parse_uri(schema),
+                lambda key: F.struct(
+                    key.alias("key"), tables["group_index"][group_key(key)].alias("group")
+                ),
+            ),
         )
 
+        def with_group(place: Column) -> Column:
+            known = F.get(tables["groups"], place["group"])
+            return let(
+                F.struct(known.alias("known")),
+                lambda k: shred_entity(
+                    entity, place["key"], k["known"], meta, atomic_schema, date_mode
+                ),
+            )
+
+        return let(located, with_group)
+
     return parsed.withColumn("entities", F.transform("entities", shred))
 
 
@@ -205,11 +266,15 @@ def shred_joined(
     if parsed.sparkSession.conf.get("spark.checkpoint.dir", None):
         numbered = numbered.checkpoint()
     entities = numbered.select("row", F.posexplode("entities").alias("position", "entity"))
-    keyed = entities.withColumn("group", group_key(parse_uri(F.col("entity.schema"))))
+    keyed = entities.withColumn("key", parse_uri(F.col("entity.schema"))).withColumn(
+        "group", group_key(F.col("key"))
+    )
     shredded = keyed.join(registry.group_table(), "group", "left").select(
         "row",
         "position",
-        shred_entity(F.col("entity"), F.col("known"), meta, atomic_schema, date_mode).alias("shredded"),
+        shred_entity(
+            F.col("entity"), F.col("key"), F.col("known"), meta, atomic_schema, date_mode
+        ).alias("shredded"),
     )
     listed = shredded.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("position", "shredded")))["shredded"].alias("shredded")

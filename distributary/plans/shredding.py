@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from distributary.functions.errors import error, no_errors
-from distributary.functions.schema_uri import parse_uri
+from distributary.functions.schema_uri import SCHEMA_KEY
 from distributary.operators.atomic import choose_errors, shred_atomic
 from distributary.operators.badrows import (
     GENERIC_ERROR,
@@ -40,8 +40,8 @@ def shred(
     entity_errors = F.flatten(F.col("entities")["errors"])
     violation = first_violation(F.col("entities")["violation"])
     if settings.includes_meta:
-        shredded = shredded.withColumn("atomic", shred_atomic(F.col("atomic")))
-        violation = F.coalesce(atomic_violation(F.col("atomic")), violation)
+        shredded = shredded.withColumn("atomic", shred_atomic("atomic"))
+        violation = F.coalesce(atomic_violation("atomic"), violation)
         entity_errors = choose_errors(entity_errors, no_errors())
     checked = shredded.withColumns({"entity_errors": entity_errors, "violation": violation})
     return checked.withColumn("failure", failure(settings)).drop(
@@ -123,7 +123,7 @@ def table_rows(records: DataFrame, settings: Settings) -> DataFrame:
         if settings.includes_meta
         else F.lit(None).cast("timestamp_ntz")
     )
-    null_key = parse_uri(no_text)
+    null_key = F.lit(None).cast(SCHEMA_KEY)
     no_meta = F.struct(
         *meta_columns(null_key, no_text, F.lit(None).cast("timestamp_ntz")), no_text.alias("schema")
     )
@@ -135,7 +135,7 @@ def table_rows(records: DataFrame, settings: Settings) -> DataFrame:
             e["columns"],
             e["cells"],
             F.struct(
-                *meta_columns(parse_uri(e["schema"]), root_id, root_tstamp),
+                *meta_columns(e["key"], root_id, root_tstamp),
                 e["schema"].alias("schema"),
             ),
             no_atomic,
