@@ -253,14 +253,17 @@ def spread(frame: DataFrame) -> DataFrame:
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
 
 
-def enriched_lines(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
-    """One tab-separated line per event, in ``value``; ``carried`` columns of the event stay beside it."""
-    configure(spark)
-    values = event_fields()
+def lines_of(frame: DataFrame, values: dict[str, str]) -> DataFrame:
+    """Add the array ``fields`` of an enriched line, from the SQL of those that are not empty."""
     fields = ", ".join(f"cast({values.get(f.name, EMPTY)} as string)" for f in LINE_FIELDS)
-    events = spread(table(spark, sf_dir, "events")).selectExpr("*", f"array({fields}) as fields")
+    return spread(frame).selectExpr("*", f"array({fields}) as fields")
+
+
+def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tab-separated line per event, in ``value``."""
+    configure(spark)
     line = choose(
         "array_join(fields, '\t')",
         {10: "'no tabs here'", 1: "array_join(slice(fields, 1, 130), '\t')"},
     )
-    return events.selectExpr(*carried, f"{line} as value")
+    return lines_of(table(spark, sf_dir, "events"), event_fields()).selectExpr(f"{line} as value")

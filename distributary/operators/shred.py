@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from distributary.functions.casts import cell_failure, cell_text
 from distributary.functions.errors import ERROR, error, no_errors
-from distributary.functions.event_layout import META_FIELDS
+from distributary.functions.event_layout import EVENTS_TABLE, META_FIELDS
 from distributary.functions.json_values import fields_of, let, walk
 from distributary.functions.schema_uri import (
     GROUP_COLUMNS,
@@ -34,6 +34,9 @@ from distributary.operators.registry import column_table, invalid_groups
 # Most columns, over all tables, that are sent along with the plan; more are joined.
 MAX_INLINE_COLUMNS = 50_000
 
+# The events table has no place for the origin of an entity.
+NO_ORIGIN_COLUMNS = f'column "{META_FIELDS[0].name}" of relation "{EVENTS_TABLE}" does not exist'
+
 COLUMN = "struct<name:string,pointer:array<string>,type:string,length:int,nullable:boolean>"
 GROUP = f"struct<table_name:string,invalid_uri:string,columns:array<{COLUMN}>>"
 INLINE = (
@@ -187,7 +190,8 @@ def shred_entity(
                 width_violation(value, F.lit(field.length))
                 for value, field in zip(origin, META_FIELDS)
             ]
-            violation = F.coalesce(*widths, violation)
+            no_origin = F.when(schema == atomic_schema, F.lit(NO_ORIGIN_COLUMNS))
+            violation = F.coalesce(no_origin, *widths, violation)
         return F.struct(
             schema.alias("schema"),
             key.alias("key"),
