@@ -225,10 +225,10 @@ def event_fields() -> dict[str, str]:
         "v_collector": "'collector-1'",
         "v_etl": choose("'etl-1'", {2: "''"}),
         "user_id": "concat('u', user_id)",
-        "user_ipaddress": "sha2(cast(user_id as string), 512)",
-        "domain_userid": "sha2(concat('d', user_id), 512)",
+        "user_ipaddress": "repeat(md5(concat('i', user_id)), 4)",
+        "domain_userid": "repeat(md5(concat('d', user_id)), 4)",
         "domain_sessionidx": choose("event_id % 9", {(12, 15): "'x1'"}),
-        "network_userid": "sha2(concat('n', user_id), 512)",
+        "network_userid": "repeat(md5(concat('n', user_id)), 4)",
         "geo_country": choose("'DE'", {3: "'USA'"}),
         "geo_latitude": choose("value", {13: "'north'"}),
         "page_url": choose(
@@ -241,8 +241,8 @@ def event_fields() -> dict[str, str]:
         "br_name": choose("'Browser'", {4: "repeat('b', 60)"}),
         "br_cookies": choose("event_id % 2", {(11, 15): "'2'"}),
         "derived_contexts": envelope("contexts", f"concat('[', {device_entity()}, ']')"),
-        "refr_domain_userid": "sha2(concat('r', user_id), 512)",
-        "domain_sessionid": "sha2(concat('s', user_id), 512)",
+        "refr_domain_userid": "repeat(md5(concat('r', user_id)), 4)",
+        "domain_sessionid": "repeat(md5(concat('s', user_id)), 4)",
         "event_name": "event_type",
     }
 

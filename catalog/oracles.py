@@ -448,7 +448,10 @@ select time_bucket(interval '30 seconds', {CLOCK}) as period_start, count(*) as
 from events where {BAD} and {CASE} <> 10 group by 1"""
 
 ORACLES["pii_projection"] = f"""
-select null as user_ipaddress from events where false"""
+select repeat(md5('i' || user_id), 4) as user_ipaddress, repeat(md5('d' || user_id), 4) as domain_userid,
+  repeat(md5('n' || user_id), 4) as network_userid, repeat(md5('r' || user_id), 4) as refr_domain_userid,
+  repeat(md5('s' || user_id), 4) as domain_sessionid
+from events where {GOOD}"""
 
 ORACLES["event_ids"] = f"select {EVENT_UUID} as event_id from events where {GOOD}"
 
@@ -460,4 +463,6 @@ select 'com.acme' as schema_vendor, 'props' as schema_name, 'jsonschema' as sche
   case when event_id % 3 = 2 then value end as ratio
 from ({ENTITIES}) where {GOOD} and schema like '%/props/%'"""
 
-ORACLES["widened_events"] = f"select {EVENT_UUID} as event_id, 'DE' as geo_country from events where false"
+ORACLES["widened_events"] = f"""
+select {EVENT_UUID} as event_id, repeat(md5('s' || user_id), 4) as domain_sessionid, 'DE' as geo_country
+from events where {GOOD}"""

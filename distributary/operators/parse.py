@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from distributary.functions.casts import UUID_PATTERN
-from distributary.functions.errors import error, no_errors
+from distributary.functions.errors import error, no_errors, settled
 from distributary.functions.event_layout import ATOMIC_FIELDS, JSON_FIELDS, LINE_FIELDS, Field
 from distributary.functions.json_values import boxed_document, get_path, json_text, parse_document
 from distributary.functions.schema_uri import (
@@ -137,7 +137,9 @@ def parse_enriched(lines: DataFrame, column: str = "value") -> DataFrame:
     )
     no_entities = F.array().cast(f"array<{ENTITY}>")
     entities = F.concat(*[F.coalesce(F.col(name), no_entities) for name in ENTITY_ORDER])
-    return checked.select("payload", "atomic", entities.alias("entities"), errors.alias("errors"))
+    return settled(
+        checked.select("payload", "atomic", entities.alias("entities"), errors.alias("errors"))
+    )
 
 
 def parse_self_describing(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -164,10 +166,11 @@ def parse_self_describing(lines: DataFrame, column: str = "value") -> DataFrame:
         .when(code.isNotNull(), F.array(error("INVALID_SCHEMAVER", invalid_uri, schema=schema)))
         .otherwise(no_errors())
     )
-    return documents.select(
+    parsed = documents.select(
         "payload",
         F.when(F.size(errors) == 0, F.array(F.struct(schema, data)))
         .otherwise(F.array().cast(f"array<{ENTITY}>"))
         .alias("entities"),
         errors.alias("errors"),
     )
+    return settled(parsed)

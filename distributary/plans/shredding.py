@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from distributary.functions.errors import error, no_errors
+from distributary.functions.errors import error, no_errors, settled
 from distributary.functions.schema_uri import SCHEMA_KEY
 from distributary.operators.atomic import choose_errors, shred_atomic
 from distributary.operators.badrows import (
@@ -44,8 +44,8 @@ def shred(
         violation = F.coalesce(atomic_violation("atomic"), violation)
         entity_errors = choose_errors(entity_errors, no_errors())
     checked = shredded.withColumns({"entity_errors": entity_errors, "violation": violation})
-    return checked.withColumn("failure", failure(settings)).drop(
-        "errors", "entity_errors", "violation"
+    return settled(
+        checked.withColumn("failure", failure(settings)).drop("errors", "entity_errors", "violation")
     )
 
 
@@ -69,34 +69,24 @@ def failure(settings: Settings) -> Column:
     )
 
 
-def keep(records: DataFrame, condition: Column, rows: Column) -> DataFrame:
-    """Rows (array of structs) of the records that meet a condition.
-
-    A filter would be pushed below the projection that computes its input and evaluate that input once
-    more; generating no rows is the same and evaluates it once.
-    """
-    return records.select(F.inline(F.when(condition, rows)))
-
-
 def good_records(records: DataFrame) -> DataFrame:
-    columns = [c for c in records.columns if c != "failure"]
-    return keep(records, F.col("failure").isNull(), F.array(F.struct(*columns)))
+    return records.where("failure is null").drop("failure")
 
 
 def bad_records(records: DataFrame) -> DataFrame:
     """Kind, errors and original line of every record that cannot be loaded."""
-    row = F.struct("failure.kind", "failure.errors", "payload")
-    return keep(records, F.col("failure").isNotNull(), F.array(row))
+    bad = records.where("failure is not null")
+    return bad.select("failure.kind", "failure.errors", "payload")
 
 
 def entity_rows(records: DataFrame) -> DataFrame:
     """One row per entity of the good records."""
-    return keep(records, F.col("failure").isNull(), F.col("entities"))
+    return good_records(records).select(F.inline("entities"))
 
 
 def event_rows(records: DataFrame) -> DataFrame:
     """Rows of the events table."""
-    return keep(records, F.col("failure").isNull(), F.array(F.col("atomic")))
+    return good_records(records).select("atomic.*")
 
 
 def table_rows(records: DataFrame, settings: Settings) -> DataFrame:
