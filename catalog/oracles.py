@@ -439,7 +439,7 @@ OUTCOME = f"""case when {CASE} in ({listed(PARSING_CASES)}) then 'loader_parsing
   when {CASE} in ({listed(RUNTIME_CASES)}) then 'loader_runtime_error' else 'good' end"""
 ORACLES["atomic_event_split"] = f"""
 select {OUTCOME} as outcome, count(*) as n,
-  cast(sum(case when {CASE} in (1, 10) then 0 when {CASE} in (9, 24) then 2
+  cast(sum(case when {CASE} in ({listed(PARSING_CASES)}) then 0
     else 3 + ({CASE} in (5, 21))::int + (user_id % 3 = 0 or {CASE} = 7)::int end) as bigint) as n_entities
 from events group by 1"""
 

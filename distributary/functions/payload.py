@@ -11,8 +11,13 @@ def decode_payload(record: Column) -> Column:
     return F.make_valid_utf8(record.cast("string"))
 
 
+def base64_line(record: Column) -> Column:
+    """Base64 of the bytes as one line."""
+    return F.translate(F.base64(record), "\r\n", "")
+
+
 def decode_strict(record: Column) -> tuple[Column, Column]:
     """Text of a record and, where its bytes are not UTF-8, the base64 of them instead."""
     text = record.cast("string")
     valid = F.is_valid_utf8(text)
-    return F.when(valid, text), F.when(~valid, F.base64(record))
+    return F.when(valid, text), F.when(~valid, base64_line(record))

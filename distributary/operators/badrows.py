@@ -7,6 +7,8 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from distributary.functions.payload import base64_line
+
 if TYPE_CHECKING:
     from distributary.settings import Settings
 
@@ -41,7 +43,7 @@ def undecodable(records: DataFrame, column: str, purpose_is_enriched: bool) -> D
     return records.where(~F.is_valid_utf8(text)).select(
         F.lit(kind).alias("kind"),
         F.lit("Cannot deserialize payload as UTF-8").alias("message"),
-        F.base64(column).alias("payload"),
+        base64_line(F.col(column)).alias("payload"),
     )
 
 

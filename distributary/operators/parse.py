@@ -137,9 +137,9 @@ def parse_enriched(lines: DataFrame, column: str = "value") -> DataFrame:
     )
     no_entities = F.array().cast(f"array<{ENTITY}>")
     entities = F.concat(*[F.coalesce(F.col(name), no_entities) for name in ENTITY_ORDER])
-    return settled(
-        checked.select("payload", "atomic", entities.alias("entities"), errors.alias("errors"))
-    )
+    parsed = checked.select("payload", "atomic", entities.alias("entities"), errors.alias("errors"))
+    of_good_lines = F.when(F.size("errors") == 0, F.col("entities")).otherwise(no_entities)
+    return settled(parsed.withColumn("entities", of_good_lines))
 
 
 def parse_self_describing(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from distributary.functions.json_values import fields_of, get_path, json_text, plain_text
-from distributary.functions.json_values import parse_document
+from distributary.functions.json_values import fields_of, get_path, parse_document, plain_text
 from distributary.functions.schema_uri import KEY_COLUMNS, URI_PREFIX, parse_uri
 
 
@@ -38,7 +37,7 @@ def schemas_from(documents: DataFrame, column: str = "document") -> DataFrame:
     return (
         parsed.withColumn("key", parse_uri(uri))
         .where("key is not null")
-        .select(*others, "key.*", json_text(F.col("schema_json")).alias(column))
+        .select(*others, "key.*", column)
     )
 
 
