@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from distributary.functions.casts import ddl_name
-from distributary.functions.json_values import get_path, is_number, kind_of, plain_text
+from distributary.functions.json_values import is_number, kind_of, plain_text
 
 # Width of a text column without declared length, largest 32-bit number.
 DEFAULT_VARCHAR = 4096
@@ -34,7 +34,7 @@ def schema_keywords(definition: Column) -> Column:
     """Keywords of one property definition (VARIANT) that decide its type."""
 
     def keyword(name: str) -> Column:
-        return get_path(definition, [name])
+        return F.try_variant_get(definition, f"$.{name}", "variant")
 
     def integer(name: str) -> Column:
         return F.when(whole(kind_of(keyword(name))), plain_text(keyword(name)).try_cast("int"))

@@ -19,6 +19,7 @@ from distributary.functions.column_types import (
     infer_type,
     schema_keywords,
 )
+from distributary.functions.errors import settled
 from distributary.functions.schema_uri import (
     GROUP_COLUMNS,
     KEY_COLUMNS,
@@ -145,17 +146,26 @@ def column_table(schemas: DataFrame) -> DataFrame:
     """
     base = schemas.groupBy(*GROUP_COLUMNS).agg(F.min(version()).alias("base"))
     properties = remove_roots(union_properties(flatten_schemas(schemas))).join(base, GROUP_COLUMNS)
-    described = properties.withColumns(
-        {
-            "column": column_name(F.col("pointer")),
-            "keywords": schema_keywords(F.parse_json("definition")),
-            "added": version() > F.col("base"),
-        }
-    ).withColumns(
-        {
-            "inferred": infer_type(F.col("keywords")),
-            "nullable": F.col("added") | ~F.col("required") | can_be_null(F.col("keywords")),
-        }
+    keywords = settled(
+        properties.select(
+            *GROUP_COLUMNS,
+            "pointer",
+            "ordinal",
+            "required",
+            "revision",
+            "addition",
+            column_name(F.col("pointer")).alias("column"),
+            (version() > F.col("base")).alias("added"),
+            schema_keywords(F.parse_json("definition")).alias("keywords"),
+        )
+    )
+    described = settled(
+        keywords.withColumns(
+            {
+                "inferred": infer_type(F.col("keywords")),
+                "nullable": F.col("added") | ~F.col("required") | can_be_null(F.col("keywords")),
+            }
+        ).drop("keywords")
     )
     position = F.struct(
         "added",

@@ -60,7 +60,9 @@ class Registry:
 
     @classmethod
     def from_schemas(cls, schemas: DataFrame, max_inline: int = MAX_INLINE_COLUMNS) -> Registry:
-        columns = column_table(schemas)
+        """Prepare a registry; its tables are kept, every load asks for them again."""
+        schemas = schemas.persist()
+        columns = column_table(schemas).persist()
         invalid = invalid_groups(schemas)
         key = F.struct(*KEY_COLUMNS)
         versions = schemas.groupBy(*GROUP_COLUMNS).agg(F.collect_set(key).alias("keys"))
