@@ -390,7 +390,7 @@ def part_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
         '","format":"jsonschema","version":"1-0-0"}},"type":"object","properties":{{"partSize":',
         {definition}, ',"extraSize":', {definition}, '}},"required":["partSize"]}}')"""
     configure(spark)
-    documents = table(spark, sf_dir, "part").selectExpr(f"{document} as document")
+    documents = spread(table(spark, sf_dir, "part")).selectExpr(f"{document} as document")
     return schemas_from(documents)
 
 
@@ -493,7 +493,7 @@ def customer_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
         concat('{{"base":{{"type":"integer"}},"nested":{{"type":"object","properties":{{"b":{{"type":"number"}}',
             ',"c":{{"type":"boolean"}}', '}}}},"late":{{"type":"string","format":"date-time"}}}}'))"""
     configure(spark)
-    rows = table(spark, sf_dir, "customer").selectExpr(k, f"posexplode({versions}) as (version, properties)")
+    rows = spread(table(spark, sf_dir, "customer")).selectExpr(k, f"posexplode({versions}) as (version, properties)")
     document = f"""concat('{{"self":{{"vendor":"com.customer","name":"c', {k},
         '","format":"jsonschema","version":"1-0-', version, '"}},"type":"object","required":["base","nested"],',
         '"properties":', properties, '}}')"""

@@ -27,7 +27,7 @@ from distributary.functions.schema_uri import (
     format_uri,
     key_struct,
 )
-from distributary.sources.registry import is_schema
+from distributary.sources.registry import with_validity
 
 FLAT_PROPERTY = "pointer array<string>, ordinal int, required boolean, definition string"
 
@@ -40,10 +40,8 @@ def version() -> Column:
 def fetch_schemas(keys: DataFrame, schemas: DataFrame) -> DataFrame:
     """Documents of the wanted keys with the failure of those that are unknown or no schemas."""
     found = keys.join(schemas.select(*KEY_COLUMNS, "document"), KEY_COLUMNS, "left")
-    failure = F.when(F.col("document").isNull(), "IgluError").when(
-        ~is_schema(F.col("document")), "InvalidSchema"
-    )
-    return found.withColumn("failure", failure)
+    failure = F.when(F.col("document").isNull(), "IgluError").when(~F.col("valid"), "InvalidSchema")
+    return with_validity(found).withColumn("failure", failure).drop("valid")
 
 
 def latest_schemas(schemas: DataFrame) -> DataFrame:
@@ -108,7 +106,8 @@ def flatten_schemas(schemas: DataFrame) -> DataFrame:
 
     key_types = "vendor string, name string, format string, model int, revision int, addition int"
     return (
-        schemas.where(is_schema(F.col("document")))
+        with_validity(schemas)
+        .where("valid")
         .select(*KEY_COLUMNS, "document")
         .mapInPandas(flatten, f"{key_types}, {FLAT_PROPERTY}")
     )
@@ -145,7 +144,8 @@ def column_table(schemas: DataFrame) -> DataFrame:
     rows loaded before them have no value.
     """
     base = schemas.groupBy(*GROUP_COLUMNS).agg(F.min(version()).alias("base"))
-    properties = remove_roots(union_properties(flatten_schemas(schemas))).join(base, GROUP_COLUMNS)
+    united = remove_roots(union_properties(flatten_schemas(schemas)))
+    properties = united.join(base, GROUP_COLUMNS).withColumn("definition", F.parse_json("definition"))
     keywords = settled(
         properties.select(
             *GROUP_COLUMNS,
@@ -156,7 +156,7 @@ def column_table(schemas: DataFrame) -> DataFrame:
             "addition",
             column_name(F.col("pointer")).alias("column"),
             (version() > F.col("base")).alias("added"),
-            schema_keywords(F.parse_json("definition")).alias("keywords"),
+            schema_keywords(F.col("definition")).alias("keywords"),
         )
     )
     described = settled(
@@ -202,7 +202,8 @@ def added_columns(columns: DataFrame, known: DataFrame) -> DataFrame:
 def invalid_groups(schemas: DataFrame) -> DataFrame:
     """Groups that cannot be used because one of their documents is no schema: the first such key."""
     return (
-        schemas.where(~is_schema(F.col("document")))
+        with_validity(schemas)
+        .where("not valid")
         .groupBy(*GROUP_COLUMNS)
         .agg(F.min_by(format_uri(key_struct()), version()).alias("invalid_uri"))
     )

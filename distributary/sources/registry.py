@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from distributary.functions.json_values import fields_of, get_path, parse_document, plain_text
+from distributary.functions.errors import settled
+from distributary.functions.json_values import fields_of, parse_document
 from distributary.functions.schema_uri import KEY_COLUMNS, URI_PREFIX, parse_uri
 
 
@@ -26,7 +27,7 @@ def schemas_from(documents: DataFrame, column: str = "document") -> DataFrame:
     """Key and body of self-describing schema documents; documents without a key are left out."""
     parsed = documents.withColumn("schema_json", parse_document(F.col(column)))
     about = {
-        name: plain_text(get_path(F.col("schema_json"), ["self", name]))
+        name: F.try_variant_get("schema_json", f"$.self.{name}", "string")
         for name in ("vendor", "name", "format", "version")
     }
     uri = F.concat(
@@ -34,23 +35,23 @@ def schemas_from(documents: DataFrame, column: str = "document") -> DataFrame:
         F.concat_ws("/", about["vendor"], about["name"], about["format"], about["version"]),
     )
     others = [c for c in documents.columns if c != column]
-    return (
-        parsed.withColumn("key", parse_uri(uri))
-        .where("key is not null")
-        .select(*others, "key.*", column)
-    )
+    keyed = settled(parsed.select(*others, column, parse_uri(uri).alias("key")))
+    return keyed.where("key is not null").select(*others, "key.*", column)
 
 
-def is_schema(document: Column) -> Column:
-    """True for a JSON object whose ``type`` and ``properties`` have the shape of a schema."""
-    value = parse_document(document)
-    type_kw, properties = get_path(value, ["type"]), get_path(value, ["properties"])
-    type_kind = F.schema_of_variant(type_kw)
-    return (
+def with_validity(schemas: DataFrame) -> DataFrame:
+    """Add ``valid``: the document is a JSON object and its keywords have the shape of a schema."""
+    value, type_kw = F.col("schema_json"), F.col("type_kw")
+    properties = F.try_variant_get(value, "$.properties", "variant")
+    valid = (
         fields_of(value).isNotNull()
-        & (type_kw.isNull() | type_kind.rlike("^(STRING$|ARRAY)"))
+        & (type_kw.isNull() | F.schema_of_variant(type_kw).rlike("^(STRING$|ARRAY)"))
         & (properties.isNull() | fields_of(properties).isNotNull())
     )
+    parsed = schemas.withColumn("schema_json", parse_document(F.col("document")))
+    typed = parsed.withColumn("type_kw", F.try_variant_get(value, "$.type", "variant"))
+    checked = typed.withColumn("valid", F.coalesce(valid, F.lit(False)))
+    return settled(checked.drop("schema_json", "type_kw"))
 
 
 def pick_by_priority(schemas: DataFrame, repositories: DataFrame | None = None) -> DataFrame:
