@@ -64,14 +64,12 @@ class Registry:
         schemas = schemas.persist()
         columns = column_table(schemas).persist()
         invalid = invalid_groups(schemas)
-        key = F.struct(*KEY_COLUMNS)
-        versions = schemas.groupBy(*GROUP_COLUMNS).agg(F.collect_set(key).alias("keys"))
-        known = versions.join(columns, GROUP_COLUMNS, "left").join(invalid, GROUP_COLUMNS, "left")
-        described = known.select(
-            group_key(F.struct(*GROUP_COLUMNS)).alias("group"),
-            table_name(F.struct(*GROUP_COLUMNS)).alias("table_name"),
-            "keys",
-            "invalid_uri",
+        group = group_key(F.struct(*GROUP_COLUMNS)).alias("group")
+        versions = schemas.select(
+            group, table_name(F.struct(*GROUP_COLUMNS)).alias("table_name"), *KEY_COLUMNS
+        )
+        described = columns.select(
+            group,
             "position",
             F.col("column").alias("name"),
             "pointer",
@@ -79,10 +77,12 @@ class Registry:
             "length",
             "nullable",
         )
-        size = schemas.limit(max_inline + 1).count()
-        rows = described.limit(max_inline + 1).collect() if size <= max_inline else []
-        small = size <= max_inline and len(rows) <= max_inline
-        return cls(schemas, columns, invalid, inline_tables(rows) if small else None)
+        known = versions.limit(max_inline + 1).collect()
+        cells = described.limit(max_inline + 1).collect() if len(known) <= max_inline else []
+        if max(len(known), len(cells)) > max_inline:
+            return cls(schemas, columns, invalid, None)
+        spoiled = {r.group: r.invalid_uri for r in invalid.select(group, "invalid_uri").collect()}
+        return cls(schemas, columns, invalid, inline_tables(known, cells, spoiled))
 
     def group_table(self) -> DataFrame:
         """One row per group with its columns in order."""
@@ -115,32 +115,29 @@ class Registry:
         )
 
 
-def inline_tables(rows: list[Row]) -> str:
+def inline_tables(versions: list[Row], columns: list[Row], invalid: dict[str, str]) -> str:
     """JSON of all tables, for a constant of the plan: groups, and where URIs and group keys find them."""
-    rows = sorted(rows, key=lambda r: (r.group, sort_position(r.position)))
     groups: list[dict] = []
     index: dict[str, int] = {}
     uris: dict[str, dict] = {}
-    for row in rows:
+    for row in sorted(versions, key=lambda r: r.group):
         if row.group not in index:
             index[row.group] = len(groups)
-            table = {"table_name": row.table_name, "invalid_uri": row.invalid_uri, "columns": []}
-            groups.append(table)
-            for key in row["keys"]:
-                version = f"{key.model}-{key.revision}-{key.addition}"
-                uri = f"{URI_PREFIX}{key.vendor}/{key.name}/{key.format}/{version}"
-                uris[uri] = {"key": key.asDict(), "group": index[row.group]}
-        if row.name is not None:
-            fields = ("name", "pointer", "type", "length", "nullable")
-            groups[index[row.group]]["columns"].append({f: row[f] for f in fields})
+            table = {"table_name": row.table_name, "invalid_uri": invalid.get(row.group)}
+            groups.append(table | {"columns": []})
+        key = {name: row[name] for name in KEY_COLUMNS}
+        version = f"{row.model}-{row.revision}-{row.addition}"
+        uri = f"{URI_PREFIX}{row.vendor}/{row.name}/{row.format}/{version}"
+        uris[uri] = {"key": key, "group": index[row.group]}
+    for row in sorted(columns, key=lambda r: sort_position(r.position)):
+        fields = ("name", "pointer", "type", "length", "nullable")
+        groups[index[row.group]]["columns"].append({f: row[f] for f in fields})
     inline = {"groups": groups, "group_index": index, "uris": uris}
     return json.dumps(inline, ensure_ascii=False)
 
 
-def sort_position(position: Row | None) -> tuple:
+def sort_position(position: Row) -> tuple:
     """Order of a column inside its table, as Spark sorts the same struct (NULL first)."""
-    if position is None:
-        return ()
     return tuple((value is not None, value) for value in position)
 
 
