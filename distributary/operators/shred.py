@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -40,8 +41,8 @@ NO_ORIGIN_COLUMNS = f'column "{META_FIELDS[0].name}" of relation "{EVENTS_TABLE}
 COLUMN = "struct<name:string,pointer:array<string>,type:string,length:int,nullable:boolean>"
 GROUP = f"struct<table_name:string,invalid_uri:string,columns:array<{COLUMN}>>"
 INLINE = (
-    f"struct<groups:array<{GROUP}>,group_index:map<string,int>,"
-    f"uris:map<string,struct<key:{SCHEMA_KEY},group:int>>>"
+    f"struct<groups:array<{GROUP}>,group_index:array<map<string,int>>,"
+    f"uris:array<map<string,struct<key:{SCHEMA_KEY},group:int>>>>"
 )
 SHREDDED = (
     f"struct<schema:string,key:{SCHEMA_KEY},table_name:string,columns:array<string>,"
@@ -132,10 +133,23 @@ def inline_tables(versions: list[Row], columns: list[Row], invalid: dict[str, st
     for row in sorted(columns, key=lambda r: sort_position(r.position)):
         fields = ("name", "pointer", "type", "length", "nullable")
         groups[index[row.group]]["columns"].append({f: row[f] for f in fields})
-    inline = {"groups": groups, "group_index": index, "uris": uris}
+    inline = {"groups": groups, "group_index": bucketed(index), "uris": bucketed(uris)}
     return json.dumps(inline, ensure_ascii=False)
 
 
+def bucketed(entries: dict) -> list[dict]:
+    """Entries by checksum of their key: a map is searched from end to end, so each is kept short."""
+    buckets: list[dict] = [{} for _ in range(max(1, len(entries)))]
+    for key, value in entries.items():
+        buckets[crc32(key.encode()) % len(buckets)][key] = value
+    return buckets
+
+
+def lookup(buckets: Column, key: Column) -> Column:
+    bucket = F.crc32(key.cast("binary")) % F.size(buckets)
+    return F.get(buckets, bucket.cast("int"))[key]
+
+
 def sort_position(position: Row) -> tuple:
     """Order of a column inside its table, as Spark sorts the same struct (NULL first)."""
     return tuple((value is not None, value) for value in position)
@@ -236,13 +250,13 @@ def shred_entities(
     def shred(entity: Column) -> Column:
         """A URI of the registry is looked up whole; any other one is taken apart."""
         schema = entity["schema"]
-        listed = tables["uris"][schema]
+        listed = lookup(tables["uris"], schema)
         located = F.coalesce(
             listed,
             let(
                 parse_uri(schema),
                 lambda key: F.struct(
-                    key.alias("key"), tables["group_index"][group_key(key)].alias("group")
+                    key.alias("key"), lookup(tables["group_index"], group_key(key)).alias("group")
                 ),
             ),
         )
