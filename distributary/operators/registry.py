@@ -29,6 +29,9 @@ from distributary.functions.schema_uri import (
 )
 from distributary.sources.registry import with_validity
 
+# Names of the two failures of a schema lookup.
+UNKNOWN_SCHEMA, INVALID_SCHEMA = "IgluError", "InvalidSchema"
+
 FLAT_PROPERTY = "pointer array<string>, ordinal int, required boolean, definition string"
 
 
@@ -40,7 +43,9 @@ def version() -> Column:
 def fetch_schemas(keys: DataFrame, schemas: DataFrame) -> DataFrame:
     """Documents of the wanted keys with the failure of those that are unknown or no schemas."""
     found = keys.join(schemas.select(*KEY_COLUMNS, "document"), KEY_COLUMNS, "left")
-    failure = F.when(F.col("document").isNull(), "IgluError").when(~F.col("valid"), "InvalidSchema")
+    failure = F.when(F.col("document").isNull(), UNKNOWN_SCHEMA).when(
+        ~F.col("valid"), INVALID_SCHEMA
+    )
     return with_validity(found).withColumn("failure", failure).drop("valid")
 
 

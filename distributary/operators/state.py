@@ -17,6 +17,10 @@ from distributary.operators.registry import schemas_until
 
 MATCH, OUTDATED, MISSING = "Match", "Outdated", "Missing"
 
+# Messages about table comments.
+MISSING_COMMENT = "Iglu comment is missing in table %s; The table will be ignored"
+INVALID_COMMENT = "Comment on table %s (%s) is not valid Iglu URI (%s)"
+
 
 def table_state(entities: DataFrame, state: DataFrame, atomic_schema: str) -> DataFrame:
     """Add ``table_state`` to rows with the six key columns.
@@ -70,18 +74,8 @@ def comment_issues(tables: DataFrame, events_table: str = "events") -> DataFrame
     """Check ``comment`` of every table (``table_name``) but the events table."""
     comment, name = F.col("comment"), F.col("table_name")
     code = F.when(comment.isNotNull(), uri_error(comment))
-    missing = F.concat(
-        F.lit("Iglu comment is missing in table "), name, F.lit("; The table will be ignored")
-    )
-    invalid = F.concat(
-        F.lit("Comment on table "),
-        name,
-        F.lit(" ("),
-        comment,
-        F.lit(") is not valid Iglu URI ("),
-        code,
-        F.lit(")"),
-    )
+    missing = F.format_string(MISSING_COMMENT, name)
+    invalid = F.format_string(INVALID_COMMENT, name, comment, code)
     issue = F.when(comment.isNull(), "Missing").when(code.isNotNull(), "Invalid")
     return (
         tables.where(name != events_table)
