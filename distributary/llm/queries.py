@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, token_files
+from distributary.llm import bpe, substrings, token_files
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,12 +17,17 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.kept_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_checks(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_token_files": op10_token_files,
 }
 

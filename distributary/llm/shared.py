@@ -6,8 +6,6 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
 
 BROADCAST_BYTES = 32 << 20
 
@@ -29,11 +27,20 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+ARROW_TYPES = {
+    "int": pa.int32(),
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+}
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
-    """Arrow schema of a DDL string, as Spark expects it from Python functions."""
-    kind = _parse_datatype_string(ddl)
-    assert isinstance(kind, StructType)
-    return to_arrow_schema(kind)
+    """Arrow schema of a flat DDL string; tasks may call it, as it needs no session."""
+    fields = [field.split() for field in ddl.split(",")]
+    return pa.schema([(name, ARROW_TYPES[kind]) for name, kind in fields])
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
