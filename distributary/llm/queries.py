@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, substrings, token_files
+from distributary.llm import bpe, decontaminate, substrings, token_files
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.contamination(documents, benchmark)
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -26,9 +31,61 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_decontamination": """
+        with item as (
+            select cast(item_id as varchar) as item,
+                regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+            from benchmark where item_id is not null),
+        item_window as (
+            select distinct item, array_to_string(words[i : i + least(10, len(words)) - 1], ' ') as span,
+                least(10, len(words)) as size
+            from (select *, unnest(range(1, greatest(len(words) - 10, 0) + 2)) as i from item where len(words) > 0)),
+        document as (
+            select doc_id, row_number() over () as r,
+                coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as words
+            from documents),
+        place as (
+            select r, size, i, array_to_string(words[i : i + size - 1], ' ') as span
+            from (select r, words, size, unnest(range(1, len(words) - size + 2)) as i
+                from document, (select distinct size from item_window) where len(words) >= size)),
+        found as (select r, i, size, item from place join item_window using (span, size)),
+        hit as (select r, count(distinct w) as n_hit from
+            (select r, unnest(range(i, i + size)) as w from found) group by r),
+        named as (
+            select r, count(distinct item) as n_items, array_to_string(list_sort(list(distinct item)), ',') as items
+            from found group by r)
+        select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+            coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+            coalesce(n_hit, 0) > 0 as contaminated
+        from document left join hit using (r) left join named using (r)
+    """,
+    "op9_substring_dedup": """
+        with document as (
+            select doc_id, row_number() over () as r, len(words) as n, words
+            from (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words
+                from documents)),
+        place as (
+            select r, doc_id, i, sha256(array_to_string(words[i : i + 12], ' ')) as span
+            from (select *, unnest(range(1, n - 11)) as i from document where n >= 13)),
+        repeated as (
+            select r, i from (select *, min(doc_id) over (partition by span) as first_doc from place)
+            where doc_id > first_doc),
+        gone as (select distinct r, unnest(range(i, i + 13)) as w from repeated),
+        kept as (
+            select r, string_agg(word, ' ' order by w) as text, count(*) as n_kept
+            from (select r, unnest(words) as word, unnest(range(1, n + 1)) as w from document)
+            anti join gone using (r, w) group by r)
+        select doc_id, cast(n as bigint) as n_words, cast(n - coalesce(n_kept, 0) as bigint) as n_removed,
+            sha256(coalesce(text, '')) as kept_sha256
+        from document left join kept using (r)
+    """,
+}
