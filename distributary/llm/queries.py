@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, decontaminate, substrings, token_files
+from distributary.llm import bpe, decontaminate, quality, substrings, token_files
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents, benchmark)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -32,6 +36,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op7_quality_rules": op7_quality_rules,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_files": op10_token_files,
