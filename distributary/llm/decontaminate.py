@@ -230,9 +230,11 @@ def shuffled(documents: DataFrame, items: DataFrame) -> DataFrame:
     hits = hits.join(contents, "item_key").groupBy(F.col("key").alias("bench_key")).agg(
         F.collect_list(F.struct("at", "item", "words", "place")).alias("bench_hits")
     )
+    names = documents.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            plain = batch.select(documents.columns)
+            plain = batch.select(names)
             for texts in texts_of(batch.column("text")):
                 words = words_of(texts.lowered(), PLAIN)
                 hashes, results = words.hashes(), []
