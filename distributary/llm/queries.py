@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, decontaminate, near_dup, quality, substrings, token_files
+from distributary.llm import bpe, decontaminate, near_dup, quality, substrings, token_files, toxicity
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(*(read_table(spark, sf_dir, name) for name in ("documents", "labels")))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.contamination(documents, benchmark)
@@ -40,6 +44,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe_round_trip": op8_bpe_round_trip,
