@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, decontaminate, near_dup, quality, substrings, token_files, toxicity
+from distributary.llm import bpe, decontaminate, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents, benchmark)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(read_table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"))
 
@@ -46,13 +54,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
+    "op4_license_scan": op4_license_scan,
+    "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_files": op10_token_files,
 }
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def license_sql() -> str:
+    """Phrases by position; templates as regular expressions over the words of a text."""
+    spaced = "array_to_string(words, ' ') || ' '"
+    phrases = " union all ".join(
+        f"select r, '{label}' as label, i - 1 as place from "
+        f"(select r, words, unnest(range(1, len(words) + 1)) as i from document) "
+        f"where words[i : i + {len(p.split()) - 1}] = {p.split()}"
+        for p, label in licenses.PHRASES.items()
+    )
+    templates = " union all ".join(
+        f"select r, '{label}' as label from document where regexp_matches({spaced}, '(^| ){licenses.pattern(t)}')"
+        for label, t in licenses.TEMPLATES.items()
+    )
+    return f"""
+        with document as (
+            select doc_id, row_number() over () as r, coalesce(regexp_extract_all(
+                translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) as words
+            from documents),
+        phrase as ({phrases}),
+        template as ({templates}),
+        base as (select r, count(*) as n_base, min(place) as first_word, max(place) as last_word,
+            array_to_string(list_sort(list(distinct label)), ',') as base_labels from phrase group by r),
+        every as (select r, array_to_string(list_sort(list(distinct label)), ',') as labels
+            from (select r, label from phrase union all select r, label from template) group by r),
+        accepted as (select distinct r, true as yes from template)
+        select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+            coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+            cast(case when yes then 1.0 when n_base > 0 then 0.5 else 0.0 end as double) as score
+        from document left join base using (r) left join every using (r) left join accepted using (r)
+    """
+
+
+def url_sql() -> str:
+    """Rules from the longest to the shortest, then membership in the list."""
+    fits = [
+        (kind, h + p, f"(host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}')")
+        for kind, h, p in sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    ]
+    name = " ".join(f"when {fit} then '{rule}'" for _, rule, fit in fits)
+    verdict = " ".join(f"when {fit} then '{kind}'" for kind, _, fit in fits)
+    return f"""
+        with page as (
+            select page_id, url,
+                translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') as host,
+                coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path
+            from pages),
+        listed as (select distinct host, path from page where regexp_matches(url, '[?&]ref='))
+        select page_id, host, path, case {name} end as rule,
+            case {verdict} when l.host is not null then 'block' else 'allow' end as verdict
+        from page left join listed l using (host, path)
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op4_license_scan": license_sql(),
+    "op6_url_filter": url_sql(),
     "op3_decontamination": """
         with item as (
             select cast(item_id as varchar) as item,
