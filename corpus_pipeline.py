@@ -1,30 +1,70 @@
-"""A training corpus from raw documents."""
+"""A training corpus from raw documents: filtered, deduplicated, decontaminated and tokenized.
+
+Every stage works on all rows that the one before kept, and its decisions take effect. All stages but the last return
+the columns of ``documents``; the last returns a row per document that is left.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from distributary.llm import bpe
+from distributary.llm import bpe, decontaminate, near_dup, quality, substrings
 from distributary.llm.queries import TOKENIZER
 from distributary.llm.shared import read_table, written
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SHINGLE = 5
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the counts and the perplexity bands."""
+    return quality.good_documents(docs.select(*COLUMNS))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group of near duplicates; equal rows of it are kept as they are."""
+    judged = near_dup.near_duplicates(docs, SHINGLE)
+    first = judged.filter("kept").select("doc_id").distinct()
+    named = docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
+    return named.unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stood in an earlier document; ``n_chars`` follows the text."""
+    left = substrings.without_repeats(docs.select(*COLUMNS))
+    shorter = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", shorter).select(*COLUMNS)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate.clean_documents(docs.select(*COLUMNS), read_table(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token digests of every document left."""
+    """Number and digest of the tokens of every document, and the digest of the text they decode to."""
     return bpe.token_digests(docs, TOKENIZER)
 
 
-STAGES: list[tuple[str, Stage]] = [("bpe", tokens)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", one_of_each),
+    ("substring_dedup", without_repeats),
+    ("decontamination", decontaminated),
+    ("bpe", tokens),
+]
 
-# Token ids cannot be computed in SQL.
+# SQL can express neither the perplexity bands nor the token ids.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again before the next."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

@@ -20,14 +20,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
 from distributary.llm.shared import arrow_schema
-from distributary.llm.text import batch_of
+from distributary.llm.text import Texts, batch_of, range_hashes, texts_of
 
 # Fixed values of the byte-level tokenizer format: the pattern that cuts words, and the bytes that stand for themselves.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -39,14 +38,78 @@ CACHED_LENGTH = 64
 TOGETHER = 48
 NEVER = np.iinfo(np.int64).max
 
-# A single space between two other characters always starts a word, so a text may be cut there.
-ADJACENT_SPACES = re.compile(r"\s\s|\A\s|\s\Z")
-CUT = re.compile(r"(?<=\S) (?=\S)")
+SPACE_BYTES = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
+# First bytes of the characters beyond ASCII that are white space.
+SPACE_LEADS = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+
+
+def piece_starts(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces start: at each text, and at single spaces between characters that are no white space.
+
+    A word never holds such a space but as its first character, so pieces can be encoded each for itself. Characters
+    that share their first byte with white space beyond ASCII are taken for white space, which only makes pieces longer.
+    Also says which pieces have such a space on both sides.
+    """
+    data, offsets = texts.data, texts.offsets
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    space, lead = SPACE_BYTES[data], SPACE_LEADS[data]
+    cut = data == 0x20
+    cut[-1] = False
+    cut[:-1] &= ~(space[1:] | lead[1:])
+    cut[1:] &= ~space[:-1]
+    cut[2:] &= ~(lead[:-2] & (data[:-2] == 0xC2))
+    cut[3:] &= ~(lead[:-3] & (data[:-3] != 0xC2))
+    first = np.unique(offsets[:-1][np.diff(offsets) > 0])
+    cut[first] = False
+    cut[np.minimum(offsets[1:], n) - 1] = False
+    inner = np.flatnonzero(cut)
+    starts = np.sort(np.concatenate([first, inner]))
+    ends = np.append(starts[1:], n)
+    return starts, cut[starts] & (cut[np.minimum(ends, n - 1)] & (ends < n))
 
 
-def pieces(text: str) -> list[str]:
-    """Cuts a text before such spaces; all but the first piece have lost their leading space."""
-    return CUT.split(text) if ADJACENT_SPACES.search(text) else text.split(" ")
+class PieceCache:
+    """Token ids of texts, from those of their distinct pieces; short pieces stay known while a worker lives."""
+
+    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[bytes]], dtype: type) -> None:
+        self.encode, self.dtype = encode, np.dtype(dtype)
+        self.known: dict[int, bytes] = {}
+
+    def texts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a chunk, and where those of each text start and end."""
+        starts, inner = piece_starts(texts)
+        if not len(starts):
+            return np.zeros(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
+        ends = np.append(starts[1:], len(texts.data))
+        hashes = range_hashes(texts.data, starts, ends)
+        distinct, at, place = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) > CACHED_PIECES:
+            self.known.clear()
+        keys = distinct.tolist()
+        found = [self.known.get(k) for k in keys]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        raw = texts.data.tobytes()
+        for i in range(0, len(new), 20_000):
+            some = new[i : i + 20_000]
+            parts = [raw[a:b] for a, b in zip(starts[at[some]].tolist(), ends[at[some]].tolist(), strict=True)]
+            for j, part, ids in zip(some, parts, self.encode(parts, inner[at[some]]), strict=True):
+                found[j] = ids
+                if len(part) <= CACHED_LENGTH:
+                    self.known[keys[j]] = ids
+        flat = np.frombuffer(b"".join(found), dtype=self.dtype)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.dtype.itemsize
+        begins = np.cumsum(sizes) - sizes
+        lengths = sizes[place]
+        after = np.cumsum(lengths)
+        ids = flat[np.repeat(begins[place] - (after - lengths), lengths) + np.arange(after[-1])]
+        pieces = np.searchsorted(starts, texts.offsets)
+        return ids, np.concatenate([[0], after])[pieces]
+
+    def each(self, texts: Texts) -> list[np.ndarray]:
+        ids, bounds = self.texts(texts)
+        return np.split(ids, bounds[1:-1])
 
 
 def newer_letters() -> dict[int, str]:
@@ -61,45 +124,6 @@ def newer_letters() -> dict[int, str]:
     return found
 
 
-class PieceCache:
-    """Token ids of pieces, kept while a worker lives; bounded, and only short pieces are kept."""
-
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], dtype: type) -> None:
-        self.encode, self.dtype = encode, np.dtype(dtype)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def add(self, parts: Iterable[str], known: dict[str, bytes], lead: str) -> dict[str, bytes]:
-        """Ids of parts that are not known yet; long ones are only returned."""
-        new = [p for p in dict.fromkeys(parts) if p not in known]
-        found = {}
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            found.update(zip(some, (x.tobytes() for x in self.encode([lead + p for p in some])), strict=True))
-        return found
-
-    def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text."""
-        if len(self.first) + len(self.later) > CACHED_PIECES:
-            self.first.clear()
-            self.later.clear()
-        cut = [pieces(t) for t in texts]
-        first = self.add((c[0] for c in cut), self.first, "")
-        later = self.add((p for c in cut for p in c[1:]), self.later, " ")
-        for known, found in ((self.first, first), (self.later, later)):
-            known.update((k, v) for k, v in found.items() if len(k) <= CACHED_LENGTH)
-        long_first = {k: v for k, v in first.items() if len(k) > CACHED_LENGTH}
-        long_later = {k: v for k, v in later.items() if len(k) > CACHED_LENGTH}
-        for c in cut:
-            head = self.first.get(c[0])
-            head = long_first[c[0]] if head is None else head
-            try:
-                rest = b"".join([self.later[p] for p in c[1:]])
-            except KeyError:
-                rest = b"".join([self.later[p] if p in self.later else long_later[p] for p in c[1:]])
-            yield np.frombuffer(head + rest, dtype=self.dtype)
-
-
 class Vocabulary:
     """Tokens, merges and the tables that the check of adjacent tokens needs."""
 
@@ -281,6 +305,9 @@ class Vocabulary:
         ends = [m.end() for m in self.pattern.finditer(part.translate(self.newer))]
         return [part[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
+    def encode_raw(self, parts: list[bytes], inner: np.ndarray) -> list[bytes]:
+        return [ids.tobytes() for ids in self.encode_pieces([p.decode() for p in parts])]
+
     def encode_pieces(self, parts: list[str]) -> list[np.ndarray]:
         """Ids of pieces of text: special tokens first, then words by the pattern."""
         cut: list[list[str | int]] = []
@@ -315,20 +342,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceCache:
-    return PieceCache(vocabulary(path).encode_pieces, np.int32)
-
-
-def in_slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of a batch with their texts, of bounded size."""
-    texts = batch.column(column)
-    sizes = np.cumsum(np.nan_to_num(np.asarray(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False), float)))
-    first = 0
-    while first < len(batch):
-        done = sizes[first - 1] if first else 0
-        last = min(max(int(np.searchsorted(sizes, done + size, side="right")), first + 1), len(batch))
-        part = batch.slice(first, last - first)
-        yield part, [t or "" for t in part.column(column).to_pylist()]
-        first = last
+    return PieceCache(vocabulary(path).encode_raw, np.int32)
 
 
 def encode(frame: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -339,11 +353,10 @@ def encode(frame: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = encoder(path)
         for batch in batches:
-            for part, texts in in_slices(batch, text):
-                found = list(cache.texts(texts))
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                values = np.concatenate([np.zeros(0, np.int32), *found])
-                arrays = [*part.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
+            for texts in texts_of(batch.column(text)):
+                part = batch.slice(texts.first, len(texts))
+                found, bounds = cache.texts(texts)
+                arrays = [*part.columns, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(found))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, ids])
 
     return frame.mapInArrow(run, schema)
@@ -374,12 +387,13 @@ def token_digests(documents: DataFrame, path: str) -> DataFrame:
         cache, words = encoder(path), vocabulary(path)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
-            for part, texts in in_slices(batch, "text"):
+            for texts in texts_of(batch.column("text")):
                 counts, digests, decoded = [], [], []
-                for ids in map(np.ndarray.tolist, cache.texts(texts)):
+                for ids in map(np.ndarray.tolist, cache.each(texts)):
                     counts.append(len(ids))
                     digests.append(sha(b",".join([words.decimal[i] for i in ids])))
                     decoded.append(sha(words.decode(ids).encode()))
-                yield batch_of(schema, [part.column("doc_id"), counts, digests, decoded])
+                ids = batch.column("doc_id").slice(texts.first, len(texts))
+                yield batch_of(schema, [ids, counts, digests, decoded])
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, DIGESTS)

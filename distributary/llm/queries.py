@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, decontaminate, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
+from distributary.llm import bpe, decontaminate, language, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(*(read_table(spark, sf_dir, name) for name in ("pages", "documents")))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(read_table(spark, sf_dir, "pages"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_license_scan": op4_license_scan,
+    "op5_language_id": op5_language_id,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe_round_trip": op8_bpe_round_trip,

@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from distributary.llm.shared import arrow_schema
-from distributary.llm.text import SPACED, U64, Texts, batch_of, covered, gram_hashes, texts_of, words_of
+from distributary.llm.text import SPACED, U64, Texts, batch_of, covered, gram_hashes, spread_bits, texts_of, words_of
 
 WINDOW = 13
 GROUP_SUFFIXES = 2_000_000
 
 COUNTS = "prefix long, n long, first_doc long"
 PARTS = "group_id long, hashes binary, places binary"
+BUCKETS = "bucket long, packed binary"
 HITS = "doc_id long, tag long, at binary"
 
 Hot = list[tuple[np.ndarray, np.ndarray]]
@@ -79,8 +80,11 @@ def numbered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return result, ids
 
 
-def prefix_counts(documents: DataFrame, window: int, hot: Hot) -> DataFrame:
-    """Suffixes per prefix, one word longer than ``hot``, of the suffixes whose shorter prefixes are all hot."""
+def prefix_counts(documents: DataFrame, window: int, hot: Hot, least: int) -> DataFrame:
+    """Suffixes per prefix, one word longer than ``hot``, of the suffixes whose shorter prefixes are all hot.
+
+    A task leaves out prefixes that it has met fewer than ``least`` times, summing them up under no prefix.
+    """
     schema, depth = arrow_schema(COUNTS), len(hot) + 1
 
     def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
@@ -111,30 +115,32 @@ def prefix_counts(documents: DataFrame, window: int, hot: Hot) -> DataFrame:
                         yield batch_of(schema, [keys.view(np.int64), n, first])
         if parts:
             keys, n, first = merged(parts)
-            yield batch_of(schema, [keys.view(np.int64), n, first])
+            few = n < least
+            if few.any():
+                yield batch_of(schema, [[None], [int(n[few].sum())], [None]])
+            yield batch_of(schema, [keys[~few].view(np.int64), n[~few], first[~few]])
 
     counts = documents.select("doc_id", "text").mapInArrow(run, COUNTS)
     return counts.groupBy("prefix").agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc"))
 
 
 def hot_prefixes(documents: DataFrame, window: int, group_suffixes: int) -> tuple[Hot, int]:
-    """Prefixes to be made longer, by length, and the number of suffixes. There are at most (suffixes / limit) each."""
+    """Prefixes to be made longer, by length, and the number of suffixes. There are at most (suffixes / limit) each.
+
+    Counts only balance the groups, so a task may keep a prefix to itself that is rare in it; what all tasks keep of
+    one prefix stays below the limit. At full depth all are counted, as the first document is needed.
+    """
     hot: Hot = []
     total, limit = 0, max(1, group_suffixes // 4)
+    least = max(1, limit // documents.rdd.getNumPartitions())
     for depth in range(1, window + 1):
-        counts = prefix_counts(documents, window, hot)
-        if depth == 1:
-            # One pass gives both: prefixes over the limit, and the rest summed up.
-            key = F.when(F.col("n") > limit, F.col("prefix"))
-            counts = counts.groupBy(key.alias("prefix")).agg(
-                F.sum("n").alias("n"), F.min("first_doc").alias("first_doc")
-            )
-        else:
-            counts = counts.filter(F.col("n") > limit)
-        rows = counts.collect()
+        counts = prefix_counts(documents, window, hot, least if depth < window else 1)
+        # One job gives both: the prefixes over the limit, and the rest summed up.
+        key = F.when(F.col("n") > limit, F.col("prefix"))
+        rows = counts.groupBy(key.alias("prefix")).agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc")).collect()
         if depth == 1:
             total = sum(r["n"] or 0 for r in rows)
-            rows = [r for r in rows if r["prefix"] is not None]
+        rows = [r for r in rows if r["prefix"] is not None]
         if not rows:
             break
         keys = np.array([r["prefix"] for r in rows], dtype=np.int64).view(U64)
@@ -216,9 +222,16 @@ def dealt_suffixes(documents: DataFrame, window: int, hot: Hot, groups: int) ->
     return documents.select("doc_id", "text", "tag").mapInArrow(run, PARTS)
 
 
-def group_hits(table: pa.Table) -> pa.Table:
-    """Repeats of one group: suffixes that meet in a node at full depth with one of a smaller document."""
-    schema = arrow_schema(HITS)
+def bucket_of(doc: np.ndarray, buckets: int) -> np.ndarray:
+    return (spread_bits(doc.view(U64)) % U64(buckets)).astype(np.int64)
+
+
+def group_hits(table: pa.Table, buckets: int) -> pa.Table:
+    """Repeats of one group: suffixes that meet in a node at full depth with one of a smaller document.
+
+    They are packed by buckets of documents, so that a bucket gets few rows from each group.
+    """
+    schema = arrow_schema(BUCKETS)
     hashes, ids, tags, places, hits = [], [], [], [], []
     for hashed, packed in zip(table.column("hashes").to_pylist(), table.column("places").to_pylist(), strict=True):
         part = unpack(packed)
@@ -236,15 +249,45 @@ def group_hits(table: pa.Table) -> pa.Table:
         first = np.maximum.accumulate(np.where(new, np.arange(len(node)), 0))
         chosen = order[sorted_doc > sorted_doc[first]]
         hits.append((doc[chosen], np.concatenate(tags)[chosen], np.concatenate(places)[chosen]))
-    if not hits or not sum(len(h[0]) for h in hits):
-        return schema.empty_table()
     doc, tag, place = (np.concatenate(x) for x in zip(*hits, strict=True))
+    bucket = bucket_of(doc, buckets)
+    order = np.lexsort((place, tag, doc, bucket))
+    doc, tag, place, bucket = doc[order], tag[order], place[order], bucket[order]
+    rows = []
+    for part in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(bucket)) + 1):
+        if len(part):
+            own_doc, own_tag = doc[part], tag[part]
+            row = np.cumsum(np.concatenate([[0], (own_doc[1:] != own_doc[:-1]) | (own_tag[1:] != own_tag[:-1])]))
+            _, at = np.unique(row, return_index=True)
+            rows.append((int(bucket[part[0]]), pack(own_doc[at], own_tag[at], row, place[part])))
+    return pa.table(batch_of(schema, list(zip(*rows, strict=True)) if rows else [[], []]).to_pydict(), schema=schema)
+
+
+def bucket_hits(table: pa.Table) -> pa.Table:
+    """One row per document with all its hits."""
+    schema = arrow_schema(HITS)
+    doc, tag, place = (np.concatenate(x) for x in zip(*map(unpack, table.column("packed").to_pylist()), strict=True))
     order = np.lexsort((place, tag, doc))
     doc, tag, place = doc[order], tag[order], place[order].astype("<u4")
     starts = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])]))
     offsets = (np.append(starts, len(doc)) * 4).astype(np.int32)
     at = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(place)])
-    return pa.table([pa.array(doc[starts]), pa.array(tag[starts].astype(np.int64)), at.cast(schema.field("at").type)], schema=schema)
+    return pa.table([pa.array(doc[starts]), pa.array(tag[starts].astype(np.int64)), at], schema=schema)
+
+
+def compressed(documents: DataFrame) -> DataFrame:
+    """``text`` as ``packed_text``: whole texts take less room in the shuffle that brings the hits to them."""
+    names = [c for c in documents.columns if c != "text"]
+    schema = documents.select(*names).withColumn("packed_text", F.lit(None).cast("binary")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = [squeeze.compress(t.as_buffer()) if t.is_valid else None for t in batch.column("text")]
+            columns = [*(batch.column(c) for c in names), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "packed_text"])
+
+    return documents.mapInArrow(run, schema)
 
 
 def tagged(documents: DataFrame) -> DataFrame:
@@ -257,17 +300,18 @@ def tagged(documents: DataFrame) -> DataFrame:
 
 
 def repeats(documents: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
-    """Per ``doc_id`` and ``tag``, the places (arrays of 32-bit integers) where repeated windows start."""
+    """Per ``doc_id`` and ``tag``, the places (32-bit integers) where repeated windows start."""
     documents = tagged(documents)
     hot, total = hot_prefixes(documents, window, group_suffixes)
     groups = max(1, -(-total // group_suffixes))
-    found = dealt_suffixes(documents, window, hot, groups).groupBy("group_id").applyInArrow(group_hits, HITS)
-    return found.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("at"))
+    by_group = dealt_suffixes(documents, window, hot, groups).groupBy("group_id")
+    found = by_group.applyInArrow(lambda table: group_hits(table, groups), BUCKETS)
+    return found.groupBy("bucket").applyInArrow(bucket_hits, HITS)
 
 
-def removal(words: int, at: list[bytes] | None, window: int) -> np.ndarray:
+def removal(words: int, at: bytes | None, window: int) -> np.ndarray:
     """Marks the words under repeated windows; marked runs are the maximal repeats."""
-    starts = np.concatenate([np.frombuffer(x, dtype="<u4") for x in at]).astype(np.int64) if at else np.zeros(0, np.int64)
+    starts = np.frombuffer(at or b"", dtype="<u4").astype(np.int64)
     return covered(starts, window, words)
 
 
@@ -284,12 +328,12 @@ def without_repeats(
     Texts that lose nothing stay as they are, unless ``as_text`` is false: then ``text`` becomes ``kept_sha256``, the
     digest of the joined words of every text.
     """
-    added = ["n_words", "n_removed", "removed_spans", "kept_sha256", "tag", "at"]
+    added = ["n_words", "n_removed", "removed_spans", "kept_sha256", "tag", "at", "packed_text"]
     documents = documents.drop(*added)
     found = repeats(documents, window, group_suffixes)
-    joined = tagged(documents).join(found, ["doc_id", "tag"], "left").drop("tag")
+    joined = compressed(tagged(documents)).join(found, ["doc_id", "tag"], "left").drop("tag")
     plain = [c for c in documents.columns if as_text or c != "text"]
-    target = joined.select(*plain).withColumns({
+    target = tagged(documents).select(*plain).withColumns({
         "n_words": F.lit(0).cast("long"),
         "n_removed": F.lit(0).cast("long"),
         "removed_spans": F.array(F.struct(F.lit(0).alias("first"), F.lit(0).alias("after"))),
@@ -298,11 +342,11 @@ def without_repeats(
     schema = target.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.name for f in schema.fields]
+        names, expand = [f.name for f in schema.fields], zstandard.ZstdDecompressor()
         for batch in batches:
             counts, removed, spans, texts = [], [], [], []
-            for text, at in zip(batch.column("text"), batch.column("at").to_pylist(), strict=True):
-                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+            for packed, at in zip(batch.column("packed_text").to_pylist(), batch.column("at").to_pylist(), strict=True):
+                raw = b"" if packed is None else expand.decompress(packed)
                 words = raw.split()
                 marked = removal(len(words), at, window)
                 counts.append(len(words))
@@ -310,10 +354,10 @@ def without_repeats(
                 spans.append([{"first": a, "after": b} for a, b in spans_of(marked)])
                 kept = [w for w, gone in zip(words, marked.tolist(), strict=True) if not gone] if removed[-1] else words
                 if as_text:
-                    texts.append(b" ".join(kept).decode() if removed[-1] else text.as_py())
+                    texts.append(None if packed is None else (b" ".join(kept) if removed[-1] else raw).decode())
                 else:
                     texts.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            columns = {c: batch.column(c) for c in plain} | {"n_words": counts, "n_removed": removed, "removed_spans": spans}
+            columns = {c: batch.column(c) for c in plain if c != "text"} | {"n_words": counts, "n_removed": removed, "removed_spans": spans}
             columns |= {"text": texts} if as_text else {"kept_sha256": texts}
             kinds = {"removed_spans": pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))}
             kinds |= {"n_words": pa.int64(), "n_removed": pa.int64(), "text": pa.string(), "kept_sha256": pa.string()}

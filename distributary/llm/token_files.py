@@ -20,15 +20,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs  # noqa: F401
+import pyarrow.compute
+import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from distributary.llm.bpe import PieceCache, in_slices
+from distributary.llm.bpe import PieceCache
 from distributary.llm.shared import arrow_schema, new_folder, written
-from distributary.llm.text import batch_of
+from distributary.llm.text import batch_of, texts_of
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 128
@@ -45,10 +46,26 @@ def library_encoder(path: str) -> PieceCache:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
     tokenizer.no_truncation()
-    dtype = id_type(tokenizer.get_vocab_size(with_added_tokens=True))
-
-    def run(parts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=dtype) for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    size = tokenizer.get_vocab_size(with_added_tokens=True)
+    dtype, added = id_type(size), {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    token_bytes = lambda token: len(token.encode()) if token in added else len(token)  # noqa: E731  a character a byte
+
+    lengths = np.array([token_bytes(tokenizer.id_to_token(i)) for i in range(size)])
+
+    def run(parts: list[bytes], inner: np.ndarray) -> list[bytes]:
+        found = [b""] * len(parts)
+        alone = np.flatnonzero(~inner).tolist()
+        texts = [parts[i].decode() for i in alone]
+        for i, e in zip(alone, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            found[i] = np.array(e.ids, dtype=dtype).tobytes()
+        # Pieces with a cut on both sides are encoded as one text, and told apart by the bytes of their tokens.
+        joined = np.flatnonzero(inner)
+        text = b"".join([parts[i] for i in joined.tolist()]).decode()
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=dtype)
+        ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum([len(parts[i]) for i in joined.tolist()])) + 1
+        for i, some in zip(joined.tolist(), np.split(ids, ends[:-1]) if len(joined) else [], strict=True):
+            found[i] = some.tobytes()
+        return found
 
     return PieceCache(run, dtype)
 
@@ -117,9 +134,10 @@ def write_token_files(
         end = np.array([END_ID], dtype=cache.dtype)
         part, place, file = TaskContext.get().partitionId(), 0, None
         for batch in batches:
-            for some, texts in in_slices(batch, "text"):
+            for texts in texts_of(batch.column("text")):
                 rows = []
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), cache.texts(texts), strict=True):
+                doc_ids = batch.column("doc_id").slice(texts.first, len(texts)).to_pylist()
+                for doc_id, ids in zip(doc_ids, cache.each(texts), strict=True):
                     if file is None:
                         file = SequenceFile(folder, f"{part:06d}-{uuid.uuid4().hex}.arrow", cache.dtype, length)
                     rows.append((part, place, file.name, doc_id, file.size, len(ids) + 1))
