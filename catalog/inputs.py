@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from distributary.functions.event_layout import LINE_FIELDS
 from distributary.functions.schema_uri import KEY_COLUMNS, URI_PREFIX
-from distributary.operators.shred import Registry
+from distributary.operators.shred import INLINE_MODE, Registry
 from distributary.settings import Settings, configure
 
 ATOMIC_SCHEMA = f"{URI_PREFIX}com.acme/atomic/jsonschema/1-0-0"
@@ -124,7 +124,7 @@ def registry(spark: SparkSession) -> Registry:
     """Registry of the event queries, prepared once per session."""
     key = id(spark.sparkContext)
     if key not in _registries:
-        _registries[key] = Registry.from_schemas(schemas(configure(spark)))
+        _registries[key] = Registry.from_schemas(schemas(configure(spark)), mode=INLINE_MODE)
     return _registries[key]
 
 

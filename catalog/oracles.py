@@ -444,8 +444,8 @@ select {OUTCOME} as outcome, count(*) as n,
 from events group by 1"""
 
 ORACLES["discard_counts"] = f"""
-select time_bucket(interval '30 seconds', {CLOCK}) as period_start, count(*) as discarded
-from events where {BAD} and {CASE} <> 10 group by 1"""
+select case when {CASE} <> 10 then time_bucket(interval '30 seconds', {CLOCK}) end as period_start, count(*) as discarded
+from events where {BAD} group by 1"""
 
 ORACLES["pii_projection"] = f"""
 select repeat(md5('i' || user_id), 4) as user_ipaddress, repeat(md5('d' || user_id), 4) as domain_userid,

@@ -40,10 +40,10 @@ from distributary.operators import badrows, parse, state
 from distributary.operators import registry as schema_ops
 from distributary.operators.atomic import choose_errors, shred_atomic, shred_atomic_json
 from distributary.operators.entities import add_metadata, explode_entities
-from distributary.operators.shred import shred_joined
+from distributary.operators.shred import Registry, shred_joined
 from distributary.plans.shredding import (
+    BAD_ROWS,
     bad_records,
-    entity_rows,
     event_rows,
     shred,
     table_rows,
@@ -638,7 +638,8 @@ def entity_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_cells_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same engine with the registry joined instead of sent along."""
     parsed = parsed_lines(spark, sf_dir).where(F.size("errors") == 0)
-    joined = shred_joined(parsed, registry(spark), True, ATOMIC_SCHEMA)
+    large = Registry.from_schemas(registry(spark).schemas, folder=work_dir(spark))
+    joined = shred_joined(parsed, large, True, ATOMIC_SCHEMA)
     flat = joined.select("atomic.event_id", F.inline("entities"))
     return flat.groupBy("table_name").agg(
         F.count("*").alias("n"),
@@ -704,7 +705,7 @@ def discard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = bad_records(records(spark, sf_dir)).select(
         line_field(ETL_TSTAMP).try_cast("timestamp_ntz").alias("ts")
     )
-    return badrows.discard_counts(bad.where("ts is not null"), "ts")
+    return badrows.discard_counts(bad, "ts")
 
 
 @query
@@ -721,10 +722,8 @@ def event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def shred_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: rows per target table after shredding every event."""
-    rows = records(spark, sf_dir)
-    entities = entity_rows(rows).select("table_name")
-    events = event_rows(rows).select(F.lit(EVENTS_TABLE).alias("table_name"))
-    return events.unionAll(entities).groupBy("table_name").agg(F.count("*").alias("n"))
+    rows = table_rows(records(spark, sf_dir), SETTINGS).where(F.col("table_name") != BAD_ROWS)
+    return rows.groupBy("table_name").agg(F.count("*").alias("n"))
 
 
 # Tables and streams

@@ -48,10 +48,14 @@ def parse_instant(text: Column) -> Column:
 
 
 def whole_number(value: Column, kind: Column, spark_type: str) -> Column:
-    """Text of a number without fraction that fits the type; ``1.0`` and ``1e3`` are whole."""
+    """Text of a number without fraction that fits the type; ``1.0`` and ``1e3`` are whole.
+
+    A number with an exponent is a double here. Beyond 2^53 it may not be what was written, so it does not fit.
+    """
     text = plain_text(value)
     double = text.try_cast("double")
-    from_double = F.when(double == F.floor(double), double.try_cast("decimal(38,0)").cast("string"))
+    exact = (double == F.floor(double)) & (F.abs(double) < 2**53)
+    from_double = F.when(exact, double.try_cast("decimal(38,0)").cast("string"))
     digits = F.when((kind == "BIGINT") | kind.rlike(r"^DECIMAL\(\d+,0\)$"), text).when(
         kind.isin("DOUBLE", "FLOAT"), from_double
     )

@@ -6,6 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# How records that are not UTF-8 are treated: bytes replaced, or the record refused.
+REPLACE, STRICT = "replace", "strict"
+
+# Fixed value: message of a refused record.
+NOT_UTF8 = "Cannot deserialize payload as UTF-8"
+
+
 def decode_payload(record: Column) -> Column:
     """Text of a record; malformed bytes become replacement characters."""
     return F.make_valid_utf8(record.cast("string"))

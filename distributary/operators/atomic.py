@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from types import MappingProxyType
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +24,18 @@ from distributary.functions.json_values import (
 )
 
 
-def cut(text: Column) -> Column:
-    """Strings of an event are cut to one limit, whatever the width of their column."""
-    return F.substring(text, 1, ATOMIC_STRING_LIMIT)
+NO_LENGTHS: Mapping[str, int] = MappingProxyType({})
+
+
+def kept_length(name: str, lengths: Mapping[str, int]) -> int:
+    """Characters kept of a text of the event: by column where told, else one limit for all."""
+    return lengths.get(name, ATOMIC_STRING_LIMIT)
 
 
-def shred_atomic(atomic: str) -> Column:
+def shred_atomic(atomic: str, lengths: Mapping[str, int] = NO_LENGTHS) -> Column:
     """Row of the events table, from the column with the typed fields of a parsed line."""
     cells = [
-        f"substring({atomic}.{f.name}, 1, {ATOMIC_STRING_LIMIT}) as {f.name}"
+        f"substring({atomic}.{f.name}, 1, {kept_length(f.name, lengths)}) as {f.name}"
         if f.kind in ("VARCHAR", "CHAR")
         else f"{atomic}.{f.name} as {f.name}"
         for f in ATOMIC_FIELDS
@@ -37,7 +43,9 @@ def shred_atomic(atomic: str) -> Column:
     return F.expr(f"struct({', '.join(cells)})")
 
 
-def shred_atomic_json(events: DataFrame, document: str, atomic_schema: str) -> DataFrame:
+def shred_atomic_json(
+    events: DataFrame, document: str, atomic_schema: str, lengths: Mapping[str, int] = NO_LENGTHS
+) -> DataFrame:
     """The same row from an event held as a JSON object (VARIANT), with the errors of all its fields.
 
     Only the id and the times are checked here: other values pass by their JSON kind, lists and objects
@@ -46,7 +54,7 @@ def shred_atomic_json(events: DataFrame, document: str, atomic_schema: str) -> D
     cells, checks = [], []
     for field in ATOMIC_FIELDS:
         value = get_path(F.col(document), [field.name])
-        cell, expected = json_cell(value, field)
+        cell, expected = json_cell(value, field, kept_length(field.name, lengths))
         cells.append(cell.alias(field.name))
         if expected is not None:
             entry = error(
@@ -62,7 +70,7 @@ def shred_atomic_json(events: DataFrame, document: str, atomic_schema: str) -> D
     )
 
 
-def json_cell(value: Column, field: Field) -> tuple[Column, str | None]:
+def json_cell(value: Column, field: Field, limit: int) -> tuple[Column, str | None]:
     """Cell of one field, and the name of the form it must have where that is checked."""
     kind, text = kind_of(value), plain_text(value)
     if field.kind == "UUID":
@@ -73,7 +81,7 @@ def json_cell(value: Column, field: Field) -> tuple[Column, str | None]:
         return F.when(kind == "BOOLEAN", text.try_cast("boolean")), None
     if field.kind in ("INTEGER", "DOUBLE"):
         return F.when(is_number(kind), text.try_cast(field.spark_type)), None
-    return F.when(~kind.rlike("^(ARRAY|OBJECT)"), cut(text)), None
+    return F.when(~kind.rlike("^(ARRAY|OBJECT)"), F.substring(text, 1, limit)), None
 
 
 def choose_errors(entity_errors: Column, atomic_errors: Column) -> Column:

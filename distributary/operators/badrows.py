@@ -7,7 +7,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from distributary.functions.payload import base64_line
+from distributary.functions.payload import NOT_UTF8, base64_line
 
 if TYPE_CHECKING:
     from distributary.settings import Settings
@@ -42,15 +42,21 @@ def undecodable(records: DataFrame, column: str, purpose_is_enriched: bool) -> D
     text = F.col(column).cast("string")
     return records.where(~F.is_valid_utf8(text)).select(
         F.lit(kind).alias("kind"),
-        F.lit("Cannot deserialize payload as UTF-8").alias("message"),
+        F.lit(NOT_UTF8).alias("message"),
         base64_line(F.col(column)).alias("payload"),
     )
 
 
-def discard_counts(bad: DataFrame, time_column: str, period: str = "30 seconds") -> DataFrame:
-    """Bad rows per period; periods without any do not appear."""
+def period_start(time: Column, seconds: int) -> Column:
+    """Start of the period of a time; ``window`` would drop rows without one, this gives them NULL."""
+    at = F.unix_seconds(time.cast("timestamp"))
+    return F.timestamp_seconds(at - F.pmod(at, F.lit(seconds))).cast("timestamp_ntz")
+
+
+def discard_counts(bad: DataFrame, time_column: str, period_seconds: int = 30) -> DataFrame:
+    """Bad rows per period; periods without any do not appear. Rows without a time are one period of their own."""
     return (
-        bad.groupBy(F.window(time_column, period).alias("w"))
+        bad.groupBy(period_start(F.col(time_column), period_seconds).alias("period_start"))
         .agg(F.count("*").alias("discarded"))
-        .select(F.col("w.start").alias("period_start"), "discarded")
+        .select("period_start", "discarded")
     )

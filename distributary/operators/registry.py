@@ -26,6 +26,7 @@ from distributary.functions.schema_uri import (
     column_name,
     format_uri,
     key_struct,
+    table_name,
 )
 from distributary.sources.registry import with_validity
 
@@ -204,13 +205,38 @@ def added_columns(columns: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def invalid_groups(schemas: DataFrame) -> DataFrame:
-    """Groups that cannot be used because one of their documents is no schema: the first such key."""
-    return (
+# Fixed value: message about a document that is no schema.
+NO_SCHEMA = " cannot be parsed as JSON Schema"
+
+
+def invalid_groups(schemas: DataFrame, columns: DataFrame, origin: list[str]) -> DataFrame:
+    """Groups that cannot be used, and why (``problem``).
+
+    One of their documents is no schema; or two of their properties, or a property and one of the columns in
+    ``origin``, have one column name; or another group has the same table name. Names differ by more than case.
+    """
+    broken = (
         with_validity(schemas)
         .where("not valid")
         .groupBy(*GROUP_COLUMNS)
-        .agg(F.min_by(format_uri(key_struct()), version()).alias("invalid_uri"))
+        .agg(F.min_by(format_uri(key_struct()), version()).alias("uri"))
+        .select(*GROUP_COLUMNS, F.lit(0).alias("rank"), F.concat("uri", F.lit(NO_SCHEMA)).alias("problem"))
+    )
+    named = columns.groupBy(*GROUP_COLUMNS, F.lower("column").alias("lowered")).agg(F.count("*").alias("n"))
+    twice = named.where((F.col("n") > 1) | F.col("lowered").isin(origin)).groupBy(*GROUP_COLUMNS).agg(
+        F.format_string("column %s has several properties", F.min("lowered")).alias("problem")
+    )
+    twice = twice.select(*GROUP_COLUMNS, F.lit(1).alias("rank"), "problem")
+    groups = schemas.select(*GROUP_COLUMNS).distinct()
+    table = F.lower(table_name(F.struct(*GROUP_COLUMNS))).alias("table")
+    shared = groups.groupBy(table).agg(F.count("*").alias("n")).where("n > 1")
+    clash = groups.withColumn("table", table).join(shared, "table").select(
+        *GROUP_COLUMNS, F.lit(2).alias("rank"), F.format_string("table %s has several schemas", "table").alias("problem")
+    )
+    return (
+        broken.union(twice).union(clash)
+        .groupBy(*GROUP_COLUMNS)
+        .agg(F.min_by("problem", "rank").alias("problem"))
     )
 
 

@@ -2,12 +2,13 @@
 
 The columns of all tables travel with the plan as one constant map from model group to column list. Cells
 and errors of every entity are then plain expressions over the record's own row: no join, no shuffle,
-nothing to regroup, and a record stays whole. A registry too large for that is joined instead.
+nothing to regroup, and a record stays whole. A registry of any size can be joined instead.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -32,14 +33,16 @@ from distributary.operators.constraints import cells_violation, width_violation
 from distributary.operators.entities import route
 from distributary.operators.registry import column_table, invalid_groups
 
-# Most columns, over all tables, that are sent along with the plan; more are joined.
-MAX_INLINE_COLUMNS = 50_000
+# How shredding finds the columns of a group: by a join with the registry, of any size, or from a constant
+# that travels with the plan, for registries of a few megabytes.
+JOIN, INLINE_MODE = "join", "inline"
+MAX_INLINE_BYTES = 8 << 20
 
 # The events table has no place for the origin of an entity.
 NO_ORIGIN_COLUMNS = f'column "{META_FIELDS[0].name}" of relation "{EVENTS_TABLE}" does not exist'
 
 COLUMN = "struct<name:string,pointer:array<string>,type:string,length:int,nullable:boolean>"
-GROUP = f"struct<table_name:string,invalid_uri:string,columns:array<{COLUMN}>>"
+GROUP = f"struct<table_name:string,problem:string,columns:array<{COLUMN}>>"
 INLINE = (
     f"struct<groups:array<{GROUP}>,group_index:array<map<string,int>>,"
     f"uris:array<map<string,struct<key:{SCHEMA_KEY},group:int>>>>"
@@ -52,19 +55,36 @@ SHREDDED = (
 
 @dataclass(frozen=True)
 class Registry:
-    """Tables of a registry, as frames and, where small enough, as a constant of the plan."""
+    """Tables of a registry as frames, and as a constant of the plan (``inline``) or a folder for joins."""
 
     schemas: DataFrame
     columns: DataFrame
     invalid: DataFrame
     inline: str | None
+    folder: str | None = None
 
     @classmethod
-    def from_schemas(cls, schemas: DataFrame, max_inline: int = MAX_INLINE_COLUMNS) -> Registry:
-        """Prepare a registry; its tables are kept, every load asks for them again."""
+    def from_schemas(
+        cls,
+        schemas: DataFrame,
+        mode: str = JOIN,
+        folder: str | None = None,
+        max_bytes: int = MAX_INLINE_BYTES,
+    ) -> Registry:
+        """Prepare a registry; its tables are kept, every load asks for them again.
+
+        ``join`` needs a shared ``folder``, ``inline`` refuses a registry of more than ``max_bytes``. Both give the
+        same rows.
+        """
+        if mode not in (JOIN, INLINE_MODE):
+            raise ValueError(f"mode must be {JOIN} or {INLINE_MODE}")
+        if mode == JOIN and folder is None:
+            raise ValueError("a joined registry needs a folder that all executors share")
         schemas = schemas.persist()
         columns = column_table(schemas).persist()
-        invalid = invalid_groups(schemas)
+        invalid = invalid_groups(schemas, columns, [f.name for f in META_FIELDS])
+        if mode == JOIN:
+            return cls(schemas, columns, invalid, None, folder)
         group = group_key(F.struct(*GROUP_COLUMNS)).alias("group")
         versions = schemas.select(
             group, table_name(F.struct(*GROUP_COLUMNS)).alias("table_name"), *KEY_COLUMNS
@@ -78,12 +98,13 @@ class Registry:
             "length",
             "nullable",
         )
-        known = versions.limit(max_inline + 1).collect()
-        cells = described.limit(max_inline + 1).collect() if len(known) <= max_inline else []
-        if max(len(known), len(cells)) > max_inline:
-            return cls(schemas, columns, invalid, None)
-        spoiled = {r.group: r.invalid_uri for r in invalid.select(group, "invalid_uri").collect()}
-        return cls(schemas, columns, invalid, inline_tables(known, cells, spoiled))
+        size = sum(
+            frame.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0 for frame in (versions, described)
+        )
+        if size > max_bytes:
+            raise ValueError(f"a registry of {size} bytes is too large for the plan; use mode={JOIN!r}")
+        spoiled = {r.group: r.problem for r in invalid.select(group, "problem").collect()}
+        return cls(schemas, columns, invalid, inline_tables(versions.collect(), described.collect(), spoiled))
 
     def group_table(self) -> DataFrame:
         """One row per group with its columns in order."""
@@ -107,7 +128,7 @@ class Registry:
                 group_key(F.struct(*GROUP_COLUMNS)).alias("group"),
                 F.struct(
                     table_name(F.struct(*GROUP_COLUMNS)).alias("table_name"),
-                    "invalid_uri",
+                    "problem",
                     F.coalesce("columns", F.array()).alias("columns"),
                 )
                 .cast(GROUP)
@@ -124,7 +145,7 @@ def inline_tables(versions: list[Row], columns: list[Row], invalid: dict[str, st
     for row in sorted(versions, key=lambda r: r.group):
         if row.group not in index:
             index[row.group] = len(groups)
-            table = {"table_name": row.table_name, "invalid_uri": invalid.get(row.group)}
+            table = {"table_name": row.table_name, "problem": invalid.get(row.group)}
             groups.append(table | {"columns": []})
         key = {name: row[name] for name in KEY_COLUMNS}
         version = f"{row.model}-{row.revision}-{row.addition}"
@@ -218,7 +239,6 @@ def shred_entity(
         )
 
     criterion = F.concat(F.lit("No schemas found for "), group_key(key), F.lit("-*-*"))
-    invalid = F.concat(known["invalid_uri"], F.lit(" cannot be parsed as JSON Schema"))
     no_text = F.array().cast("array<string>")
     refusal = F.struct(
         schema.alias("schema"),
@@ -227,7 +247,7 @@ def shred_entity(
         no_text.alias("columns"),
         no_text.alias("cells"),
         F.when(known.isNull(), refused("SchemaListNotFound", criterion))
-        .otherwise(refused("InvalidSchema", invalid))
+        .otherwise(refused("InvalidSchema", known["problem"]))
         .alias("errors"),
         F.lit(None).cast("string").alias("violation"),
     )
@@ -235,7 +255,7 @@ def shred_entity(
         fields_of(entity["data"]),
         lambda fields: let(cells_of(fields), lambda cells: result(fields, cells)),
     )
-    usable = known.isNotNull() & known["invalid_uri"].isNull()
+    usable = known.isNotNull() & known["problem"].isNull()
     return F.when(usable, shredded).otherwise(refusal)
 
 
@@ -278,10 +298,14 @@ def shred_entities(
 def shred_joined(
     parsed: DataFrame, registry: Registry, meta: bool, atomic_schema: str, date_mode: str = "parse"
 ) -> DataFrame:
-    """The same by a join with the registry, which may have any size; two shuffles of the entities."""
+    """The same by a join with the registry, which may have any size; two shuffles of the entities.
+
+    Popular schemas are hot keys of the join; adaptive execution splits them on the side of the entities.
+    """
+    path = f"{registry.folder}/numbered/{uuid.uuid4().hex}"
     numbered = parsed.withColumn("row", F.monotonically_increasing_id())
-    if parsed.sparkSession.conf.get("spark.checkpoint.dir", None):
-        numbered = numbered.checkpoint()
+    numbered.write.parquet(path)  # numbers are fixed once written; computed twice they might differ
+    numbered = parsed.sparkSession.read.schema(numbered.schema).parquet(path)
     entities = numbered.select("row", F.posexplode("entities").alias("position", "entity"))
     keyed = entities.withColumn("key", parse_uri(F.col("entity.schema"))).withColumn(
         "group", group_key(F.col("key"))

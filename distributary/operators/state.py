@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from distributary.operators.registry import schemas_until
 
 MATCH, OUTDATED, MISSING = "Match", "Outdated", "Missing"
 
+# Most keys (six short fields each) that are sent to all tasks.
+BROADCAST_KEYS = 100_000
+
 # Messages about table comments.
 MISSING_COMMENT = "Iglu comment is missing in table %s; The table will be ignored"
 INVALID_COMMENT = "Comment on table %s (%s) is not valid Iglu URI (%s)"
@@ -25,8 +30,21 @@ INVALID_COMMENT = "Comment on table %s (%s) is not valid Iglu URI (%s)"
 def table_state(entities: DataFrame, state: DataFrame, atomic_schema: str) -> DataFrame:
     """Add ``table_state`` to rows with the six key columns.
 
-    ``state`` has one row per schema version that a table reflects. The events table always matches.
+    ``state`` has one row per schema version that a table reflects. The events table always matches. Only the
+    distinct keys meet the state; their results go back to the rows at hand without a shuffle of these, if
+    they are few (``BROADCAST_KEYS``), so a popular schema is no hot key.
     """
+    keys = key_states(entities.select(*KEY_COLUMNS).distinct(), state, atomic_schema)
+    keys = keys.persist()
+    few = keys.count() <= BROADCAST_KEYS
+    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"k.{c}")) for c in KEY_COLUMNS]
+    condition = reduce(lambda a, b: a & b, same)
+    joined = entities.alias("e").join(F.broadcast(keys).alias("k") if few else keys.alias("k"), condition, "left")
+    return joined.select("e.*", "k.table_state")
+
+
+def key_states(keys: DataFrame, state: DataFrame, atomic_schema: str) -> DataFrame:
+    """``table_state`` of distinct keys."""
     versions = state.select(*KEY_COLUMNS, F.lit(True).alias("version_known")).distinct()
     groups = state.select(*GROUP_COLUMNS, F.lit(True).alias("group_known")).distinct()
     atomic = parse_uri(F.lit(atomic_schema))
@@ -42,7 +60,7 @@ def table_state(entities: DataFrame, state: DataFrame, atomic_schema: str) -> Da
         .otherwise(MATCH)
     )
     return (
-        entities.join(groups, GROUP_COLUMNS, "left")
+        keys.join(groups, GROUP_COLUMNS, "left")
         .join(versions, KEY_COLUMNS, "left")
         .withColumn("table_state", result)
         .drop("group_known", "version_known")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from distributary.functions.errors import error, no_errors, settled
+from distributary.functions.payload import NOT_UTF8, REPLACE, STRICT, base64_line, decode_payload
 from distributary.functions.schema_uri import SCHEMA_KEY
 from distributary.operators.atomic import choose_errors, shred_atomic
 from distributary.operators.badrows import (
@@ -33,6 +34,8 @@ def shred(
     ``failure`` (kind and errors) is NULL for a record that can be loaded whole. A failed entity spoils
     its record, never another one, also where two records carry the same id.
     """
+    if settings.decoding == REPLACE:
+        lines = lines.withColumn(column, decode_payload(F.col(column)))
     parsed = parse(lines, settings.purpose, column)
     shredded = shred_entities(
         parsed, registry, settings.includes_meta, settings.atomic_schema, settings.date_mode
@@ -40,13 +43,15 @@ def shred(
     entity_errors = F.flatten(F.col("entities")["errors"])
     violation = first_violation(F.col("entities")["violation"])
     if settings.includes_meta:
-        shredded = shredded.withColumn("atomic", shred_atomic("atomic"))
+        shredded = shredded.withColumn("atomic", shred_atomic("atomic", settings.lengths))
         violation = F.coalesce(atomic_violation("atomic"), violation)
         entity_errors = choose_errors(entity_errors, no_errors())
     checked = shredded.withColumns({"entity_errors": entity_errors, "violation": violation})
-    return settled(
-        checked.withColumn("failure", failure(settings)).drop("errors", "entity_errors", "violation")
-    )
+    failed = checked.withColumn("failure", failure(settings))
+    if settings.decoding == STRICT:
+        raw = F.col("payload")
+        failed = failed.withColumn("payload", F.when(F.is_valid_utf8(raw), raw).otherwise(base64_line(raw.cast("binary"))))
+    return settled(failed.drop("errors", "entity_errors", "violation"))
 
 
 def failure(settings: Settings) -> Column:
@@ -62,8 +67,11 @@ def failure(settings: Settings) -> Column:
     def entry(kind: str, errors: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), errors.alias("errors"))
 
+    malformed = F.array(error("ParsingError", NOT_UTF8))
+    wrong_bytes = F.lit(settings.decoding == STRICT) & ~F.is_valid_utf8("payload")
     return (
-        F.when(F.size("errors") > 0, entry(kinds[0], F.col("errors")))
+        F.when(wrong_bytes, entry(kinds[0], malformed))
+        .when(F.size("errors") > 0, entry(kinds[0], F.col("errors")))
         .when(F.size("entity_errors") > 0, entry(kinds[1], F.col("entity_errors")))
         .when(F.col("violation").isNotNull(), entry(kinds[2], runtime))
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+from distributary.functions.payload import REPLACE, STRICT
 from distributary.operators.parse import ENRICHED, SELF_DESCRIBING
 
 NAME = "distributary"
@@ -18,11 +20,15 @@ class Settings:
 
     ``atomic_schema`` is the schema URI under which the tracker describes the event itself; entities with
     that URI belong to the events table. ``date_mode="reject"`` refuses every value of a DATE column.
+    ``decoding="strict"`` refuses records that are not UTF-8 instead of replacing their bytes. ``lengths`` tells
+    by column how many characters of a text of the event itself are kept, where it is not the common limit.
     """
 
     atomic_schema: str
     purpose: str = ENRICHED
     date_mode: str = "parse"
+    decoding: str = REPLACE
+    lengths: Mapping[str, int] = field(default_factory=dict)
     processor_name: str = NAME
     processor_version: str = VERSION
 
@@ -31,6 +37,8 @@ class Settings:
             raise ValueError(f"purpose must be {ENRICHED} or {SELF_DESCRIBING}")
         if self.date_mode not in ("parse", "reject"):
             raise ValueError("date_mode must be parse or reject")
+        if self.decoding not in (REPLACE, STRICT):
+            raise ValueError(f"decoding must be {REPLACE} or {STRICT}")
 
     @property
     def includes_meta(self) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from distributary.functions.payload import decode_payload
+from distributary.functions.payload import REPLACE, STRICT, decode_payload
 
 TRIM_HORIZON, LATEST, AT_TIMESTAMP = "TRIM_HORIZON", "LATEST", "AT_TIMESTAMP"
 
@@ -14,19 +14,29 @@ def not_empty(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.where(F.length(column) > 0)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def decoded(lines: DataFrame, decoding: str) -> DataFrame:
+    """Non-empty lines; ``strict`` leaves malformed bytes in place for the load to refuse them."""
+    if decoding == STRICT:
+        return not_empty(lines)
+    return not_empty(lines.withColumn("value", decode_payload(F.col("value"))))
+
+
+def read_lines(spark: SparkSession, path: str, decoding: str = REPLACE) -> DataFrame:
     """Non-empty lines of a file or of all files below a directory."""
-    return not_empty(spark.read.option("recursiveFileLookup", True).text(path))
+    return decoded(spark.read.option("recursiveFileLookup", True).text(path), decoding)
 
 
 def stream_lines(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    decoding: str = REPLACE,
 ) -> DataFrame:
     """The same lines as files arrive; the cap bounds one micro-batch."""
     reader = spark.readStream.option("recursiveFileLookup", True)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return not_empty(reader.text(path))
+    return decoded(reader.text(path), decoding)
 
 
 def start_from(

@@ -1,14 +1,26 @@
 """Loading: shred a batch once, bring the tables up to date, append to each of them.
 
-A batch is written to a shared folder, partitioned by target table, in one pass over its input. From
-there each table is filled by a job that reads nothing but its own partition. What has been appended is
-noted per batch and table, so a batch that is replayed after a failure goes on where it stopped. As with
-any append without transactions a crash between an append and its note repeats that append: delivery is
-at least once. An event with any failure is in no table.
+A batch is written to a shared folder, clustered by target table, in one pass over its input. From there
+each table is filled by a job that reads nothing but its own partition. An event with any failure is in no
+table.
+
+``load`` is one-shot: it loads what it is given, each time. A stream may replay its last batch after a
+failure; per stream, and only there, the last batch appended to each table is noted, so a replay goes on
+where it stopped. The stream's identity lies in its checkpoint: a new checkpoint is a new stream. As with any
+append without transactions a crash between an append and its note repeats that append: delivery is at least
+once. Streams and loads share neither notes nor staged rows.
+
+A registry grows while a stream runs. It is reloaded when it is older than ``max_age`` seconds, and at once
+when a batch names schemas that it does not list; that batch is then shredded again. Entities whose version
+is still unlisted load by the columns of their group that are known, and are counted in ``unlisted``.
 """
 
 from __future__ import annotations
 
+import logging
+import time
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -17,17 +29,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from distributary.functions.event_layout import EVENTS_TABLE, META_FIELDS
-from distributary.functions.schema_uri import parse_uri
+from distributary.functions.schema_uri import format_uri, key_struct, parse_uri
 from distributary.operators.shred import Registry
-from distributary.operators.state import MISSING, OUTDATED, state_from_comments, table_state
+from distributary.operators.state import MISSING, OUTDATED, key_states, state_from_comments
 from distributary.plans.shredding import BAD_ROWS, shred, table_rows
 from distributary.plans.tables import create_events_table, prepare_tables, table_comments
 from distributary.settings import Settings, configure, work_dir
 from distributary.streaming.sinks import BadSink, DiscardingSink
 
-# Staged batches alternate between this many folders, so that none has to be deleted.
+# Staged batches of a stream alternate between this many folders, so that none has to be deleted.
 STAGING_SLOTS = 2
 
+log = logging.getLogger("distributary")
+
 
 class Loader:
     """Loads batches of lines into the tables of one database."""
@@ -41,6 +55,9 @@ class Loader:
         bad_sink: BadSink | None = None,
         folder: str | None = None,
         parallel_tables: int = 4,
+        reload: Callable[[], Registry] | None = None,
+        max_age: float = 600.0,
+        clock: Callable[[], float] = time.monotonic,
     ):
         self.spark = configure(spark)
         self.registry = registry
@@ -49,26 +66,70 @@ class Loader:
         self.bad_sink = DiscardingSink() if bad_sink is None else bad_sink
         self.folder = folder or f"{work_dir(spark)}/{database}"
         self.parallel_tables = parallel_tables
+        self.reload, self.max_age, self.clock = reload, max_age, clock
+        self.loaded_at = clock()
+        self.unlisted = 0
         if settings.includes_meta:
             create_events_table(spark, database)
 
-    def load(self, lines: DataFrame, batch_id: int = 0) -> None:
-        """Load one batch; the same batch id loads nothing twice."""
-        done = self.finished(batch_id)
+    def load(self, lines: DataFrame) -> None:
+        """Load these lines, once more each time."""
+        path = f"{self.folder}/staging/load={uuid.uuid4().hex}"
+        self.load_staged(lines, path, set(), lambda table: None, 0)
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def load_batch(self, lines: DataFrame, batch_id: int, stream: str) -> None:
+        """Load one batch of a stream; tables that have it already are left alone."""
+        done = self.finished(stream, batch_id)
         if "" in done:
             return
-        staged = self.stage(lines, batch_id)
+        path = f"{self.folder}/staging/stream={stream}/slot={batch_id % STAGING_SLOTS}"
+        self.load_staged(lines, path, done, lambda table: self.note(stream, table, batch_id), batch_id)
+
+    def load_staged(
+        self, lines: DataFrame, path: str, done: set[str], note: Callable[[str], None], batch_id: int
+    ) -> None:
+        if self.reload and self.clock() - self.loaded_at >= self.max_age:
+            self.renew_registry()
+        staged = self.stage(lines, path)
+        unlisted = self.count_unlisted(staged)
+        if unlisted and self.reload:
+            self.renew_registry()
+            staged = self.stage(lines, path)
+            unlisted = self.count_unlisted(staged, unknown_groups=False)
+        if unlisted:
+            log.warning("%d schema versions are not listed; known columns are loaded", unlisted)
+            self.unlisted += unlisted
         tables = self.update_tables(staged)
         pending = [t for t in [*tables, BAD_ROWS] if t not in done]
         with ThreadPoolExecutor(self.parallel_tables) as pool:
-            list(pool.map(lambda table: self.fill(staged, table, batch_id), pending))
-        self.note(batch_id, "")
-
-    def stage(self, lines: DataFrame, batch_id: int) -> DataFrame:
-        """Shred a batch and write all its rows, one folder per target table."""
-        path = f"{self.folder}/staging/slot={batch_id % STAGING_SLOTS}"
+            list(pool.map(lambda table: self.fill(staged, table, batch_id, note), pending))
+        note("")
+
+    def renew_registry(self) -> None:
+        assert self.reload is not None
+        self.registry = self.reload()
+        self.loaded_at = self.clock()
+
+    def count_unlisted(self, staged: DataFrame, unknown_groups: bool = True) -> int:
+        """Schema versions in the batch that the registry does not list, and whether whole groups are unknown."""
+        listed = self.registry.schemas.select(format_uri(key_struct()).alias("schema"))
+        named = staged.select(F.col("meta.schema").alias("schema")).where("schema is not null").distinct()
+        count = named.join(listed, "schema", "left_anti").count()
+        if count or not unknown_groups or self.reload is None:
+            return count
+        bad = staged.where((F.col("table_name") == BAD_ROWS) & F.col("bad_row").contains("SchemaListNotFound"))
+        return 0 if bad.isEmpty() else 1
+
+    def stage(self, lines: DataFrame, path: str) -> DataFrame:
+        """Shred a batch and write all its rows, one folder per target table.
+
+        Rows are rebalanced by table first: files follow the size of a table, and a large one is split.
+        """
         rows = table_rows(shred(lines, self.registry, self.settings), self.settings)
-        rows.write.mode("overwrite").partitionBy("table_name").parquet(path)
+        clustered = rows.hint("rebalance", F.col("table_name"))
+        clustered.write.mode("overwrite").partitionBy("table_name").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def update_tables(self, staged: DataFrame) -> list[str]:
@@ -80,7 +141,7 @@ class Loader:
             .select("table_name", parse_uri(F.col("schema")).alias("key"))
             .select("table_name", "key.*")
         )
-        checked = table_state(keys, self.state(), self.settings.atomic_schema)
+        checked = key_states(keys, self.state(), self.settings.atomic_schema)
         wanted = (
             checked.groupBy("table_name")
             .agg(
@@ -105,7 +166,7 @@ class Loader:
         comments = table_comments(self.spark, self.database)
         return state_from_comments(comments, self.registry.schemas)
 
-    def fill(self, staged: DataFrame, table: str, batch_id: int) -> None:
+    def fill(self, staged: DataFrame, table: str, batch_id: int, note: Callable[[str], None]) -> None:
         """Append the staged rows of one table, or hand over the bad rows."""
         rows = staged.where(F.col("table_name") == table)
         if table == BAD_ROWS:
@@ -117,22 +178,18 @@ class Loader:
             source = rows.select("atomic.*") if is_event else entity_columns(rows)
             columns = [cell(f.name, source.columns).cast(f.dataType).alias(f.name) for f in fields]
             source.select(*columns).write.insertInto(target)
-        self.note(batch_id, table)
+        note(table)
 
-    def ledger(self, batch_id: int) -> str:
-        return f"{self.folder}/ledger/batch={batch_id}"
+    def note(self, stream: str, table: str, batch_id: int) -> None:
+        """Note the last batch of a stream that a table has; the note before is replaced."""
+        entry = self.spark.createDataFrame([(table, batch_id)], "table_name string, batch_id long")
+        path = f"{self.folder}/notes/stream={stream}/table={table or '_all'}"
+        entry.coalesce(1).write.mode("overwrite").parquet(path)
 
-    def note(self, batch_id: int, table: str) -> None:
-        entry = self.spark.createDataFrame([(table,)], "table_name string").coalesce(1)
-        entry.write.mode("overwrite").parquet(f"{self.ledger(batch_id)}/table={table or '_all'}")
-
-    def finished(self, batch_id: int) -> set[str]:
+    def finished(self, stream: str, batch_id: int) -> set[str]:
         """Tables the batch is already in; the empty name stands for the whole batch."""
-        try:
-            noted: list[Row] = self.spark.read.parquet(self.ledger(batch_id)).collect()
-        except AnalysisException:
-            return set()
-        return {row.table_name for row in noted}
+        noted = read_if_there(self.spark, f"{self.folder}/notes/stream={stream}")
+        return {row.table_name for row in noted if row.batch_id >= batch_id}
 
     def stream(
         self,
@@ -143,8 +200,32 @@ class Loader:
     ) -> StreamingQuery:
         """Load a stream; ``once`` ends after what is there now. Progress is noted after the tables."""
         trigger = {"availableNow": True} if once else {"processingTime": interval}
-        writer = lines.writeStream.foreachBatch(self.load).option("checkpointLocation", checkpoint)
-        return writer.trigger(**trigger).start()
+        identity = stream_identity(self.spark, checkpoint)
+        writer = lines.writeStream.foreachBatch(
+            lambda batch, batch_id: self.load_batch(batch, batch_id, identity)
+        )
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_if_there(spark: SparkSession, path: str) -> list[Row]:
+    """Rows of a small table, none where the path does not exist; every other fault is raised."""
+    try:
+        return spark.read.parquet(path).collect()
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the stream that a checkpoint belongs to; it lives and goes with the checkpoint."""
+    path = f"{checkpoint.rstrip('/')}/loader"
+    known = read_if_there(spark, path)
+    if known:
+        return known[0].identity
+    identity = uuid.uuid4().hex
+    spark.createDataFrame([(identity,)], "identity string").coalesce(1).write.parquet(path)
+    return identity
 
 
 def entity_columns(rows: DataFrame) -> DataFrame:

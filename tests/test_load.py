@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalog import inputs
 from distributary.functions.event_layout import LINE_FIELDS
 from distributary.functions.schema_uri import URI_PREFIX
-from distributary.operators.shred import Registry, shred_entities
+from distributary.operators.shred import INLINE_MODE, Registry, shred_entities
 from distributary.operators.parse import parse_enriched, parse
 from distributary.plans.shredding import bad_records, event_rows, shred
 from distributary.plans.tables import (
@@ -15,7 +15,8 @@ from distributary.plans.tables import (
     list_tables,
     table_comments,
 )
-from distributary.settings import Settings
+from distributary.functions.casts import cast_json
+from distributary.settings import Settings, work_dir
 from distributary.sources.lines import (
     AT_TIMESTAMP,
     LATEST,
@@ -29,14 +30,15 @@ from distributary.sources.registry import schemas_from
 from distributary.streaming.load import Loader
 from distributary.streaming.sinks import DiscardingSink, text_sink
 from tests.conftest import SF_DIR
-from tests.test_registry import COLUMNS, VERSIONS
+from tests.test_registry import COLUMNS, VERSIONS, WORD, named, version
 
-EVENT_ID = "97c89cb7-5db2-412a-976c-418e50f823b3"
-PAYLOADS = [
-    {"requiredString": "one", "requiredUnion": False, "nested": {"a": 1}},
-    {"requiredString": "two", "requiredUnion": False, "nested": {"a": 2}, "someArray": [2, "two", {}]},
-    {"requiredString": "three", "requiredUnion": "three", "nested": {"a": 3}, "bigInt": 3},
+EVENT_ID = "5f0d1a52-33c4-4d0e-9a5b-0c2f7be1d604"
+READINGS = [
+    {"stationCode": "N7", "quality": 3, "position": {"lat": 54.5}},
+    {"stationCode": "N8", "quality": True, "position": {"lat": 55.25}, "samples": [0.5, "dry", [1]]},
+    {"stationCode": "N9", "quality": 1, "position": {"lat": 56.0}, "ticks": 4102444800000},
 ]
+READING_TABLE = "org_tideline_buoy_reading_1"
 
 
 def line(**values):
@@ -54,16 +56,16 @@ def frame(spark, lines):
 
 
 def json_line(version, data):
-    return json.dumps({"schema": f"{URI_PREFIX}me.acme/pg-test/jsonschema/{version}", "data": data})
+    return json.dumps({"schema": f"{URI_PREFIX}org.tideline/buoy-reading/jsonschema/{version}", "data": data})
 
 
 def registry_of(spark, documents):
     texts = spark.createDataFrame([(json.dumps(d),) for d in documents], "document string")
-    return Registry.from_schemas(schemas_from(texts))
+    return Registry.from_schemas(schemas_from(texts), mode=INLINE_MODE)
 
 
 def test_times_far_away(spark):
-    far = ["0001-01-01 00:00:00.000", "2619-08-18 00:00:00.000", "0001-12-31 00:00:00"]
+    far = ["0003-02-01 00:00:00.000", "4810-11-05 23:59:59.000", "9999-12-31 00:00:00"]
     parsed = parse_enriched(frame(spark, [line(collector_tstamp=t) for t in far]))
     found = parsed.select(F.size("errors").alias("n"), F.col("atomic.collector_tstamp").cast("string").alias("t"))
     assert [(r.n, r.t) for r in found.collect()] == [(0, t[:19]) for t in far]
@@ -87,8 +89,12 @@ def test_records_with_one_id_stand_alone(spark):
 def test_joined_registry_gives_the_same(spark):
     parsed = parse_enriched(inputs.enriched_lines(spark, SF_DIR))
     small = inputs.registry(spark)
-    large = Registry.from_schemas(small.schemas, max_inline=3)
+    large = Registry.from_schemas(small.schemas, folder=work_dir(spark))
     assert small.inline is not None and large.inline is None
+    with pytest.raises(ValueError):
+        Registry.from_schemas(small.schemas, mode=INLINE_MODE, max_bytes=100)
+    with pytest.raises(ValueError):
+        Registry.from_schemas(small.schemas)
 
     def result(registry):
         shredded = shred_entities(parsed, registry, True, inputs.ATOMIC_SCHEMA)
@@ -98,30 +104,30 @@ def test_joined_registry_gives_the_same(spark):
 
 
 def test_invalid_schema_spoils_its_group(spark):
-    broken = {"self": {"vendor": "me.acme", "name": "pg-test", "format": "jsonschema", "version": "1-0-3"}, "type": 5}
+    broken = version("1-0-3", {}) | {"type": 5}
     registry = registry_of(spark, [*VERSIONS, broken])
     settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
-    records = shred(frame(spark, [json_line("1-0-0", PAYLOADS[0])]), registry, settings)
+    records = shred(frame(spark, [json_line("1-0-0", READINGS[0])]), registry, settings)
     assert bad_records(records).first().errors[0].error == "InvalidSchema"
 
 
 def test_self_describing_versions(spark, database):
-    lines = frame(spark, [json_line(f"1-0-{i}", p) for i, p in enumerate(PAYLOADS)])
+    lines = frame(spark, [json_line(f"1-0-{i}", p) for i, p in enumerate(READINGS)])
     settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
     Loader(spark, registry_of(spark, VERSIONS), settings, database).load(lines)
-    assert list_tables(spark, database) == ["me_acme_pg_test_1"]
-    described = describe_table(spark, database, "me_acme_pg_test_1").collect()
+    assert list_tables(spark, database) == [READING_TABLE]
+    described = describe_table(spark, database, READING_TABLE).collect()
     assert [f'"{r.column_name}"' for r in described] == [c.split()[0] for c in COLUMNS]
-    rows = spark.table(f"{database}.me_acme_pg_test_1").orderBy("`nested.a`").collect()
-    assert [r["nested.a"] for r in rows] == [1.0, 2.0, 3.0]
-    assert [r.some_array for r in rows] == [None, '[2,"two",{}]', None]
-    assert [r.required_union for r in rows] == ["false", "false", '"three"']
-    assert [r.big_int for r in rows] == [None, None, 3]
+    rows = spark.table(f"{database}.{READING_TABLE}").orderBy("station_code").collect()
+    assert [r["position.lat"] for r in rows] == [54.5, 55.25, 56.0]
+    assert [r.samples for r in rows] == [None, '[0.5,"dry",[1]]', None]
+    assert [r.quality for r in rows] == ["3", "true", "1"]
+    assert [r.ticks for r in rows] == [None, None, 4102444800000]
 
 
 def test_entity_without_values_is_bad(spark):
-    document = {"self": {"vendor": "me.acme", "name": "free", "format": "jsonschema", "version": "1-0-0"}, "type": "object", "properties": {"a": {"type": "string"}}}
-    text = json.dumps({"schema": f"{URI_PREFIX}me.acme/free/jsonschema/1-0-0", "data": {}})
+    document = named("memo", text=WORD)
+    text = json.dumps({"schema": f"{URI_PREFIX}org.tideline/memo/jsonschema/1-0-0", "data": {}})
     settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
     records = shred(frame(spark, [text]), registry_of(spark, [document]), settings)
     assert bad_records(records).first().errors[0].message.startswith("Cannot insert: ")
@@ -130,16 +136,71 @@ def test_entity_without_values_is_bad(spark):
 def test_table_evolves(spark, database):
     settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
     Loader(spark, registry_of(spark, VERSIONS[:1]), settings, database).load(
-        frame(spark, [json_line("1-0-0", PAYLOADS[0])]), 0
+        frame(spark, [json_line("1-0-0", READINGS[0])])
     )
-    assert len(spark.table(f"{database}.me_acme_pg_test_1").columns) == 5
+    assert len(spark.table(f"{database}.{READING_TABLE}").columns) == 5
     Loader(spark, registry_of(spark, VERSIONS), settings, database).load(
-        frame(spark, [json_line("1-0-2", PAYLOADS[2])]), 1
+        frame(spark, [json_line("1-0-2", READINGS[2])])
     )
-    rows = spark.table(f"{database}.me_acme_pg_test_1").orderBy("`nested.a`").collect()
-    assert len(rows[0]) == 9 and [r.big_int for r in rows] == [None, 3]
+    rows = spark.table(f"{database}.{READING_TABLE}").orderBy("station_code").collect()
+    assert len(rows[0]) == 9 and [r.ticks for r in rows] == [None, 4102444800000]
     comment = table_comments(spark, database).first().comment
-    assert comment == f"{URI_PREFIX}me.acme/pg-test/jsonschema/1-0-2"
+    assert comment == f"{URI_PREFIX}org.tideline/buoy-reading/jsonschema/1-0-2"
+
+
+def test_a_running_stream_meets_new_schemas(spark, database, tmp_path):
+    """A new version, then a new group: each is found in the registry once a batch names it."""
+    documents = VERSIONS[:1]
+    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
+    sink = DiscardingSink()
+    loader = Loader(
+        spark, registry_of(spark, documents), settings, database, sink, reload=lambda: registry_of(spark, documents)
+    )
+    folder = tmp_path / "lines"
+    folder.mkdir()
+
+    def run(name, text):
+        (folder / name).write_text(text + "\n")
+        lines = stream_lines(spark, str(folder), 1)
+        loader.stream(lines, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+
+    run("a", json_line("1-0-0", READINGS[0]))
+    documents = VERSIONS
+    run("b", json_line("1-0-2", READINGS[2]))
+    rows = spark.table(f"{database}.{READING_TABLE}").orderBy("station_code").collect()
+    assert [r.ticks for r in rows] == [None, 4102444800000]
+    documents = [*VERSIONS, named("memo", text=WORD)]
+    run("c", json.dumps({"schema": f"{URI_PREFIX}org.tideline/memo/jsonschema/1-0-0", "data": {"text": "calm"}}))
+    assert spark.table(f"{database}.org_tideline_memo_1").first().text == "calm"
+    assert sink.total == 0 and loader.unlisted == 0
+    run("d", json_line("1-0-9", READINGS[0]))
+    assert loader.unlisted == 1
+    assert spark.table(f"{database}.{READING_TABLE}").count() == 3
+
+
+def test_a_registry_is_reloaded_when_old(spark, database):
+    now = [0.0]
+    renewed = []
+    registry = registry_of(spark, VERSIONS)
+    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
+    loader = Loader(
+        spark, registry, settings, database, reload=lambda: renewed.append(1) or registry, clock=lambda: now[0]
+    )
+    for time in (10.0, 601.0, 700.0):
+        now[0] = time
+        loader.load(frame(spark, [json_line("1-0-0", READINGS[0])]))
+    assert len(renewed) == 1
+
+
+def test_colliding_columns_do_not_stop_a_batch(spark, database):
+    documents = [*VERSIONS, named("twice", mastId=WORD, mast_id=WORD)]
+    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
+    sink = DiscardingSink()
+    bad = json.dumps({"schema": f"{URI_PREFIX}org.tideline/twice/jsonschema/1-0-0", "data": {"mastId": "x"}})
+    lines = frame(spark, [bad, json_line("1-0-0", READINGS[0])])
+    Loader(spark, registry_of(spark, documents), settings, database, sink).load(lines)
+    assert sink.total == 1
+    assert spark.table(f"{database}.{READING_TABLE}").count() == 1
 
 
 def test_events_table_and_catalog(spark, database):
@@ -155,9 +216,9 @@ def test_replayed_batch_and_bad_rows(spark, database, tmp_path):
     lines = inputs.enriched_lines(spark, SF_DIR)
     sink = text_sink(str(tmp_path / "bad"))
     loader = Loader(spark, inputs.registry(spark), inputs.SETTINGS, database, sink)
-    loader.load(lines, 7)
+    loader.load_batch(lines, 7, "one")
     first = spark.table(f"{database}.events").count()
-    loader.load(lines, 7)
+    loader.load_batch(lines, 7, "one")
     assert spark.table(f"{database}.events").count() == first
     total = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
     bad = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "bad")).collect()]
@@ -165,6 +226,70 @@ def test_replayed_batch_and_bad_rows(spark, database, tmp_path):
     assert {b["processor"]["artifact"] for b in bad} == {"distributary"}
 
 
+def test_a_replay_goes_on_where_it_stopped(spark, database):
+    loader = Loader(spark, inputs.registry(spark), inputs.SETTINGS, database)
+    lines = frame(spark, [line(), line()])
+    loader.load_batch(lines, 0, "one")
+    loader.note("one", "", -1)  # as if the batch had ended before its last note
+    loader.note("one", "events", -1)
+    loader.load_batch(lines, 0, "one")
+    assert spark.table(f"{database}.events").count() == 4
+    loader.load_batch(lines, 0, "one")
+    assert spark.table(f"{database}.events").count() == 4
+
+
+def test_no_loader_loses_batches_of_another(spark, database, tmp_path):
+    """Two loads, then a stream, a second one on the same files, and the first again: nothing lost or doubled."""
+    def loader():
+        return Loader(spark, inputs.registry(spark), inputs.SETTINGS, database)
+
+    def count():
+        return spark.table(f"{database}.events").count()
+
+    loader().load(frame(spark, [line(), line()]))
+    same = loader()
+    same.load(frame(spark, [line()]))
+    same.load(frame(spark, [line()]))
+    assert count() == 4
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.tsv").write_text(line() + "\n" + line() + "\n")
+
+    def run(checkpoint):
+        lines = stream_lines(spark, str(folder), 1)
+        loader().stream(lines, str(tmp_path / checkpoint), once=True).awaitTermination()
+        return count()
+
+    assert run("one") == 6
+    assert run("two") == 8
+    (folder / "b.tsv").write_text(line() + "\n")
+    assert [run("one"), run("two"), run("one")] == [9, 10, 10]
+
+
+def test_malformed_bytes(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"ab\xffcd\n")
+    assert [r.value for r in read_lines(spark, str(tmp_path)).collect()] == ["ab\ufffdcd"]
+    strict = Settings(inputs.ATOMIC_SCHEMA, decoding="strict")
+    records = shred(read_lines(spark, str(tmp_path), "strict"), inputs.registry(spark), strict)
+    bad = bad_records(records).first()
+    assert (bad.kind, bad.payload) == ("loader_parsing_error", "YWL/Y2Q=")
+    assert bad.errors[0].message == "Cannot deserialize payload as UTF-8"
+
+
+def test_lengths_by_column(spark):
+    settings = Settings(inputs.ATOMIC_SCHEMA, lengths={"page_title": 1200, "page_url": 10})
+    lines = frame(spark, [line(page_title="t" * 1500, page_url="u" * 50, page_referrer="r" * 1500)])
+    row = event_rows(shred(lines, inputs.registry(spark), settings)).first()
+    assert [len(row[c]) for c in ("page_title", "page_url", "page_referrer")] == [1200, 10, 1024]
+
+
+def test_whole_numbers_are_exact_or_refused(spark):
+    rows = spark.createDataFrame([("1e3",), ("9007199254740993e0",), ("9007199254740993",), ("5.0",)], "t string")
+    value, problem = cast_json(F.parse_json("t"), "BIGINT")
+    found = rows.select("t", value.alias("v"), problem.alias("e")).collect()
+    assert [(r.v, r.e is None) for r in found] == [(1000, True), (None, False), (9007199254740993, True), (5, True)]
+
+
 def test_stream_goes_on_after_a_restart(spark, database, tmp_path):
     folder = tmp_path / "lines" / "deep"
     folder.mkdir(parents=True)
@@ -186,12 +311,35 @@ def test_stream_goes_on_after_a_restart(spark, database, tmp_path):
 
 
 def test_discards_are_reported_by_period():
-    now = [0.0]
-    sink = DiscardingSink(30, lambda: now[0])
+    now, timers = [0.0], []
+
+    class Timer:
+        def __init__(self, left, action):
+            self.left, self.action, self.open = left, action, True
+            timers.append(self)
+
+        def start(self):
+            pass
+
+        def cancel(self):
+            self.open = False
+
+    sink = DiscardingSink(30, lambda: now[0], Timer)
     for count, time in [(2, 10), (1, 31), (0, 70), (4, 80)]:
         now[0] = time
         sink.add(count)
     assert sink.reports == [3] and sink.pending == 4 and sink.total == 7
+    assert [(t.left, t.open) for t in timers] == [(20, False), (20, True)]
+    now[0] = 100
+    timers[-1].action()  # nothing arrives any more
+    assert sink.reports == [3, 4] and sink.pending == 0
+
+
+def test_bad_rows_are_appended(spark, tmp_path):
+    sink = text_sink(str(tmp_path / "bad"))
+    for text in ("one", "two"):
+        sink(frame(spark, [text]), 0)
+    assert {r.value for r in spark.read.text(str(tmp_path / "bad")).collect()} == {"one", "two"}
 
 
 def test_start_positions(spark):

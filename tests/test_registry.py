@@ -4,52 +4,53 @@ import pytest
 from pyspark.sql import functions as F
 
 from distributary.functions.schema_uri import KEY_COLUMNS, URI_PREFIX
-from distributary.operators.registry import added_columns, column_table
+from distributary.operators.registry import added_columns, column_table, invalid_groups
 from distributary.operators.state import MISSING, OUTDATED, table_state
 from distributary.sources.registry import read_registry
 
-TEXT, NUMBER, ARRAY = {"type": "string"}, {"type": "number"}, {"type": "array"}
-LABELLED = {"type": ["string", "number"]}
+WORD, SIZE, LIST = {"type": "string"}, {"type": "number"}, {"type": "array"}
+MIXED = {"type": ["integer", "string"]}
 
 
-def version(number: str, nested: dict, **properties) -> dict:
+def version(number: str, position: dict, **properties) -> dict:
+    """A reading of a buoy."""
     base = {
-        "requiredString": TEXT,
-        "requiredUnion": {"type": ["string", "boolean"]},
-        "id": {"type": "string", "format": "uuid"},
-        "nested": {"type": "object", "properties": nested},
+        "stationCode": WORD,
+        "quality": {"type": ["integer", "boolean"]},
+        "position": {"type": "object", "properties": position},
+        "serial": {"type": "string", "format": "uuid"},
     }
     return {
-        "self": {"vendor": "me.acme", "name": "pg-test", "format": "jsonschema", "version": number},
+        "self": {"vendor": "org.tideline", "name": "buoy-reading", "format": "jsonschema", "version": number},
         "type": "object",
         "properties": base | properties,
-        "required": ["requiredString", "requiredUnion"],
+        "required": ["stationCode", "quality"],
     }
 
 
-FIRST = {"a": NUMBER, "b": LABELLED}
-THIRD = FIRST | {"c": {"type": "integer"}}
+PLACE = {"lat": SIZE, "note": MIXED}
+DEEP_PLACE = PLACE | {"depthMm": {"type": "integer"}}
 VERSIONS = [
-    version("1-0-0", FIRST),
-    version("1-0-1", FIRST, someArray=ARRAY),
+    version("1-0-0", PLACE),
+    version("1-0-1", PLACE, samples=LIST),
     version(
         "1-0-2",
-        THIRD,
-        someArray=ARRAY,
-        someDate={"type": "string", "format": "date-time"},
-        bigInt={"type": "integer"},
+        DEEP_PLACE,
+        samples=LIST,
+        takenAt={"type": "string", "format": "date-time"},
+        ticks={"type": "integer"},
     ),
 ]
 COLUMNS = [
-    ('"required_string" VARCHAR(4096) NOT NULL'),
-    ('"required_union" JSONB NOT NULL'),
-    ('"id" UUID NULL'),
-    ('"nested.a" DOUBLE PRECISION NULL'),
-    ('"nested.b" JSONB NULL'),
-    ('"some_array" JSONB NULL'),
-    ('"nested.c" BIGINT NULL'),
-    ('"some_date" TIMESTAMP NULL'),
-    ('"big_int" BIGINT NULL'),
+    ('"quality" JSONB NOT NULL'),
+    ('"station_code" VARCHAR(4096) NOT NULL'),
+    ('"position.lat" DOUBLE PRECISION NULL'),
+    ('"position.note" JSONB NULL'),
+    ('"serial" UUID NULL'),
+    ('"samples" JSONB NULL'),
+    ('"position.depth_mm" BIGINT NULL'),
+    ('"taken_at" TIMESTAMP NULL'),
+    ('"ticks" BIGINT NULL'),
 ]
 
 
@@ -74,36 +75,63 @@ def test_columns_of_three_versions(schemas):
 def test_columns_added_since_a_version(schemas):
     known = schemas.where("addition = 1")
     found = added_columns(column_table(schemas), known).select("column").collect()
-    assert {r.column for r in found} == {"nested.c", "some_date", "big_int"}
+    assert {r.column for r in found} == {"position.depth_mm", "taken_at", "ticks"}
 
 
 def test_earlier_repository_wins(spark, tmp_path):
-    other = version("1-0-0", {}, extra=TEXT)
+    other = version("1-0-0", {}, extra=WORD)
     paths = [write_registry(tmp_path / "a", [VERSIONS[0]]), write_registry(tmp_path / "b", [other])]
     found = read_registry(spark, paths).collect()
     assert len(found) == 1 and "extra" not in found[0].document
 
 
 def test_parents_of_other_properties_are_dropped(spark, tmp_path):
-    documents = [version("1-0-0", {}), version("1-0-1", FIRST)]
+    documents = [version("1-0-0", {}), version("1-0-1", PLACE)]
     schemas = read_registry(spark, [write_registry(tmp_path / "r", documents)])
     found = {r.column for r in column_table(schemas).select("column").collect()}
-    assert found == {"required_string", "required_union", "id", "nested.a", "nested.b"}
+    assert found == {"station_code", "quality", "serial", "position.lat", "position.note"}
 
 
 def test_table_state(spark):
     types = "vendor string, name string, format string, model int, revision int, addition int"
-    key = ("com.acme", "event", "jsonschema")
-    known = spark.createDataFrame([(*key, 1, 0, 0)], types)
-    atomic = ("com.acme", "atomic", "jsonschema", 1, 0, 0)
-    asked = spark.createDataFrame([(*key, 1, 0, 0), (*key, 1, 0, 1), (*key, 2, 0, 0), atomic], types)
-    checked = table_state(asked, known, f"{URI_PREFIX}com.acme/atomic/jsonschema/1-0-0").collect()
-    found = {tuple(r[c] for c in KEY_COLUMNS): r.table_state for r in checked}
-    assert found[(*key, 1, 0, 0)] == "Match"
-    assert found[(*key, 1, 0, 1)] == OUTDATED
-    assert found[(*key, 2, 0, 0)] == MISSING
-    assert found[atomic] == "Match"
-    assert checked[0].__fields__ == [*KEY_COLUMNS, "table_state"] or len(checked[0]) == 7
+    reading = ("org.tideline", "buoy-reading", "jsonschema")
+    reflected = spark.createDataFrame([(*reading, 3, 0, 2), (*reading, 3, 1, 0)], types)
+    itself = ("org.tideline", "observation", "jsonschema", 1, 0, 0)
+    expected = {
+        (*reading, 3, 1, 0): "Match",
+        (*reading, 3, 1, 4): OUTDATED,
+        (*reading, 4, 0, 0): MISSING,
+        itself: "Match",
+    }
+    rows = [key for key in expected for _ in range(3)]
+    asked = spark.createDataFrame(rows, types)
+    checked = table_state(asked, reflected, f"{URI_PREFIX}org.tideline/observation/jsonschema/1-0-0").collect()
+    assert len(checked) == len(rows)
+    assert {tuple(r[c] for c in KEY_COLUMNS): r.table_state for r in checked} == expected
+
+
+def named(name: str, version: str = "1-0-0", **properties) -> dict:
+    about = {"vendor": "org.tideline", "name": name, "format": "jsonschema", "version": version}
+    return {"self": about, "type": "object", "properties": properties, "required": []}
+
+
+def test_colliding_names_spoil_their_groups(spark, tmp_path):
+    documents = [
+        named("twice", mastId=WORD, mast_id=WORD),
+        named("origin", schemaVendor=WORD),
+        named("rig-log", a=WORD),
+        named("rig_log", a=WORD),
+        named("fine", a=WORD),
+        named("broken") | {"type": 5},
+    ]
+    schemas = read_registry(spark, [write_registry(tmp_path / "r", documents)])
+    found = invalid_groups(schemas, column_table(schemas), ["schema_vendor"]).collect()
+    assert {r.name: r.problem.split(" ")[0] for r in found if r.name != "broken"} == {
+        "twice": "column", "origin": "column", "rig-log": "table", "rig_log": "table"
+    }
+    assert [r.problem for r in found if r.name == "broken"] == [
+        f"{URI_PREFIX}org.tideline/broken/jsonschema/1-0-0 cannot be parsed as JSON Schema"
+    ]
 
 
 def test_version_numbers_are_numbers(spark):
