@@ -463,6 +463,26 @@ select 'com.acme' as schema_vendor, 'props' as schema_name, 'jsonschema' as sche
   case when event_id % 3 = 2 then value end as ratio
 from ({ENTITIES}) where {GOOD} and schema like '%/props/%'"""
 
+ORACLES["evolved_load_rows"] = f"""
+select schema_version, root_id, k, label, ratio from ({ORACLES["loaded_table_rows"]})"""
+
+ORACLES["loaded_columns"] = f"""
+with loaded as ({ORACLES["loaded_table_rows"]})
+select unnest(['schema_vendor', 'schema_name', 'schema_format', 'schema_version', 'root_id', 'root_tstamp', 'k', 'label', 'ratio']) as column_name,
+  unnest(range(9)) as position,
+  unnest(['string', 'string', 'string', 'string', 'string', 'timestamp_ntz', 'bigint', 'string', 'double']) as data_type,
+  unnest([count(schema_vendor), count(schema_name), count(schema_format), count(schema_version), count(root_id),
+    count(root_tstamp), count(k), count(label), count(ratio)]) as n
+from loaded"""
+
+ORACLES["two_loads_counts"] = f"select table_name, 2 * n as n from ({GOOD_COUNTS})"
+
+ORACLES["collision_bad_rows"] = f"""
+select case when {CASE} in ({listed(PARSING_CASES)}) then 'loader_parsing_error'
+    when {EVENT_UUID} in (select uuid from ({ENTITIES}) where schema like '%/props/%') then 'collision'
+    else {OUTCOME} end as outcome, count(*) as n
+from events group by 1"""
+
 ORACLES["widened_events"] = f"""
 select {EVENT_UUID} as event_id, repeat(md5('s' || user_id), 4) as domain_sessionid, 'DE' as geo_country
 from events where {GOOD}"""

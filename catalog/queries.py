@@ -17,6 +17,7 @@ from catalog.inputs import (
     enriched_lines,
     lines_of,
     registry,
+    schema_document,
     schemas,
     spread,
     table,
@@ -40,7 +41,7 @@ from distributary.operators import badrows, parse, state
 from distributary.operators import registry as schema_ops
 from distributary.operators.atomic import choose_errors, shred_atomic, shred_atomic_json
 from distributary.operators.entities import add_metadata, explode_entities
-from distributary.operators.shred import Registry, shred_joined
+from distributary.operators.shred import INLINE_MODE, Registry, shred_joined
 from distributary.plans.shredding import (
     BAD_ROWS,
     bad_records,
@@ -777,14 +778,50 @@ def loaded_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def create_and_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = loaded(spark, sf_dir, "describe")
-    described = [
-        describe_table(spark, database, t.name).withColumn("table_name", F.lit(t.name))
-        for t in spark.catalog.listTables(database)
-        if t.name != EVENTS_TABLE
-    ]
-    return reduce(DataFrame.unionAll, described)
+def loaded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of a created table in order, their declared types, and how many values each got."""
+    database = loaded(spark, sf_dir, "columns")
+    rows = spark.table(f"{database}.com_acme_props_1")
+    counted = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in rows.columns])
+    described = describe_table(spark, database, "com_acme_props_1").drop("nullable")
+    return described.join(counted.select(F.inline(pairs)), "column_name")
+
+
+@query
+def two_loads_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines loaded twice by one loader: each load counts."""
+    database = new_database(spark, "two_loads")
+    loader = Loader(spark, registry(spark), SETTINGS, database)
+    for _ in range(2):
+        loader.load(enriched_lines(spark, sf_dir))
+    return table_counts(spark, database)
+
+
+@query
+def evolved_load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a version that the registry only lists once the load asks for it again."""
+    database = new_database(spark, "evolved")
+    listed = registry(spark).schemas
+    old = Registry.from_schemas(listed.where("name <> 'props' or addition = 0"), mode=INLINE_MODE)
+    loader = Loader(spark, old, SETTINGS, database, reload=lambda: registry(spark))
+    loader.load(enriched_lines(spark, sf_dir))
+    return spark.table(f"{database}.com_acme_props_1").select("schema_version", "root_id", "k", "label", "ratio")
+
+
+@query
+def collision_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two properties with one column name spoil the events of their group, no others."""
+    twice = schema_document(
+        "com.acme/props/jsonschema/1-0-3", {"k": {"type": "integer"}, "K": {"type": "integer"}}, ["k"]
+    )
+    types = "vendor string, name string, format string, model int, revision int, addition int, document string"
+    extra = spark.createDataFrame([("com.acme", "props", "jsonschema", 1, 0, 3, twice[1])], types)
+    spoiled = Registry.from_schemas(registry(spark).schemas.unionByName(extra), mode=INLINE_MODE)
+    shredded = shred(enriched_lines(spark, sf_dir), spoiled, SETTINGS)
+    collided = F.exists("failure.errors", lambda e: e["message"] == "column k has several properties")
+    outcome = F.when(collided, "collision").otherwise(F.coalesce("failure.kind", F.lit("good")))
+    return shredded.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
 @query
