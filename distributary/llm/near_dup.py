@@ -6,13 +6,14 @@ its first ``DEPTH`` values form a region. Within a region, the candidates of a c
 in sorted order, those of longest common prefix: in a sparse region that is everybody, in a dense one the common
 prefix that is reached grows with the density. Ranges, not regions, are dealt to tasks, so a dense region is spread.
 
-Candidates are confirmed on the full sets. As components are asked for, a pair is only confirmed while its two sides
-are not yet linked: in rounds, every class offers its best open candidates, confirmed links join components, and
-pairs within a component are closed.
+Candidates are confirmed on the full sets. Classes joined by candidates or by a dense region form a cluster, and each
+set travels once to the task of its cluster (a cluster of too many shingles is cut into blocks, with a task for each
+pair of blocks). A task confirms candidates from the likeliest on, skipping those whose sides are linked already: as
+components are asked for, links between linked sides do not matter.
 
-Regions whose neighbourhoods were cut short (more than ``NEIGHBOURS`` followed) and whose members do not all end in one
-component get an exact search: their members' rarest shingles are joined (a pair over the threshold must share one of
-them), and pairs of different components are confirmed like the others.
+Where a neighbourhood was cut short (more than ``NEIGHBOURS`` followed in a region) there may be links beyond the
+candidates. For members of such regions the task counts the shared shingles of all of them through an inverted index
+of its sets, unless they are linked already. So nothing is lost to the limit of neighbours.
 
 Rows of equal ``doc_id`` are one document with several texts: they always share a component. Null, empty and wordless
 texts have no shingles and are linked with nothing, as are rows without ``doc_id`` (``component_id`` null, kept).
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from distributary.llm.shared import arrow_schema, written
@@ -37,13 +38,15 @@ TREES = 24
 DEPTH = 4
 TAIL = 4
 NEIGHBOURS = 8
+TASK_NODES = 500_000
+BLOCK_SHINGLES = 4_000_000
 SIGNATURE = TREES * DEPTH
 
 ROWS = "doc_id long, n_shingles long, fp1 long, fp2 long, signature binary"
-SETS = "doc_id long, fp1 long, n long, shingles binary"
+SETS = "doc_id long, fp1 long, shingles binary"
 ENTRIES = "tree int, region long, tail long, node long, n long"
 FOUND = "kind int, a long, b long, weight long, part int, place long, size long, tree int, region long, tail long, n long"
-PAIR, EDGE, CUT = 0, 1, 2
+PAIR, EDGE, CUT, NEXT = 0, 1, 2, 3  # candidates; ends of tasks; regions cut short; mere neighbours in a region
 
 
 def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
@@ -163,11 +166,12 @@ def neighbours(entries: DataFrame) -> DataFrame:
                     if cut.shape[1]:
                         yield rows(cut.shape[1], kind=CUT, tree=cut[0], region=cut[1])
                     break
-                same &= close_enough(n[a], n[b]) & (node[a] != node[b])
-                if same.any():
-                    x, y = node[a][same], node[b][same]
-                    weight = DEPTH + common(tail[a][same], tail[b][same])
-                    yield rows(len(x), kind=PAIR, a=np.minimum(x, y), b=np.maximum(x, y), weight=weight)
+                close = close_enough(n[a], n[b])
+                for kind, chosen in ((PAIR, same & close), (NEXT, same & ~close & (j == 1))):
+                    x, y = node[a][chosen], node[b][chosen]
+                    weight = DEPTH + common(tail[a][chosen], tail[b][chosen])
+                    if len(x):
+                        yield rows(len(x), kind=kind, a=np.minimum(x, y), b=np.maximum(x, y), weight=weight)
             seen += total - old
             if first is None or len(first[0]) < NEIGHBOURS + 1:
                 joined = new if first is None else [np.concatenate([a, b]) for a, b in zip(first, new, strict=True)]
@@ -202,8 +206,9 @@ def across_tasks(found: DataFrame) -> DataFrame:
             step = at[b] - at[a]
             same = (tree[a] == tree[b]) & (region[a] == region[b]) & (part[a] != part[b])
             cut = same & (step == NEIGHBOURS + 1)
-            same &= (step <= NEIGHBOURS) & close_enough(n[a], n[b]) & (node[a] != node[b])
-            for chosen, kind in ((same, PAIR), (cut, CUT)):
+            close = close_enough(n[a], n[b])
+            pair, following = same & (step <= NEIGHBOURS) & close, same & (step == 1) & ~close
+            for chosen, kind in ((pair, PAIR), (following, NEXT), (cut, CUT)):
                 k = int(chosen.sum())
                 if k:
                     x, y = node[a][chosen], node[b][chosen]
@@ -217,18 +222,8 @@ def across_tasks(found: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, FOUND)
 
 
-def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Entries of the forest, candidate pairs with their weight over all trees, and the regions cut short."""
-    entries = written(forest(classes), "forest")
-    found = written(neighbours(entries), "neighbours")
-    found = found.unionByName(across_tasks(found))
-    pairs = found.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("weight").alias("weight"))
-    cut = found.filter(F.col("kind") == CUT).select("tree", "region").distinct()
-    return entries, pairs, cut
-
-
 def sets_of(documents: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """Full sets of the classes in ``nodes`` (``node``, ``fp1``), taken from a text of each."""
+    """``shingles`` of the classes in ``nodes`` (``node``, ``fp1``), taken from a text of each, with their columns."""
     schema = arrow_schema(SETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,127 +231,193 @@ def sets_of(documents: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
             for texts in texts_of(batch.column("text")):
                 sets = shingle_sets(words_of(texts.lowered(), SPACED), shingle)
                 ids = batch.column("doc_id").slice(texts.first, len(texts))
-                sums = sums_of(sets).view(np.int64)
-                yield batch_of(schema, [ids, sums[:, 0], [len(s) for s in sets], [s.tobytes() for s in sets]])
+                yield batch_of(schema, [ids, sums_of(sets).view(np.int64)[:, 0], [s.tobytes() for s in sets]])
 
     asked = nodes.select(F.col("node").alias("doc_id"))
     sets = documents.join(asked, "doc_id", "left_semi").mapInArrow(run, SETS).withColumnRenamed("doc_id", "node")
-    return sets.join(nodes.select("node", "fp1"), ["node", "fp1"], "left_semi").drop("fp1").dropDuplicates(["node", "n"])
+    return sets.dropDuplicates(["node", "fp1"]).join(nodes, ["node", "fp1"])
+
+
+class Task:
+    """Sets of a cluster, or of two blocks of one, and the links found among them."""
+
+    def __init__(self, one: int, other: int) -> None:
+        self.one, self.other = one, other
+        self.sets: dict[int, np.ndarray] = {}
+        self.dense: list[tuple[int, int]] = []  # node and block
+        self.parent: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        while self.parent[node] != node:
+            self.parent[node] = self.parent[self.parent[node]]
+            node = self.parent[node]
+        return node
+
+    def add(self, node: int, block: int, dense: bool, shingles: bytes) -> None:
+        self.sets[node] = np.frombuffer(shingles, dtype=U64)
+        self.parent[node] = node
+        if dense:
+            self.dense.append((node, block))
+
+    def confirm(self, a: int, b: int) -> bool:
+        """Links two nodes if their sets are similar enough and they are not linked yet."""
+        x, y = self.root(a), self.root(b)
+        if x == y:
+            return False
+        both = np.sort(np.concatenate([self.sets[a], self.sets[b]]))
+        shared = int((both[1:] == both[:-1]).sum())
+        if 100 * shared < PERCENT * (len(both) - shared):
+            return False
+        self.parent[max(x, y)] = min(x, y)
+        return True
+
+    def beyond_candidates(self) -> Iterator[tuple[int, int]]:
+        """Links among members of dense regions: shared shingles of each with all others, by an inverted index."""
+        nodes = np.array([n for n, _ in self.dense], dtype=np.int64)
+        roots = np.array([self.root(n) for n in nodes.tolist()])
+        listed, counts = np.unique(roots, return_counts=True)
+        if len(listed) < 2:
+            return
+        sizes = np.array([len(self.sets[n]) for n in nodes.tolist()])
+        owner = np.repeat(np.arange(len(nodes)), sizes)
+        _, token = np.unique(np.concatenate([self.sets[n] for n in nodes.tolist()]), return_inverse=True)
+        order = np.argsort(token, kind="stable")
+        holders = owner[order]  # owners by token
+        often = np.bincount(token)
+        first = np.cumsum(often) - often
+        begins = np.cumsum(sizes) - sizes
+        blocks = np.array([b for _, b in self.dense])
+        # Every link between two components has a side outside the largest one.
+        asking = np.flatnonzero((roots != listed[counts.argmax()]) & (blocks == self.one) if self.one == self.other else blocks == self.one)
+        for i in asking.tolist():
+            own = token[begins[i] : begins[i] + sizes[i]]
+            n = often[own]
+            at = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            shared = np.bincount(holders[at], minlength=len(nodes))
+            alike = 100 * shared >= PERCENT * (sizes[i] + sizes - shared)
+            for j in np.flatnonzero(alike & (blocks == self.other)).tolist():
+                a, b = int(nodes[i]), int(nodes[j])
+                x, y = self.root(a), self.root(b)
+                if x != y:
+                    self.parent[max(x, y)] = min(x, y)
+                    yield a, b
+
+
+def confirmed(work: DataFrame) -> DataFrame:
+    """Links of all tasks: rows are the sets and then the candidates of each, the likeliest first."""
+    schema = "a long, b long"
+    key = ["cluster", "one", "other"]
+    dealt = work.repartition(*key).sortWithinPartitions(*key, "is_pair", F.desc("weight"), "a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, now = Task(0, 0), None
+        links: list[tuple[int, int]] = []
+        for batch in batches:
+            for part in (batch.slice(i, 1000) for i in range(0, len(batch), 1000)):
+                for row in zip(*(part.column(c).to_pylist() for c in work_columns), strict=True):
+                    cluster, one, other, is_pair, a, b, _, dense, shingles = row
+                    if (cluster, one, other) != now:
+                        links += task.beyond_candidates()
+                        task, now = Task(one, other), (cluster, one, other)
+                    if not is_pair:
+                        task.add(a, b, dense, shingles)
+                    elif task.confirm(a, b):
+                        links.append((a, b))
+                if links:
+                    yield batch_of(arrow_schema(schema), list(zip(*links, strict=True)))
+                    links = []
+        links += task.beyond_candidates()
+        if links:
+            yield batch_of(arrow_schema(schema), list(zip(*links, strict=True)))
+
+    work_columns = ["cluster", "one", "other", "is_pair", "a", "b", "weight", "dense", "shingles"]
+    return dealt.select(*work_columns).mapInArrow(run, schema)
+
+
+def links_of(documents: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """Links between classes, enough to connect all that are connected."""
+    entries = written(forest(classes), "forest")
+    found = written(neighbours(entries), "neighbours")
+    found = found.unionByName(across_tasks(found))
+    pairs = found.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("weight").alias("weight"))
+    pairs = written(pairs, "pairs")
+    cut = found.filter(F.col("kind") == CUT).select("tree", "region").distinct()
+    dense = entries.join(cut, ["tree", "region"], "left_semi").select("node").distinct().withColumn("dense", F.lit(True))
+    joined = components(pairs.select("a", "b").union(found.filter(F.col("kind") == NEXT).select("a", "b")))
+    # A cluster's smallest node is its name; clusters of mere neighbours that are not dense have no pair to confirm.
+    named = joined.union(joined.select(F.col("root").alias("node"), "root").distinct())
+    nodes = classes.select("node", "fp1", "n").join(named, "node").join(dense, "node", "left")
+    sizes = nodes.groupBy("root").agg(F.sum("n").alias("size"))
+    blocks = F.ceil(F.col("size") / BLOCK_SHINGLES).cast("long").alias("blocks")
+    nodes = nodes.join(sizes.select("root", blocks), "root")
+    nodes = nodes.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    nodes = written(nodes.select("node", "fp1", "root", "blocks", "block", F.coalesce("dense", F.lit(False)).alias("dense")), "nodes")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with")
+    sets = sets_of(documents, nodes, shingle).select("*", other)
+    nothing = F.lit(None)
+    sets = sets.select(
+        F.col("root").alias("cluster"), F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"),
+        F.lit(False).alias("is_pair"), F.col("node").alias("a"), F.col("block").alias("b"), F.lit(0).cast("long").alias("weight"),
+        "dense", "shingles",
+    )
+    placed = lambda c: nodes.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"), F.col("block").alias(f"block_{c}"))
+    asked = pairs.join(placed("a"), "a").join(placed("b").drop("root_b"), "b").select(
+        F.col("root_a").alias("cluster"), F.least("block_a", "block_b").alias("one"),
+        F.greatest("block_a", "block_b").alias("other"), F.lit(True).alias("is_pair"), "a", "b", "weight",
+        F.lit(False).alias("dense"), nothing.cast("binary").alias("shingles"),
+    )
+    return confirmed(sets.union(asked))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+def joined_within_tasks(edges: DataFrame) -> DataFrame:
+    """Edges ``a`` < ``b`` of the same components: a task replaces what it sees by stars around the smallest node."""
     schema = "a long, b long"
 
+    def stars(parent: dict[int, int]) -> pa.RecordBatch:
+        rows = [(root_of(parent, n), n) for n in parent if parent[n] != n]
+        return batch_of(arrow_schema(schema), list(zip(*rows, strict=True)) if rows else [[], []])
+
+    def root_of(parent: dict[int, int], n: int) -> int:
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
         for batch in batches:
-            columns = [batch.column(c) for c in ("a", "b", "set_a", "set_b")]
-            good = []
-            for a, b, x, y in zip(*columns, strict=True):
-                one, other = (np.frombuffer(s.as_buffer(), dtype=U64) for s in (x, y))
-                both = np.sort(np.concatenate([one, other]))
-                shared = int((both[1:] == both[:-1]).sum())
-                if 100 * shared >= PERCENT * (len(both) - shared):
-                    good.append((a.as_py(), b.as_py()))
-            if good:
-                yield batch_of(arrow_schema(schema), list(zip(*good, strict=True)))
-
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, schema)
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                a, b = root_of(parent, parent.setdefault(a, a)), root_of(parent, parent.setdefault(b, b))
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            if len(parent) > TASK_NODES:
+                yield stars(parent)
+                parent = {}
+        yield stars(parent)
+
+    return edges.select("a", "b").mapInArrow(run, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``root`` (the smallest node reachable) of all nodes on edges ``a``, ``b``.
+    """``node`` and ``root`` (the smallest node reachable) of all nodes on edges ``a``, ``b`` but the roots.
 
-    Every node hangs itself below the smallest neighbour it knows, and neighbours are exchanged for those roots, in
-    turn over larger and over smaller neighbours, until nothing moves.
+    In turn, the larger and the smaller neighbours of every node are hung below its smallest neighbour, until every
+    node hangs below one root that hangs below none.
     """
-    stars = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "edges")
-    size = None
+    stars = written(joined_within_tasks(edges), "edges")
     while True:
+        ends = stars.select(F.col("b").alias("node"), "a").union(stars.select(F.col("a").alias("node"), "a"))
+        unsettled = ends.groupBy("node").agg(F.min("a").alias("low"), F.max("a").alias("high")).filter("low < high")
+        if unsettled.isEmpty():
+            return stars.select(F.col("b").alias("node"), F.col("a").alias("root")).distinct()
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select("m", "b").distinct()
-        smaller = large.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b")
-        least = smaller.groupBy("a").agg(F.min("b").alias("m"))
-        joined = smaller.join(least, "a")
+        large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b")
+        up = joined_within_tasks(large).select(F.col("b").alias("a"), F.col("a").alias("b"))
+        least = up.groupBy("a").agg(F.min("b").alias("m"))
+        joined = up.join(least, "a")
         small = joined.filter("b > m").select(F.col("m").alias("a"), "b").union(joined.select(F.col("m").alias("a"), F.col("a").alias("b")))
-        new = written(small.distinct(), "edges")
-        now = new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == size:
-            return new.select(F.col("b").alias("node"), F.col("a").alias("root"))
-        size, stars = tuple(now), new
-
-
-def best_open(pairs: DataFrame, each: int) -> DataFrame:
-    """The ``each`` best open pairs of every node; the rest waits for a later round."""
-    sides = pairs.select(F.col("a").alias("node"), "a", "b", "weight").union(
-        pairs.select(F.col("b").alias("node"), "a", "b", "weight")
-    )
-    if each == 1:
-        best = F.max(F.struct("weight", (-F.col("b")).alias("nb"), F.col("a"), F.col("b"))).alias("best")
-        return sides.groupBy("node").agg(best).select("best.a", "best.b").distinct()
-    order = Window.partitionBy("node").orderBy(F.desc("weight"), "a", "b")
-    return sides.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each).select("a", "b").distinct()
-
-
-def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that lie in different components."""
-    one = labels.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    other = labels.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    known = pairs.join(one, "a", "left").join(other, "b", "left")
-    root_a, root_b = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
-    return known.filter(root_a != root_b).select(*pairs.columns)
-
-
-def link_rounds(pairs: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """Confirms candidates until every pair is confirmed, refused or within a component; returns all links."""
-    each = 1
-    while not pairs.isEmpty():
-        asked = written(best_open(pairs, each), "asked")
-        links = written(links.union(confirmed(asked, sets)), "links")
-        left = pairs.join(asked, ["a", "b"], "left_anti")
-        pairs = written(labelled(left, components(links)), "open")
-        each *= 8
-    return links
-
-
-def dense_rest(entries: DataFrame, cut: DataFrame, labels: DataFrame) -> DataFrame:
-    """Nodes of regions that were cut short and hold more than one component."""
-    dense = entries.join(cut, ["tree", "region"], "left_semi").select("tree", "region", "node")
-    dense = dense.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = dense.groupBy("tree", "region").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    return dense.join(several, ["tree", "region"], "left_semi").select("node", "root").distinct()
-
-
-def exact_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components that share one of their rarest shingles, by equi-joins on those.
-
-    A set of n shingles that reaches the threshold with another shares one of its first n - ceil(0.8 n) + 1 shingles,
-    in any order that is the same for all; the rarest come first here.
-    """
-    schema = "shingle long, node long, n long, root long"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("shingles", "node", "n", "root")), strict=True)
-            for packed, node, n, root in rows:
-                values = np.frombuffer(packed, dtype=np.int64)
-                yield batch_of(arrow_schema(schema), [values, *(np.full(len(values), x) for x in (node, n, root))])
-
-    every = sets.join(rest, "node").mapInArrow(run, schema)
-    rare = every.groupBy("shingle").agg(F.count("*").alias("often"), F.min("root").alias("low"), F.max("root").alias("high"))
-    order = Window.partitionBy("node").orderBy("often", "shingle")
-    prefix = every.join(rare, "shingle").withColumn("place", F.row_number().over(order))
-    first = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    prefix = prefix.filter((F.col("place") <= first) & (F.col("low") < F.col("high"))).select("shingle", "node", "n", "root")
-    other = prefix.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
-    pairs = prefix.withColumnRenamed("node", "a").join(other, "shingle").filter(
-        (F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b"))
-        & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m"))
-    )
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("weight"))
+        stars = written(joined_within_tasks(small), "edges")
 
 
 def near_duplicates(documents: DataFrame, shingle: int) -> DataFrame:
@@ -368,20 +429,10 @@ def near_duplicates(documents: DataFrame, shingle: int) -> DataFrame:
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
     )
     classes = written(classes, "classes")
-    entries, pairs, cut = candidates(classes)
-    pairs = written(pairs, "pairs")
     several = real.groupBy("doc_id").agg(F.count_distinct("fp1", "fp2").alias("k")).filter("k > 1").select("doc_id")
     own = real.join(several, "doc_id", "left_semi").join(classes.select("fp1", "fp2", "node"), ["fp1", "fp2"])
-    links = own.select(F.least("doc_id", "node").alias("a"), F.greatest("doc_id", "node").alias("b"))
-    on_pairs = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = written(sets_of(documents, classes.join(on_pairs, "node", "left_semi"), shingle), "full-sets")
-    links = link_rounds(pairs, sets, links)
-    labels = written(components(links), "labels")
-    rest = written(dense_rest(entries, cut, labels), "dense-rest")
-    if not rest.isEmpty():
-        sets = written(sets_of(documents, classes.join(rest, "node", "left_semi"), shingle), "dense-sets")
-        pairs = written(exact_pairs(rest, sets), "dense-pairs")
-        labels = written(components(link_rounds(pairs, sets, links)), "labels")
+    same = own.select(F.least("doc_id", "node").alias("a"), F.greatest("doc_id", "node").alias("b"))
+    labels = written(components(links_of(documents, classes, shingle).union(same)), "labels")
     named = classes.select("fp1", "fp2", "node").join(labels, "node", "left")
     named = named.select("fp1", "fp2", F.coalesce("root", "node").alias("class_root"))
     found = rows.join(named, ["fp1", "fp2"], "left")
