@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 from distributary.llm.shared import BROADCAST_BYTES, arrow_schema, written
 from distributary.llm.text import LOWER, SPACED, U64, Texts, Words, batch_of, gram_hashes, per_row, range_hashes, spread_bits, texts_of, words_of
 
-ORDER = 5
+ORDER = 4
 REACH = 4.0
 LEAST_REACH = 0.35
 SHORT_REACH = 2.0
@@ -125,9 +125,9 @@ def gram_counts(documents: DataFrame, order: int) -> DataFrame:
                     chosen = code[(own == name)[row]]
                     parts = kept.setdefault(name, [])
                     parts.append(np.unique(chosen, return_counts=True))
-                    if sum(len(p[0]) for p in parts) > 1_000_000:
+                    if sum(len(p[0]) for p in parts) > 500_000:
                         parts[:] = [merged(parts)]
-                if sum(len(p[0]) for parts in kept.values() for p in parts) > 6_000_000:
+                if sum(len(p[0]) for parts in kept.values() for p in parts) > 2_000_000:
                     yield from rows(kept)
                     kept = {}
         yield from rows(kept)

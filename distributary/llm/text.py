@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 U64 = np.uint64
