@@ -286,7 +286,9 @@ select s.* from {ORDER_SCHEMAS} s join (
   where revision <= 6 group by vendor, name, model) k using (vendor, name, model)
 where s.revision * 1000 + s.addition <= k.known"""
 
-ORACLES["schema_order"] = f"select * from {ORDER_SCHEMAS} order by all"
+ORACLES["schema_order"] = f"""
+select *, cast(row_number() over (partition by vendor, name, model order by revision, addition) as integer) as place
+from {ORDER_SCHEMAS}"""
 
 ORACLES["schema_fetch"] = f"""
 select *, case when addition < 10 then case revision % 3 when 0 then '{{"type":"object"}}' when 1 then '[1]'

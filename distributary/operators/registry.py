@@ -1,7 +1,7 @@
 """Registry as relations: schema versions, flattened properties and what changes between versions.
 
 Everything here is an equi-join or an aggregate that combines before it shuffles, so a model group may
-hold any share of the registry.
+hold any share of the registry; only the place of a version among those of its group takes a window.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from distributary.functions.column_types import (
@@ -63,8 +63,9 @@ def latest_schemas(schemas: DataFrame) -> DataFrame:
 
 
 def order_schemas(schemas: DataFrame) -> DataFrame:
-    """All versions, groups together and versions ascending by number."""
-    return schemas.orderBy(*GROUP_COLUMNS, "revision", "addition")
+    """All versions with their ``place`` in their group, ascending by number from 1."""
+    order = Window.partitionBy(*GROUP_COLUMNS).orderBy("revision", "addition")
+    return schemas.withColumn("place", F.row_number().over(order))
 
 
 def schemas_until(schemas: DataFrame, known: DataFrame) -> DataFrame:
