@@ -30,6 +30,7 @@ from distributary.llm.shared import BROADCAST_BYTES, arrow_schema, written
 from distributary.llm.text import LOWER, SPACED, U64, Texts, Words, batch_of, gram_hashes, per_row, range_hashes, spread_bits, texts_of, words_of
 
 ORDER = 4
+GRAM_CHUNK = 1 << 20  # bytes of text at a time; their n-grams take some hundred times as much memory
 REACH = 4.0
 LEAST_REACH = 0.35
 SHORT_REACH = 2.0
@@ -118,7 +119,7 @@ def gram_counts(documents: DataFrame, order: int) -> DataFrame:
         kept: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
             names = np.array(batch.column("language").to_pylist(), dtype=object)
-            for texts in texts_of(batch.column("text")):
+            for texts in texts_of(batch.column("text"), GRAM_CHUNK):
                 row, code = gram_codes(texts, order)
                 own = names[texts.first : texts.first + len(texts)]
                 for name in set(own.tolist()):
@@ -256,7 +257,7 @@ def based(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in texts_of(batch.column("text")):
+            for texts in texts_of(batch.column("text"), GRAM_CHUNK):
                 rows = batch.slice(texts.first, len(texts))
                 added = batch_of(schema, base_counts(texts, words_of(texts, SPACED)))
                 yield pa.RecordBatch.from_arrays([*rows.columns, *added.columns], names=[*rows.schema.names, *schema.names])
@@ -265,14 +266,18 @@ def based(documents: DataFrame) -> DataFrame:
 
 
 def scored_in_place(documents: DataFrame, model: Model) -> DataFrame:
-    """All rows with the log-probability of their text and its number of n-grams."""
-    schema, order = arrow_schema(SCORES), model.order
+    """All rows with the counts of the base rules, the log-probability of their text and its number of n-grams.
+
+    Both in one function: a second one would need a second Python process for every task.
+    """
+    added_ddl = f"{BASE_RULES}, {SCORES}"
+    schema, order = arrow_schema(added_ddl), model.order
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = np.array(batch.column("language").to_pylist(), dtype=object)
-            for texts in texts_of(batch.column("text")):
+            for texts in texts_of(batch.column("text"), GRAM_CHUNK):
                 rows = batch.slice(texts.first, len(texts))
                 row, code = gram_codes(texts, order)
                 own = names[texts.first : texts.first + len(texts)]
@@ -282,10 +287,11 @@ def scored_in_place(documents: DataFrame, model: Model) -> DataFrame:
                     value[chosen] = held.value.scores(name, code[chosen])
                 sums = np.bincount(row, weights=value, minlength=len(texts))
                 counts = np.bincount(row, minlength=len(texts))
-                added = batch_of(schema, [sums, counts.astype(np.int64)])
+                base = base_counts(texts, words_of(texts, SPACED))
+                added = batch_of(schema, [*base, sums, counts.astype(np.int64)])
                 yield pa.RecordBatch.from_arrays([*rows.columns, *added.columns], names=[*rows.schema.names, *schema.names])
 
-    return documents.mapInArrow(run, with_columns(documents, SCORES))
+    return documents.mapInArrow(run, with_columns(documents, added_ddl))
 
 
 def scored_by_join(documents: DataFrame, model: DataFrame, order: int) -> DataFrame:
@@ -296,7 +302,7 @@ def scored_by_join(documents: DataFrame, model: DataFrame, order: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, names = batch.column("text_key"), batch.column("language")
-            for texts in texts_of(batch.column("text")):
+            for texts in texts_of(batch.column("text"), GRAM_CHUNK):
                 row, code = gram_codes(texts, order)
                 for i in range(len(texts)):
                     low, high = np.searchsorted(row, [i, i + 1])
@@ -334,8 +340,8 @@ def assess(documents: DataFrame, keep: list[str], order: int = ORDER, model_byte
     if model.count() * 24 <= model_bytes:
         scored = scored_in_place(documents, Model(model.toArrow(), order))
     else:
-        scored = scored_by_join(documents, model, order)
-    scored = based(scored).withColumn("log_ppl", F.when(F.col("n_grams") > 0, -F.col("log_sum") / F.col("n_grams")))
+        scored = based(scored_by_join(documents, model, order))
+    scored = scored.withColumn("log_ppl", F.when(F.col("n_grams") > 0, -F.col("log_sum") / F.col("n_grams")))
     numbers = ["language", "log_ppl", *(field.split()[0] for field in BASE_RULES.split(","))]
     scored = written(scored.select(*keep, *(c for c in numbers if c not in keep)), "scored")
     quartiles = F.percentile_approx("log_ppl", [0.25, 0.75], 10_000)
