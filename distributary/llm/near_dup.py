@@ -2,9 +2,9 @@
 
 Each text is the set of its word shingles. Equal sets form a class; one signature per class goes on. A tree of the
 forest is one order of the signature's values; all classes are sorted by it across the cluster. Classes that agree on
-its first ``DEPTH`` values form a region. Within a region, the candidates of a class are the ``NEIGHBOURS`` next ones
-in sorted order, those of longest common prefix: in a sparse region that is everybody, in a dense one the common
-prefix that is reached grows with the density. Ranges, not regions, are dealt to tasks, so a dense region is spread.
+its first ``DEPTH`` values form a region. Within a sparse region, the candidates of a class are all others, up to
+``NEIGHBOURS`` of them; in a dense one only the next in sorted order, with the longest common prefix, so the depth that
+a candidate must share grows with the density. Ranges, not regions, are dealt to tasks, so a dense region is spread.
 
 Candidates are confirmed on the full sets. Classes joined by candidates or by a dense region form a cluster, and each
 set travels once to the task of its cluster (a cluster of too many shingles is cut into blocks, with a task for each
@@ -157,6 +157,11 @@ def neighbours(entries: DataFrame) -> DataFrame:
             cols = [np.concatenate([a, b]) for a, b in zip(kept, new, strict=True)]
             tree, region, tail, node, n = cols
             total = len(tree)
+            # Entries that more than NEIGHBOURS follow in their region, as far as is known by now.
+            dense = np.zeros(total, dtype=bool)
+            reach = NEIGHBOURS + 1
+            dense[:-reach] = (tree[:-reach] == tree[reach:]) & (region[:-reach] == region[reach:])
+            dense[reach:] |= dense[:-reach].copy()
             for j in range(1, NEIGHBOURS + 2):
                 low = max(0, old - j)  # the second of the pair must be new
                 a, b = slice(low, total - j), slice(low + j, total)
@@ -167,6 +172,8 @@ def neighbours(entries: DataFrame) -> DataFrame:
                         yield rows(cut.shape[1], kind=CUT, tree=cut[0], region=cut[1])
                     break
                 close = close_enough(n[a], n[b])
+                if j > 1:
+                    close &= ~dense[a.start : a.stop]
                 for kind, chosen in ((PAIR, same & close), (NEXT, same & ~close & (j == 1))):
                     x, y = node[a][chosen], node[b][chosen]
                     weight = DEPTH + common(tail[a][chosen], tail[b][chosen])
@@ -238,13 +245,20 @@ def sets_of(documents: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return sets.dropDuplicates(["node", "fp1"]).join(nodes, ["node", "fp1"])
 
 
+def alike(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether two sets reach the similarity."""
+    both = np.sort(np.concatenate([one, other]))
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= PERCENT * (len(both) - shared)
+
+
 class Task:
     """Sets of a cluster, or of two blocks of one, and the links found among them."""
 
     def __init__(self, one: int, other: int) -> None:
         self.one, self.other = one, other
-        self.sets: dict[int, np.ndarray] = {}
-        self.dense: list[tuple[int, int]] = []  # node and block
+        self.sets: dict[int, list[np.ndarray]] = {}  # several where an id has several texts
+        self.dense: list[tuple[int, int, np.ndarray]] = []  # node, block and set
         self.parent: dict[int, int] = {}
 
     def root(self, node: int) -> int:
@@ -254,39 +268,38 @@ class Task:
         return node
 
     def add(self, node: int, block: int, dense: bool, shingles: bytes) -> None:
-        self.sets[node] = np.frombuffer(shingles, dtype=U64)
-        self.parent[node] = node
+        values = np.frombuffer(shingles, dtype=U64)
+        self.sets.setdefault(node, []).append(values)
+        self.parent.setdefault(node, node)
         if dense:
-            self.dense.append((node, block))
+            self.dense.append((node, block, values))
 
     def confirm(self, a: int, b: int) -> bool:
         """Links two nodes if their sets are similar enough and they are not linked yet."""
         x, y = self.root(a), self.root(b)
         if x == y:
             return False
-        both = np.sort(np.concatenate([self.sets[a], self.sets[b]]))
-        shared = int((both[1:] == both[:-1]).sum())
-        if 100 * shared < PERCENT * (len(both) - shared):
+        if not any(alike(one, other) for one in self.sets[a] for other in self.sets[b]):
             return False
         self.parent[max(x, y)] = min(x, y)
         return True
 
     def beyond_candidates(self) -> Iterator[tuple[int, int]]:
         """Links among members of dense regions: shared shingles of each with all others, by an inverted index."""
-        nodes = np.array([n for n, _ in self.dense], dtype=np.int64)
+        nodes = np.array([n for n, _, _ in self.dense], dtype=np.int64)
         roots = np.array([self.root(n) for n in nodes.tolist()])
         listed, counts = np.unique(roots, return_counts=True)
         if len(listed) < 2:
             return
-        sizes = np.array([len(self.sets[n]) for n in nodes.tolist()])
+        sizes = np.array([len(s) for _, _, s in self.dense])
         owner = np.repeat(np.arange(len(nodes)), sizes)
-        _, token = np.unique(np.concatenate([self.sets[n] for n in nodes.tolist()]), return_inverse=True)
+        _, token = np.unique(np.concatenate([s for _, _, s in self.dense]), return_inverse=True)
         order = np.argsort(token, kind="stable")
         holders = owner[order]  # owners by token
         often = np.bincount(token)
         first = np.cumsum(often) - often
         begins = np.cumsum(sizes) - sizes
-        blocks = np.array([b for _, b in self.dense])
+        blocks = np.array([b for _, b, _ in self.dense])
         # Every link between two components has a side outside the largest one.
         asking = np.flatnonzero((roots != listed[counts.argmax()]) & (blocks == self.one) if self.one == self.other else blocks == self.one)
         for i in asking.tolist():
@@ -294,8 +307,8 @@ class Task:
             n = often[own]
             at = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             shared = np.bincount(holders[at], minlength=len(nodes))
-            alike = 100 * shared >= PERCENT * (sizes[i] + sizes - shared)
-            for j in np.flatnonzero(alike & (blocks == self.other)).tolist():
+            close = 100 * shared >= PERCENT * (sizes[i] + sizes - shared)
+            for j in np.flatnonzero(close & (blocks == self.other)).tolist():
                 a, b = int(nodes[i]), int(nodes[j])
                 x, y = self.root(a), self.root(b)
                 if x != y:

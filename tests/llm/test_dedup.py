@@ -65,6 +65,20 @@ def test_dense_region_with_several_components(spark, monkeypatch):
     assert found_components(cases.frame(spark, rows), 4) == brute_components(rows, 4)
 
 
+def test_an_id_with_two_texts_joins_the_copies_of_both(spark):
+    one, other = ([f"{x}{i}" for i in range(50)] for x in "ab")
+    rows = [(i, " ".join(words), "en", "s", 0) for i, words in ((5, one), (5, other), (7, [*one, "z"]), (9, ["z", *other]))]
+    found = near_dup.near_duplicates(cases.frame(spark, rows), 4).collect()
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in found} == {(5, 5, True), (7, 5, False), (9, 5, False)}
+
+
+def test_blocks_of_a_cluster(spark, monkeypatch):
+    """A cluster of several blocks gives the same components."""
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 300)
+    rows = cases.random_documents(120, seed=8)
+    assert found_components(cases.frame(spark, rows), 4) == brute_components(rows, 4)
+
+
 def test_no_near_duplicates_in_an_empty_table(spark):
     assert near_dup.near_duplicates(cases.empty(spark), 4).collect() == []
 
