@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,5 +45,16 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, ARROW_TYPES[kind]) for name, kind in fields])
 
 
+def found_by_tasks(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, whatever their working folder is."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; the start of every query."""
+    found_by_tasks(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
