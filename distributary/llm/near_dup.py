@@ -178,7 +178,7 @@ def neighbours(entries: DataFrame) -> DataFrame:
                     x, y = node[a][chosen], node[b][chosen]
                     weight = DEPTH + common(tail[a][chosen], tail[b][chosen])
                     if len(x):
-                        yield rows(len(x), kind=kind, a=np.minimum(x, y), b=np.maximum(x, y), weight=weight)
+                        yield rows(len(x), kind=kind, a=np.minimum(x, y), b=np.maximum(x, y), weight=weight, place=int(j == 1))
             seen += total - old
             if first is None or len(first[0]) < NEIGHBOURS + 1:
                 joined = new if first is None else [np.concatenate([a, b]) for a, b in zip(first, new, strict=True)]
@@ -222,7 +222,7 @@ def across_tasks(found: DataFrame) -> DataFrame:
                     zero = np.zeros(k, np.int64)
                     weight = DEPTH + common(tail[a][chosen], tail[b][chosen])
                     yield batch_of(schema, [
-                        np.full(k, kind), np.minimum(x, y), np.maximum(x, y), weight, zero, zero, zero,
+                        np.full(k, kind), np.minimum(x, y), np.maximum(x, y), weight, zero, (step[chosen] == 1), zero,
                         tree[a][chosen], region[a][chosen], zero, zero,
                     ])
 
@@ -347,13 +347,25 @@ def confirmed(work: DataFrame) -> DataFrame:
     return dealt.select(*work_columns).mapInArrow(run, schema)
 
 
+def without_settled(pairs: DataFrame, dense: DataFrame) -> DataFrame:
+    """Candidates without those between two members of dense regions that are nobody's nearest neighbours.
+
+    The search beyond candidates covers these two, whichever sparse region they also met in.
+    """
+    one, other = (dense.select(F.col("node").alias(c)) for c in ("a", "b"))
+    far = pairs.filter("nearest = 0")
+    alone = far.join(one, "a", "left_anti").select(*pairs.columns)
+    mixed = far.join(other, "b", "left_anti").join(one, "a", "left_semi").select(*pairs.columns)
+    return pairs.filter("nearest = 1").union(alone).union(mixed)
+
+
 def links_of(documents: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     """Links between classes, enough to connect all that are connected."""
     entries = written(forest(classes), "forest")
     found = written(neighbours(entries), "neighbours")
     found = found.unionByName(across_tasks(found))
-    pairs = found.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("weight").alias("weight"))
-    pairs = written(pairs, "pairs")
+    pairs = found.filter(F.col("kind") == PAIR).groupBy("a", "b")
+    pairs = written(pairs.agg(F.sum("weight").alias("weight"), F.max("place").alias("nearest")), "pairs")
     cut = found.filter(F.col("kind") == CUT).select("tree", "region").distinct()
     dense = entries.join(cut, ["tree", "region"], "left_semi").select("node").distinct().withColumn("dense", F.lit(True))
     joined = components(pairs.select("a", "b").union(found.filter(F.col("kind") == NEXT).select("a", "b")))
@@ -374,7 +386,7 @@ def links_of(documents: DataFrame, classes: DataFrame, shingle: int) -> DataFram
         "dense", "shingles",
     )
     placed = lambda c: nodes.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"), F.col("block").alias(f"block_{c}"))
-    asked = pairs.join(placed("a"), "a").join(placed("b").drop("root_b"), "b").select(
+    asked = without_settled(pairs, dense).join(placed("a"), "a").join(placed("b").drop("root_b"), "b").select(
         F.col("root_a").alias("cluster"), F.least("block_a", "block_b").alias("one"),
         F.greatest("block_a", "block_b").alias("other"), F.lit(True).alias("is_pair"), "a", "b", "weight",
         F.lit(False).alias("dense"), nothing.cast("binary").alias("shingles"),
