@@ -47,6 +47,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.checkpoint.dir", f"{scratch}/shared")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
