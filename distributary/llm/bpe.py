@@ -33,7 +33,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 VISIBLE = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
 SYMBOL = "\ue000"
-CACHED_PIECES = 400_000
+CACHED_PIECES = 250_000
+CACHED_WORDS = 60_000
 CACHED_LENGTH = 64
 TOGETHER = 48
 NEVER = np.iinfo(np.int64).max
@@ -177,7 +178,7 @@ class Vocabulary:
         self.first_newer = chr(min(self.newer, default=0x10FFFF))
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.decimal = [str(i).encode() for i in range(self.size)]
-        self.words: dict[str, np.ndarray] = {}
+        self.words: dict[str, bytes] = {}
 
     def compatible(self, a: np.ndarray, b: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
         """Whether no merge crosses from token ``a`` to a following ``b``, before time ``until``.
@@ -320,14 +321,21 @@ class Vocabulary:
                 ])
             else:
                 cut.append(self.cut_words(part))
-        if len(self.words) > CACHED_PIECES:
+        if len(self.words) > CACHED_WORDS:
             self.words.clear()
         distinct = dict.fromkeys(w for c in cut for w in c if isinstance(w, str) and w not in self.words)
         new = dict(zip(distinct, self.encode_words([w.encode() for w in distinct]), strict=True))
-        ids = lambda w: np.array([w], np.int32) if isinstance(w, int) else self.words.get(w, new.get(w))
+
+        def ids(w: str | int) -> np.ndarray:
+            if isinstance(w, int):
+                return np.array([w], np.int32)
+            return new[w] if w in new else np.frombuffer(self.words[w], dtype=np.int32)
+
         nothing = np.zeros(0, np.int32)
         result = [ids(c[0]) if len(c) == 1 else np.concatenate([nothing, *map(ids, c)]) for c in cut]
-        self.words.update((w, v) for w, v in new.items() if len(w) <= CACHED_LENGTH)
+        # Words of several pieces are worth keeping; those of one piece are known with it.
+        several = {w for c in cut if len(c) > 1 for w in c if isinstance(w, str)}
+        self.words.update((w, new[w].tobytes()) for w in several if w in new and len(w) <= CACHED_LENGTH)
         return result
 
     def decode(self, ids: Iterable[int]) -> str:
