@@ -8,7 +8,8 @@ there, and a path is known by its 64-bit hash). A node met by several documents
 those of its first document are reported. Consecutive ones join to maximal repeats in the document they are cut from.
 
 A window that is too frequent even at full depth leaves the tree: its first document is found by an aggregate, and the
-bounded list of such windows goes to all tasks. So no group grows with the frequency of a passage.
+bounded list of such windows goes to all tasks. Its repeats are decided there and dealt to the groups by the row they are
+cut from. So no group grows with the frequency of a passage.
 
 Windows are judged on the input. Documents are ordered by ``doc_id``; rows of equal ``doc_id`` do not remove words
 from each other, and rows without ``doc_id`` neither remove nor lose words. Null and empty texts have no words. Texts
@@ -196,17 +197,18 @@ def dealt_suffixes(documents: DataFrame, window: int, hot: Hot, groups: int) ->
                     left = left[is_hot]
                     if depth == window:
                         hit[left] = doc[left] > hot[depth - 1][1][place[is_hot]] if len(left) else False
+                        # Decided already, so they need not meet in a node: dealt by row, as they may be very many.
+                        group[left] = bucket_of(doc[left], tags[suffixes.row[left]], groups)
                     if not len(left):
                         break
                 known = hit.copy()
-                known[left] = True  # frequent at full depth: decided already
+                known[left] = True  # frequent at full depth
                 order = np.lexsort((doc, suffixes.window))
                 new = np.concatenate([[True], suffixes.window[order][1:] != suffixes.window[order][:-1]])
                 first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
                 later = doc[order] > doc[order][first]
                 hit[order[later]] = True
                 known[order[later]] = True
-                group[known & (group < 0)] = 0
                 rows: list[tuple[int, bytes, bytes]] = []
                 for chosen, hashed in ((~known, True), (hit, False)):
                     at = np.flatnonzero(chosen)
@@ -222,8 +224,8 @@ def dealt_suffixes(documents: DataFrame, window: int, hot: Hot, groups: int) ->
     return documents.select("doc_id", "text", "tag").mapInArrow(run, PARTS)
 
 
-def bucket_of(doc: np.ndarray, buckets: int) -> np.ndarray:
-    return (spread_bits(doc.view(U64)) % U64(buckets)).astype(np.int64)
+def bucket_of(doc: np.ndarray, tag: np.ndarray, buckets: int) -> np.ndarray:
+    return (spread_bits(spread_bits(doc.view(U64)) + tag.astype(U64)) % U64(buckets)).astype(np.int64)
 
 
 def group_hits(table: pa.Table, buckets: int) -> pa.Table:
@@ -250,7 +252,7 @@ def group_hits(table: pa.Table, buckets: int) -> pa.Table:
         chosen = order[sorted_doc > sorted_doc[first]]
         hits.append((doc[chosen], np.concatenate(tags)[chosen], np.concatenate(places)[chosen]))
     doc, tag, place = (np.concatenate(x) for x in zip(*hits, strict=True))
-    bucket = bucket_of(doc, buckets)
+    bucket = bucket_of(doc, tag, buckets)
     order = np.lexsort((place, tag, doc, bucket))
     doc, tag, place, bucket = doc[order], tag[order], place[order], bucket[order]
     rows = []

@@ -1,6 +1,8 @@
 """Near duplicates and repeated passages against brute force."""
 
 import hashlib
+import random
+from collections import Counter
 from itertools import combinations
 
 import pytest
@@ -117,6 +119,23 @@ def test_substrings(spark, rows, group):
     assert found == brute_repeats(rows, substrings.WINDOW)
 
 
+def test_no_group_grows_with_a_frequent_passage(spark):
+    """A passage in a third of the rows, frequent at full depth, is spread over the groups."""
+    rng, size = random.Random(4), 200
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"{cases.prose(rng, 20)} {passage if i % 3 == 0 else ''}", "en", "s", 0) for i in range(600)]
+    tagged = substrings.tagged(cases.frame(spark, rows))
+    hot, total = substrings.hot_prefixes(tagged, substrings.WINDOW, size)
+    assert len(hot) == substrings.WINDOW
+    sizes = Counter()
+    for part in substrings.dealt_suffixes(tagged, substrings.WINDOW, hot, -(-total // size)).collect():
+        sizes[part["group_id"]] += len(substrings.unpack(part["places"])[0])
+    assert sum(sizes.values()) > total / 2 and max(sizes.values()) < 4 * size
+    frame = substrings.without_repeats(cases.frame(spark, rows), group_suffixes=size, as_text=False)
+    found = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in frame.collect())
+    assert found == brute_repeats(rows, substrings.WINDOW)
+
+
 def test_substrings_as_text(spark):
     rows = cases.random_documents()
     frame = cases.frame(spark, rows)
