@@ -54,11 +54,12 @@ def base_counts(texts: Texts, words: Words) -> list[np.ndarray]:
     chars = per_row(inside & IS_START[data], offsets)
     symbols = per_row(IS_SYMBOL[data], offsets)
 
-    # Lines end at \n and at the end of the text.
-    ends = np.union1d(np.flatnonzero(data == 0x0A), offsets[1:])
-    last = np.isin(ends, offsets[1:])
-    starts = np.concatenate([[0], np.where(last[:-1], ends[:-1], ends[:-1] + 1)]) if len(ends) else ends
-    starts = np.minimum(starts, ends)
+    # Lines start with the text and behind each \n; they end at the next \n or with the text.
+    newlines = np.flatnonzero(data == 0x0A)
+    starts = np.union1d(offsets[:-1], newlines + 1)
+    starts = starts[starts < len(data)]
+    ends = np.append(newlines, len(data))[np.searchsorted(newlines, starts)]
+    ends = np.minimum(ends, offsets[np.searchsorted(offsets, starts, side="right")])
     has_word = np.concatenate([[0], np.cumsum(inside)])
     real = has_word[ends] > has_word[starts]
     starts, ends = starts[real], ends[real]

@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from distributary.llm import decontaminate, language, licenses, quality, toxicity, url_filter
-from distributary.llm.text import texts_of
+from distributary.llm.text import SPACED as SPACED_BYTES
+from distributary.llm.text import texts_of, words_of
 from tests.llm import cases
 
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -103,6 +104,15 @@ def test_quality_counts(spark):
     assert quality.quality_rules(cases.empty(spark)).collect() == []
 
 
+def test_lines_of_texts_that_begin_with_a_newline():
+    """The counts of a text do not depend on the texts before it in its chunk."""
+    texts = ["x", "\nfoo\nfoo", "foo", "", "\n", "\n\nfoo\n\nfoo", None, "foo\n", "\nfoo\nfoo\n", "a\na"]
+    for column in (texts, texts[1:], texts[::-1], ["\n"], [""]):
+        chunk = next(texts_of(pa.array(column, pa.string())))
+        found = quality.base_counts(chunk, words_of(chunk, SPACED_BYTES))
+        assert list(zip(*(x.tolist() for x in found), strict=True)) == [brute_rules(t)[:5] for t in column]
+
+
 def normal(text):
     data = re.sub(rb"[\x20\x09-\x0D]+", b" ", (text or "").encode())
     data = bytes(b + 32 if 65 <= b <= 90 else b for b in data)
