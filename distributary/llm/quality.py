@@ -1,15 +1,19 @@
 """Quality rules: counts over whole texts, and bands of n-gram perplexity per language.
 
 The language model is a modified Kneser-Ney model over bytes of lower-cased words (each run of white space counts as
-one space; every text starts with one). Spark counts all n-grams of all documents by language, takes the discounts
-from the counts of counts, and computes the interpolated probabilities; the model is one table of (language, n-gram,
-log-probability, back-off), held as sorted arrays of n-gram codes where it is small enough for every task
-(``BROADCAST_BYTES``), and joined by a shuffle where it is not. Both ways give the same perplexities.
+one space; every text starts with one). Documents are dealt into two halves by the hash of their normal form, so copies
+stay together, and each half is scored by the model of the other: no text predicts itself. Near copies may fall into
+both halves. Spark counts all n-grams of all documents by half and language, takes the discounts from the counts of
+counts, and computes the interpolated probabilities; the models are one table of (language, n-gram, log-probability,
+back-off), held as sorted arrays of n-gram codes where it is small enough for every task (``BROADCAST_BYTES``), and
+joined by a shuffle where it is not. Both ways give the same perplexities. A language whose texts are all in one half
+has no model to be scored by: all its n-grams are equally likely, and the bands reject none.
 
 A document's perplexity is compared with the distribution of its own language: below the lower band (repetition,
 boilerplate) or above the upper band (noise, another language or alphabet) it is rejected. Bands lie ``REACH``
 interquartile ranges outside the quartiles, at least ``LEAST_REACH``, and further for texts of few words, whose means
-scatter more (``SHORT_REACH`` over the root of the words). So they follow the corpus and leave its bulk alone. Documents without language share one model.
+scatter more (``SHORT_REACH`` over the root of the words). So they follow the corpus and leave its bulk alone. Documents
+without language count as one language.
 
 Null texts have no words, and their verdict follows from the base rules, like that of any text without n-grams. Texts
 of any length are counted whole. Equal rows are treated alike. Other columns are kept; names that this operator adds
@@ -332,11 +336,19 @@ def scored_by_join(documents: DataFrame, model: DataFrame, order: int) -> DataFr
     return joined.withColumns({"log_sum": F.coalesce("log_sum", F.lit(0.0)), "n_grams": F.coalesce("n_grams", F.lit(0))})
 
 
+def half_of(text: Column) -> Column:
+    """0 or 1, the same for all texts of one normal form."""
+    return F.pmod(F.xxhash64(F.trim(F.regexp_replace(F.lower(text), "[\\x20\\x09-\\x0D]+", " "))), F.lit(2))
+
+
 def assess(documents: DataFrame, keep: list[str], order: int = ORDER, model_bytes: int = 2 * BROADCAST_BYTES) -> DataFrame:
     """The columns ``keep`` of all rows with counts, ``perplexity`` (per byte), both verdicts and ``kept``."""
     language = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in documents.columns else F.lit("")
-    documents = documents.withColumns({"text": F.col("text").cast("string"), "language": language})
-    counts = written(gram_counts(documents, order), "gram-counts")
+    text = F.col("text").cast("string")
+    half = F.coalesce(half_of(text), F.lit(0))
+    keyed = lambda n: documents.withColumns({"text": text, "language": F.concat(n.cast("string"), F.lit(":"), language)})
+    counts = written(gram_counts(keyed(half), order), "gram-counts")
+    documents = keyed(1 - half)  # scored by the other half's model
     model = written(kneser_ney(counts, order), "gram-model")
     if model.count() * 24 <= model_bytes:
         scored = scored_in_place(documents, Model(model.toArrow(), order))
@@ -344,6 +356,7 @@ def assess(documents: DataFrame, keep: list[str], order: int = ORDER, model_byte
         scored = based(scored_by_join(documents, model, order))
     scored = scored.withColumn("log_ppl", F.when(F.col("n_grams") > 0, -F.col("log_sum") / F.col("n_grams")))
     numbers = ["language", "log_ppl", *(field.split()[0] for field in BASE_RULES.split(","))]
+    scored = scored.withColumn("language", F.expr("substring(language, 3)"))  # one band for both halves
     scored = written(scored.select(*keep, *(c for c in numbers if c not in keep)), "scored")
     quartiles = F.percentile_approx("log_ppl", [0.25, 0.75], 10_000)
     bands = scored.groupBy("language").agg(quartiles.alias("q")).select("language", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))

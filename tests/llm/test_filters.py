@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -174,6 +175,20 @@ def test_perplexity_against_brute_force_and_both_ways(spark):
         assert far[r["doc_id"]]["n_grams"] == r["n_grams"]
 
 
+@pytest.mark.parametrize("model_bytes", [1 << 30, 0])
+def test_no_text_predicts_itself(spark, model_bytes):
+    """Noise and foreign alphabets go, their copies too, and clean texts stay; in place and by joins."""
+    rng = random.Random(6)
+    noise = " ".join("".join(chr(rng.randrange(33, 127)) for _ in range(rng.randrange(3, 9))) for _ in range(300))
+    greek = " ".join("".join(chr(rng.randrange(0x3B1, 0x3CA)) for _ in range(rng.randrange(3, 9))) for _ in range(300))
+    odd = [(1000, noise), (1001, greek), (1002, noise.upper().replace(" ", "\n")), (1003, noise.lower())]
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 8))) for _ in range(400)]
+    clean = [(i, " ".join(rng.choices(words, k=rng.randrange(60, 300)))) for i in range(300)]
+    frame = cases.frame(spark, [(i, t, "en", "s", 1) for i, t in clean + odd])
+    found = quality.assess(frame, ["doc_id"], model_bytes=model_bytes).filter("kept").collect()
+    assert sorted(r["doc_id"] for r in found) == [i for i, _ in clean]
+
+
 def test_good_documents_stay_as_they_are(spark):
     rows = cases.random_documents(60)
     left = quality.good_documents(cases.clashing(cases.frame(spark, rows))).collect()
