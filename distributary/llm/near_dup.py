@@ -164,6 +164,8 @@ def neighbours(entries: DataFrame) -> DataFrame:
             dense[reach:] |= dense[:-reach].copy()
             for j in range(1, NEIGHBOURS + 2):
                 low = max(0, old - j)  # the second of the pair must be new
+                if total - j <= low:
+                    break
                 a, b = slice(low, total - j), slice(low + j, total)
                 same = (tree[a] == tree[b]) & (region[a] == region[b])
                 if j > NEIGHBOURS:

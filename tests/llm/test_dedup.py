@@ -81,6 +81,16 @@ def test_blocks_of_a_cluster(spark, monkeypatch):
     assert found_components(cases.frame(spark, rows), 4) == brute_components(rows, 4)
 
 
+def test_near_duplicates_of_few_texts_over_many_partitions(spark):
+    """Without adaptive execution, tasks get fewer entries than a text has neighbours."""
+    rows = cases.random_documents(2, seed=9)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert found_components(cases.frame(spark, rows), 4) == brute_components(rows, 4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_no_near_duplicates_in_an_empty_table(spark):
     assert near_dup.near_duplicates(cases.empty(spark), 4).collect() == []
 
