@@ -17,6 +17,7 @@ import json
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +27,14 @@ from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
 from distributary.llm.shared import arrow_schema
-from distributary.llm.text import Texts, batch_of, range_hashes, texts_of
+from distributary.llm.text import Texts, batch_of, distinct_ranges, texts_of
 
 # Fixed values of the byte-level tokenizer format: the pattern that cuts words, and the bytes that stand for themselves.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 VISIBLE = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
 SYMBOL = "\ue000"
-CACHED_PIECES = 250_000
-CACHED_WORDS = 60_000
+CACHED_PIECES = 60_000
 CACHED_LENGTH = 64
 TOGETHER = 48
 NEVER = np.iinfo(np.int64).max
@@ -71,12 +71,49 @@ def piece_starts(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return starts, cut[starts] & (cut[np.minimum(ends, n - 1)] & (ends < n))
 
 
+def stretches(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``values[begin : begin + size]`` of all ``begins``, one after the other."""
+    after = np.cumsum(sizes)
+    return values[np.repeat(begins - (after - sizes), sizes) + np.arange(after[-1] if len(after) else 0)]
+
+
+class Table:
+    """Byte strings by number, put together by array operations."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, numbers: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """For the numbers between consecutive ``bounds``, their strings one after the other."""
+        sizes = self.sizes[numbers]
+        raw = stretches(self.data, self.begins[numbers], sizes).tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes)])[bounds].tolist()
+        return [raw[i:j] for i, j in zip(ends, ends[1:], strict=False)]
+
+
 class PieceCache:
     """Token ids of texts, from those of their distinct pieces; short pieces stay known while a worker lives."""
 
     def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[bytes]], dtype: type) -> None:
         self.encode, self.dtype = encode, np.dtype(dtype)
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def recalled(self, parts: list[bytes]) -> tuple[list[bytes | None], list[int]]:
+        """What is known of the pieces, and which are new. Of two generations, the older one goes when the younger is full."""
+        if len(self.known) > CACHED_PIECES:
+            self.older, self.known = self.known, {}
+        found = list(map(self.known.get, parts))
+        new = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            ids = self.older.get(parts[i])
+            if ids is None:
+                new.append(i)
+            else:
+                found[i] = self.known[parts[i]] = ids
+        return found, new
 
     def texts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a chunk, and where those of each text start and end."""
@@ -84,33 +121,19 @@ class PieceCache:
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
         ends = np.append(starts[1:], len(texts.data))
-        hashes = range_hashes(texts.data, starts, ends)
-        distinct, at, place = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        keys = distinct.tolist()
-        found = [self.known.get(k) for k in keys]
-        new = [i for i, ids in enumerate(found) if ids is None]
+        at, place = distinct_ranges(texts.data, starts, ends)
         raw = texts.data.tobytes()
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            parts = [raw[a:b] for a, b in zip(starts[at[some]].tolist(), ends[at[some]].tolist(), strict=True)]
-            for j, part, ids in zip(some, parts, self.encode(parts, inner[at[some]]), strict=True):
-                found[j] = ids
-                if len(part) <= CACHED_LENGTH:
-                    self.known[keys[j]] = ids
+        parts = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+        found, new = self.recalled(parts)
+        for i, ids in zip(new, self.encode([parts[i] for i in new], inner[at[new]]) if new else [], strict=True):
+            found[i] = ids
+            if len(parts[i]) <= CACHED_LENGTH:
+                self.known[parts[i]] = ids
         flat = np.frombuffer(b"".join(found), dtype=self.dtype)
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.dtype.itemsize
-        begins = np.cumsum(sizes) - sizes
         lengths = sizes[place]
-        after = np.cumsum(lengths)
-        ids = flat[np.repeat(begins[place] - (after - lengths), lengths) + np.arange(after[-1])]
-        pieces = np.searchsorted(starts, texts.offsets)
-        return ids, np.concatenate([[0], after])[pieces]
-
-    def each(self, texts: Texts) -> list[np.ndarray]:
-        ids, bounds = self.texts(texts)
-        return np.split(ids, bounds[1:-1])
+        ids = stretches(flat, (np.cumsum(sizes) - sizes)[place], lengths)
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, texts.offsets)]
 
 
 def newer_letters() -> dict[int, str]:
@@ -177,8 +200,8 @@ class Vocabulary:
         self.newer = newer_letters()
         self.first_newer = chr(min(self.newer, default=0x10FFFF))
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.decimal = [str(i).encode() for i in range(self.size)]
-        self.words: dict[str, bytes] = {}
+        self.decimals = Table([b"%d," % i for i in range(self.size)])
+        self.contents = Table(self.bytes)
 
     def compatible(self, a: np.ndarray, b: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
         """Whether no merge crosses from token ``a`` to a following ``b``, before time ``until``.
@@ -278,27 +301,35 @@ class Vocabulary:
                 rank[r, c] = self.merges_of(ids[r, c], ids[r, c + 1])
         return result
 
-    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Proposals for all words, one check of all their borders, exact merging of the words that fail."""
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Proposals for all words, one check of all their borders, exact merging of the words that fail.
+
+        Gives the ids of all words, one after the other, and how many each has.
+        """
         found = [self.propose(w) for w in words]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((t for f in found for t in f), dtype=np.int64, count=int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(sizes.sum()))
         word = np.repeat(np.arange(len(words)), sizes)
         inner = np.flatnonzero(word[1:] == word[:-1])
         pairs, place = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
         bad = ~self.compatible(pairs // self.size, pairs % self.size)[place]
-        failing = set(word[inner[bad]].tolist())
-        flat = flat.astype(np.int32)
-        result = np.split(flat, np.cumsum(sizes)[:-1]) if words else []
+        failing = np.unique(word[inner[bad]]).tolist()
+        if not failing:
+            return flat.astype(np.int32), sizes
+        exact: dict[int, np.ndarray] = {}
         short = sorted((i for i in failing if len(words[i]) <= TOGETHER), key=lambda i: len(words[i]))
         for k in range(0, len(short), 20_000):
             some = short[k : k + 20_000]
-            for i, ids in zip(some, self.merged_together([words[i] for i in some]), strict=True):
-                result[i] = ids
-        for i in failing:
-            if len(words[i]) > TOGETHER:
-                result[i] = np.array(self.merged(words[i]), dtype=np.int32)
-        return result
+            exact.update(zip(some, self.merged_together([words[i] for i in some]), strict=True))
+        exact.update((i, np.array(self.merged(words[i]), dtype=np.int32)) for i in failing if len(words[i]) > TOGETHER)
+        kept = np.ones(len(words), dtype=bool)
+        kept[failing] = False
+        merged_ids = np.concatenate([exact[i] for i in failing])
+        merged_sizes = np.fromiter((len(exact[i]) for i in failing), dtype=np.int64, count=len(failing))
+        begins = np.cumsum(sizes) - sizes
+        begins[failing] = len(flat) + np.cumsum(merged_sizes) - merged_sizes
+        sizes[failing] = merged_sizes
+        return stretches(np.concatenate([flat.astype(np.int32), merged_ids]), begins, sizes), sizes
 
     def cut_words(self, part: str) -> list[str]:
         if part.isascii() or max(part, default="") < self.first_newer:
@@ -306,37 +337,48 @@ class Vocabulary:
         ends = [m.end() for m in self.pattern.finditer(part.translate(self.newer))]
         return [part[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
-    def encode_raw(self, parts: list[bytes], inner: np.ndarray) -> list[bytes]:
-        return [ids.tobytes() for ids in self.encode_pieces([p.decode() for p in parts])]
-
-    def encode_pieces(self, parts: list[str]) -> list[np.ndarray]:
-        """Ids of pieces of text: special tokens first, then words by the pattern."""
-        cut: list[list[str | int]] = []
-        for part in parts:
-            if self.cut_special and self.cut_special.search(part):
-                cut.append([
-                    w
-                    for i, section in enumerate(self.cut_special.split(part))
-                    for w in ([self.special[section]] if i % 2 else self.cut_words(section))
-                ])
-            else:
-                cut.append(self.cut_words(part))
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        distinct = dict.fromkeys(w for c in cut for w in c if isinstance(w, str) and w not in self.words)
-        new = dict(zip(distinct, self.encode_words([w.encode() for w in distinct]), strict=True))
-
-        def ids(w: str | int) -> np.ndarray:
-            if isinstance(w, int):
-                return np.array([w], np.int32)
-            return new[w] if w in new else np.frombuffer(self.words[w], dtype=np.int32)
-
-        nothing = np.zeros(0, np.int32)
-        result = [ids(c[0]) if len(c) == 1 else np.concatenate([nothing, *map(ids, c)]) for c in cut]
-        # Words of several pieces are worth keeping; those of one piece are known with it.
-        several = {w for c in cut if len(c) > 1 for w in c if isinstance(w, str)}
-        self.words.update((w, new[w].tobytes()) for w in several if w in new and len(w) <= CACHED_LENGTH)
-        return result
+    def cut_pieces(self, parts: list[bytes], inner: np.ndarray) -> tuple[list[bytes | int], np.ndarray]:
+        """Words (special tokens as their ids) of all pieces, and the piece that each is of.
+
+        Pieces with a cut on both sides are cut into words as one text: no word reaches over such a cut.
+        """
+        together = np.flatnonzero(inner).tolist()
+        text = b"".join([parts[i] for i in together]).decode()
+        alone = np.flatnonzero(~inner).tolist()
+        if self.cut_special and self.cut_special.search(text):  # special tokens hold no space, hence no cut
+            special = {i for i in together if self.cut_special.search(parts[i].decode())}
+            alone += sorted(special)
+            together = [i for i in together if i not in special]
+            text = b"".join([parts[i] for i in together]).decode()
+        words: list[bytes | int] = [w.encode() for w in self.cut_words(text)]
+        ends = np.cumsum(np.fromiter((len(parts[i]) for i in together), dtype=np.int64, count=len(together)))
+        starts = np.cumsum([0, *map(len, words)])[:-1]
+        owners = [np.array(together, dtype=np.int64)[np.searchsorted(ends, starts, side="right")]]
+        for i in alone:
+            sections = self.cut_special.split(parts[i].decode()) if self.cut_special else [parts[i].decode()]
+            before = len(words)
+            for k, section in enumerate(sections):
+                words += [self.special[section]] if k % 2 else [w.encode() for w in self.cut_words(section)]
+            owners.append(np.full(len(words) - before, i))
+        return words, np.concatenate(owners)
+
+    def encode_pieces(self, parts: list[bytes], inner: np.ndarray) -> list[bytes]:
+        """Ids (as 32-bit numbers) of pieces of text: special tokens first, then words by the pattern."""
+        words, owner = self.cut_pieces(parts, inner)
+        known = dict.fromkeys(words)
+        distinct = [w for w in known if isinstance(w, bytes)]
+        special = [w for w in known if isinstance(w, int)]
+        flat, sizes = self.encode_words(distinct)
+        flat = np.concatenate([flat, np.array(special, dtype=np.int32)])
+        sizes = np.concatenate([sizes, np.ones(len(special), np.int64)])
+        places = {w: i for i, w in enumerate([*distinct, *special])}
+        place = np.fromiter((places[w] for w in words), dtype=np.int64, count=len(words))
+        order = np.argsort(owner, kind="stable")
+        place, owner = place[order], owner[order]
+        ids = stretches(flat, (np.cumsum(sizes) - sizes)[place], sizes[place])
+        ends = 4 * np.cumsum(np.bincount(owner, weights=sizes[place], minlength=len(parts)).astype(np.int64))
+        raw, ends = ids.tobytes(), ends.tolist()
+        return [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of token ids; bytes that are no UTF-8 become replacement characters."""
@@ -350,7 +392,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceCache:
-    return PieceCache(vocabulary(path).encode_raw, np.int32)
+    return PieceCache(vocabulary(path).encode_pieces, np.int32)
 
 
 def encode(frame: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -396,12 +438,10 @@ def token_digests(documents: DataFrame, path: str) -> DataFrame:
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
             for texts in texts_of(batch.column("text")):
-                counts, digests, decoded = [], [], []
-                for ids in map(np.ndarray.tolist, cache.each(texts)):
-                    counts.append(len(ids))
-                    digests.append(sha(b",".join([words.decimal[i] for i in ids])))
-                    decoded.append(sha(words.decode(ids).encode()))
-                ids = batch.column("doc_id").slice(texts.first, len(texts))
-                yield batch_of(schema, [ids, counts, digests, decoded])
+                ids, bounds = cache.texts(texts)
+                decimals = [sha(x[:-1]) for x in words.decimals.joined(ids, bounds)]
+                decoded = [sha(x.decode("utf-8", errors="replace").encode()) for x in words.contents.joined(ids, bounds)]
+                doc_ids = batch.column("doc_id").slice(texts.first, len(texts))
+                yield batch_of(schema, [doc_ids, np.diff(bounds), decimals, decoded])
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, DIGESTS)

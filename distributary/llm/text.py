@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -57,21 +57,10 @@ def lower_table() -> np.ndarray:
 
 
 SPACED, PLAIN, LOWER = spaced_words(), plain_words(), lower_table()
-BYTE_VALUES = constants(256, 11)
-BASE = int(constants(1, 23)[0]) & ~7 | 5  # 5 modulo 8: its powers have the longest period
-INVERSE = pow(BASE, -1, 1 << 64)
-
-
-@lru_cache(maxsize=4)
-def powers_of(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base, dtype=U64)
-    steps[0] = 1
-    return np.multiply.accumulate(steps)
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """At least the first ``n`` powers, modulo 2^64; sizes are rounded up so that few are ever computed."""
-    return powers_of(base, max(1 << max(n, 1).bit_length(), 2 * CHUNK_BYTES))
+LENGTHS = constants(1, 11)[0]
+BLOCK = 8
+BLOCKS = 8  # longer ranges are hashed one by one
+KEPT = np.array([(1 << 8 * n) - 1 for n in range(BLOCK + 1)], dtype=U64)
 
 
 @dataclass
@@ -143,13 +132,65 @@ class Words:
         return range_hashes(self.texts.data, self.start, self.end)
 
 
+def blocks_at(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes that start at each place of the data as one little-endian number; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(BLOCK, np.uint8)])
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range: a polynomial over fixed byte values, from prefix sums, then mixed."""
-    n = len(data)
-    sums = np.zeros(n + 1, dtype=U64)
-    np.cumsum(BYTE_VALUES[data] * powers(BASE, n)[:n], out=sums[1:])
-    value = (sums[end] - sums[start]) * powers(INVERSE, n + 1)[start]
-    return spread_bits(value + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+    """64-bit hash of each byte range, mixed after every 8 bytes; ranges of up to 8 bytes and equal length never collide.
+
+    Ranges of more than 64 bytes are hashed one by one (BLAKE2b).
+    """
+    length = end - start
+    value = spread_bits(length.astype(U64) * LENGTHS)
+    blocks = blocks_at(data)
+    left = np.flatnonzero(length <= BLOCK * BLOCKS)
+    at, rest = start[left], length[left]
+    for _ in range(BLOCKS):
+        more = rest > 0
+        left, at, rest = left[more], at[more], rest[more]
+        if not len(left):
+            break
+        value[left] = spread_bits((value[left] ^ (blocks[at] & KEPT[np.minimum(rest, BLOCK)])) + LENGTHS)
+        at, rest = at + BLOCK, rest - BLOCK
+    for i in np.flatnonzero(length > BLOCK * BLOCKS):
+        digest = blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        value[i] = int.from_bytes(digest, "little")
+    return value
+
+
+def same_ranges(data: np.ndarray, start: np.ndarray, other: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the ranges of equal ``length`` at ``start`` and at ``other`` hold the same bytes."""
+    same = np.ones(len(start), dtype=bool)
+    blocks = blocks_at(data)
+    left = np.flatnonzero((start != other) & (length <= BLOCK * BLOCKS))
+    done = 0
+    while len(left := left[length[left] > done]):
+        kept = KEPT[np.minimum(length[left] - done, BLOCK)]
+        same[left] &= ((blocks[start[left] + done] ^ blocks[other[left] + done]) & kept) == 0
+        done += BLOCK
+    for i in np.flatnonzero((start != other) & (length > BLOCK * BLOCKS)):
+        same[i] = np.array_equal(data[start[i] : start[i] + length[i]], data[other[i] : other[i] + length[i]])
+    return same
+
+
+def distinct_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One range of each content, and which of them each range equals; ranges are told apart by their bytes."""
+    _, at, place = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
+    length = end - start
+    wrong = length != length[at][place]
+    wrong[~wrong] = ~same_ranges(data, start[~wrong], start[at][place[~wrong]], length[~wrong])
+    if wrong.any():  # equal hashes of different bytes
+        seen: dict[bytes, int] = {}
+        for i in np.flatnonzero(wrong).tolist():
+            content = data[start[i] : end[i]].tobytes()
+            if content not in seen:
+                seen[content] = len(at)
+                at = np.append(at, i)
+            place[i] = seen[content]
+    return at, place
 
 
 def words_of(texts: Texts, table: np.ndarray) -> Words:

@@ -63,8 +63,9 @@ def library_encoder(path: str) -> PieceCache:
         text = b"".join([parts[i] for i in joined.tolist()]).decode()
         ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=dtype)
         ends = np.searchsorted(np.cumsum(lengths[ids]), np.cumsum([len(parts[i]) for i in joined.tolist()])) + 1
-        for i, some in zip(joined.tolist(), np.split(ids, ends[:-1]) if len(joined) else [], strict=True):
-            found[i] = some.tobytes()
+        raw, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
+        for i, low, high in zip(joined.tolist(), [0, *ends], ends, strict=False):
+            found[i] = raw[low:high]
         return found
 
     return PieceCache(run, dtype)
@@ -131,23 +132,23 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = library_encoder(path)
-        end = np.array([END_ID], dtype=cache.dtype)
         part, place, file = TaskContext.get().partitionId(), 0, None
         for batch in batches:
             for texts in texts_of(batch.column("text")):
-                rows = []
-                doc_ids = batch.column("doc_id").slice(texts.first, len(texts)).to_pylist()
-                for doc_id, ids in zip(doc_ids, cache.each(texts), strict=True):
-                    if file is None:
-                        file = SequenceFile(folder, f"{part:06d}-{uuid.uuid4().hex}.arrow", cache.dtype, length)
-                    rows.append((part, place, file.name, doc_id, file.size, len(ids) + 1))
-                    file.add(ids)
-                    file.add(end)
-                    place += len(ids) + 1
-                    if file.size >= file_tokens:
-                        file.close()
-                        file = None
-                yield batch_of(schema, list(zip(*rows, strict=True)))
+                ids, bounds = cache.texts(texts)
+                ids = np.insert(ids, bounds[1:], END_ID)
+                sizes = np.diff(bounds) + 1
+                before = np.cumsum(sizes) - sizes
+                if file is None:
+                    file = SequenceFile(folder, f"{part:06d}-{uuid.uuid4().hex}.arrow", cache.dtype, length)
+                same = [np.full(len(texts), part), place + before, [file.name] * len(texts)]
+                doc_ids = batch.column("doc_id").slice(texts.first, len(texts))
+                yield batch_of(schema, [*same, doc_ids, file.size + before, sizes])
+                file.add(ids)
+                place += len(ids)
+                if file.size >= file_tokens:
+                    file.close()
+                    file = None
         if file is not None:
             file.close()
 

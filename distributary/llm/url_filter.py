@@ -5,7 +5,13 @@ filter, the listed ones that pass the second by chance into a third, and so on u
 level that a key does not pass then decides it, exactly, for every key of the corpus: no join is needed.
 
 Keys are split by hash into segments of bounded size with a cascade each, built by one task per segment from the
-distinct keys. Verdicts are given in one narrow pass over the pages with all cascades at hand, or, where those exceed
+distinct keys.
+
+Keys are known by 64-bit hashes. Should a listed and another key have the same hash, no filter
+can tell them apart: both stay out of the cascades, and the listed ones of such keys are kept as texts beside them (one
+in 2^64 pairs; more than ``TWINS`` are refused).
+
+Verdicts are given in one narrow pass over the pages with all cascades at hand, or, where those exceed
 ``BROADCAST_BYTES``, in one such pass per block of segments.
 
 A URL's host is what stands between the first ``://`` and the next ``/``, ``?``, ``#`` or the end, in lower case
@@ -15,7 +21,7 @@ treated alike; other columns are not looked at. Keys that are null are not liste
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +34,7 @@ from distributary.llm.text import U64, batch_of, constants, range_hashes, spread
 SEGMENT_KEYS = 1_000_000
 BITS_PER_KEY = 10
 PROBES = 5
+TWINS = 100_000
 
 # Rules as (verdict, host, path).
 RULES = [
@@ -38,7 +45,9 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
-CASCADES = "segment long, levels binary, sizes binary"
+CASCADES = "segment long, levels binary, sizes binary, twins binary"
+
+Hashes = Callable[[pa.Array], np.ndarray]
 
 
 def host_of(url: Column) -> Column:
@@ -82,7 +91,7 @@ def passes(bitset: np.ndarray, keys: np.ndarray, level: int) -> np.ndarray:
 
 
 def cascade(listed: np.ndarray, others: np.ndarray) -> list[np.ndarray]:
-    """Bit sets of all levels for two disjoint sets of key hashes."""
+    """Bit sets of all levels for two sets of key hashes that have none in common."""
     levels: list[np.ndarray] = []
     inside, outside = listed, others
     while len(inside):
@@ -103,35 +112,61 @@ def listed_by(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
     return passed % 2 == 1
 
 
-def cascades(keys: DataFrame, segment_keys: int = SEGMENT_KEYS) -> tuple[DataFrame, int]:
-    """A cascade per segment from distinct ``key``, ``listed``; and the number of segments."""
+def cascades(keys: DataFrame, segment_keys: int = SEGMENT_KEYS, hashes: Hashes = key_hashes) -> tuple[DataFrame, int]:
+    """A cascade per segment from distinct ``key``, ``listed``, with hashes of both kinds; and the number of segments."""
     total = keys.count()
     segments = max(1, -(-total // segment_keys))
     schema = "segment long, hash long, listed boolean"
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            value = key_hashes(batch.column("key"))
+            value = hashes(batch.column("key"))
             segment = (value >> U64(32)) % U64(segments)
             yield batch_of(arrow_schema(schema), [segment.astype(np.int64), value.view(np.int64), batch.column("listed")])
 
     def build(table: pa.Table) -> pa.Table:
         value = table.column("hash").to_numpy().view(U64)
         listed = table.column("listed").to_numpy()
-        levels = cascade(value[listed], value[~listed])
+        twins = np.intersect1d(value[listed], value[~listed])
+        listed, others = (np.setdiff1d(x, twins) for x in (value[listed], value[~listed]))
+        levels = cascade(listed, others)
         sizes = np.array([len(x) for x in levels], dtype=np.int64)
         packed = np.concatenate([np.zeros(0, np.uint8), *levels])
-        row = [[table.column("segment")[0].as_py()], [packed.tobytes()], [sizes.tobytes()]]
+        row = [[table.column("segment")[0].as_py()], *([x.tobytes()] for x in (packed, sizes, twins))]
         return pa.Table.from_batches([batch_of(arrow_schema(CASCADES), row)])
 
     parts = keys.select("key", "listed").mapInArrow(hashed, schema)
     return parts.groupBy("segment").applyInArrow(build, CASCADES), segments
 
 
-def with_membership(frame: DataFrame, keys: DataFrame, segment_keys: int = SEGMENT_KEYS, block_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def listed_twins(keys: DataFrame, built: DataFrame, hashes: Hashes) -> tuple[np.ndarray, set[str]]:
+    """Hashes that listed and other keys share, and the listed keys among those that have one."""
+    shared = built.filter(F.length("twins") > 0)
+    if (shared.agg(F.sum(F.length("twins"))).first()[0] or 0) > 8 * TWINS:
+        raise ValueError(f"more than {TWINS} hashes stand for listed and other keys")
+    twins = np.sort(np.concatenate([np.zeros(0, U64), *(np.frombuffer(r["twins"], U64) for r in shared.select("twins").collect())]))
+    if not len(twins):
+        return twins, set()
+
+    def having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(np.isin(hashes(batch.column("key")), twins)))
+
+    listed = keys.filter("listed").select("key")
+    return twins, {r["key"] for r in listed.mapInArrow(having, listed.schema).collect()}
+
+
+def with_membership(
+    frame: DataFrame,
+    keys: DataFrame,
+    segment_keys: int = SEGMENT_KEYS,
+    block_bytes: int = BROADCAST_BYTES,
+    hashes: Hashes = key_hashes,
+) -> DataFrame:
     """Adds ``listed`` to a frame with a column ``key``; ``keys`` holds every key of the frame."""
-    built, segments = cascades(keys, segment_keys)
+    built, segments = cascades(keys, segment_keys, hashes)
     built = written(built, "cascades")
+    twins, apart = listed_twins(keys, built, hashes)
     sizes = {r["segment"]: r["n"] for r in built.select("segment", F.length("levels").alias("n")).collect()}
     blocks: list[list[int]] = [[]]
     room = block_bytes
@@ -153,7 +188,7 @@ def with_membership(frame: DataFrame, keys: DataFrame, segment_keys: int = SEGME
                 ends = np.cumsum(np.frombuffer(sizes, dtype=np.int64))[:-1]
                 filters[segment] = np.split(np.frombuffer(packed, dtype=np.uint8), ends) if len(sizes) else []
             for batch in batches:
-                value = key_hashes(batch.column("key"))
+                value = hashes(batch.column("key"))
                 segment = ((value >> U64(32)) % U64(segments)).astype(np.int64)
                 known = batch.column("listed").to_pylist()
                 found = np.array([x is True for x in known], dtype=bool)
@@ -163,6 +198,8 @@ def with_membership(frame: DataFrame, keys: DataFrame, segment_keys: int = SEGME
                         own = np.flatnonzero(segment == s)
                         found[own] = listed_by(filters[int(s)], value[own])
                         decided[own] = True
+                for i in np.flatnonzero(np.isin(value, twins)) if len(twins) else ():
+                    found[i] = batch.column("key")[int(i)].as_py() in apart
                 listed = pa.array(found, mask=~decided)
                 columns = [listed if n == "listed" else batch.column(n) for n in batch.schema.names]
                 yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
