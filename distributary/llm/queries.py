@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, decontaminate, language, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
+from distributary.llm import bpe, decontaminate, fill_middle, language, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +54,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_checks(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_files": op10_token_files,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -176,4 +181,31 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(text, '')) as kept_sha256
         from document left join kept using (r)
     """,
+    "op11_fill_in_middle": r"""
+        with document as (
+            select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units,
+                sha256('7:' || coalesce(cast(doc_id as varchar), '')) as digest
+            from documents),
+        drawn as (
+            select *, cast(len(units) as bigint) as n, cast('0x' || digest[1:8] as bigint) as h1,
+                cast('0x' || digest[9:16] as bigint) as h2, cast('0x' || digest[17:24] as bigint) as h3,
+                cast('0x' || digest[25:32] as bigint) as h4
+            from document),
+        cut as (
+            select *, least(h1 % (n + 1), h2 % (n + 1)) as i, greatest(h1 % (n + 1), h2 % (n + 1)) as j,
+                case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                    or h3 % 100 >= 100 then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form
+            from drawn),
+        part as (
+            select *, array_to_string(units[1 : i], '') as prefix, array_to_string(units[i + 1 : j], '') as middle,
+                array_to_string(units[j + 1 :], '') as suffix
+            from cut)
+        select doc_id, n, form,
+            case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+            case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+            sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+            sha256(text) as restored_sha256
+        from part
+    """,
 }
