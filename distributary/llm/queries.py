@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, decontaminate, fill_middle, language, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
+from distributary.llm import bpe, decontaminate, divergence, fill_middle, language, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,6 +58,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_files": op10_token_files,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -208,4 +213,43 @@ ORACLES: dict[str, str] = {
             sha256(text) as restored_sha256
         from part
     """,
+    "op13_source_divergence": r"""
+        with document as (
+            select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as r,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words
+            from documents),
+        word as (select r, lang, source, unnest(words) as term from document),
+        kept as (select lang, term, count(*) as n from word group by lang, term having count(distinct r) >= 10),
+        counted as (
+            select lang, source, term, w.n from (select lang, source, term, count(*) as n from word group by all) as w
+            join kept using (lang, term)),
+        total as (select lang, count(*) as v, sum(n) as n from kept group by lang),
+        cohort as (
+            select g.lang, g.source, coalesce(t.v, 0) as v, coalesce(c.n, 0) as n
+            from (select distinct lang, source from document) as g
+            left join (select lang, source, sum(n) as n from counted group by all) as c using (lang, source)
+            left join total as t using (lang)),
+        cell as (
+            select g.lang, g.source, k.term, c.n is not null as occurs,
+                1 + (cast(1000000000 as hugeint) * (coalesce(c.n, 0) + 2)) // (g.n + 2 * g.v) as p,
+                1 + (cast(1000000000 as hugeint) * (k.n + 2)) // (t.n + 2 * t.v) as q
+            from cohort as g join kept as k using (lang) join total as t using (lang)
+            left join counted as c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+        pair as (
+            select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value
+            from cell as a join cell as b using (lang, term) where a.source <> b.source group by all
+            union all
+            select a.lang, a.source, b.source, 0 from cohort as a join cohort as b using (lang)
+            where a.v = 0 and a.source <> b.source),
+        term as (
+            select lang, source, term as item, ((p - q) * (p - q)) // (p + q) as value from cell where occurs and p > q),
+        ranked as (
+            select 'pair' as part, *, row_number() over (partition by lang, source order by value desc, item) as place
+            from pair
+            union all
+            select 'term', *, row_number() over (partition by lang, source order by value desc, item) from term)
+        select lang, source, part, item, cast(value as bigint) as value, cast(place as integer) as rank
+        from ranked where part = 'pair' or place <= 10
+    """,
 }
