@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from distributary.llm import bpe, decontaminate, divergence, fill_middle, language, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
+from distributary.llm import bpe, classifier, decontaminate, divergence, fill_middle, language, licenses, near_dup, quality, substrings, token_files, toxicity, url_filter
 from distributary.llm.shared import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,6 +58,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality(*(read_table(spark, sf_dir, name) for name in ("documents", "labels")))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_files": op10_token_files,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_source_divergence": op13_source_divergence,
 }
 
