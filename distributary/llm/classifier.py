@@ -6,10 +6,10 @@ is the pair of a word with itself, whatever the word. A feature counts 1 + log2
 score is the sigmoid of a sparse dot product; texts without words score the sigmoid of the bias.
 
 Training is FTRL-Proximal: each feature has its own learning rate and its weight stays 0 until the evidence exceeds
-``L1``. The labelled rows are dealt by hash to shards of about ``SHARD_ROWS``, whatever their number; every shard is
-trained by one task, in the order of a hash, and after each of ``PASSES`` passes the states of the shards are averaged,
-weighted by rows, and sent out again (iterative parameter mixing). The driver and each task hold ``BUCKETS`` states,
-never rows; the number of features is a parameter and does not grow with the input.
+``L1``. All labelled rows train. They are dealt by hash to shards of about ``SHARD_ROWS`` rows and at most about
+``SHARD_BYTES`` of text; every shard is trained by one task, ``PASSES`` times over its rows in the order of a hash, and
+the weights of the shards are averaged, weighted by rows (parameter mixing). Features are shuffled once and never
+written. The driver holds ``BUCKETS`` weights, a task those and its shard, whatever the size of the input.
 
 Labels are used only of rows whose crc32 of ``doc_id`` modulo ``FOLDS`` is not ``HELD_OUT``. Several labels of one
 document count as 0 if any is 0; null labels and ids are ignored. Only texts and labels are looked at. Without labels of
@@ -37,6 +37,7 @@ BUCKETS = 1 << 18
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.3, 0.05
 PASSES = 4
 SHARD_ROWS = 20_000
+SHARD_BYTES = 64 << 20
 
 SPACE, LETTER, MARK = 0, 1, 2
 PAIR = constants(1, 301)[0]
@@ -157,8 +158,14 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.min((F.col("label") != 0).cast("int")).alias("label"))
 
 
-def labelled_examples(documents: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
-    """Features of every labelled row, and the hash that deals it to a shard."""
+def labelled_texts(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``place`` (a hash of id and text), ``label`` and ``text`` of every labelled row."""
+    documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return documents.join(labels, "doc_id").select(F.xxhash64("doc_id", "text").alias("place"), "label", "text")
+
+
+def labelled_examples(texts: DataFrame, buckets: int) -> DataFrame:
+    """The features of labelled texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(f"place long, {EXAMPLES}")
@@ -169,65 +176,52 @@ def labelled_examples(documents: DataFrame, labels: DataFrame, buckets: int) ->
                 columns = [batch.column(name).slice(texts.first, len(texts)) for name in ("place", "label")]
                 yield batch_of(schema, [*columns, [b.tobytes() for b, _ in packed], [w.tobytes() for _, w in packed]])
 
-    documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    place = F.xxhash64("doc_id", "text").alias("place")
-    return documents.join(labels, "doc_id").select(place, "label", "text").mapInArrow(run, f"place long, {EXAMPLES}")
+    return texts.mapInArrow(run, f"place long, {EXAMPLES}")
 
 
-def train_shard(state: State, examples: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> int:
-    """Learns from the examples in turn; says how many there were."""
-    seen, bias = 0, np.array([len(state.z) - 1])
-    for label, at, x in examples:
-        state.learn(np.concatenate([at, bias]), np.append(x, 1.0).astype(np.float64), label)
-        seen += 1
-    return seen
+def train_shard(state: State, examples: list[tuple[int, np.ndarray, np.ndarray]], passes: int = PASSES) -> State:
+    """Learns from the examples in turn, ``passes`` times."""
+    bias = np.array([len(state.z) - 1])
+    for _ in range(passes):
+        for label, at, x in examples:
+            state.learn(np.concatenate([at, bias]), np.append(x, 1.0).astype(np.float64), label)
+    return state
 
 
-def one_pass(examples: DataFrame, state: State, shards: int) -> State:
-    """All shards go on from the given state; their states are averaged, weighted by rows."""
-    held = examples.sparkSession.sparkContext.broadcast(state)
-    schema = "bucket int, z double, n double, rows long"
-    start = state
+def mixed(examples: DataFrame, buckets: int, shards: int) -> np.ndarray:
+    """Mean of the weights of all shards, by rows; the last is the bias."""
+    schema = "bucket int, weight double, rows long"
 
     def run(table: pa.Table) -> pa.Table:
-        own = State(held.value.z.copy(), held.value.n.copy())
         table = table.sort_by([("place", "ascending"), ("label", "ascending")])
         rows = zip(*(table.column(c).to_pylist() for c in ("label", "features", "weights")), strict=True)
-        seen = train_shard(own, ((y, np.frombuffer(f, np.int32), np.frombuffer(w, np.float32)) for y, f, w in rows))
-        at = np.flatnonzero((own.z != held.value.z) | (own.n != held.value.n))
-        at = np.union1d(at, [len(own.z) - 1])
-        change = [at, (own.z - held.value.z)[at] * seen, (own.n - held.value.n)[at] * seen, np.full(len(at), seen)]
-        return pa.Table.from_batches([batch_of(arrow_schema(schema), change)])
+        rows = [(y, np.frombuffer(f, np.int32), np.frombuffer(w, np.float32)) for y, f, w in rows]
+        weights = train_shard(State.fresh(buckets), rows).weights(slice(None))
+        at = np.union1d(np.flatnonzero(weights), [buckets])
+        return pa.Table.from_batches([batch_of(arrow_schema(schema), [at, weights[at] * len(rows), np.full(len(at), len(rows))])])
 
     shard = F.pmod(F.col("place"), F.lit(shards)).alias("shard")
-    parts = examples.select(shard, "place", "label", "features", "weights").groupBy("shard").applyInArrow(run, schema)
-    change = parts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("z", "n", "rows"))).toArrow()
-    held.unpersist()
-    if change.num_rows == 0:
-        return start
-    at = change.column("bucket").to_numpy()
-    rows = change.column("rows").to_numpy().max()  # every shard gives the bias
-    z, n = start.z.copy(), start.n.copy()
-    z[at] += change.column("z").to_numpy() / rows
-    n[at] += change.column("n").to_numpy() / rows
-    return State(z, n)
+    parts = examples.select(shard, "*").groupBy("shard").applyInArrow(run, schema)
+    found = parts.groupBy("bucket").agg(F.sum("weight").alias("weight"), F.sum("rows").alias("rows")).toArrow()
+    weights = np.zeros(buckets + 1)
+    rows = found.column("rows").to_numpy().max()  # every shard gives the bias
+    weights[found.column("bucket").to_numpy()] = found.column("weight").to_numpy() / rows
+    return weights
 
 
 def train(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS, shard_rows: int = SHARD_ROWS) -> Model:
     """Fits the model to all labels that are not held out."""
     known = written(training_labels(labels), "quality-labels")
-    size = known.count()
-    known = F.broadcast(known) if size * 64 <= BROADCAST_BYTES else known
-    examples = written(labelled_examples(documents, known, buckets), "quality-examples")
-    counts = {r["label"]: r["n"] for r in examples.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    ones, zeros = counts.get(1, 0), counts.get(0, 0)
+    known = F.broadcast(known) if known.count() * 64 <= BROADCAST_BYTES else known
+    texts = labelled_texts(documents, known)
+    size = F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("size")
+    sums = {r["label"]: r for r in texts.groupBy("label").agg(F.count("*").alias("n"), size).collect()}
+    ones, zeros = (sums[y]["n"] if y in sums else 0 for y in (1, 0))
     if not ones or not zeros:
         share = min(max(ones / max(ones + zeros, 1), 1e-12), 1 - 1e-12)
         return Model(np.zeros(buckets, np.float32), float(np.log(share / (1 - share))))
-    state = State.fresh(buckets)
-    for _ in range(PASSES):
-        state = one_pass(examples, state, max(1, -(-(ones + zeros) // shard_rows)))
-    weights = state.weights(slice(None))
+    shards = max(-(-(ones + zeros) // shard_rows), -(-sum(r["size"] for r in sums.values()) // SHARD_BYTES))
+    weights = mixed(labelled_examples(texts, buckets), buckets, shards)
     return Model(weights[:-1].astype(np.float32), float(weights[-1]))
 
 

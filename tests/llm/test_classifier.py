@@ -51,8 +51,7 @@ def test_updates_equal_the_written_formulas():
     for _ in range(200):
         at = rng.sample(range(size), 4)
         examples.append((int(3 in at or rng.random() < 0.1), np.array(at, np.int32), np.array([rng.random() for _ in at], np.float32)))
-    state = classifier.State.fresh(size)
-    assert classifier.train_shard(state, iter(examples)) == 200
+    state = classifier.train_shard(classifier.State.fresh(size), examples, passes=2)
     z, n = [0.0] * (size + 1), [0.0] * (size + 1)
 
     def weight(i):
@@ -60,7 +59,7 @@ def test_updates_equal_the_written_formulas():
             return 0.0
         return (math.copysign(classifier.L1, z[i]) - z[i]) / ((classifier.BETA + math.sqrt(n[i])) / classifier.ALPHA + classifier.L2)
 
-    for label, at, x in examples:
+    for label, at, x in examples * 2:
         pairs = [*zip(at.tolist(), x.tolist(), strict=True), (size, 1.0)]
         w = {i: weight(i) for i, _ in pairs}
         p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in pairs)))
@@ -83,22 +82,17 @@ def test_held_out_accuracy(spark):
     assert sum(g > b for g in good for b in bad) > 0.95 * len(good) * len(bad)
 
 
-def test_shards_learn_alike(spark):
+def test_shards_are_mixed(spark):
     documents, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
-    known = classifier.training_labels(labels)
-    examples = classifier.labelled_examples(documents, known, 1 << 12).cache()
-    state = classifier.one_pass(examples, classifier.State.fresh(1 << 12), 1)
+    texts = classifier.labelled_texts(documents, classifier.training_labels(labels))
+    examples = classifier.labelled_examples(texts, 1 << 12)
     rows = sorted(examples.collect(), key=lambda r: (r["place"], r["label"]))
-    plain = classifier.State.fresh(1 << 12)
-    classifier.train_shard(plain, ((r["label"], np.frombuffer(r["features"], np.int32), np.frombuffer(r["weights"], np.float32)) for r in rows))
-    assert np.allclose(plain.z, state.z) and np.allclose(plain.n, state.n)
-    halves = [classifier.State.fresh(1 << 12) for _ in range(2)]
-    counts = [
-        classifier.train_shard(h, ((r["label"], np.frombuffer(r["features"], np.int32), np.frombuffer(r["weights"], np.float32)) for r in rows if r["place"] % 2 == i))
-        for i, h in enumerate(halves)
-    ]
-    mixed = classifier.one_pass(examples, classifier.State.fresh(1 << 12), 2)
-    assert np.allclose(mixed.z, sum(c * h.z for c, h in zip(counts, halves, strict=True)) / sum(counts))
+    rows = [(r["place"], (r["label"], np.frombuffer(r["features"], np.int32), np.frombuffer(r["weights"], np.float32))) for r in rows]
+    for shards in (1, 3):
+        parts = [[x for place, x in rows if place % shards == i] for i in range(shards)]
+        models = [classifier.train_shard(classifier.State.fresh(1 << 12), part).weights(slice(None)) for part in parts]
+        wanted = sum(len(p) * m for p, m in zip(parts, models, strict=True)) / len(rows)
+        assert np.allclose(classifier.mixed(examples, 1 << 12, shards), wanted)
 
 
 @pytest.mark.parametrize("labelled", [[], [(2, 1, 0), (10, 1, 0)], [(2, 1, 0), (11, 0, 0), (11, 1, 0), (8, None, 0), (None, 0, 0), (999, 0, 0)]])
