@@ -184,13 +184,13 @@ ORACLES["json_text_roundtrip"] = "select conv_id, turn, role, text from conversa
 
 # Casts: JSON text of the value by event_id % 16, as it stands in messages.
 TOKEN = f"""case event_id % 16 when 0 then '"text ' || event_id || '"' when 1 then '' || event_id
-  when 2 then event_id || '.5' when 3 then '' || event_id
+  when 2 then event_id || '.5' when 3 then event_id || '.0'
   when 4 then case when event_id % 32 = 4 then 'true' else 'false' end
   when 7 then '{{"k":' || event_id || '}}' when 8 then '[' || event_id || ',"x"]'
   when 9 then '"' || upper({EVENT_UUID}) || '"'
   when 10 then '"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"'
   when 11 then '"' || strftime(ts, '%Y-%m-%d') || '"' when 12 then '' || (event_id + 3000000000)
-  when 13 then '9223372036854775808' when 14 then '1000.0' when 15 then '"abc"' end"""
+  when 13 then '9223372036854775808' when 14 then '1e3' when 15 then '"abc"' end"""
 
 
 def cast_sql(ddl: str, value: str, type_name: str, error: str | None = None) -> str:
@@ -237,6 +237,23 @@ ORACLES |= {
     "cast_timestamp": cast_sql("TIMESTAMP", by_case(_10=CLOCK), "timestamp", UNPARSED),
 }
 
+WRITTEN = """case event_id % 16 when 0 then event_id || '.0' when 1 then '1e3' when 2 then '-' || event_id || '.10'
+  when 3 then '{"z":' || event_id || '.50,"a":[1.0,{"y":-0,"b":"' || event_id || '.0 \\"1e5"}],"k":null}'
+  when 4 then '12345678901234567890123456789012345678901' when 5 then '9007199254740993e0'
+  when 6 then event_id || 'E+2' when 7 then '-0' when 8 then '25000e-3' when 9 then '1.5e0'
+  when 10 then '9223372036854775807.0' when 11 then '9223372036854775808.0'
+  when 12 then '[' || event_id || '.0,1E-7]' when 13 then '1e400' when 14 then '"' || event_id || '.10"'
+  when 15 then '100000000000000000000000e-20' end"""
+WHOLE = """case event_id % 16 when 0 then event_id when 1 then 1000 when 5 then 9007199254740993 when 6 then event_id * 100
+  when 7 then 0 when 8 then 25 when 10 then 9223372036854775807 when 15 then 1000
+  when 2 then case when event_id = 0 then 0 end end"""
+ORACLES["values_as_written"] = f"""
+select event_id, case when event_id % 16 = 14 then event_id || '.10' else token end as as_varchar, token as as_jsonb,
+  cast(whole as bigint) as as_bigint, case when whole between -2147483648 and 2147483647 then whole::integer end as as_integer,
+  case when whole is null or whole not between -2147483648 and 2147483647
+    then 'Invalid type INTEGER for value ' || token end as integer_error
+from (select event_id, {WRITTEN} as token, {WHOLE} as whole from events)"""
+
 # Types: by p_partkey % 30, in the order of the definitions.
 PART_TYPES = """case p_partkey % 30
   when 0 then 'TIMESTAMP' when 1 then 'DATE' when 2 then 'JSONB' when 3 then 'BIGINT' when 4 then 'INTEGER'

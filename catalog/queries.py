@@ -25,7 +25,7 @@ from catalog.inputs import (
 )
 from distributary.functions.casts import cast_json
 from distributary.functions.event_layout import ATOMIC_FIELDS, EVENTS_TABLE
-from distributary.functions.json_values import get_path, parse_document, plain_text
+from distributary.functions.json_values import get_path, marked, parse_document, plain_text, written_at
 from distributary.functions.payload import decode_payload, decode_strict
 from distributary.functions.schema_uri import (
     KEY_COLUMNS,
@@ -332,10 +332,10 @@ CASTS = {
 
 def cast_query(type_name: str, length: int | None, date_mode: str = "parse") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        documents = table(spark, sf_dir, "events").select(
-            "event_id", parse_document(F.expr(MIXED_VALUES)).alias("d")
-        )
-        value, message = cast_json(get_path(F.col("d"), ["v"]), type_name, length, date_mode)
+        texts = table(spark, sf_dir, "events").selectExpr("event_id", f"{MIXED_VALUES} as text")
+        documents = texts.select("event_id", parse_document(F.col("text")).alias("d"), marked(F.col("text")).alias("w"))
+        written = written_at(F.col("w"), F.array(F.lit("v")))
+        value, message = cast_json(get_path(F.col("d"), ["v"]), type_name, length, date_mode, written)
         return documents.select("event_id", value.alias("value"), message.alias("error"))
 
     return run
@@ -345,6 +345,34 @@ QUERIES |= {name: cast_query(*target) for name, target in CASTS.items()}
 QUERIES["cast_date_reject"] = cast_query("DATE", None, "reject")
 
 
+WRITTEN_VALUES = [
+    "EID.0", "1e3", "-EID.10", '{"z": EID.50, "a": [1.0, {"y": -0, "b": "EID.0 \\"1e5"}], "k": null}',
+    "12345678901234567890123456789012345678901", "9007199254740993e0", "EIDE+2", "-0", "25000e-3", "1.5e0", "9223372036854775807.0",
+    "9223372036854775808.0", "[ EID.0 , 1E-7 ]", "1e400", '"EID.10"', "100000000000000000000000e-20",
+]
+
+
+@query
+def values_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, lists and objects keep their text in VARCHAR and JSONB columns; whole numbers are exact however written."""
+    configure(spark)
+    branches = " ".join(f"when {i} then '{v}'" for i, v in enumerate(WRITTEN_VALUES)).replace("\\", "\\\\")
+    token = f"replace(case event_id % {len(WRITTEN_VALUES)} {branches} end, 'EID', cast(event_id as string))"
+    texts = table(spark, sf_dir, "events").selectExpr("event_id", f"""concat('{{"n":{{"v": ', {token}, ', "u":2}}}}') as text""")
+    documents = texts.select("event_id", parse_document(F.col("text")).alias("d"), marked(F.col("text")).alias("w"))
+    written = written_at(F.col("w"), F.array(F.lit("n"), F.lit("v")))
+    value = get_path(F.col("d"), ["n", "v"])
+    cast = lambda name, length=None: cast_json(value, name, length, written=written)
+    return documents.select(
+        "event_id",
+        cast("VARCHAR", 64)[0].alias("as_varchar"),
+        cast("JSONB")[0].alias("as_jsonb"),
+        cast("BIGINT")[0].alias("as_bigint"),
+        cast("INTEGER")[0].alias("as_integer"),
+        cast("INTEGER")[1].alias("integer_error"),
+    )
+
+
 # Types, names and the registry
 
 # One property definition per row of ``part``, by p_partkey % 30.

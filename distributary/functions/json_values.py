@@ -1,4 +1,10 @@
-"""JSON documents held as VARIANT: strict parsing, kinds and pointers."""
+"""JSON documents held as VARIANT: strict parsing, kinds and pointers; and values as they were written.
+
+VARIANT sorts the keys of objects and keeps numbers by value. Where the text of a value matters, it is cut out of the
+document itself: Spark's JSON reader hands over the text of a field with its keys in order and without blanks, and
+numbers it would rewrite (``1.10``, ``1e3``, ``-0``) are made strings beforehand, marked by a character that no
+document has, and unmarked afterwards.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +14,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMBER_KINDS = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*)"
+TEXT_MAP = "map<string,string>"
+
+# The mark is no character (U+FDD0). A text that has it anyway, plain or escaped, is left as it is.
+MARK = "\ufdd0"
+HAS_MARK = r"\x{FDD0}|\\[uU][fF][dD][dD]0"
+REWRITTEN = r"[0-9][.eE]|-0"
+STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+# From the end of the last match on: whatever is no number to mark, whole strings included, then such a number.
+NUMBER_TO_MARK = (
+    rf'\G((?:[^"0-9-]++|{STRING}|-(?![0-9])|(?!-0(?![0-9.eE]))-?[0-9]++(?![0-9.eE]))*+)'
+    r"(-0(?![0-9.eE])|-?[0-9]++[.eE][0-9.eE+-]*+)"
+)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -74,3 +92,25 @@ def json_text(value: Column) -> Column:
 def plain_text(value: Column) -> Column:
     """Content of a JSON string, compact JSON of anything else; NULL for JSON null."""
     return value.cast("string")
+
+
+def marked(text: Column) -> Column:
+    """A document whose numbers all survive the JSON reader."""
+    touched = text.rlike(REWRITTEN) & ~text.rlike(HAS_MARK)
+    return F.when(touched, F.regexp_replace(text, NUMBER_TO_MARK, f'$1"{MARK}$2"')).otherwise(text)
+
+
+def unmarked(text: Column) -> Column:
+    return F.when(text.contains(MARK), F.regexp_replace(text, f'"?{MARK}([0-9.eE+-]+)"?', "$1")).otherwise(text)
+
+
+def written_field(text: Column, name: Column | str) -> Column:
+    """Marked text of a field of a marked object; of equal keys the last one counts, as in VARIANT."""
+    key = F.lit(name) if isinstance(name, str) else name
+    named = F.map_values(F.map_filter(F.from_json(text, TEXT_MAP), lambda k, _: k == key))
+    return F.try_element_at(named, F.lit(-1))
+
+
+def written_at(text: Column, steps: Column) -> Column:
+    """JSON under an array of field names of a marked object, as it was written but for blanks; strings lose their quotes."""
+    return unmarked(F.aggregate(steps, text, lambda node, step: written_field(node, step)))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from distributary.functions.casts import UUID_PATTERN
 from distributary.functions.errors import error, no_errors, settled
 from distributary.functions.event_layout import ATOMIC_FIELDS, JSON_FIELDS, LINE_FIELDS, Field
-from distributary.functions.json_values import boxed_document, get_path, json_text, parse_document
+from distributary.functions.json_values import boxed_document, get_path, json_text, marked, parse_document, written_field
 from distributary.functions.schema_uri import (
     INVALID_URI,
     is_uri,
@@ -22,7 +22,9 @@ from distributary.functions.schema_uri import (
 ENRICHED = "ENRICHED_EVENTS"
 SELF_DESCRIBING = "JSON"
 
-ENTITY = "struct<schema:string,data:variant>"
+VALUE = "struct<schema:string,data:variant>"
+# ``written`` is the JSON of the data as it stands in the document (see ``json_values.marked``).
+ENTITY = "struct<schema:string,data:variant,written:string>"
 CLOCK_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?$"
 # Fixed value: order in which the three JSON fields of an event give their entities.
 ENTITY_ORDER = ["contexts", "derived_contexts", "unstruct_event"]
@@ -60,13 +62,18 @@ def raw_field(index: int) -> str:
     return f"get(fields, {index})"
 
 
-def entity_list(box: Column, name: str) -> Column:
-    """Entities inside one JSON field (a boxed document), NULL where its envelope is malformed."""
-    if name == "unstruct_event":
-        entities = F.array(F.try_variant_get(box, "$[0].data", ENTITY))
-    else:
-        entities = F.try_variant_get(box, "$[0].data", f"array<{ENTITY}>")
-    return F.when(is_uri(F.try_variant_get(box, "$[0].schema", "string")), entities)
+def entity_list(box: Column, text: Column, name: str) -> Column:
+    """Entities inside one JSON field (its text, and that as a boxed document), NULL where its envelope is malformed."""
+    one = name == "unstruct_event"
+    source = F.from_json(marked(text), f"data {'' if one else 'array<'}struct<data:string>{'' if one else '>'}")["data"]
+    value = F.try_variant_get(box, "$[0].data", VALUE if one else f"array<{VALUE}>")
+    values, sources = (F.array(value), F.array(source)) if one else (value, source)
+    entities = F.zip_with(
+        values,
+        F.coalesce(sources, F.array().cast("array<struct<data:string>>")),
+        lambda v, w: F.struct(v["schema"].alias("schema"), v["data"].alias("data"), w["data"].alias("written")),
+    )
+    return F.when(is_uri(F.try_variant_get(box, "$[0].schema", "string")) & values.isNotNull(), entities)
 
 
 def well_formed(entities: Column) -> Column:
@@ -122,7 +129,10 @@ def parse_enriched(lines: DataFrame, column: str = "value") -> DataFrame:
         "payload",
         "fields",
         "atomic",
-        *[entity_list(F.col(f"{name}_document"), name).alias(name) for name in JSON_FIELDS],
+        *[
+            entity_list(F.col(f"{name}_document"), F.expr(raw_field(index[name])), name).alias(name)
+            for name in JSON_FIELDS
+        ],
     )
     checked = listed.select(
         "*",
@@ -151,6 +161,7 @@ def parse_self_describing(lines: DataFrame, column: str = "value") -> DataFrame:
         "document",
         F.try_variant_get("document", "$.schema", "string").alias("schema"),
         get_path(F.col("document"), ["data"]).alias("data"),
+        written_field(marked(F.col("payload")), "data").alias("written"),
     )
     schema, data, document = F.col("schema"), F.col("data"), F.col("document")
     code = uri_error(schema)
@@ -168,7 +179,7 @@ def parse_self_describing(lines: DataFrame, column: str = "value") -> DataFrame:
     )
     parsed = documents.select(
         "payload",
-        F.when(F.size(errors) == 0, F.array(F.struct(schema, data)))
+        F.when(F.size(errors) == 0, F.array(F.struct(schema, data, F.col("written"))))
         .otherwise(F.array().cast(f"array<{ENTITY}>"))
         .alias("entities"),
         errors.alias("errors"),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from distributary.functions.casts import cell_failure, cell_text
 from distributary.functions.errors import ERROR, error, no_errors
 from distributary.functions.event_layout import EVENTS_TABLE, META_FIELDS
-from distributary.functions.json_values import fields_of, let, walk
+from distributary.functions.json_values import fields_of, let, walk, written_at
 from distributary.functions.schema_uri import (
     GROUP_COLUMNS,
     KEY_COLUMNS,
@@ -185,6 +185,9 @@ def shred_entity(
     def refused(name: str, message: Column) -> Column:
         return F.array(error(name, message, schema=schema))
 
+    def written(column: Column) -> Column:
+        return written_at(entity["written"], column["pointer"])
+
     def value_of(fields: Column, column: Column) -> Column:
         pointer = column["pointer"]
         top = fields[F.get(pointer, F.lit(0))]
@@ -194,7 +197,7 @@ def shred_entity(
     def cells_of(fields: Column) -> Column:
         return F.transform(
             columns,
-            lambda column: let(value_of(fields, column), lambda v: cell_text(v, column, date_mode)),
+            lambda column: let(value_of(fields, column), lambda v: cell_text(v, column, date_mode, written(column))),
         )
 
     def failure(fields: Column, column: Column) -> Column:
@@ -206,7 +209,7 @@ def shred_entity(
             return F.when(found.isNotNull(), wrong)
 
         return let(
-            let(value_of(fields, column), lambda value: cell_failure(value, column)), entry
+            let(value_of(fields, column), lambda value: cell_failure(value, column, written(column))), entry
         )
 
     def failures(fields: Column, cells: Column) -> Column:
