@@ -503,5 +503,30 @@ select case when {CASE} in ({listed(PARSING_CASES)}) then 'loader_parsing_error'
 from events group by 1"""
 
 ORACLES["widened_events"] = f"""
-select {EVENT_UUID} as event_id, repeat(md5('s' || user_id), 4) as domain_sessionid, 'DE' as geo_country
+select {EVENT_UUID} as event_id, repeat(md5('s' || user_id), 4) as domain_sessionid, 'DE' as geo_country,
+  'varchar(36)' as before, 'varchar(128)' as after, true as refused
 from events where {GOOD}"""
+
+FIRST_HALF = GOOD_COUNTS.replace(f"where {GOOD}", f"where {GOOD} and event_id % 2 = 0")
+ORACLES["replayed_batch_counts"] = f"""
+select a.table_name, a.n, coalesce(b.n, 0) as n_stopped, coalesce(b.n, 0) as n_before
+from ({GOOD_COUNTS}) a left join ({FIRST_HALF}) b using (table_name)"""
+
+# In the first half only ``k`` is known, so a label that is too long spoils no event.
+ORACLES["altered_table_rows"] = f"""
+select '1-0-' || (event_id % 3) as schema_version, uuid as root_id,
+  cast(json_extract_string(props, '$.k') as bigint) as k,
+  case when event_id % 2 = 1 and event_id % 3 > 0 then 'label ' || user_id end as label,
+  case when event_id % 2 = 1 and event_id % 3 = 2 then value end as ratio, 7::bigint as columns_before,
+  '{URI_PREFIX}com.acme/props/jsonschema/1-0-0' as comment_before,
+  '{URI_PREFIX}com.acme/props/jsonschema/1-0-2' as comment_after
+from ({ENTITIES}) where ({GOOD} or ({CASE} = 18 and event_id % 2 = 0)) and schema like '%/props/%'"""
+
+ORACLES["existing_tables"] = f"""
+with named as (select distinct {TABLE_OF} as table_name, split_part(schema, '/', 2) as name from ({ENTITIES}) where {PARSED})
+select table_name, name <> 'unknown' as is_there, case name when 'unknown' then null
+    when 'DeviceInfo' then '{URI_PREFIX}org.acme-labs/DeviceInfo/jsonschema/2-0-1'
+    else '{URI_PREFIX}com.acme/' || name || '/jsonschema/1-0-' || case name when 'props' then 2 else 0 end end as comment
+from named"""
+
+ORACLES["bad_row_files"] = f"select {OUTCOME} as kind, count(*) as n from events where {BAD} group by 1"

@@ -42,6 +42,7 @@ from distributary.operators import registry as schema_ops
 from distributary.operators.atomic import choose_errors, shred_atomic, shred_atomic_json
 from distributary.operators.entities import add_metadata, explode_entities
 from distributary.operators.shred import INLINE_MODE, Registry, shred_joined
+from distributary.plans.batches import committed
 from distributary.plans.shredding import (
     BAD_ROWS,
     bad_records,
@@ -49,11 +50,12 @@ from distributary.plans.shredding import (
     shred,
     table_rows,
 )
-from distributary.plans.tables import describe_table, widen_columns
+from distributary.plans.tables import create_events_table, describe_table, list_tables, table_comments, widen_columns
 from distributary.settings import configure, work_dir
 from distributary.sources.lines import AT_TIMESTAMP, not_empty, start_from, stream_lines
 from distributary.sources.registry import pick_by_priority, schemas_from
 from distributary.streaming.load import Loader
+from distributary.streaming.sinks import text_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -775,8 +777,8 @@ def loaded(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def table_counts(spark: SparkSession, database: str) -> DataFrame:
     counts = [
-        spark.table(f"{database}.{t.name}").agg(F.count("*").alias("n")).select(F.lit(t.name).alias("table_name"), "n")
-        for t in spark.catalog.listTables(database)
+        committed(spark, database, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
+        for name in list_tables(spark, database)
     ]
     return reduce(DataFrame.unionAll, counts)
 
@@ -800,7 +802,7 @@ def stream_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def loaded_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = loaded(spark, sf_dir, "table_rows")
-    return spark.table(f"{database}.com_acme_props_1").select(
+    return committed(spark, database, "com_acme_props_1").select(
         "schema_vendor", "schema_name", "schema_format", "schema_version", "root_id", "root_tstamp", "k", "label", "ratio"
     )
 
@@ -809,7 +811,7 @@ def loaded_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def loaded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of a created table in order, their declared types, and how many values each got."""
     database = loaded(spark, sf_dir, "columns")
-    rows = spark.table(f"{database}.com_acme_props_1")
+    rows = committed(spark, database, "com_acme_props_1")
     counted = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in rows.columns])
     described = describe_table(spark, database, "com_acme_props_1").drop("nullable")
@@ -834,7 +836,7 @@ def evolved_load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = Registry.from_schemas(listed.where("name <> 'props' or addition = 0"), mode=INLINE_MODE)
     loader = Loader(spark, old, SETTINGS, database, reload=lambda: registry(spark))
     loader.load(enriched_lines(spark, sf_dir))
-    return spark.table(f"{database}.com_acme_props_1").select("schema_version", "root_id", "k", "label", "ratio")
+    return committed(spark, database, "com_acme_props_1").select("schema_version", "root_id", "k", "label", "ratio")
 
 
 @query
@@ -852,8 +854,105 @@ def collision_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shredded.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
+def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The lines in two parts, by the number that most of them carry."""
+    lines = enriched_lines(spark, sf_dir)
+    number = F.get(F.split("value", "\t"), F.lit(TXN_ID)).try_cast("long")
+    first = F.coalesce(number % 2 == 0, F.lit(False))
+    return lines.where(first), lines.where(~first)
+
+
+@query
+def replayed_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that stops between two tables is seen in none; its replay is seen once, and once more it changes nothing."""
+
+    class Stopping(Loader):
+        def fill(self, staged: DataFrame, table: str, batch_id: int, token: str) -> None:
+            if table == "com_acme_props_1":
+                raise InterruptedError(table)
+            super().fill(staged, table, batch_id, token)
+
+    database = new_database(spark, "replayed")
+    first, second = halves(spark, sf_dir)
+    Loader(spark, registry(spark), SETTINGS, database).load_batch(first, 0, "stream")
+    before = table_counts(spark, database).withColumnRenamed("n", "n_before")
+    try:
+        Stopping(spark, registry(spark), SETTINGS, database, parallel_tables=1).load_batch(second, 1, "stream")
+    except InterruptedError:
+        pass
+    stopped = spark.createDataFrame(table_counts(spark, database).collect(), "table_name string, n_stopped long")
+    before = spark.createDataFrame(before.collect(), before.schema)
+    for _ in range(2):
+        Loader(spark, registry(spark), SETTINGS, database).load_batch(second, 1, "stream")
+    return table_counts(spark, database).join(stopped, "table_name").join(before, "table_name", "left").na.fill(0, ["n_before"])
+
+
+@query
+def altered_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made for its first version, loaded, altered for later ones and loaded again; and its comment before and after."""
+    database = new_database(spark, "altered")
+    first, second = halves(spark, sf_dir)
+    listed = registry(spark).schemas
+    old = Registry.from_schemas(listed.where("name <> 'props' or addition = 0"), mode=INLINE_MODE)
+    target = F.col("table_name") == "com_acme_props_1"
+
+    def comment() -> str:
+        return table_comments(spark, database).where(target).first().comment
+
+    Loader(spark, old, SETTINGS, database).load(first)
+    born = comment()
+    n_columns = len(describe_table(spark, database, "com_acme_props_1").collect())
+    Loader(spark, registry(spark), SETTINGS, database).load(second)
+    rows = committed(spark, database, "com_acme_props_1").select("schema_version", "root_id", "k", "label", "ratio")
+    return rows.select(
+        "*", F.lit(n_columns).cast("long").alias("columns_before"), F.lit(born).alias("comment_before"), F.lit(comment()).alias("comment_after")
+    )
+
+
 @query
 def widened_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = loaded(spark, sf_dir, "widen")
-    widen_columns(spark, database, EVENTS_TABLE, "events_wide")
-    return spark.table(f"{database}.events_wide").select("event_id", "domain_sessionid", "geo_country")
+    """A column too narrow for most values refuses them; the same rows fit once it is wider, and its width is shown."""
+    database = new_database(spark, "widen")
+    create_events_table(spark, database)
+    widen_columns(spark, database, EVENTS_TABLE, ["domain_sessionid"], "VARCHAR(36)")  # as it was born
+    loader = Loader(spark, registry(spark), SETTINGS, database)
+    lines = enriched_lines(spark, sf_dir)
+
+    def width() -> str:
+        described = describe_table(spark, database, EVENTS_TABLE).where("column_name = 'domain_sessionid'")
+        return described.first().data_type
+
+    before, refused = width(), False
+    try:
+        loader.load(lines)
+    except Exception as fault:
+        refused = "EXCEED_LIMIT_LENGTH" in str(fault) or "exceeds char/varchar type length" in str(fault)
+        if not refused:
+            raise
+    widen_columns(spark, database, EVENTS_TABLE)
+    loader.load(lines)
+    rows = committed(spark, database, EVENTS_TABLE).select("event_id", "domain_sessionid", "geo_country")
+    return rows.select("*", F.lit(before).alias("before"), F.lit(width()).alias("after"), F.lit(refused).alias("refused"))
+
+
+@query
+def existing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tables of the groups that events name are there after a load, and what they say of themselves."""
+    database = loaded(spark, sf_dir, "existing")
+    keys = entity_keys(spark, sf_dir).select(table_name(F.struct("vendor", "name", "model")).alias("table_name")).distinct()
+    comments = table_comments(spark, database)
+    there = keys.join(comments, "table_name", "left")
+    present = {name: spark.catalog.tableExists(f"{database}.{name}") for name in [r.table_name for r in keys.collect()]}
+    rows = spark.createDataFrame(sorted(present.items()), "table_name string, is_there boolean")
+    return there.join(rows, "table_name")
+
+
+@query
+def bad_row_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad rows of two loads in files of JSON lines: appended, with their kind."""
+    database = new_database(spark, "bad_files")
+    path = f"{work_dir(spark)}/bad/{database}"
+    for part in halves(spark, sf_dir):
+        Loader(spark, registry(spark), SETTINGS, database, text_sink(path)).load(part)
+    kind = F.get_json_object("value", "$.kind")
+    return spark.read.text(path).groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))

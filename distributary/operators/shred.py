@@ -32,6 +32,7 @@ from distributary.functions.schema_uri import (
 from distributary.operators.constraints import cells_violation, width_violation
 from distributary.operators.entities import route
 from distributary.operators.registry import column_table, invalid_groups
+from distributary.settings import BATCH_COLUMN
 
 # How shredding finds the columns of a group: by a join with the registry, of any size, or from a constant
 # that travels with the plan, for registries of a few megabytes.
@@ -41,6 +42,8 @@ MAX_INLINE_BYTES = 8 << 20
 # The events table has no place for the origin of an entity.
 NO_ORIGIN_COLUMNS = f'column "{META_FIELDS[0].name}" of relation "{EVENTS_TABLE}" does not exist'
 
+NO_SCHEMAS = "SchemaListNotFound"
+
 COLUMN = "struct<name:string,pointer:array<string>,type:string,length:int,nullable:boolean>"
 GROUP = f"struct<table_name:string,problem:string,columns:array<{COLUMN}>>"
 INLINE = (
@@ -82,7 +85,7 @@ class Registry:
             raise ValueError("a joined registry needs a folder that all executors share")
         schemas = schemas.persist()
         columns = column_table(schemas).persist()
-        invalid = invalid_groups(schemas, columns, [f.name for f in META_FIELDS])
+        invalid = invalid_groups(schemas, columns, [*(f.name for f in META_FIELDS), BATCH_COLUMN])
         if mode == JOIN:
             return cls(schemas, columns, invalid, None, folder)
         group = group_key(F.struct(*GROUP_COLUMNS)).alias("group")
@@ -106,6 +109,11 @@ class Registry:
         spoiled = {r.group: r.problem for r in invalid.select(group, "problem").collect()}
         return cls(schemas, columns, invalid, inline_tables(versions.collect(), described.collect(), spoiled))
 
+    def release(self) -> None:
+        """Let go of the tables that are kept for every load."""
+        self.schemas.unpersist()
+        self.columns.unpersist()
+
     def group_table(self) -> DataFrame:
         """One row per group with its columns in order."""
         listed = F.sort_array(
@@ -249,7 +257,7 @@ def shred_entity(
         F.lit(None).cast("string").alias("table_name"),
         no_text.alias("columns"),
         no_text.alias("cells"),
-        F.when(known.isNull(), refused("SchemaListNotFound", criterion))
+        F.when(known.isNull(), refused(NO_SCHEMAS, criterion))
         .otherwise(refused("InvalidSchema", known["problem"]))
         .alias("errors"),
         F.lit(None).cast("string").alias("violation"),

@@ -1,4 +1,4 @@
-"""From lines to good records and bad rows: one narrow plan, no shuffle between source and sink."""
+"""From lines to good records and bad rows: one narrow plan where the registry travels with it, else joins."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from distributary.operators.badrows import (
 from distributary.operators.constraints import atomic_violation, first_violation
 from distributary.operators.entities import meta_columns
 from distributary.operators.parse import parse
-from distributary.operators.shred import Registry, shred_entities
+from distributary.operators.shred import NO_SCHEMAS, Registry, shred_entities
 from distributary.functions.event_layout import EVENTS_TABLE
 from distributary.settings import Settings
 
@@ -98,17 +98,21 @@ def event_rows(records: DataFrame) -> DataFrame:
 
 
 def table_rows(records: DataFrame, settings: Settings) -> DataFrame:
-    """Every row to write, in one pass: ``table_name`` tells the table, or the bad rows."""
+    """Every row to write, in one pass: ``table_name`` tells the table, or the bad rows.
+
+    ``unknown`` names the schemas of a bad row whose groups the registry does not have.
+    """
     atomic_type = records.schema["atomic"].dataType if settings.includes_meta else None
     no_text, no_list = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
 
-    def row(table: Column, bad: Column, columns: Column, cells: Column, meta: Column, atomic) -> Column:
+    def row(table: Column, bad: Column, columns: Column, cells: Column, meta: Column, atomic, unknown=no_list) -> Column:
         parts = [
             table.alias("table_name"),
             bad.alias("bad_row"),
             columns.alias("columns"),
             cells.alias("cells"),
             meta.alias("meta"),
+            unknown.alias("unknown"),
         ]
         if settings.includes_meta:
             parts.append(atomic.alias("atomic"))
@@ -143,5 +147,6 @@ def table_rows(records: DataFrame, settings: Settings) -> DataFrame:
         event = row(F.lit(EVENTS_TABLE), no_text, no_list, no_list, no_meta, F.col("atomic"))
         good = F.concat(F.array(event), good)
     bad_text = bad_row_json(F.col("failure"), F.col("payload"), settings)
-    bad = F.array(row(F.lit(BAD_ROWS), bad_text, no_list, no_list, no_meta, no_atomic))
+    missing = F.filter("failure.errors", lambda e: e["error"] == NO_SCHEMAS)["schema"]
+    bad = F.array(row(F.lit(BAD_ROWS), bad_text, no_list, no_list, no_meta, no_atomic, missing))
     return records.select(F.inline(F.when(F.col("failure").isNull(), good).otherwise(bad)))

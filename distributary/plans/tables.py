@@ -18,6 +18,7 @@ from distributary.functions.event_layout import (
 )
 from distributary.functions.schema_uri import GROUP_COLUMNS, table_name
 from distributary.operators.registry import latest_schemas
+from distributary.plans.batches import BATCH_COLUMN, MANIFEST
 from distributary.operators.shred import Registry
 
 # Columns that once were narrower, and their width now.
@@ -48,10 +49,16 @@ def create_events_table(spark: SparkSession, database: str) -> bool:
     if spark.catalog.tableExists(f"{database}.{EVENTS_TABLE}"):
         return False
     columns = ", ".join(column_line(f, f.nullable) for f in ATOMIC_FIELDS)
-    spark.sql(f"CREATE TABLE {full_name(database, EVENTS_TABLE)} ({columns}) USING parquet")
+    create_table(spark, database, EVENTS_TABLE, columns)
     return True
 
 
+def create_table(spark: SparkSession, database: str, table: str, columns: str) -> None:
+    """A table whose rows become visible by batch."""
+    stored = f"({columns}, {quote(BATCH_COLUMN)} STRING) USING parquet PARTITIONED BY ({quote(BATCH_COLUMN)})"
+    spark.sql(f"CREATE TABLE {full_name(database, table)} {stored}")
+
+
 def table_fields(registry: Registry, table: str) -> list[Row]:
     """Columns of one table in order; as many rows as the table is wide."""
     key = F.struct(*GROUP_COLUMNS)
@@ -70,7 +77,7 @@ def create_entity_table(
     fields = [as_field(r) for r in table_fields(registry, table)]
     lines = [column_line(f, True) for f in META_FIELDS] if meta else []
     lines += [column_line(f, f.nullable) for f in fields]
-    spark.sql(f"CREATE TABLE {full_name(database, table)} ({', '.join(lines)}) USING parquet")
+    create_table(spark, database, table, ", ".join(lines))
     comment_table(spark, registry, database, table)
 
 
@@ -105,18 +112,19 @@ def prepare_tables(
 
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    """Tables of events and entities."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if t.name != MANIFEST)
 
 
 def table_comments(spark: SparkSession, database: str) -> DataFrame:
     """Name and comment of every table."""
-    rows = [(t.name, t.description or None) for t in spark.catalog.listTables(database)]
+    rows = [(t.name, t.description or None) for t in spark.catalog.listTables(database) if t.name != MANIFEST]
     return spark.createDataFrame(rows, "table_name string, comment string")
 
 
 def describe_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     """Columns of a table in order with their declared types."""
-    described = spark.catalog.listColumns(f"{database}.{table}")
+    described = [c for c in spark.catalog.listColumns(f"{database}.{table}") if not c.isPartition]
     rows = [(i, c.name, c.dataType, c.nullable) for i, c in enumerate(described)]
     return spark.createDataFrame(
         rows, "position int, column_name string, data_type string, nullable boolean"
@@ -127,16 +135,32 @@ def widen_columns(
     spark: SparkSession,
     database: str,
     table: str,
-    widened: str,
     columns: list[str] | None = None,
     type_text: str = WIDENED_TYPE,
 ) -> None:
-    """Copy a table to ``widened`` with wider text columns; Spark cannot widen them in place."""
-    wider = set(columns or WIDENED_COLUMNS)
-    lines = []
-    for column in spark.catalog.listColumns(f"{database}.{table}"):
-        declared = type_text if column.name in wider else column.dataType
-        lines.append(f"{quote(column.name)} {declared}{'' if column.nullable else ' NOT NULL'}")
-    target = full_name(database, widened)
-    spark.sql(f"CREATE TABLE {target} ({', '.join(lines)}) USING parquet")
-    spark.table(full_name(database, table)).write.insertInto(f"{database}.{widened}")
+    """Give text columns of a table a wider type: Spark cannot do so in place, so the table is copied and takes its name.
+
+    The copy keeps the comment, the batches and all other columns. Names are only exchanged once the copy is whole; a
+    call after one that stopped half way goes on from there. No load may run meanwhile.
+    """
+    copy, narrow = f"{table}__wide", f"{table}__narrow"
+    exists = lambda name: spark.catalog.tableExists(f"{database}.{name}")
+    if exists(table) and not exists(narrow):
+        if exists(copy):
+            spark.sql(f"DROP TABLE {full_name(database, copy)}")
+        wider = set(columns or WIDENED_COLUMNS)
+        lines = []
+        for column in spark.catalog.listColumns(f"{database}.{table}"):
+            if not column.isPartition:
+                declared = type_text if column.name in wider else column.dataType
+                lines.append(f"{quote(column.name)} {declared}{'' if column.nullable else ' NOT NULL'}")
+        create_table(spark, database, copy, ", ".join(lines))
+        spark.table(full_name(database, table)).write.insertInto(f"{database}.{copy}")
+        comment = spark.catalog.getTable(f"{database}.{table}").description
+        if comment:
+            escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"COMMENT ON TABLE {full_name(database, copy)} IS '{escaped}'")
+        spark.sql(f"ALTER TABLE {full_name(database, table)} RENAME TO {full_name(database, narrow)}")
+    if not exists(table):
+        spark.sql(f"ALTER TABLE {full_name(database, copy)} RENAME TO {full_name(database, table)}")
+    spark.sql(f"DROP TABLE IF EXISTS {full_name(database, narrow)}")

@@ -13,6 +13,9 @@ from distributary.operators.parse import ENRICHED, SELF_DESCRIBING
 NAME = "distributary"
 VERSION = "0.1.0"
 
+# Column of every table that names the attempt a row was loaded by; tables are partitioned by it.
+BATCH_COLUMN = "_load_batch"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -53,6 +56,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for written intermediate data."""
+    """Folder for written intermediate data, which driver and executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or spark.conf.get('spark.sql.warehouse.dir')}/{NAME}"
+    if not shared:
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{shared.rstrip('/')}/{NAME}"

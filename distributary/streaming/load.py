@@ -4,15 +4,17 @@ A batch is written to a shared folder, clustered by target table, in one pass ov
 each table is filled by a job that reads nothing but its own partition. An event with any failure is in no
 table.
 
-``load`` is one-shot: it loads what it is given, each time. A stream may replay its last batch after a
-failure; per stream, and only there, the last batch appended to each table is noted, so a replay goes on
-where it stopped. The stream's identity lies in its checkpoint: a new checkpoint is a new stream. As with any
-append without transactions a crash between an append and its note repeats that append: delivery is at least
-once. Streams and loads share neither notes nor staged rows.
-
-A registry grows while a stream runs. It is reloaded when it is older than ``max_age`` seconds, and at once
-when a batch names schemas that it does not list; that batch is then shredded again. Entities whose version
-is still unlisted load by the columns of their group that are known, and are counted in ``unlisted``.
+Batches become visible whole (``plans.batches``): the rows of an attempt carry its token, and one row in the manifest,
+written after all tables, commits it. ``load`` is one-shot: it loads what it is given, each time. A stream may replay
+its last batch after a failure; what the first attempt wrote stays unseen, and a batch that was committed is not loaded
+again. The stream's identity lies in its checkpoint: a new checkpoint is a new stream. Tables therefore hold every event
+exactly once per load or stream. Bad rows go to their sink before the commit, at least once.
+
+A registry grows while a stream runs. It is reloaded when it is older than ``max_age`` seconds, and at once when a batch
+names schemas that were not asked for in that time: what a reload does not find is remembered as missing, so that a
+schema nobody lists costs one reload per ``max_age``, whatever the number of batches that name it. A batch is shredded
+again only if the reload found something that it names. Entities whose version is still unlisted load by the columns of
+their group that are known, and are counted in ``unlisted``.
 """
 
 from __future__ import annotations
@@ -29,16 +31,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from distributary.functions.event_layout import EVENTS_TABLE, META_FIELDS
-from distributary.functions.schema_uri import format_uri, key_struct, parse_uri
+from distributary.functions.schema_uri import format_uri, group_key, key_struct, parse_uri
 from distributary.operators.shred import Registry
 from distributary.operators.state import MISSING, OUTDATED, key_states, state_from_comments
+from distributary.plans.batches import BATCH_COLUMN, commit, create_manifest, last_committed
 from distributary.plans.shredding import BAD_ROWS, shred, table_rows
 from distributary.plans.tables import create_events_table, prepare_tables, table_comments
 from distributary.settings import Settings, configure, work_dir
 from distributary.streaming.sinks import BadSink, DiscardingSink
 
-# Staged batches of a stream alternate between this many folders, so that none has to be deleted.
-STAGING_SLOTS = 2
+# Missing schemas remembered at a time; beyond it they are taken for missing until the next reload by age.
+REMEMBERED = 10_000
 
 log = logging.getLogger("distributary")
 
@@ -68,59 +71,81 @@ class Loader:
         self.parallel_tables = parallel_tables
         self.reload, self.max_age, self.clock = reload, max_age, clock
         self.loaded_at = clock()
+        self.missing: dict[str, float] = {}
         self.unlisted = 0
+        create_manifest(spark, database)
         if settings.includes_meta:
             create_events_table(spark, database)
 
     def load(self, lines: DataFrame) -> None:
         """Load these lines, once more each time."""
-        path = f"{self.folder}/staging/load={uuid.uuid4().hex}"
-        self.load_staged(lines, path, set(), lambda table: None, 0)
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        self.load_staged(lines, f"load-{uuid.uuid4().hex}", 0)
 
     def load_batch(self, lines: DataFrame, batch_id: int, stream: str) -> None:
-        """Load one batch of a stream; tables that have it already are left alone."""
-        done = self.finished(stream, batch_id)
-        if "" in done:
-            return
-        path = f"{self.folder}/staging/stream={stream}/slot={batch_id % STAGING_SLOTS}"
-        self.load_staged(lines, path, done, lambda table: self.note(stream, table, batch_id), batch_id)
+        """Load one batch of a stream, unless it was committed already."""
+        if last_committed(self.spark, self.database, stream) < batch_id:
+            self.load_staged(lines, stream, batch_id)
+
+    def load_staged(self, lines: DataFrame, stream: str, batch_id: int) -> None:
+        token = uuid.uuid4().hex
+        paths = []
+
+        def stage() -> DataFrame:
+            paths.append(f"{self.folder}/staging/{token}-{len(paths)}")
+            return self.stage(lines, paths[-1])
 
-    def load_staged(
-        self, lines: DataFrame, path: str, done: set[str], note: Callable[[str], None], batch_id: int
-    ) -> None:
         if self.reload and self.clock() - self.loaded_at >= self.max_age:
             self.renew_registry()
-        staged = self.stage(lines, path)
-        unlisted = self.count_unlisted(staged)
-        if unlisted and self.reload:
-            self.renew_registry()
-            staged = self.stage(lines, path)
-            unlisted = self.count_unlisted(staged, unknown_groups=False)
-        if unlisted:
-            log.warning("%d schema versions are not listed; known columns are loaded", unlisted)
-            self.unlisted += unlisted
-        tables = self.update_tables(staged)
-        pending = [t for t in [*tables, BAD_ROWS] if t not in done]
-        with ThreadPoolExecutor(self.parallel_tables) as pool:
-            list(pool.map(lambda table: self.fill(staged, table, batch_id, note), pending))
-        note("")
+        try:
+            staged = stage()
+            named = self.unlisted_schemas(staged)
+            if self.learns(named):
+                staged = stage()
+                named = self.unlisted_schemas(staged)
+            versions = sum(1 for row in named if not row.unknown)
+            if versions:
+                log.warning("%d schema versions are not listed; known columns are loaded", versions)
+                self.unlisted += versions
+            tables = [*self.update_tables(staged), BAD_ROWS]
+            with ThreadPoolExecutor(self.parallel_tables) as pool:
+                list(pool.map(lambda table: self.fill(staged, table, batch_id, token), tables))
+            commit(self.spark, self.database, token, stream, batch_id)
+        finally:
+            for path in paths:
+                target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
     def renew_registry(self) -> None:
         assert self.reload is not None
-        self.registry = self.reload()
+        before, self.registry = self.registry, self.reload()
+        if before is not self.registry:
+            before.release()
         self.loaded_at = self.clock()
 
-    def count_unlisted(self, staged: DataFrame, unknown_groups: bool = True) -> int:
-        """Schema versions in the batch that the registry does not list, and whether whole groups are unknown."""
+    def unlisted_schemas(self, staged: DataFrame) -> list[Row]:
+        """Schemas that the batch names and the registry does not list, and whether their whole group is unknown."""
         listed = self.registry.schemas.select(format_uri(key_struct()).alias("schema"))
-        named = staged.select(F.col("meta.schema").alias("schema")).where("schema is not null").distinct()
-        count = named.join(listed, "schema", "left_anti").count()
-        if count or not unknown_groups or self.reload is None:
-            return count
-        bad = staged.where((F.col("table_name") == BAD_ROWS) & F.col("bad_row").contains("SchemaListNotFound"))
-        return 0 if bad.isEmpty() else 1
+        named = staged.select(F.col("meta.schema").alias("schema"), F.lit(False).alias("unknown"))
+        named = named.where("schema is not null").distinct().join(listed, "schema", "left_anti")
+        unknown = staged.where(F.col("table_name") == BAD_ROWS).select(F.explode("unknown").alias("schema"), F.lit(True).alias("unknown"))
+        return named.union(unknown.distinct()).limit(REMEMBERED).collect()
+
+    def learns(self, named: list[Row]) -> bool:
+        """Ask the registry for schemas not known to be missing; True if it now lists any that the batch names."""
+        now = self.clock()
+        self.missing = {schema: at for schema, at in self.missing.items() if now - at < self.max_age}
+        asked = {row.schema for row in named} - self.missing.keys()
+        if not asked or self.reload is None or len(self.missing) >= REMEMBERED:
+            return False
+        self.renew_registry()
+        wanted = self.spark.createDataFrame([(row.schema, row.unknown) for row in named], "schema string, unknown boolean")
+        listed = self.registry.schemas.select(format_uri(key_struct()).alias("schema"), group_key(key_struct()).alias("group"))
+        wanted = wanted.withColumn("group", group_key(parse_uri(F.col("schema"))))
+        groups = listed.select(F.col("group"), F.lit(True).alias("known")).distinct()
+        checked = wanted.join(listed.select("schema", F.lit(True).alias("listed")).distinct(), "schema", "left")
+        checked = checked.join(groups, "group", "left").select("schema", "unknown", "listed", "known").collect()
+        self.missing.update({row.schema: now for row in checked if not row.listed})
+        return any(row.listed or (row.unknown and row.known) for row in checked)
 
     def stage(self, lines: DataFrame, path: str) -> DataFrame:
         """Shred a batch and write all its rows, one folder per target table.
@@ -166,30 +191,18 @@ class Loader:
         comments = table_comments(self.spark, self.database)
         return state_from_comments(comments, self.registry.schemas)
 
-    def fill(self, staged: DataFrame, table: str, batch_id: int, note: Callable[[str], None]) -> None:
+    def fill(self, staged: DataFrame, table: str, batch_id: int, token: str) -> None:
         """Append the staged rows of one table, or hand over the bad rows."""
         rows = staged.where(F.col("table_name") == table)
         if table == BAD_ROWS:
             self.bad_sink(rows.select(F.col("bad_row").alias("value")), batch_id)
-        else:
-            target = f"{self.database}.{table}"
-            fields = self.spark.table(target).schema.fields
-            is_event = self.settings.includes_meta and table == EVENTS_TABLE
-            source = rows.select("atomic.*") if is_event else entity_columns(rows)
-            columns = [cell(f.name, source.columns).cast(f.dataType).alias(f.name) for f in fields]
-            source.select(*columns).write.insertInto(target)
-        note(table)
-
-    def note(self, stream: str, table: str, batch_id: int) -> None:
-        """Note the last batch of a stream that a table has; the note before is replaced."""
-        entry = self.spark.createDataFrame([(table, batch_id)], "table_name string, batch_id long")
-        path = f"{self.folder}/notes/stream={stream}/table={table or '_all'}"
-        entry.coalesce(1).write.mode("overwrite").parquet(path)
-
-    def finished(self, stream: str, batch_id: int) -> set[str]:
-        """Tables the batch is already in; the empty name stands for the whole batch."""
-        noted = read_if_there(self.spark, f"{self.folder}/notes/stream={stream}")
-        return {row.table_name for row in noted if row.batch_id >= batch_id}
+            return
+        target = f"{self.database}.{table}"
+        fields = self.spark.table(target).schema.fields[:-1]
+        is_event = self.settings.includes_meta and table == EVENTS_TABLE
+        source = rows.select("atomic.*") if is_event else entity_columns(rows)
+        columns = [cell(f.name, source.columns).cast(f.dataType).alias(f.name) for f in fields]
+        source.select(*columns, F.lit(token).alias(BATCH_COLUMN)).write.insertInto(target)
 
     def stream(
         self,
