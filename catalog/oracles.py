@@ -489,7 +489,8 @@ ORACLES["loaded_columns"] = f"""
 with loaded as ({ORACLES["loaded_table_rows"]})
 select unnest(['schema_vendor', 'schema_name', 'schema_format', 'schema_version', 'root_id', 'root_tstamp', 'k', 'label', 'ratio']) as column_name,
   unnest(range(9)) as position,
-  unnest(['string', 'string', 'string', 'string', 'string', 'timestamp_ntz', 'bigint', 'string', 'double']) as data_type,
+  unnest(['varchar(128)', 'varchar(128)', 'varchar(128)', 'varchar(128)', 'string', 'timestamp_ntz', 'bigint', 'varchar(20)',
+    'double']) as data_type,
   unnest([count(schema_vendor), count(schema_name), count(schema_format), count(schema_version), count(root_id),
     count(root_tstamp), count(k), count(label), count(ratio)]) as n
 from loaded"""
@@ -530,3 +531,14 @@ select table_name, name <> 'unknown' as is_there, case name when 'unknown' then
 from named"""
 
 ORACLES["bad_row_files"] = f"select {OUTCOME} as kind, count(*) as n from events where {BAD} group by 1"
+
+ORACLES["capped_record_batches"] = """
+select event_id, count(*) as times, true as within_cap, true as many_batches from events group by event_id"""
+
+ORACLES["records_since_timestamp"] = """
+select ts as arrived, event_id from events
+where ts >= (select min(ts) + (max(ts) - min(ts)) / 2 from events)"""
+
+ORACLES["bounded_puts"] = f"""
+select case when {CASE} = 10 then null else event_id end as txn_id, count(*) as times, true as bounded
+from events where {BAD} group by 1"""

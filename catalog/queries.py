@@ -53,8 +53,10 @@ from distributary.plans.shredding import (
 from distributary.plans.tables import create_events_table, describe_table, list_tables, table_comments, widen_columns
 from distributary.settings import configure, work_dir
 from distributary.sources.lines import AT_TIMESTAMP, not_empty, start_from, stream_lines
+from distributary.sources.records import RecordLog
 from distributary.sources.registry import pick_by_priority, schemas_from
 from distributary.streaming.load import Loader
+from distributary.streaming.puts import BoundedPuts, committed_puts
 from distributary.streaming.sinks import text_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -814,7 +816,7 @@ def loaded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = committed(spark, database, "com_acme_props_1")
     counted = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in rows.columns])
-    described = describe_table(spark, database, "com_acme_props_1").drop("nullable")
+    described = describe_table(spark, database, "com_acme_props_1")
     return described.join(counted.select(F.inline(pairs)), "column_name")
 
 
@@ -956,3 +958,81 @@ def bad_row_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         Loader(spark, registry(spark), SETTINGS, database, text_sink(path)).load(part)
     kind = F.get_json_object("value", "$.kind")
     return spark.read.text(path).groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+def record_log(spark: SparkSession, sf_dir: str) -> str:
+    """The events as a record log: their times, and their lines' numbers as data."""
+    path = f"{work_dir(spark)}/logs/{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp_ntz").alias("arrived"), F.encode(F.col("event_id").cast("string"), "UTF-8").alias("data"))
+    events.repartitionByRange(6, "arrived").sortWithinPartitions("arrived").write.parquet(path)
+    return path
+
+
+def capped_stream(spark: SparkSession, log: str, folder: str, **options: str) -> DataFrame:
+    """What a stream over the log delivers, stopped after some batches and started again: records by batch."""
+    spark.dataSource.register(RecordLog)
+    for limit in (3, None):
+        stream = spark.readStream.format("record_log").options(path=log, positions=f"{folder}/positions", **options).load()
+        seen: list[int] = []
+
+        def keep(batch: DataFrame, batch_id: int) -> None:
+            batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+            seen.append(batch_id)  # noqa: B023
+
+        query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint").start()
+        while limit is not None and len(seen) < limit and query.isActive and not query.exception():
+            query.awaitTermination(0.05)
+        if limit is None:
+            query.processAllAvailable()
+        query.stop()
+        if query.exception():
+            raise query.exception()
+    return spark.read.parquet(f"{folder}/out").select("arrived", F.decode("data", "UTF-8").cast("long").alias("event_id"), "batch")
+
+
+@query
+def capped_record_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log in batches of a twentieth at most, over a restart: each record once, no batch beyond the cap."""
+    log = record_log(spark, sf_dir)
+    cap = -(-spark.read.parquet(log).count() // 20)
+    got = capped_stream(spark, log, f"{work_dir(spark)}/streams/{uuid.uuid4().hex}", max_records=str(cap))
+    sizes = got.groupBy("batch").agg(F.count("*").alias("size"))
+    largest = sizes.agg(F.max("size").alias("largest"), F.count("*").alias("batches")).first()
+    return got.groupBy("event_id").agg(F.count("*").alias("times")).select(
+        "event_id", "times", F.lit(largest.largest <= cap).alias("within_cap"), F.lit(largest.batches >= 20).alias("many_batches")
+    )
+
+
+@query
+def records_since_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the log that arrived at the middle of its time or later, as a stream from there on."""
+    log = record_log(spark, sf_dir)
+    bounds = spark.read.parquet(log).agg(F.min("arrived").alias("a"), F.max("arrived").alias("b")).first()
+    since = bounds.a + (bounds.b - bounds.a) / 2
+    options = {"position": AT_TIMESTAMP, "timestamp": since.isoformat(), "max_records": "100000"}
+    folder = f"{work_dir(spark)}/streams/{uuid.uuid4().hex}"
+    spark.dataSource.register(RecordLog)
+    stream = spark.readStream.format("record_log").options(path=log, positions=f"{folder}/positions", **options).load()
+    writer = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    running = writer.start()
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.parquet(f"{folder}/out").select("arrived", F.decode("data", "UTF-8").cast("long").alias("event_id"))
+
+
+@query
+def bounded_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad rows of a stream in puts of at most 500 items and 200,000 bytes: every line once, no larger put."""
+    folder = f"{work_dir(spark)}/streams/{uuid.uuid4().hex}"
+    enriched_lines(spark, sf_dir).write.text(f"{folder}/lines")
+    spark.dataSource.register(BoundedPuts)
+    lines = stream_lines(spark, f"{folder}/lines", max_files_per_trigger=3)
+    bad = bad_records(shred(lines, registry(spark), SETTINGS)).select(F.col("payload").alias("value"))
+    sink = bad.writeStream.format("bounded_puts").options(path=f"{folder}/sink", max_items="500", max_bytes="200000")
+    sink.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    items = committed_puts(spark, f"{folder}/sink")
+    by_put = items.groupBy("file", "put").agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("size"))
+    largest = by_put.agg(F.max("n").alias("n"), F.max(F.when(F.col("n") > 1, F.col("size"))).alias("size")).first()
+    bounded = largest.n <= 500 and (largest.size or 0) <= 200_000
+    txn = F.get(F.split("value", "\t"), F.lit(TXN_ID)).try_cast("long").alias("txn_id")
+    return items.groupBy(txn).agg(F.count("*").alias("times")).withColumn("bounded", F.lit(bounded))

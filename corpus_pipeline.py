@@ -2,6 +2,11 @@
 
 Every stage works on all rows that the one before kept, and its decisions take effect. All stages but the last return
 the columns of ``documents``; the last returns a row per document that is left.
+
+Null texts have no words and go in the first stage, as empty and very short texts do; texts of any length are taken
+whole. Equal rows, rows without id and rows that share an id are documents of their own, of which the near-duplicate
+stage keeps one if their texts are alike. Columns beyond those of ``documents`` are dropped, whatever their names. Empty
+tables give an empty result.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from distributary.llm.shared import read_table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE = 5
+FIRST_OWN_ID = 1 << 62
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,12 +32,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.good_documents(docs.select(*COLUMNS))
 
 
+def with_own_ids(docs: DataFrame) -> DataFrame:
+    """Adds ``own_id``: ``doc_id`` where it names one row, else a number above all such ids, fixed by being written."""
+    shared = docs.groupBy("doc_id").agg(F.count("*").alias("rows_of_id")).filter("rows_of_id > 1 or doc_id is null")
+    if shared.isEmpty():
+        return docs.withColumn("own_id", F.col("doc_id"))
+    shared = written(shared.select(F.col("doc_id").alias("shared_id"), F.lit(True).alias("is_shared")), "shared-ids")
+    told = docs.join(shared, docs["doc_id"].eqNullSafe(shared["shared_id"]), "left")
+    own = F.when(F.col("is_shared"), F.lit(FIRST_OWN_ID) + F.monotonically_increasing_id()).otherwise(F.col("doc_id"))
+    return written(told.select(*docs.columns, own.alias("own_id")), "own-ids")
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group of near duplicates; equal rows of it are kept as they are."""
-    judged = near_dup.near_duplicates(docs, SHINGLE)
-    first = judged.filter("kept").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
-    return named.unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
+    """One row of every group of near duplicates, the one of smallest id; rows of shared or no id are told apart."""
+    numbered = with_own_ids(docs.select(*COLUMNS))
+    judged = near_dup.near_duplicates(numbered.select(F.col("own_id").alias("doc_id"), "text"), SHINGLE)
+    first = judged.filter("kept").select(F.col("doc_id").alias("own_id"))
+    return numbered.join(first, "own_id", "left_semi").select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 VARIANT sorts the keys of objects and keeps numbers by value. Where the text of a value matters, it is cut out of the
 document itself: Spark's JSON reader hands over the text of a field with its keys in order and without blanks, and
-numbers it would rewrite (``1.10``, ``1e3``, ``-0``) are made strings beforehand, marked by a character that no
-document has, and unmarked afterwards.
+numbers it would rewrite (``1.10``, ``1e3``, ``-0``) are made strings beforehand, with a mark, and numbers again
+afterwards.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 NUMBER_KINDS = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*)"
 TEXT_MAP = "map<string,string>"
 
-# The mark is no character (U+FDD0). A text that has it anyway, plain or escaped, is left as it is.
+# The mark is no character (U+FDD0): ``n`` follows it before a number, ``u`` where a document has it itself.
 MARK = "\ufdd0"
-HAS_MARK = r"\x{FDD0}|\\[uU][fF][dD][dD]0"
+HAS_MARK = r"\x{FDD0}|\\u[fF][dD][dD]0"
+ESCAPED_MARK = r"((?<!\\)(?:\\\\)*)\\u[fF][dD][dD]0"
 REWRITTEN = r"[0-9][.eE]|-0"
 STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 # From the end of the last match on: whatever is no number to mark, whole strings included, then such a number.
@@ -96,17 +97,19 @@ def plain_text(value: Column) -> Column:
 
 def marked(text: Column) -> Column:
     """A document whose numbers all survive the JSON reader."""
-    touched = text.rlike(REWRITTEN) & ~text.rlike(HAS_MARK)
-    return F.when(touched, F.regexp_replace(text, NUMBER_TO_MARK, f'$1"{MARK}$2"')).otherwise(text)
+    own = F.regexp_replace(F.regexp_replace(text, MARK, f"{MARK}u"), ESCAPED_MARK, f"$1{MARK}u")
+    safe = F.when(text.rlike(HAS_MARK), own).otherwise(text)
+    return F.when(text.rlike(REWRITTEN), F.regexp_replace(safe, NUMBER_TO_MARK, f'$1"{MARK}n$2"')).otherwise(safe)
 
 
 def unmarked(text: Column) -> Column:
-    return F.when(text.contains(MARK), F.regexp_replace(text, f'"?{MARK}([0-9.eE+-]+)"?', "$1")).otherwise(text)
+    numbers = F.regexp_replace(text, f'"?{MARK}n([0-9.eE+-]+)"?', "$1")
+    return F.when(text.contains(MARK), F.regexp_replace(numbers, f"{MARK}u", MARK)).otherwise(text)
 
 
 def written_field(text: Column, name: Column | str) -> Column:
     """Marked text of a field of a marked object; of equal keys the last one counts, as in VARIANT."""
-    key = F.lit(name) if isinstance(name, str) else name
+    key = F.replace(F.lit(name) if isinstance(name, str) else name, F.lit(MARK), F.lit(f"{MARK}u"))
     named = F.map_values(F.map_filter(F.from_json(text, TEXT_MAP), lambda k, _: k == key))
     return F.try_element_at(named, F.lit(-1))
 

@@ -97,7 +97,13 @@ def comment_table(spark: SparkSession, registry: Registry, database: str, table:
     key = F.struct(*GROUP_COLUMNS)
     latest = latest_schemas(registry.schemas.where(table_name(key) == table)).select("latest_uri")
     for row in latest.collect():
-        spark.sql(f"COMMENT ON TABLE {full_name(database, table)} IS '{row.latest_uri}'")
+        set_comment(spark, database, table, row.latest_uri)
+
+
+def set_comment(spark: SparkSession, database: str, table: str, comment: str) -> None:
+    """Comment a table. ``COMMENT ON TABLE`` would turn its CHAR and VARCHAR columns into strings without width."""
+    text = comment.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {full_name(database, table)} SET TBLPROPERTIES ('comment' = '{text}')")
 
 
 def prepare_tables(
@@ -122,13 +128,21 @@ def table_comments(spark: SparkSession, database: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, comment string")
 
 
+def declared_columns(spark: SparkSession, database: str, table: str) -> list[tuple[str, str]]:
+    """Columns of a table in order as they were declared, widths of texts included; file tables take NULL in all of them."""
+    found = []
+    for row in spark.sql(f"DESCRIBE TABLE {full_name(database, table)}").collect():
+        if not row.col_name or row.col_name.startswith("#"):
+            break
+        if row.col_name != BATCH_COLUMN:
+            found.append((row.col_name, row.data_type))
+    return found
+
+
 def describe_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     """Columns of a table in order with their declared types."""
-    described = [c for c in spark.catalog.listColumns(f"{database}.{table}") if not c.isPartition]
-    rows = [(i, c.name, c.dataType, c.nullable) for i, c in enumerate(described)]
-    return spark.createDataFrame(
-        rows, "position int, column_name string, data_type string, nullable boolean"
-    )
+    rows = [(i, name, kind) for i, (name, kind) in enumerate(declared_columns(spark, database, table))]
+    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
 def widen_columns(
@@ -149,17 +163,13 @@ def widen_columns(
         if exists(copy):
             spark.sql(f"DROP TABLE {full_name(database, copy)}")
         wider = set(columns or WIDENED_COLUMNS)
-        lines = []
-        for column in spark.catalog.listColumns(f"{database}.{table}"):
-            if not column.isPartition:
-                declared = type_text if column.name in wider else column.dataType
-                lines.append(f"{quote(column.name)} {declared}{'' if column.nullable else ' NOT NULL'}")
+        declared = declared_columns(spark, database, table)
+        lines = [f"{quote(name)} {type_text if name in wider else kind}" for name, kind in declared]
         create_table(spark, database, copy, ", ".join(lines))
         spark.table(full_name(database, table)).write.insertInto(f"{database}.{copy}")
         comment = spark.catalog.getTable(f"{database}.{table}").description
         if comment:
-            escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
-            spark.sql(f"COMMENT ON TABLE {full_name(database, copy)} IS '{escaped}'")
+            set_comment(spark, database, copy, comment)
         spark.sql(f"ALTER TABLE {full_name(database, table)} RENAME TO {full_name(database, narrow)}")
     if not exists(table):
         spark.sql(f"ALTER TABLE {full_name(database, copy)} RENAME TO {full_name(database, table)}")

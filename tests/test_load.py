@@ -8,15 +8,18 @@ from distributary.functions.event_layout import LINE_FIELDS
 from distributary.functions.schema_uri import URI_PREFIX
 from distributary.operators.shred import INLINE_MODE, Registry, shred_entities
 from distributary.operators.parse import parse_enriched, parse
+from distributary.functions.json_values import marked, written_at
+from distributary.plans.batches import commit, committed, drop_abandoned
 from distributary.plans.shredding import bad_records, event_rows, shred
 from distributary.plans.tables import (
     create_events_table,
     describe_table,
     list_tables,
     table_comments,
+    widen_columns,
 )
 from distributary.functions.casts import cast_json
-from distributary.settings import Settings, work_dir
+from distributary.settings import BATCH_COLUMN, Settings, work_dir
 from distributary.sources.lines import (
     AT_TIMESTAMP,
     LATEST,
@@ -30,15 +33,11 @@ from distributary.sources.registry import schemas_from
 from distributary.streaming.load import Loader
 from distributary.streaming.sinks import DiscardingSink, text_sink
 from tests.conftest import SF_DIR
-from tests.test_registry import COLUMNS, VERSIONS, WORD, named, version
+from tests.test_registry import SLIP_COLUMNS, SLIPS, TEXT, VENDOR, document
 
 EVENT_ID = "5f0d1a52-33c4-4d0e-9a5b-0c2f7be1d604"
-READINGS = [
-    {"stationCode": "N7", "quality": 3, "position": {"lat": 54.5}},
-    {"stationCode": "N8", "quality": True, "position": {"lat": 55.25}, "samples": [0.5, "dry", [1]]},
-    {"stationCode": "N9", "quality": 1, "position": {"lat": 56.0}, "ticks": 4102444800000},
-]
-READING_TABLE = "org_tideline_buoy_reading_1"
+SLIP_TABLE = "net_quillhouse_loan_slip_2"
+JSON_LINES = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
 
 
 def line(**values):
@@ -55,8 +54,14 @@ def frame(spark, lines):
     return spark.createDataFrame([(text,) for text in lines], "value string")
 
 
-def json_line(version, data):
-    return json.dumps({"schema": f"{URI_PREFIX}org.tideline/buoy-reading/jsonschema/{version}", "data": data})
+def json_line(name, version, data):
+    """A self-describing payload; ``data`` as JSON text or as a value."""
+    text = data if isinstance(data, str) else json.dumps(data)
+    return f'{{"schema":"{URI_PREFIX}{VENDOR}/{name}/jsonschema/{version}","data":{text}}}'
+
+
+def slip(version="2-0-0", **data):
+    return json_line("LoanSlip", version, {"due": "2025-03-09", "renewable": False} | data)
 
 
 def registry_of(spark, documents):
@@ -104,103 +109,88 @@ def test_joined_registry_gives_the_same(spark):
 
 
 def test_invalid_schema_spoils_its_group(spark):
-    broken = version("1-0-3", {}) | {"type": 5}
-    registry = registry_of(spark, [*VERSIONS, broken])
-    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
-    records = shred(frame(spark, [json_line("1-0-0", READINGS[0])]), registry, settings)
+    broken = document("LoanSlip", {}, "2-1-2") | {"type": 5}
+    records = shred(frame(spark, [slip()]), registry_of(spark, [*SLIPS, broken]), JSON_LINES)
     assert bad_records(records).first().errors[0].error == "InvalidSchema"
 
 
-def test_self_describing_versions(spark, database):
-    lines = frame(spark, [json_line(f"1-0-{i}", p) for i, p in enumerate(READINGS)])
-    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
-    Loader(spark, registry_of(spark, VERSIONS), settings, database).load(lines)
-    assert list_tables(spark, database) == [READING_TABLE]
-    described = describe_table(spark, database, READING_TABLE).collect()
-    assert [f'"{r.column_name}"' for r in described] == [c.split()[0] for c in COLUMNS]
-    rows = spark.table(f"{database}.{READING_TABLE}").orderBy("station_code").collect()
-    assert [r["position.lat"] for r in rows] == [54.5, 55.25, 56.0]
-    assert [r.samples for r in rows] == [None, '[0.5,"dry",[1]]', None]
-    assert [r.quality for r in rows] == ["3", "true", "1"]
-    assert [r.ticks for r in rows] == [None, None, 4102444800000]
+def test_payloads_of_all_versions(spark, database):
+    lines = frame(spark, [
+        slip(copiesHeld=40),
+        slip("2-0-1", shelf="Q7-b", due=None),
+        json_line("LoanSlip", "2-1-0", '{"due":"2025-03-11","fee":{"currency":"DKK","amount":12.50},"renewable":true}'),
+        json_line("LoanSlip", "2-1-1", '{"renewable":true,"branch":"pier","due":"2025-03-12","remarks":[ 2.50, {"z":1e2,"a":-0}]}'),
+    ])
+    sink = DiscardingSink()
+    Loader(spark, registry_of(spark, SLIPS), JSON_LINES, database, sink).load(lines)
+    assert list_tables(spark, database) == [SLIP_TABLE] and sink.total == 1  # a slip that is never due
+    described = describe_table(spark, database, SLIP_TABLE).collect()
+    assert [f'"{r.column_name}"' for r in described] == [c.split()[0] for c in SLIP_COLUMNS]
+    assert {r.column_name: r.data_type for r in described}["branch"] == "varchar(5)"
+    rows = committed(spark, database, SLIP_TABLE).orderBy("due").collect()
+    assert [str(r.due) for r in rows] == ["2025-03-09", "2025-03-11", "2025-03-12"]
+    assert [r["fee.amount"] for r in rows] == [None, 12.5, None]
+    assert [r.copies_held for r in rows] == [40, None, None]
+    assert rows[2].remarks == '[2.50,{"z":1e2,"a":-0}]' and rows[2].branch == "pier"
 
 
 def test_entity_without_values_is_bad(spark):
-    document = named("memo", text=WORD)
-    text = json.dumps({"schema": f"{URI_PREFIX}org.tideline/memo/jsonschema/1-0-0", "data": {}})
-    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
-    records = shred(frame(spark, [text]), registry_of(spark, [document]), settings)
+    memo = document("memo", {"body": TEXT})
+    records = shred(frame(spark, [json_line("memo", "1-0-0", {})]), registry_of(spark, [memo]), JSON_LINES)
     assert bad_records(records).first().errors[0].message.startswith("Cannot insert: ")
 
 
-def test_table_evolves(spark, database):
-    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
-    Loader(spark, registry_of(spark, VERSIONS[:1]), settings, database).load(
-        frame(spark, [json_line("1-0-0", READINGS[0])])
-    )
-    assert len(spark.table(f"{database}.{READING_TABLE}").columns) == 5
-    Loader(spark, registry_of(spark, VERSIONS), settings, database).load(
-        frame(spark, [json_line("1-0-2", READINGS[2])])
-    )
-    rows = spark.table(f"{database}.{READING_TABLE}").orderBy("station_code").collect()
-    assert len(rows[0]) == 9 and [r.ticks for r in rows] == [None, 4102444800000]
-    comment = table_comments(spark, database).first().comment
-    assert comment == f"{URI_PREFIX}org.tideline/buoy-reading/jsonschema/1-0-2"
-
-
-def test_a_running_stream_meets_new_schemas(spark, database, tmp_path):
-    """A new version, then a new group: each is found in the registry once a batch names it."""
-    documents = VERSIONS[:1]
-    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
+def test_table_evolves_by_steps(spark, database):
+    widths = []
+    for n, last in ((1, "2-0-0"), (2, "2-0-1"), (4, "2-1-1")):
+        Loader(spark, registry_of(spark, SLIPS[:n]), JSON_LINES, database).load(frame(spark, [slip(last)]))
+        widths.append(len(describe_table(spark, database, SLIP_TABLE).collect()))
+        comment = table_comments(spark, database).first().comment
+        assert comment == f"{URI_PREFIX}{VENDOR}/LoanSlip/jsonschema/{last}"
+    assert widths == [3, 4, 8]
+    assert committed(spark, database, SLIP_TABLE).where("branch is null and due is not null").count() == 3
+
+
+def test_the_registry_is_asked_once_for_what_is_missing(spark, database):
+    """New versions and groups are found once a batch names them; what nobody lists is not asked for again in its time."""
+    now, asked, listed = [0.0], [], [SLIPS[:1]]
     sink = DiscardingSink()
-    loader = Loader(
-        spark, registry_of(spark, documents), settings, database, sink, reload=lambda: registry_of(spark, documents)
-    )
-    folder = tmp_path / "lines"
-    folder.mkdir()
 
-    def run(name, text):
-        (folder / name).write_text(text + "\n")
-        lines = stream_lines(spark, str(folder), 1)
-        loader.stream(lines, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    def reload():
+        asked.append(now[0])
+        return registry_of(spark, listed[0])
+
+    loader = Loader(spark, reload(), JSON_LINES, database, sink, reload=reload, clock=lambda: now[0])
+    shredded = []
+    stage = loader.stage
+    loader.stage = lambda lines, path: shredded.append(path) or stage(lines, path)
 
-    run("a", json_line("1-0-0", READINGS[0]))
-    documents = VERSIONS
-    run("b", json_line("1-0-2", READINGS[2]))
-    rows = spark.table(f"{database}.{READING_TABLE}").orderBy("station_code").collect()
-    assert [r.ticks for r in rows] == [None, 4102444800000]
-    documents = [*VERSIONS, named("memo", text=WORD)]
-    run("c", json.dumps({"schema": f"{URI_PREFIX}org.tideline/memo/jsonschema/1-0-0", "data": {"text": "calm"}}))
-    assert spark.table(f"{database}.org_tideline_memo_1").first().text == "calm"
-    assert sink.total == 0 and loader.unlisted == 0
-    run("d", json_line("1-0-9", READINGS[0]))
-    assert loader.unlisted == 1
-    assert spark.table(f"{database}.{READING_TABLE}").count() == 3
-
-
-def test_a_registry_is_reloaded_when_old(spark, database):
-    now = [0.0]
-    renewed = []
-    registry = registry_of(spark, VERSIONS)
-    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
-    loader = Loader(
-        spark, registry, settings, database, reload=lambda: renewed.append(1) or registry, clock=lambda: now[0]
-    )
-    for time in (10.0, 601.0, 700.0):
+    def load(time, *lines):
         now[0] = time
-        loader.load(frame(spark, [json_line("1-0-0", READINGS[0])]))
-    assert len(renewed) == 1
+        loader.load(frame(spark, lines))
+        return len(asked) - 1, len(shredded), sink.total, loader.unlisted
+
+    assert load(1, slip()) == (0, 1, 0, 0)
+    stray = json_line("stray", "1-0-0", {"a": "b"})
+    assert load(2, slip(), stray) == (1, 2, 1, 0)
+    assert load(3, stray, slip()) == (1, 3, 2, 0)
+    listed[0] = SLIPS[:2]
+    assert load(4, slip("2-0-1", shelf="B-12")) == (2, 5, 2, 0)
+    assert load(5, slip("2-0-7")) == (3, 6, 2, 1)
+    assert load(6, slip("2-0-7"), stray) == (3, 7, 3, 2)
+    listed[0] = [*SLIPS, document("stray", {"a": TEXT})]
+    assert load(700, stray) == (4, 8, 3, 2)
+    rows = committed(spark, database, SLIP_TABLE)
+    assert rows.count() == 6 and rows.where("shelf = 'B-12'").count() == 1
+    assert committed(spark, database, "net_quillhouse_stray_1").count() == 1
 
 
 def test_colliding_columns_do_not_stop_a_batch(spark, database):
-    documents = [*VERSIONS, named("twice", mastId=WORD, mast_id=WORD)]
-    settings = Settings(inputs.ATOMIC_SCHEMA, purpose="JSON")
+    documents = [*SLIPS, document("pair", {"shelfMark": TEXT, "shelf_mark": TEXT})]
     sink = DiscardingSink()
-    bad = json.dumps({"schema": f"{URI_PREFIX}org.tideline/twice/jsonschema/1-0-0", "data": {"mastId": "x"}})
-    lines = frame(spark, [bad, json_line("1-0-0", READINGS[0])])
-    Loader(spark, registry_of(spark, documents), settings, database, sink).load(lines)
-    assert sink.total == 1
-    assert spark.table(f"{database}.{READING_TABLE}").count() == 1
+    lines = frame(spark, [json_line("pair", "1-0-0", {"shelfMark": "x"}), slip()])
+    Loader(spark, registry_of(spark, documents), JSON_LINES, database, sink).load(lines)
+    assert sink.total == 1 and committed(spark, database, SLIP_TABLE).count() == 1
 
 
 def test_events_table_and_catalog(spark, database):
@@ -217,25 +207,52 @@ def test_replayed_batch_and_bad_rows(spark, database, tmp_path):
     sink = text_sink(str(tmp_path / "bad"))
     loader = Loader(spark, inputs.registry(spark), inputs.SETTINGS, database, sink)
     loader.load_batch(lines, 7, "one")
-    first = spark.table(f"{database}.events").count()
+    first = committed(spark, database, "events").count()
     loader.load_batch(lines, 7, "one")
-    assert spark.table(f"{database}.events").count() == first
+    assert committed(spark, database, "events").count() == first
     total = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
     bad = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "bad")).collect()]
     assert first + len(bad) == total
     assert {b["processor"]["artifact"] for b in bad} == {"distributary"}
 
 
-def test_a_replay_goes_on_where_it_stopped(spark, database):
-    loader = Loader(spark, inputs.registry(spark), inputs.SETTINGS, database)
-    lines = frame(spark, [line(), line()])
-    loader.load_batch(lines, 0, "one")
-    loader.note("one", "", -1)  # as if the batch had ended before its last note
-    loader.note("one", "events", -1)
-    loader.load_batch(lines, 0, "one")
-    assert spark.table(f"{database}.events").count() == 4
-    loader.load_batch(lines, 0, "one")
-    assert spark.table(f"{database}.events").count() == 4
+def test_what_a_stopped_batch_left_is_never_seen(spark, database):
+    class Stopping(Loader):
+        def fill(self, staged, table, batch_id, token):
+            super().fill(staged, table, batch_id, token)
+            raise InterruptedError(table)
+
+    def load(loader, number, stream="one"):
+        loader(spark, inputs.registry(spark), inputs.SETTINGS, database).load_batch(frame(spark, [line(), line()]), number, stream)
+        return committed(spark, database, "events").count()
+
+    assert load(Loader, 0) == 2
+    for _ in range(2):
+        with pytest.raises(InterruptedError):
+            load(Stopping, 1)
+    assert committed(spark, database, "events").count() == 2
+    assert [load(Loader, 1), load(Loader, 1), load(Loader, 0), load(Loader, 0, "other")] == [4, 4, 4, 6]
+    assert spark.table(f"{database}.events").count() == 10
+    assert drop_abandoned(spark, database, "events") == 2
+    assert spark.table(f"{database}.events").count() == committed(spark, database, "events").count() == 6
+    for token in "ab":  # two drivers commit the same batch
+        rows = spark.table(f"{database}.events").limit(1).withColumn(BATCH_COLUMN, F.lit(token))
+        rows.write.insertInto(f"{database}.events")
+        commit(spark, database, token, "one", 2)
+    assert committed(spark, database, "events").count() == 7
+
+
+def test_widening_keeps_rows_comment_and_other_widths(spark, database):
+    Loader(spark, registry_of(spark, SLIPS), JSON_LINES, database).load(frame(spark, [slip("2-1-1", branch="north")]))
+    before = describe_table(spark, database, SLIP_TABLE).collect()
+    spark.sql(f"CREATE TABLE {database}.{SLIP_TABLE}__wide (x string) USING parquet")  # left by a call that stopped
+    widen_columns(spark, database, SLIP_TABLE, ["branch"], "VARCHAR(40)")
+    after = describe_table(spark, database, SLIP_TABLE).collect()
+    changed = [(a.column_name, b.data_type) for a, b in zip(before, after, strict=True) if a != b]
+    assert changed == [("branch", "varchar(40)")]
+    assert list_tables(spark, database) == [SLIP_TABLE]
+    assert table_comments(spark, database).first().comment.endswith("/2-1-1")
+    assert committed(spark, database, SLIP_TABLE).first().branch == "north"
 
 
 def test_no_loader_loses_batches_of_another(spark, database, tmp_path):
@@ -244,7 +261,7 @@ def test_no_loader_loses_batches_of_another(spark, database, tmp_path):
         return Loader(spark, inputs.registry(spark), inputs.SETTINGS, database)
 
     def count():
-        return spark.table(f"{database}.events").count()
+        return committed(spark, database, "events").count()
 
     loader().load(frame(spark, [line(), line()]))
     same = loader()
@@ -283,11 +300,30 @@ def test_lengths_by_column(spark):
     assert [len(row[c]) for c in ("page_title", "page_url", "page_referrer")] == [1200, 10, 1024]
 
 
-def test_whole_numbers_are_exact_or_refused(spark):
-    rows = spark.createDataFrame([("1e3",), ("9007199254740993e0",), ("9007199254740993",), ("5.0",)], "t string")
-    value, problem = cast_json(F.parse_json("t"), "BIGINT")
-    found = rows.select("t", value.alias("v"), problem.alias("e")).collect()
-    assert [(r.v, r.e is None) for r in found] == [(1000, True), (None, False), (9007199254740993, True), (5, True)]
+def test_whole_numbers_are_exact_however_written(spark):
+    cases = {
+        "1e3": 1000, "9007199254740993e0": 9007199254740993, "9007199254740993": 9007199254740993, "5.0": 5, "0e5": 0,
+        "-92233720368547758.08e2": -9223372036854775808, "9223372036854775808e0": None, "15e-1": None, "1e999999999999": None,
+        "0.00000000000000000000000000000000000000001e41": 1, "1.0000000000000000000000000000000000000000001": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in cases], "t string")
+    value, problem = cast_json(F.parse_json("t"), "BIGINT", written=F.col("t"))
+    found = {r.t: (r.v, r.e is None) for r in rows.select("t", value.alias("v"), problem.alias("e")).collect()}
+    assert found == {t: (v, v is not None) for t, v in cases.items()}
+
+
+def test_json_as_written(spark):
+    """Marked text of fields: keys in order, numbers untouched, strings never taken for numbers, the last of equal keys."""
+    documents = {
+        '{"a": 1.10, "b": {"z": [1e3 , -0, "1.5", 7], "y": "\\" 2.5"}, "a": 2.50}': ("2.50", '{"z":[1e3,-0,"1.5",7],"y":"\\" 2.5"}'),
+        '{"a": "x\ufdd0n1.5", "b": [2.5, "\ufdd0n1.5", "\\\\ufdd0"]}': ("x\ufdd0n1.5", '[2.5,"\ufdd0n1.5","\\\\ufdd0"]'),
+        '{"b": ["\\ufdd0n2.5", 1.0, "\\\\\\uFDD0"], "a": 1}': ("1", '["\ufdd0n2.5",1.0,"\\\\\ufdd0"]'),
+        '{"a": 12345678901234567890123456789012345678901, "b": null}': ("12345678901234567890123456789012345678901", None),
+        '{"a": -0.0, "b": {"k": 1E-7}}': ("-0.0", '{"k":1E-7}'),
+    }
+    rows = spark.createDataFrame([(t,) for t in documents], "t string")
+    at = lambda name: written_at(marked(F.col("t")), F.array(F.lit(name))).alias(name)
+    assert {r.t: (r.a, r.b) for r in rows.select("t", at("a"), at("b")).collect()} == documents
 
 
 def test_stream_goes_on_after_a_restart(spark, database, tmp_path):
@@ -300,7 +336,7 @@ def test_stream_goes_on_after_a_restart(spark, database, tmp_path):
         loader = Loader(spark, inputs.registry(spark), inputs.SETTINGS, database, sink)
         lines = stream_lines(spark, str(tmp_path / "lines"), 1)
         loader.stream(lines, str(tmp_path / "checkpoint"), once=True).awaitTermination()
-        return spark.table(f"{database}.events").count()
+        return committed(spark, database, "events").count()
 
     assert run() == 2
     assert run() == 2

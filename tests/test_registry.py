@@ -8,130 +8,111 @@ from distributary.operators.registry import added_columns, column_table, invalid
 from distributary.operators.state import MISSING, OUTDATED, table_state
 from distributary.sources.registry import read_registry
 
-WORD, SIZE, LIST = {"type": "string"}, {"type": "number"}, {"type": "array"}
-MIXED = {"type": ["integer", "string"]}
-
-
-def version(number: str, position: dict, **properties) -> dict:
-    """A reading of a buoy."""
-    base = {
-        "stationCode": WORD,
-        "quality": {"type": ["integer", "boolean"]},
-        "position": {"type": "object", "properties": position},
-        "serial": {"type": "string", "format": "uuid"},
-    }
-    return {
-        "self": {"vendor": "org.tideline", "name": "buoy-reading", "format": "jsonschema", "version": number},
-        "type": "object",
-        "properties": base | properties,
-        "required": ["stationCode", "quality"],
-    }
-
-
-PLACE = {"lat": SIZE, "note": MIXED}
-DEEP_PLACE = PLACE | {"depthMm": {"type": "integer"}}
-VERSIONS = [
-    version("1-0-0", PLACE),
-    version("1-0-1", PLACE, samples=LIST),
-    version(
-        "1-0-2",
-        DEEP_PLACE,
-        samples=LIST,
-        takenAt={"type": "string", "format": "date-time"},
-        ticks={"type": "integer"},
-    ),
+VENDOR = "net.quillhouse"
+TEXT, DAY, FLAG = {"type": "string"}, {"type": "string", "format": "date"}, {"type": "boolean"}
+COPIES = {"type": "integer", "maximum": 900}
+
+
+def about(name: str, version: str) -> dict:
+    return {"vendor": VENDOR, "name": name, "format": "jsonschema", "version": version}
+
+
+def document(name: str, properties: dict, version: str = "1-0-0", required: tuple[str, ...] = ()) -> dict:
+    return {"self": about(name, version), "type": "object", "properties": properties, "required": list(required)}
+
+
+# A slip for a lent book: two revisions with two versions each, of which only the first has mandatory columns.
+SLIP = {"due": DAY, "renewable": FLAG, "copiesHeld": COPIES}
+SHELF = {"shelf": {"type": "string", "minLength": 4, "maxLength": 4}}
+FEE = {"fee": {"type": "object", "properties": {"currency": {"enum": ["EUR", "DKK"]}, "amount": {"type": "number"}}}}
+BRANCH = {"branch": {"enum": ["north", "south", "pier"]}, "remarks": {"type": "array"}}
+SLIPS = [
+    document("LoanSlip", SLIP, "2-0-0", ("renewable", "due")),
+    document("LoanSlip", SLIP | SHELF, "2-0-1", ("renewable", "due")),
+    document("LoanSlip", SLIP | SHELF | FEE, "2-1-0", ("due",)),
+    document("LoanSlip", SLIP | SHELF | FEE | BRANCH, "2-1-1", ("due", "branch")),
 ]
-COLUMNS = [
-    ('"quality" JSONB NOT NULL'),
-    ('"station_code" VARCHAR(4096) NOT NULL'),
-    ('"position.lat" DOUBLE PRECISION NULL'),
-    ('"position.note" JSONB NULL'),
-    ('"serial" UUID NULL'),
-    ('"samples" JSONB NULL'),
-    ('"position.depth_mm" BIGINT NULL'),
-    ('"taken_at" TIMESTAMP NULL'),
-    ('"ticks" BIGINT NULL'),
+# By hand: mandatory ones of the first version by name, its other ones by name, then additions version by version as written.
+SLIP_COLUMNS = [
+    '"due" DATE NOT NULL',
+    '"renewable" BOOLEAN NOT NULL',
+    '"copies_held" INTEGER NULL',
+    '"shelf" CHAR(4) NULL',
+    '"fee.currency" VARCHAR(3) NULL',
+    '"fee.amount" DOUBLE PRECISION NULL',
+    '"branch" VARCHAR(5) NULL',
+    '"remarks" JSONB NULL',
 ]
 
 
 def write_registry(folder, documents):
-    for i, document in enumerate(documents):
-        path = folder / document["self"]["vendor"] / f"{i}"
+    for i, content in enumerate(documents):
+        path = folder / content["self"]["vendor"] / f"{i}"
         path.mkdir(parents=True)
-        (path / document["self"]["version"]).write_text(json.dumps(document))
+        (path / content["self"]["version"]).write_text(json.dumps(content))
     return str(folder)
 
 
 @pytest.fixture
-def schemas(spark, tmp_path):
-    return read_registry(spark, [write_registry(tmp_path / "local", VERSIONS)])
+def slips(spark, tmp_path):
+    return read_registry(spark, [write_registry(tmp_path / "slips", SLIPS)])
 
 
-def test_columns_of_three_versions(schemas):
-    found = column_table(schemas).orderBy("position").select("ddl").collect()
-    assert [r.ddl for r in found] == COLUMNS
+def test_columns_over_two_revisions(slips):
+    found = column_table(slips).orderBy("position").select("ddl").collect()
+    assert [r.ddl for r in found] == SLIP_COLUMNS
 
 
-def test_columns_added_since_a_version(schemas):
-    known = schemas.where("addition = 1")
-    found = added_columns(column_table(schemas), known).select("column").collect()
-    assert {r.column for r in found} == {"position.depth_mm", "taken_at", "ticks"}
+def test_columns_that_a_table_lacks(slips):
+    for known, missing in (
+        ("revision = 0 and addition = 0", {"shelf", "fee.amount", "fee.currency", "branch", "remarks"}),
+        ("revision = 1 and addition = 0", {"branch", "remarks"}),
+    ):
+        found = added_columns(column_table(slips), slips.where(known)).select("column").collect()
+        assert {r.column for r in found} == missing
 
 
-def test_earlier_repository_wins(spark, tmp_path):
-    other = version("1-0-0", {}, extra=WORD)
-    paths = [write_registry(tmp_path / "a", [VERSIONS[0]]), write_registry(tmp_path / "b", [other])]
-    found = read_registry(spark, paths).collect()
-    assert len(found) == 1 and "extra" not in found[0].document
+def test_the_first_folder_wins(spark, tmp_path):
+    other = document("LoanSlip", {"lender": TEXT}, "2-0-0")
+    folders = [write_registry(tmp_path / n, [d]) for n, d in (("ours", SLIPS[0]), ("theirs", other))]
+    for order, expected in ((folders, "renewable"), (folders[::-1], "lender")):
+        rows = read_registry(spark, order).collect()
+        assert len(rows) == 1 and expected in rows[0].document
 
 
-def test_parents_of_other_properties_are_dropped(spark, tmp_path):
-    documents = [version("1-0-0", {}), version("1-0-1", PLACE)]
-    schemas = read_registry(spark, [write_registry(tmp_path / "r", documents)])
-    found = {r.column for r in column_table(schemas).select("column").collect()}
-    assert found == {"station_code", "quality", "serial", "position.lat", "position.note"}
+def test_a_property_that_gains_parts_leaves_only_those(spark, tmp_path):
+    bare = document("stamp", {"mark": {"type": "object"}, "ink": TEXT})
+    parts = document("stamp", {"mark": {"type": "object", "properties": {"wide": FLAG, "code": COPIES}}, "ink": TEXT}, "1-0-1")
+    schemas = read_registry(spark, [write_registry(tmp_path / "r", [bare, parts])])
+    assert {r.column for r in column_table(schemas).select("column").collect()} == {"ink", "mark.wide", "mark.code"}
 
 
 def test_table_state(spark):
     types = "vendor string, name string, format string, model int, revision int, addition int"
-    reading = ("org.tideline", "buoy-reading", "jsonschema")
-    reflected = spark.createDataFrame([(*reading, 3, 0, 2), (*reading, 3, 1, 0)], types)
-    itself = ("org.tideline", "observation", "jsonschema", 1, 0, 0)
-    expected = {
-        (*reading, 3, 1, 0): "Match",
-        (*reading, 3, 1, 4): OUTDATED,
-        (*reading, 4, 0, 0): MISSING,
-        itself: "Match",
-    }
-    rows = [key for key in expected for _ in range(3)]
-    asked = spark.createDataFrame(rows, types)
-    checked = table_state(asked, reflected, f"{URI_PREFIX}org.tideline/observation/jsonschema/1-0-0").collect()
-    assert len(checked) == len(rows)
+    slip = (VENDOR, "LoanSlip", "jsonschema")
+    reflected = spark.createDataFrame([(*slip, 2, 0, 1), (*slip, 2, 1, 0)], types)
+    itself = (VENDOR, "visit", "jsonschema", 1, 0, 0)
+    expected = {(*slip, 2, 1, 0): "Match", (*slip, 2, 1, 1): OUTDATED, (*slip, 5, 0, 0): MISSING, itself: "Match"}
+    asked = spark.createDataFrame([key for key in expected for _ in range(3)], types)
+    checked = table_state(asked, reflected, f"{URI_PREFIX}{VENDOR}/visit/jsonschema/1-0-0").collect()
+    assert len(checked) == 3 * len(expected)
     assert {tuple(r[c] for c in KEY_COLUMNS): r.table_state for r in checked} == expected
 
 
-def named(name: str, version: str = "1-0-0", **properties) -> dict:
-    about = {"vendor": "org.tideline", "name": name, "format": "jsonschema", "version": version}
-    return {"self": about, "type": "object", "properties": properties, "required": []}
-
-
-def test_colliding_names_spoil_their_groups(spark, tmp_path):
+def test_names_that_meet_spoil_their_groups(spark, tmp_path):
     documents = [
-        named("twice", mastId=WORD, mast_id=WORD),
-        named("origin", schemaVendor=WORD),
-        named("rig-log", a=WORD),
-        named("rig_log", a=WORD),
-        named("fine", a=WORD),
-        named("broken") | {"type": 5},
+        document("pair", {"shelfMark": TEXT, "shelf_mark": TEXT}),
+        document("origin", {"schemaVendor": TEXT}),
+        document("desk-log", {"a": TEXT}),
+        document("desk_log", {"a": TEXT}),
+        document("fine", {"a": TEXT}),
+        document("torn", {}) | {"type": 5},
     ]
     schemas = read_registry(spark, [write_registry(tmp_path / "r", documents)])
-    found = invalid_groups(schemas, column_table(schemas), ["schema_vendor"]).collect()
-    assert {r.name: r.problem.split(" ")[0] for r in found if r.name != "broken"} == {
-        "twice": "column", "origin": "column", "rig-log": "table", "rig_log": "table"
-    }
-    assert [r.problem for r in found if r.name == "broken"] == [
-        f"{URI_PREFIX}org.tideline/broken/jsonschema/1-0-0 cannot be parsed as JSON Schema"
-    ]
+    found = {r.name: r.problem for r in invalid_groups(schemas, column_table(schemas), ["schema_vendor"]).collect()}
+    assert found.pop("torn") == f"{URI_PREFIX}{VENDOR}/torn/jsonschema/1-0-0 cannot be parsed as JSON Schema"
+    kinds = {name: problem.split(" ")[0] for name, problem in found.items()}
+    assert kinds == {"pair": "column", "origin": "column", "desk-log": "table", "desk_log": "table"}
 
 
 def test_version_numbers_are_numbers(spark):
