@@ -4,6 +4,7 @@ import corpus_pipeline
 from distributary.llm import decontaminate, near_dup, quality, substrings
 from distributary.llm.shared import read_table, written
 from tests.conftest import SF_DIR
+from tests.llm import cases
 from tests.llm.test_dedup import brute_components, brute_repeats
 from tests.llm.test_filters import brute_contamination
 
@@ -49,3 +50,14 @@ def test_stages(spark):
 
     assert left["bpe"].count() == left["decontamination"].count()
     assert decontaminate.WINDOW == 10 and near_dup.PERCENT == 80
+
+
+def test_one_row_of_each_group_whatever_its_ids(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"else{i}" for i in range(40))
+    rows = [(None, text)] * 2 + [(4, text)] * 2 + [(9, text), (4, other), (None, other), (7, None), (7, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], cases.KINDS).repartition(3)
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each(spark, cases.clashing(docs), SF_DIR).collect()]
+    assert [t for _, t in left].count(text) == 1 and [t for _, t in left].count(other) == 1
+    assert (9, text) in left and len(left) == 5  # rows without words are alike to none
+    assert corpus_pipeline.one_of_each(spark, cases.empty(spark), SF_DIR).collect() == []
