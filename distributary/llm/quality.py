@@ -38,6 +38,8 @@ GRAM_CHUNK = 1 << 20  # bytes of text at a time; their n-grams take some hundred
 REACH = 4.0
 LEAST_REACH = 0.35
 SHORT_REACH = 2.0
+BROADCAST_BANDS = 100_000
+SALTS = 64
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
@@ -362,19 +364,29 @@ def assess(documents: DataFrame, keep: list[str], order: int = ORDER, model_byte
     bands = scored.groupBy("language").agg(quartiles.alias("q")).select("language", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     reach = F.greatest(REACH * (F.col("q3") - F.col("q1")), F.lit(LEAST_REACH))
     bands = bands.select("language", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
+    bands = written(bands, "bands")
     n = F.col("n_words")
     failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * n)
     more = F.lit(SHORT_REACH) / F.sqrt(F.greatest(n, F.lit(1)))
     inside = F.col("log_ppl").between(F.col("low") - more, F.col("high") + more)
     inside = F.coalesce(inside, F.lit(True))
     return (
-        scored.join(bands, "language", "left")
+        with_bands(scored, bands)
         .withColumns({"base_failed": failed, "perplexity": F.exp("log_ppl")})
         .withColumn("kept", ~F.col("base_failed") & inside)
         .drop("language", "low", "high", "log_ppl")
     )
 
 
+def with_bands(scored: DataFrame, bands: DataFrame) -> DataFrame:
+    """Adds the band of each row's language, without moving the rows of a language to one task."""
+    if bands.count() <= BROADCAST_BANDS:
+        return scored.join(F.broadcast(bands), "language", "left")
+    salted = bands.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = scored.withColumn("salt", F.pmod(F.xxhash64("log_ppl", "n_words", "word_chars"), F.lit(SALTS)).cast("int"))
+    return spread.join(salted, ["language", "salt"], "left").drop("salt")
+
+
 RULES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "perplexity"]
 
 

@@ -341,3 +341,12 @@ def test_null_slots_with_bytes_are_empty():
     broken = pa.Array.from_buffers(pa.string(), 3, [pa.py_buffer(b"\x05"), *column.buffers()[1:]])
     texts = next(texts_of(broken))
     assert [texts.raw(i) for i in range(3)] == [b"ab", b"", b"e"]
+
+
+def test_bands_joined_both_ways(spark, monkeypatch):
+    found = []
+    for limit in (100_000, 0):
+        monkeypatch.setattr(quality, "BROADCAST_BANDS", limit)
+        rows = quality.quality_rules(cases.clashing(cases.frame(spark, cases.random_documents(60))))
+        found.append(sorted(map(repr, map(tuple, rows.collect()))))
+    assert found[0] == found[1] and len(found[0]) == 60
