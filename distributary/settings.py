@@ -56,8 +56,6 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder for written intermediate data, which driver and executors share."""
+    """Folder for written intermediate data: the cluster's ``spark.checkpoint.dir``; where that is unset, as in tests, the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{shared.rstrip('/')}/{NAME}"
+    return f"{(shared or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{NAME}"
