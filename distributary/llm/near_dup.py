@@ -370,7 +370,8 @@ def links_of(documents: DataFrame, classes: DataFrame, shingle: int) -> DataFram
     pairs = written(pairs.agg(F.sum("weight").alias("weight"), F.max("place").alias("nearest")), "pairs")
     cut = found.filter(F.col("kind") == CUT).select("tree", "region").distinct()
     dense = entries.join(cut, ["tree", "region"], "left_semi").select("node").distinct().withColumn("dense", F.lit(True))
-    joined = components(pairs.select("a", "b").union(found.filter(F.col("kind") == NEXT).select("a", "b")))
+    # Taken in the order they were found in: a task holds whole stretches of a region and joins them to few stars.
+    joined = components(found.filter(F.col("kind").isin(PAIR, NEXT)).select("a", "b"))
     # A cluster's smallest node is its name; clusters of mere neighbours that are not dense have no pair to confirm.
     named = joined.union(joined.select(F.col("root").alias("node"), "root").distinct())
     nodes = classes.select("node", "fp1", "n").join(named, "node").join(dense, "node", "left")
@@ -429,9 +430,10 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the smallest node reachable) of all nodes on edges ``a``, ``b`` but the roots.
 
     In turn, the larger and the smaller neighbours of every node are hung below its smallest neighbour, until every
-    node hangs below one root that hangs below none.
+    node hangs below one root that hangs below none. Edges that several tasks arrive at are kept once, so what the joins
+    of a turn take does not grow with the number of tasks.
     """
-    stars = written(joined_within_tasks(edges), "edges")
+    stars = written(joined_within_tasks(edges).distinct(), "edges")
     while True:
         ends = stars.select(F.col("b").alias("node"), "a").union(stars.select(F.col("a").alias("node"), "a"))
         unsettled = ends.groupBy("node").agg(F.min("a").alias("low"), F.max("a").alias("high")).filter("low < high")
@@ -444,7 +446,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = up.groupBy("a").agg(F.min("b").alias("m"))
         joined = up.join(least, "a")
         small = joined.filter("b > m").select(F.col("m").alias("a"), "b").union(joined.select(F.col("m").alias("a"), F.col("a").alias("b")))
-        stars = written(joined_within_tasks(small), "edges")
+        stars = written(joined_within_tasks(small).distinct(), "edges")
 
 
 def near_duplicates(documents: DataFrame, shingle: int) -> DataFrame:
