@@ -30,15 +30,36 @@ from distributary.llm.text import PLAIN, Texts, batch_of, texts_of, words_of
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Mandatory, optional and replaceable wording of common license notices, by their public identifiers.
+# The wording that the BSD licenses share.
+BSD_CONDITIONS = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the"
+    " following conditions are met <<beginOptional>>1<<endOptional>> redistributions of source code must retain the above"
+    " copyright notice this list of conditions and the following disclaimer <<beginOptional>>2<<endOptional>>"
+    " redistributions in binary form must reproduce the above copyright notice this list of conditions and the following"
+    " disclaimer in the documentation and or other materials provided with the distribution "
+)
+BSD_DISCLAIMER = (
+    "this software is provided by <<var;match=14>> and any express or implied warranties including but not limited to"
+    " the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall"
+    " <<var;match=14>> be liable for any direct indirect incidental special exemplary or consequential damages including"
+    " but not limited to procurement of substitute goods or services loss of use data or profits or business interruption"
+    " however caused and on any theory of liability whether in contract strict liability or tort including negligence or"
+    " otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
+
+# Mandatory, optional and replaceable wording of common licenses (BSD, ISC and MIT whole) and notices, by their public identifiers.
 TEMPLATES = {
     "agpl-3.0": "gnu affero general public license <<beginOptional>>as published by the free software foundation"
     " either<<endOptional>> version 3",
     "apache-2.0": "licensed under the apache license <<beginOptional>>version<<endOptional>> 2.0",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that"
-    " the following conditions are met",
-    "cc-by-4.0": "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>creative commons<<endOptional>>"
-    " <<beginOptional>>cc by<<endOptional>> <<beginOptional>>attribution<<endOptional>> 4.0",
+    "bsd-2-clause": BSD_CONDITIONS + BSD_DISCLAIMER,
+    "bsd-3-clause": BSD_CONDITIONS + "<<beginOptional>>3<<endOptional>> neither the name of <<var;match=14>> nor the"
+    " names of its contributors may be used to endorse or promote products derived from this software without specific"
+    " prior written permission " + BSD_DISCLAIMER,
+    "cc-by-4.0": "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> creative commons"
+    " <<beginOptional>>cc by<<endOptional>> attribution 4.0",
+    "cc-by-4.0 short": "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>creative commons<<endOptional>>"
+    " cc by <<beginOptional>>attribution<<endOptional>> 4.0",
     "cc-by-nc-4.0": "licensed under <<beginOptional>>a<<endOptional>> cc by nc 4.0",
     "cc-by-sa-4.0": "licensed under <<beginOptional>>a<<endOptional>> cc by sa 4.0",
     "copyright": "copyright <<beginOptional>>c<<endOptional>> <<var;match=8>> all rights reserved",
@@ -46,13 +67,26 @@ TEMPLATES = {
     " either<<endOptional>> version 2",
     "gpl-3.0": "gnu general public license <<beginOptional>>as published by the free software foundation"
     " either<<endOptional>> version 3",
-    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is"
-    " hereby granted",
+    "isc": "permission to use copy modify <<beginOptional>>and<<endOptional>> <<beginOptional>>or<<endOptional>>"
+    " distribute this software for any purpose with or without fee is hereby granted provided that the above copyright"
+    " notice and this permission notice appear in all copies the software is provided <<var;match=2>> and"
+    " <<var;match=8>> disclaims all warranties with regard to this software including all implied warranties of"
+    " merchantability and fitness in no event shall <<var;match=8>> be liable for any special direct indirect or"
+    " consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of"
+    " contract negligence or other tortious action arising out of or in connection with the use or performance of this"
+    " software",
     "lgpl": "gnu lesser general public license <<beginOptional>>as published by the free software foundation"
     " either<<endOptional>> version <<var;match=2>>",
-    "mit": "released under the mit license",
-    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of <<var;match=8>> to"
-    " deal in the software without restriction",
+    "mit": "permission is hereby granted free of charge to any person obtaining a copy of <<var;match=8>> to deal in the"
+    " software without restriction including without limitation the rights to use copy modify merge publish distribute"
+    " sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+    " subject to the following conditions the above copyright notice and this permission notice <<beginOptional>>"
+    "including the next paragraph<<endOptional>> shall be included in all copies or substantial portions of the software"
+    " the software is provided <<var;match=2>> without warranty of any kind express or implied including but not limited"
+    " to the warranties of merchantability fitness for a particular purpose and <<var;match=2>> in no event shall"
+    " <<var;match=12>> be liable for any claim damages or other liability whether in an action of contract tort or"
+    " otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "mit-notice": "released under the mit license",
     "mpl-2.0": "subject to the terms of the mozilla public license <<beginOptional>>v<<endOptional>>"
     " <<beginOptional>>version<<endOptional>> 2.0",
     "unlicense": "this is free and unencumbered software released into the public domain",
@@ -63,6 +97,12 @@ RESULT = (
     " score double"
 )
 
+
+def label_of(name: str) -> str:
+    """The label of a template: its name up to a blank, what follows tells wordings of one label apart."""
+    return name.split(" ")[0]
+
+
 MARKUP = re.compile(r"<<(beginOptional|endOptional|var;match=\d+)>>")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ANY = None
@@ -193,7 +233,7 @@ class Scanner:
             for at in (places - bounds[i]).tolist():
                 for label, automaton in self.automata.items():
                     if own[at] in automaton.first and automaton.accepts(own, at):
-                        labels[i].add(label)
+                        labels[i].add(label_of(label))
                         accepted.add(i)
         results = []
         for i, (found, every) in enumerate(zip(base, labels, strict=True)):

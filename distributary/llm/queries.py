@@ -95,7 +95,7 @@ def license_sql() -> str:
         for p, label in licenses.PHRASES.items()
     )
     templates = " union all ".join(
-        f"select r, '{label}' as label from document where regexp_matches({spaced}, '(^| ){licenses.pattern(t)}')"
+        f"select r, '{licenses.label_of(label)}' as label from document where regexp_matches({spaced}, '(^| ){licenses.pattern(t)}')"
         for label, t in licenses.TEMPLATES.items()
     )
     return f"""

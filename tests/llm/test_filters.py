@@ -235,6 +235,34 @@ def test_license_automata():
         licenses.Automaton("<<beginOptional>>all<<endOptional>>")
 
 
+def written_out(template, filler=""):
+    """A template with all optional wording and ``filler`` in the replaceable regions."""
+    return licenses.MARKUP.sub(lambda m: f" {filler} " if m[1].startswith("var") else " ", template)
+
+
+def accepted_by(text):
+    words = plain(text)
+    return {licenses.label_of(label) for label, t in licenses.TEMPLATES.items() if any(licenses.Automaton(t).accepts(words, i) for i in range(len(words)))}
+
+
+def test_whole_licenses():
+    """Every template accepts its own wording; a changed or missing mandatory word, also in the conditions, is refused."""
+    for label, template in licenses.TEMPLATES.items():
+        assert licenses.label_of(label) in accepted_by(f"before {written_out(template, 'x')} after")
+    for label in ("bsd-2-clause", "bsd-3-clause", "isc", "mit"):
+        words = plain(written_out(licenses.TEMPLATES[label], "x y"))
+        assert accepted_by(" ".join(words)) == {label}
+        assert accepted_by(" ".join(words[: len(words) // 2])) == set()
+        last = len(words) - 2
+        assert accepted_by(" ".join([*words[:last], "changed", *words[last + 1 :]])) == set()
+
+
+def test_a_number_alone_names_no_license():
+    assert accepted_by("licensed under 4.0") == accepted_by("licensed under a 4.0") == set()
+    assert accepted_by("Licensed under CC BY 4.0.") == {"cc-by-4.0"}
+    assert accepted_by("licensed under a Creative Commons Attribution 4.0 licence") == {"cc-by-4.0"}
+
+
 def test_license_scan(spark):
     texts = [
         "Licensed under the Apache License, Version 2.0.", "licensed under the apache license 2.0", "Apache License only",
@@ -242,7 +270,8 @@ def test_license_scan(spark):
         "GNU General Public License as published by the Free Software Foundation, either version 3", "general public",
         "GNU General Public License, version 4", "all\nrights\treserved",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and documentation"
-        " to deal in the Software without restriction",
+        " to deal in the Software without restriction", "licensed under 4.0", "licensed under CC-BY 4.0",
+        written_out(licenses.TEMPLATES["mit"], "it"), written_out(licenses.TEMPLATES["bsd-3-clause"], "Some One, Inc."),
     ]
     rows = cases.awkward() + [(100 + i, t, "en", "s", 1) for i, t in enumerate(texts)]
     found = licenses.license_scan(cases.clashing(cases.frame(spark, rows))).collect()
@@ -251,7 +280,7 @@ def test_license_scan(spark):
         words = plain(t)
         places = [(i, p[1]) for p in licenses.PHRASES.items() for i in range(len(words)) if words[i : i + len(p[0].split())] == p[0].split()]
         spaced = " " + "".join(w + " " for w in words)
-        accepted = {label for label, x in licenses.TEMPLATES.items() if re.search(" " + licenses.pattern(x), spaced)}
+        accepted = {licenses.label_of(label) for label, x in licenses.TEMPLATES.items() if re.search(" " + licenses.pattern(x), spaced)}
         base = {label for _, label in places}
         expected.append((
             str(d), len(words), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None),
