@@ -56,7 +56,7 @@ def trigrams(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     row = np.repeat(np.arange(len(texts)), np.diff(texts.offsets))
     if len(data) < 3:
         return row[:0], row[:0]
-    keep = (data != 0x20) | np.concatenate([[True], data[:-1] != 0x20])
+    keep = (data != 0x20) | np.concatenate([[True], (data[:-1] != 0x20) | (row[1:] != row[:-1])])
     data, row = data[keep].astype(np.int64), row[keep]
     gram = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
     whole = row[:-2] == row[2:]
@@ -175,23 +175,27 @@ def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
     joined = joined.join(by_declared, ["declared", "salt"]).drop("salt")
     suffixes = F.lit(float(by_suffix.count()))
 
-    # Shares without the page's own posterior, each level resting on the next wider one.
-    own = lambda column, i: F.greatest(F.col(column)[i] - F.col("p_text")[i], F.lit(0.0))
-    size = lambda column: sum((own(column, i) for i in each), F.lit(0.0))
-    wider = [(own("all_pages", i) + SMOOTHING) / (size("all_pages") + SMOOTHING * k) for i in each]
-    joined = joined.withColumn("prior", F.array(*wider))
+    # Shares without the page's own posterior, each level resting on the next wider one. All numbers are arrays by
+    # language, so neither the plan nor the work on a page grows faster than the number of languages.
+    joined = joined.withColumns({
+        column: F.zip_with(column, "p_text", lambda n, p: F.greatest(n - p, F.lit(0.0)))
+        for column in ("all_pages", "c_suffix", "c_domain", "c_host", "c_declared")
+    })
+    total_of = lambda column: F.aggregate(column, F.lit(0.0), lambda a, n: a + n)
+    divided = lambda column, by: F.zip_with(column, F.array_repeat(by, k), lambda n, size: n / size)
+    plus = lambda one, other: F.zip_with(one, other, lambda a, b: a + b)
+    smoothed = F.transform("all_pages", lambda n: n + SMOOTHING)
+    joined = joined.withColumn("prior", divided(smoothed, total_of("all_pages") + SMOOTHING * k))
     for column in ("c_suffix", "c_domain", "c_host"):
-        level = [(own(column, i) + PRIOR_PAGES * F.col("prior")[i]) / (size(column) + PRIOR_PAGES) for i in each]
-        joined = joined.withColumn("prior", F.array(*level))
-    right = lambda column, i, kinds: F.log(
-        (own(column, i) + SMOOTHING) / (own("all_pages", i) + SMOOTHING * kinds)
+        rested = F.zip_with(column, "prior", lambda n, wider: n + PRIOR_PAGES * wider)
+        joined = joined.withColumn("prior", divided(rested, total_of(column) + PRIOR_PAGES))
+    right = lambda column, kinds: F.zip_with(
+        column, "all_pages", lambda n, all_n: F.log((n + SMOOTHING) / (all_n + SMOOTHING * kinds))
     )
-    logs = [
-        F.col("log_text")[i] + F.log(F.col("prior")[i]) + right("c_declared", i, names_count) + right("c_suffix", i, suffixes)
-        for i in each
-    ]
-    joined = joined.withColumn("logs", F.array(*logs)).withColumn("most", F.array_max("logs"))
-    total = sum((F.exp(F.col("logs")[i] - F.col("most")) for i in each), F.lit(0.0))
+    with_prior = F.zip_with("log_text", "prior", lambda text, prior: text + F.log(prior))
+    joined = joined.withColumn("logs", plus(plus(with_prior, right("c_declared", names_count)), right("c_suffix", suffixes)))
+    shares = F.zip_with("logs", F.array_repeat(F.array_max("logs"), k), lambda log, most: F.exp(log - most))
+    total = total_of(shares)
     named = lambda column: F.element_at(F.array(*map(F.lit, names)), F.array_position(column, F.array_max(column)).cast("int"))
     has_text = F.array_min("log_text") < 0
     return joined.select(

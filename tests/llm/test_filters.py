@@ -321,6 +321,76 @@ def test_languages(spark):
     assert {r["language"] for r in language.identify(pages, documents.filter("false")).collect()} == {None}
 
 
+def brute_languages(texts, evidence):
+    """Language and probability of pages by the formula; ``evidence`` has declared language, suffix, domain, host and text."""
+    def grams(text):
+        letters = [b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in text.lower().encode()]
+        letters = [b for i, b in enumerate(letters) if b != 0x20 or i == 0 or letters[i - 1] != 0x20]
+        codes = [a << 16 | b << 8 | c for a, b, c in zip(letters, letters[1:], letters[2:])]
+        return [(c * 0x9E3779B1 >> 13) % language.TRIGRAMS for c in codes]
+
+    names = sorted({name for name, _ in texts})
+    counts = {name: Counter() for name in names}
+    for name, text in texts:
+        counts[name].update(grams(text))
+    sizes = {name: c.total() + language.SMOOTHING * language.TRIGRAMS for name, c in counts.items()}
+    logs, posts = [], []
+    for *_, text in evidence:
+        found = grams(text)
+        weight = min(len(found), language.EFFECTIVE) / max(len(found), 1)
+        log = [weight * sum(math.log((counts[x][g] + language.SMOOTHING) / sizes[x]) for g in found) for x in names]
+        log = [v - max(log) for v in log]
+        logs.append(log)
+        posts.append([math.exp(v) / sum(map(math.exp, log)) for v in log])
+    result = []
+    for i, page in enumerate(evidence):
+        def others(n):
+            """Sum of the posteriors of the other pages that agree in their first ``n`` keys (suffix, domain, host)."""
+            alike = [p for e, p in zip(evidence, posts) if e[1 : 1 + n] == page[1 : 1 + n]]  # noqa: B023
+            return [max(sum(p[x] for p in alike) - posts[i][x], 0.0) for x in range(len(names))]  # noqa: B023
+
+        everywhere, suffix = others(0), others(1)
+        prior = [(n + language.SMOOTHING) / (sum(everywhere) + language.SMOOTHING * len(names)) for n in everywhere]
+        for level in (suffix, others(2), others(3)):
+            prior = [(n + language.PRIOR_PAGES * p) / (sum(level) + language.PRIOR_PAGES) for n, p in zip(level, prior)]
+        alike = [p for e, p in zip(evidence, posts) if e[0] == page[0]]
+        declared = [max(sum(p[x] for p in alike) - posts[i][x], 0.0) for x in range(len(names))]
+        kinds = len({e[0] for e in evidence}), len({e[1] for e in evidence})
+        total = [
+            logs[i][x] + math.log(prior[x])
+            + math.log((declared[x] + language.SMOOTHING) / (everywhere[x] + language.SMOOTHING * kinds[0]))
+            + math.log((suffix[x] + language.SMOOTHING) / (everywhere[x] + language.SMOOTHING * kinds[1]))
+            for x in range(len(names))
+        ]
+        best = max(range(len(names)), key=lambda x: total[x])  # noqa: B023
+        result.append((names[best], 1 / sum(math.exp(v - total[best]) for v in total)))
+    return result
+
+
+@pytest.mark.parametrize("languages", [3, 60])
+def test_languages_against_brute_force(spark, languages):
+    """Also with many languages, ties of empty pages and of languages with equal documents, and long pages."""
+    rng = random.Random(6)
+    vocabulary = {f"l{chr(97 + i // 10)}{chr(97 + i % 10)}": ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(12)] for i in range(languages)}
+    texts = [(name, " ".join(rng.choices(words, k=60))) for name, words in vocabulary.items() for _ in range(2)]
+    texts += [("twin", text) for name, text in texts if name == "laa"]
+    rows, evidence = [], []
+    for i in range(90):
+        name = rng.choice(list(vocabulary))
+        text = " ".join(rng.choices(vocabulary[name], k=rng.choice([0, 1, 3, 30, 2000])))
+        declared, suffix = rng.choice([name, name, "lab", ""]), rng.choice(["aa", "bb", "cc"])
+        domain = f"d{rng.randrange(3)}.{suffix}"
+        host = f"h{rng.randrange(2)}.{domain}"
+        rows.append((i, f"https://{host}/p", f'<html lang="{declared}"><p>{text}'))
+        evidence.append((declared, suffix, domain, host, f" {text}"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    documents = spark.createDataFrame(texts, "lang string, text string")
+    found = {r["page_id"]: r for r in language.identify(pages, documents).collect()}
+    for i, (name, score) in enumerate(brute_languages(texts, evidence)):
+        assert found[i]["score"] == pytest.approx(score, rel=1e-6)
+        assert found[i]["language"] == name or score < 0.5 + 1e-6
+
+
 def test_bloom_cascade():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 1 << 63, 20_000).astype(np.uint64)
