@@ -539,6 +539,8 @@ ORACLES["records_since_timestamp"] = """
 select ts as arrived, event_id from events
 where ts >= (select min(ts) + (max(ts) - min(ts)) / 2 from events)"""
 
+ORACLES["stream_discard_reports"] = f"select count(*) as discarded, false as any_empty, true as any_report from events where {BAD}"
+
 ORACLES["bounded_puts"] = f"""
 select case when {CASE} = 10 then null else event_id end as txn_id, count(*) as times, true as bounded
 from events where {BAD} group by 1"""

@@ -55,6 +55,7 @@ from distributary.settings import configure, work_dir
 from distributary.sources.lines import AT_TIMESTAMP, not_empty, start_from, stream_lines
 from distributary.sources.records import RecordLog
 from distributary.sources.registry import pick_by_priority, schemas_from
+from distributary.streaming.discards import discard_reports
 from distributary.streaming.load import Loader
 from distributary.streaming.puts import BoundedPuts, committed_puts
 from distributary.streaming.sinks import text_sink
@@ -1036,3 +1037,33 @@ def bounded_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded = largest.n <= 500 and (largest.size or 0) <= 200_000
     txn = F.get(F.split("value", "\t"), F.lit(TXN_ID)).try_cast("long").alias("txn_id")
     return items.groupBy(txn).agg(F.count("*").alias("times")).withColumn("bounded", F.lit(bounded))
+
+
+@query
+def stream_discard_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad rows of a stream that drops them, counted in its state: stopped after a batch, started again, ended when all is reported."""
+    folder = f"{work_dir(spark)}/streams/{uuid.uuid4().hex}"
+    bad = bad_records(shred(enriched_lines(spark, sf_dir), registry(spark), SETTINGS)).select("payload")
+    bad.write.parquet(f"{folder}/bad")
+    arriving = spark.readStream.schema(bad.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/bad")
+    reports = discard_reports(arriving, period_seconds=3)
+    for restarted in (False, True):
+        writer = reports.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+        running = writer.trigger(processingTime="500 milliseconds").start()
+        try:
+            while running.isActive:  # timers keep the stream busy, so it ends when a batch finds neither rows nor counts
+                progress = running.lastProgress
+                counts = progress["stateOperators"] if progress else []
+                if counts and (not restarted or progress["numInputRows"] == counts[0]["numRowsTotal"] == 0):
+                    break
+                running.awaitTermination(0.2)
+        finally:
+            running.stop()
+        if running.exception():
+            raise running.exception()
+    found = spark.read.schema(reports.schema).parquet(f"{folder}/out")
+    return found.agg(
+        F.coalesce(F.sum("discarded"), F.lit(0)).alias("discarded"),
+        F.coalesce(F.bool_or(F.col("discarded") <= 0), F.lit(False)).alias("any_empty"),
+        (F.count("*") > 0).alias("any_report"),
+    )

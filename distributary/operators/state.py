@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ from distributary.operators.registry import schemas_until
 
 MATCH, OUTDATED, MISSING = "Match", "Outdated", "Missing"
 
-# Most keys (six short fields each) that are sent to all tasks.
+# Most schema versions (six short fields each) that are sent to all tasks.
 BROADCAST_KEYS = 100_000
 
 # Messages about table comments.
@@ -30,23 +28,20 @@ INVALID_COMMENT = "Comment on table %s (%s) is not valid Iglu URI (%s)"
 def table_state(entities: DataFrame, state: DataFrame, atomic_schema: str) -> DataFrame:
     """Add ``table_state`` to rows with the six key columns.
 
-    ``state`` has one row per schema version that a table reflects. The events table always matches. Only the
-    distinct keys meet the state; their results go back to the rows at hand without a shuffle of these, if
-    they are few (``BROADCAST_KEYS``), so a popular schema is no hot key.
+    ``state`` has one row per schema version that a table reflects. The events table always matches. The rows are
+    read once and meet the state where they are, if that is small (``BROADCAST_KEYS``, counted without looking at
+    the rows), so a popular schema is no hot key; adaptive execution splits it where the state is larger.
     """
-    keys = key_states(entities.select(*KEY_COLUMNS).distinct(), state, atomic_schema)
-    keys = keys.persist()
-    few = keys.count() <= BROADCAST_KEYS
-    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"k.{c}")) for c in KEY_COLUMNS]
-    condition = reduce(lambda a, b: a & b, same)
-    joined = entities.alias("e").join(F.broadcast(keys).alias("k") if few else keys.alias("k"), condition, "left")
-    return joined.select("e.*", "k.table_state")
+    few = state.count() <= BROADCAST_KEYS
+    return key_states(entities, state, atomic_schema, few).select(*entities.columns, "table_state")
 
 
-def key_states(keys: DataFrame, state: DataFrame, atomic_schema: str) -> DataFrame:
-    """``table_state`` of distinct keys."""
+def key_states(keys: DataFrame, state: DataFrame, atomic_schema: str, few: bool = False) -> DataFrame:
+    """``table_state`` of keys; a state of ``few`` rows goes to all tasks."""
     versions = state.select(*KEY_COLUMNS, F.lit(True).alias("version_known")).distinct()
     groups = state.select(*GROUP_COLUMNS, F.lit(True).alias("group_known")).distinct()
+    if few:
+        versions, groups = F.broadcast(versions), F.broadcast(groups)
     atomic = parse_uri(F.lit(atomic_schema))
     is_atomic = (
         (F.col("vendor") == atomic["vendor"])
