@@ -161,6 +161,7 @@ def with_membership(
     keys: DataFrame,
     segment_keys: int = SEGMENT_KEYS,
     block_bytes: int = BROADCAST_BYTES,
+    *,
     hashes: Hashes = key_hashes,
 ) -> DataFrame:
     """Adds ``listed`` to a frame with a column ``key``; ``keys`` holds every key of the frame."""
