@@ -365,7 +365,7 @@ def links_of(documents: DataFrame, classes: DataFrame, shingle: int) -> DataFram
     """Links between classes, enough to connect all that are connected."""
     entries = written(forest(classes), "forest")
     found = written(neighbours(entries), "neighbours")
-    found = found.unionByName(across_tasks(found))
+    found = found.unionByName(written(across_tasks(found), "across-tasks"))
     pairs = found.filter(F.col("kind") == PAIR).groupBy("a", "b")
     pairs = written(pairs.agg(F.sum("weight").alias("weight"), F.max("place").alias("nearest")), "pairs")
     cut = found.filter(F.col("kind") == CUT).select("tree", "region").distinct()
@@ -394,7 +394,7 @@ def links_of(documents: DataFrame, classes: DataFrame, shingle: int) -> DataFram
         F.greatest("block_a", "block_b").alias("other"), F.lit(True).alias("is_pair"), "a", "b", "weight",
         F.lit(False).alias("dense"), nothing.cast("binary").alias("shingles"),
     )
-    return confirmed(sets.union(asked))
+    return written(confirmed(sets.union(asked)), "links")
 
 
 def joined_within_tasks(edges: DataFrame) -> DataFrame:
@@ -431,7 +431,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     In turn, the larger and the smaller neighbours of every node are hung below its smallest neighbour, until every
     node hangs below one root that hangs below none. Edges that several tasks arrive at are kept once, so what the joins
-    of a turn take does not grow with the number of tasks.
+    of a turn take does not grow with the number of tasks. Each half of a turn is written, as two of them in one task
+    would need two Python processes.
     """
     stars = written(joined_within_tasks(edges).distinct(), "edges")
     while True:
@@ -442,7 +443,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b")
-        up = joined_within_tasks(large).select(F.col("b").alias("a"), F.col("a").alias("b"))
+        up = written(joined_within_tasks(large).select(F.col("b").alias("a"), F.col("a").alias("b")), "edges-up")
         least = up.groupBy("a").agg(F.min("b").alias("m"))
         joined = up.join(least, "a")
         small = joined.filter("b > m").select(F.col("m").alias("a"), "b").union(joined.select(F.col("m").alias("a"), F.col("a").alias("b")))

@@ -34,7 +34,7 @@ from distributary.llm.shared import BROADCAST_BYTES, arrow_schema, written
 from distributary.llm.text import LOWER, SPACED, U64, Texts, Words, batch_of, gram_hashes, per_row, range_hashes, spread_bits, texts_of, words_of
 
 ORDER = 4
-GRAM_CHUNK = 1 << 20  # bytes of text at a time; their n-grams take some hundred times as much memory
+GRAM_CHUNK = 1 << 19  # bytes of text at a time; their n-grams take some hundred times as much memory
 REACH = 4.0
 LEAST_REACH = 0.35
 SHORT_REACH = 2.0

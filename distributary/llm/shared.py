@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 BROADCAST_BYTES = 32 << 20
+ARROW_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,7 +55,14 @@ def found_by_tasks(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *known])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of the batches that Spark and Python exchange, which hold whole texts, unless the session does."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; the start of every query."""
     found_by_tasks(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -13,7 +13,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19  # of text at a time; arrays of its words, pieces and tokens take some hundred times as much
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 U64 = np.uint64

@@ -5,9 +5,11 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 
 from distributary.llm import near_dup, substrings
+from distributary.llm.shared import ARROW_BYTES, read_table
 from tests.llm import cases
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -101,6 +103,42 @@ def test_components(spark):
     assert {n: r for n, r in found.items() if n != r} == {2: 1, 3: 1, 4: 1, 5: 1, 8: 7, 9: 7, 21: 20}
 
 
+def test_one_python_process_for_each_task(spark, monkeypatch):
+    """No stage of the near-duplicate search runs two functions over batches in one task."""
+    plans, write = [], near_dup.written
+
+    def seen(frame, name):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return write(frame, name)
+
+    monkeypatch.setattr(near_dup, "written", seen)
+    plans.append(near_dup.near_duplicates(cases.frame(spark, cases.random_documents(60)), 4)._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) > 8
+    for plan in plans:
+        stages = [[]]  # by depth: a function over batches above another without an exchange in between
+        for line in plan.splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            stages = [s for s in stages if not s or s[0] < depth]
+            if any(x in line for x in ("Repartition", "Aggregate", "Join")):
+                stages.append([depth, False])
+            elif "MapInArrow" in line:
+                assert not (stages[-1] and stages[-1][1]), plan
+                stages.append([depth, True])
+
+
+def test_batches_hold_bounded_bytes(spark, tmp_path):
+    """Texts reach Python in batches of a few megabytes, however many rows that is."""
+    rows = [(i, f"{i} " * 5000, "en", "s", 0) for i in range(1500)]
+    cases.frame(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    held = read_table(spark, str(tmp_path), "documents").mapInArrow(sizes, "n long").collect()
+    assert max(r.n for r in held) <= 2 * ARROW_BYTES and sum(r.n for r in held) > 30 << 20
+
+
 def brute_repeats(rows, window):
     first = {}
     for d, t, *_ in rows:
