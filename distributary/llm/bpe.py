@@ -34,7 +34,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 VISIBLE = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
 SYMBOL = "\ue000"
-CACHED_PIECES = 60_000
+CACHED_PIECES = 150_000
 CACHED_LENGTH = 64
 TOGETHER = 48
 NEVER = np.iinfo(np.int64).max
@@ -42,14 +42,32 @@ NEVER = np.iinfo(np.int64).max
 SPACE_BYTES = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
 # First bytes of the characters beyond ASCII that are white space.
 SPACE_LEADS = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+ALNUM = np.array([chr(i).isascii() and chr(i).isalnum() for i in range(256)])
+SIGNS = np.array([0x20 < i < 0x7F for i in range(256)]) & ~ALNUM
+# Last bytes of the letters from U+00C0 to U+00FF, which start with 0xC3; two in between are signs.
+LATIN_ENDS = np.isin(np.arange(256), [i for i in range(0x80, 0xC0) if i not in (0x97, 0xB7)])
 
 
-def piece_starts(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+def tail_starts(data: np.ndarray, first: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Where ASCII signs follow a letter or digit and nothing but such signs stands before the next of the cuts."""
+    sign, word = SIGNS[data], ALNUM[data]
+    word[1:] |= (data[:-1] == 0xC3) & LATIN_ENDS[data[1:]]
+    at = np.flatnonzero(sign[1:] & word[:-1]) + 1
+    other = np.append(np.flatnonzero(~sign), len(data))
+    end = other[np.searchsorted(other, at)]
+    at, end = at[end < len(data)], end[end < len(data)]
+    at, end = at[cut[end]], end[cut[end]]
+    return at[np.searchsorted(first, at - 1, side="right") == np.searchsorted(first, end, side="right")]
+
+
+def piece_starts(texts: Texts, tails: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Where pieces start: at each text, and at single spaces between characters that are no white space.
 
     A word never holds such a space but as its first character, so pieces can be encoded each for itself. Characters
     that share their first byte with white space beyond ASCII are taken for white space, which only makes pieces longer.
-    Also says which pieces have such a space on both sides.
+    With ``tails``, signs at the end of such a piece are one of their own, as no word goes on from a letter or digit to
+    a sign; that must not be asked for where special tokens stand. Also says which pieces start with such a space and
+    end before a cut: they stay apart from each other in any order.
     """
     data, offsets = texts.data, texts.offsets
     n = len(data)
@@ -66,9 +84,12 @@ def piece_starts(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     cut[first] = False
     cut[np.minimum(offsets[1:], n) - 1] = False
     inner = np.flatnonzero(cut)
-    starts = np.sort(np.concatenate([first, inner]))
+    tail = tail_starts(data, first, cut) if tails else inner[:0]
+    starts = np.sort(np.concatenate([first, inner, tail]))
     ends = np.append(starts[1:], n)
-    return starts, cut[starts] & (cut[np.minimum(ends, n - 1)] & (ends < n))
+    spaced = cut.copy()
+    cut[tail] = True
+    return starts, spaced[starts] & (cut[np.minimum(ends, n - 1)] & (ends < n))
 
 
 def stretches(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -96,8 +117,9 @@ class Table:
 class PieceCache:
     """Token ids of texts, from those of their distinct pieces; short pieces stay known while a worker lives."""
 
-    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[bytes]], dtype: type) -> None:
+    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[bytes]], dtype: type, special: Iterable[str]) -> None:
         self.encode, self.dtype = encode, np.dtype(dtype)
+        self.special = [token.encode() for token in special]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -117,12 +139,12 @@ class PieceCache:
 
     def texts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a chunk, and where those of each text start and end."""
-        starts, inner = piece_starts(texts)
+        raw = texts.data.tobytes()
+        starts, inner = piece_starts(texts, tails=not any(token in raw for token in self.special))
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
         ends = np.append(starts[1:], len(texts.data))
         at, place = distinct_ranges(texts.data, starts, ends)
-        raw = texts.data.tobytes()
         parts = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
         found, new = self.recalled(parts)
         for i, ids in zip(new, self.encode([parts[i] for i in new], inner[at[new]]) if new else [], strict=True):
@@ -340,7 +362,7 @@ class Vocabulary:
     def cut_pieces(self, parts: list[bytes], inner: np.ndarray) -> tuple[list[bytes | int], np.ndarray]:
         """Words (special tokens as their ids) of all pieces, and the piece that each is of.
 
-        Pieces with a cut on both sides are cut into words as one text: no word reaches over such a cut.
+        Pieces that stay apart in any order are cut into words as one text.
         """
         together = np.flatnonzero(inner).tolist()
         text = b"".join([parts[i] for i in together]).decode()
@@ -392,7 +414,8 @@ def vocabulary(path: str) -> Vocabulary:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceCache:
-    return PieceCache(vocabulary(path).encode_pieces, np.int32)
+    words = vocabulary(path)
+    return PieceCache(words.encode_pieces, np.int32, words.special)
 
 
 def encode(frame: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -58,7 +58,7 @@ def library_encoder(path: str) -> PieceCache:
         texts = [parts[i].decode() for i in alone]
         for i, e in zip(alone, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             found[i] = np.array(e.ids, dtype=dtype).tobytes()
-        # Pieces with a cut on both sides are encoded as one text, and told apart by the bytes of their tokens.
+        # Pieces that stay apart in any order are encoded as one text, and told apart by the bytes of their tokens.
         joined = np.flatnonzero(inner)
         text = b"".join([parts[i] for i in joined.tolist()]).decode()
         ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=dtype)
@@ -68,7 +68,7 @@ def library_encoder(path: str) -> PieceCache:
             found[i] = raw[low:high]
         return found
 
-    return PieceCache(run, dtype)
+    return PieceCache(run, dtype, added)
 
 
 def id_type(size: int) -> type:

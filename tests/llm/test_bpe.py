@@ -36,6 +36,23 @@ def test_ids_equal_the_library(cache):
     assert found == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("cache", [bpe.encoder(TOKENIZER), token_files.library_encoder(TOKENIZER)])
+def test_signs_behind_words_are_pieces_of_their_own(cache):
+    """Words are known whatever signs follow them; special tokens and other signs stay whole."""
+    texts = ["one two, three. two; two... it's. é. ü, ×. ÷; x) 7, x-y, a'll! l'a. …. a…. end.", ",", ". a, b", "a,", ",. b, c", "a\xa0, b\u3000. c"]
+    seen, encode = [], cache.encode
+    for some in (texts, [*texts, "a<|endoftext|> b, c<|endoftext|>. d, <|endoftext|>"]):
+        cache.known, cache.older, cache.encode = {}, {}, lambda parts, inner: (seen.extend(parts), encode(parts, inner))[1]
+        chunk = next(texts_of(pa.array(some)))
+        ids, bounds = cache.texts(chunk)
+        cache.encode = encode
+        expected = [LIBRARY.encode(t, add_special_tokens=False).ids for t in some]
+        assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:], strict=False)] == expected
+        if some is texts:
+            assert seen.count(b" two") == 1 and not {b" two,", b" two;", b" two...", " é.".encode()} & set(seen)
+            assert " ×.".encode() in seen
+
+
 def test_exact_merging_both_ways():
     words = bpe.vocabulary(TOKENIZER)
     raw = [w.encode() for w in ["thhereon", "aaaaaaa", "ünïcödé", "x"]]
