@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from distributary.llm import bpe, decontaminate, near_dup, quality, substrings
 from distributary.llm.queries import TOKENIZER
-from distributary.llm.shared import read_table, written
+from distributary.llm.shared import deleted, read_table, spent_tables, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE = 5
@@ -81,8 +81,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again before the next."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again before the next; what a stage read is deleted then."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with spent_tables(spark) as folders:
+            docs = written(stage(spark, docs, sf_dir), name)
+            result = folders.pop()
+        if before:
+            deleted(spark, before)
+        before = result
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from distributary.llm.shared import arrow_schema, written
+from distributary.llm.shared import arrow_schema, spent_tables, written
 from distributary.llm.text import SPACED, U64, Words, batch_of, constants, gram_hashes, spread_bits, texts_of, whole_hash, words_of
 
 PERCENT = 80
@@ -451,8 +451,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, shingle: int) -> DataFrame:
-    """Per row: ``doc_id``, size of its set, smallest ``doc_id`` of its component, and whether it is that document."""
+    """Per row: ``doc_id``, size of its set, smallest ``doc_id`` of its component, and whether it is that document.
+
+    These are written; signatures, candidates and links on the way to them are deleted then.
+    """
     documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    with spent_tables(documents.sparkSession) as folders:
+        found = written(rooted(documents, shingle), "near-duplicates")
+        folders.pop()
+    return found.withColumn("kept", kept())
+
+
+def rooted(documents: DataFrame, shingle: int) -> DataFrame:
+    """Per row: ``doc_id``, size of its set, and smallest ``doc_id`` of its component."""
     rows = written(documents_as_sets(documents, shingle), "sets")
     real = rows.filter("doc_id is not null and n_shingles > 0")
     classes = real.groupBy("fp1", "fp2").agg(
@@ -468,7 +479,7 @@ def near_duplicates(documents: DataFrame, shingle: int) -> DataFrame:
     found = rows.join(named, ["fp1", "fp2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("class_root")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept())
+    return found.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def kept() -> Column:

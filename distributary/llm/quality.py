@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from distributary.llm.shared import BROADCAST_BYTES, arrow_schema, written
+from distributary.llm.shared import BROADCAST_BYTES, arrow_schema, spent_tables, written
 from distributary.llm.text import LOWER, SPACED, U64, Texts, Words, batch_of, gram_hashes, per_row, range_hashes, spread_bits, texts_of, words_of
 
 ORDER = 4
@@ -349,17 +349,19 @@ def assess(documents: DataFrame, keep: list[str], order: int = ORDER, model_byte
     text = F.col("text").cast("string")
     half = F.coalesce(half_of(text), F.lit(0))
     keyed = lambda n: documents.withColumns({"text": text, "language": F.concat(n.cast("string"), F.lit(":"), language)})
-    counts = written(gram_counts(keyed(half), order), "gram-counts")
-    documents = keyed(1 - half)  # scored by the other half's model
-    model = written(kneser_ney(counts, order), "gram-model")
-    if model.count() * 24 <= model_bytes:
-        scored = scored_in_place(documents, Model(model.toArrow(), order))
-    else:
-        scored = based(scored_by_join(documents, model, order))
-    scored = scored.withColumn("log_ppl", F.when(F.col("n_grams") > 0, -F.col("log_sum") / F.col("n_grams")))
-    numbers = ["language", "log_ppl", *(field.split()[0] for field in BASE_RULES.split(","))]
-    scored = scored.withColumn("language", F.expr("substring(language, 3)"))  # one band for both halves
-    scored = written(scored.select(*keep, *(c for c in numbers if c not in keep)), "scored")
+    with spent_tables(documents.sparkSession) as folders:
+        counts = written(gram_counts(keyed(half), order), "gram-counts")
+        documents = keyed(1 - half)  # scored by the other half's model
+        model = written(kneser_ney(counts, order), "gram-model")
+        if model.count() * 24 <= model_bytes:
+            scored = scored_in_place(documents, Model(model.toArrow(), order))
+        else:
+            scored = based(scored_by_join(documents, model, order))
+        scored = scored.withColumn("log_ppl", F.when(F.col("n_grams") > 0, -F.col("log_sum") / F.col("n_grams")))
+        numbers = ["language", "log_ppl", *(field.split()[0] for field in BASE_RULES.split(","))]
+        scored = scored.withColumn("language", F.expr("substring(language, 3)"))  # one band for both halves
+        scored = written(scored.select(*keep, *(c for c in numbers if c not in keep)), "scored")
+        folders.pop()
     quartiles = F.percentile_approx("log_ppl", [0.25, 0.75], 10_000)
     bands = scored.groupBy("language").agg(quartiles.alias("q")).select("language", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     reach = F.greatest(REACH * (F.col("q3") - F.col("q1")), F.lit(LEAST_REACH))

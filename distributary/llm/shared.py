@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -11,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 BROADCAST_BYTES = 32 << 20
 ARROW_BYTES = 4 << 20
+# Folders written within each open block of ``spent_tables``.
+SPENT: ContextVar[tuple[list[str], ...]] = ContextVar("spent", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,10 +31,34 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def written(frame: DataFrame, name: str) -> DataFrame:
     """Writes the frame to the shared folder and reads it back: its lineage ends there."""
     folder = new_folder(frame.sparkSession, name)
+    for folders in SPENT.get():
+        folders.append(folder)
     frame.write.option("compression", "zstd").parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def deleted(spark: SparkSession, folder: str) -> None:
+    """Deletes a table of ``written`` that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def spent_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Gives the folders that ``written`` makes in the block, the latest last, and deletes them at its end.
+
+    What the block returns must be written in it, last, and its folder be taken out of the list.
+    """
+    folders: list[str] = []
+    token = SPENT.set((*SPENT.get(), folders))
+    try:
+        yield folders
+    finally:
+        SPENT.reset(token)
+        for folder in folders:
+            deleted(spark, folder)
+
+
 ARROW_TYPES = {
     "int": pa.int32(),
     "long": pa.int64(),

@@ -1,8 +1,10 @@
 """The pipeline stage by stage, each against its own input."""
 
+from pathlib import Path
+
 import corpus_pipeline
 from distributary.llm import decontaminate, near_dup, quality, substrings
-from distributary.llm.shared import read_table, written
+from distributary.llm.shared import read_table, shared_folder, written
 from tests.conftest import SF_DIR
 from tests.llm import cases
 from tests.llm.test_dedup import brute_components, brute_repeats
@@ -61,3 +63,24 @@ def test_one_row_of_each_group_whatever_its_ids(spark):
     assert [t for _, t in left].count(text) == 1 and [t for _, t in left].count(other) == 1
     assert (9, text) in left and len(left) == 5  # rows without words are alike to none
     assert corpus_pipeline.one_of_each(spark, cases.empty(spark), SF_DIR).collect() == []
+
+
+def test_spent_tables_are_deleted(spark):
+    kept = lambda: {p.name for p in Path(shared_folder(spark)).glob("*")}
+    left = lambda before: sorted(name.rsplit("-", 1)[0] for name in kept() - before)
+    docs = cases.frame(spark, cases.random_documents())
+    before = kept()
+    good = corpus_pipeline.quality_rules(spark, docs, SF_DIR)
+    assert left(before) == ["bands", "scored"]
+    assert {r["doc_id"] for r in good.collect()} <= {r["doc_id"] for r in docs.collect()}
+
+    before = kept()
+    first = near_dup.near_duplicates(docs, K)
+    assert left(before) == ["near-duplicates"]
+    assert first.count() == docs.count()
+
+    before = kept()
+    tokens = corpus_pipeline.run(spark, SF_DIR)
+    names = left(before)
+    assert names == ["decontamination"]
+    assert tokens.count() > 0
