@@ -34,7 +34,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 VISIBLE = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
 SYMBOL = "\ue000"
-CACHED_PIECES = 150_000
+CACHED_PIECES = 400_000
 CACHED_LENGTH = 64
 TOGETHER = 48
 NEVER = np.iinfo(np.int64).max
@@ -61,20 +61,21 @@ def tail_starts(data: np.ndarray, first: np.ndarray, cut: np.ndarray) -> np.ndar
 
 
 def piece_starts(texts: Texts, tails: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Where pieces start: at each text, and at single spaces between characters that are no white space.
+    """Where pieces start: at each text, and at single spaces and line ends between characters that are no white space.
 
-    A word never holds such a space but as its first character, so pieces can be encoded each for itself. Characters
-    that share their first byte with white space beyond ASCII are taken for white space, which only makes pieces longer.
+    A word never holds such a space but as its first character, and such a line end is a word, so pieces can be encoded
+    each for itself. Characters that share their first byte with white space beyond ASCII are taken for white space,
+    which only makes pieces longer.
     With ``tails``, signs at the end of such a piece are one of their own, as no word goes on from a letter or digit to
-    a sign; that must not be asked for where special tokens stand. Also says which pieces start with such a space and
-    end before a cut: they stay apart from each other in any order.
+    a sign; that must not be asked for where special tokens stand. Also says which pieces start with such a space or line
+    end and end before a cut: they stay apart from each other in any order.
     """
     data, offsets = texts.data, texts.offsets
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, bool)
     space, lead = SPACE_BYTES[data], SPACE_LEADS[data]
-    cut = data == 0x20
+    cut = (data == 0x20) | (data == 0x0A)
     cut[-1] = False
     cut[:-1] &= ~(space[1:] | lead[1:])
     cut[1:] &= ~space[:-1]

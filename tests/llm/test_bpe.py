@@ -53,6 +53,23 @@ def test_signs_behind_words_are_pieces_of_their_own(cache):
             assert " ×.".encode() in seen
 
 
+@pytest.mark.parametrize("cache", [bpe.encoder(TOKENIZER), token_files.library_encoder(TOKENIZER)])
+def test_lines_are_pieces_of_their_own(cache):
+    """Words before and behind a line end are known without each other; line ends next to white space stay inside."""
+    texts = ["one two.\nthree four\nfive", "a two\nthree.\nfive's six", "\nseven", "eight\n", "a \nb\n c\n\nd\r\ne\n\u3000f\xa0\ng", "\n", "x\n'll y\n7 z"]
+    rng = random.Random(4)
+    texts += ["".join(rng.choices(["\n", "\n", " ", "a", "bc.", "'s", "7", "é", "\u3000", "\r"], k=rng.randrange(1, 40))) for _ in range(300)]
+    seen, encode = [], cache.encode
+    cache.known, cache.older, cache.encode = {}, {}, lambda parts, inner: (seen.extend(parts), encode(parts, inner))[1]
+    chunk = next(texts_of(pa.array(texts)))
+    ids, bounds = cache.texts(chunk)
+    cache.encode = encode
+    expected = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:], strict=False)] == expected
+    assert seen.count(b" two") == 1 and seen.count(b"\nthree") == 1 and seen.count(b"\nfive") == 1
+    assert not {b" two.\nthree", b" two\nthree", b" four\nfive"} & set(seen)
+
+
 def test_exact_merging_both_ways():
     words = bpe.vocabulary(TOKENIZER)
     raw = [w.encode() for w in ["thhereon", "aaaaaaa", "ünïcödé", "x"]]
