@@ -37,6 +37,7 @@ SYMBOL = "\ue000"
 CACHED_PIECES = 400_000
 CACHED_LENGTH = 64
 TOGETHER = 48
+LETTER_BLOCK = 1 << 12
 NEVER = np.iinfo(np.int64).max
 
 SPACE_BYTES = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
@@ -160,14 +161,18 @@ class PieceCache:
 
 
 def newer_letters() -> dict[int, str]:
-    """Letters and digits that the tokenizers library, by its own version of Unicode, takes for symbols."""
+    """Letters and digits that the tokenizers library, by its own version of Unicode, takes for symbols.
+
+    They are asked for by blocks, as the library's answer takes some hundred bytes a character and every worker asks.
+    """
     split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
-    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
     found = {}
-    for kind, sample in (("L", "a"), ("N", "1")):
-        known = regex.findall(rf"\p{{{kind}}}", every)
-        ends = {end for _, (_, end) in split("".join(f"{sample}{c}\n" for c in known))}
-        found.update({ord(c): SYMBOL for i, c in enumerate(known) if 3 * i + 1 in ends})
+    for low in range(0, 0x110000, LETTER_BLOCK):
+        block = "".join(chr(c) for c in range(low, low + LETTER_BLOCK) if not 0xD800 <= c < 0xE000)
+        for kind, sample in (("L", "a"), ("N", "1")):
+            known = regex.findall(rf"\p{{{kind}}}", block)
+            ends = {end for _, (_, end) in split("".join(f"{sample}{c}\n" for c in known))}
+            found.update({ord(c): SYMBOL for i, c in enumerate(known) if 3 * i + 1 in ends})
     return found
 
 

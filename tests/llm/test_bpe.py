@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -26,6 +27,16 @@ def odd_texts():
     return listed + ["".join(rng.choices(letters, k=rng.randrange(1, 200))) for _ in range(400)]
 
 
+def test_newer_letters_take_little_memory():
+    """Each worker looks for them before its first text."""
+    tracemalloc.start()
+    found = bpe.newer_letters()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and peak < 16 << 20
+    assert all(c < 0x110000 and not 0xD800 <= c < 0xE000 for c in found)
+
+
 @pytest.mark.parametrize("cache", [bpe.encoder(TOKENIZER), token_files.library_encoder(TOKENIZER)])
 def test_ids_equal_the_library(cache):
     texts = odd_texts()

@@ -65,6 +65,24 @@ def test_one_row_of_each_group_whatever_its_ids(spark):
     assert corpus_pipeline.one_of_each(spark, cases.empty(spark), SF_DIR).collect() == []
 
 
+def test_texts_stay_where_they_are_if_few_are_dropped(spark, monkeypatch):
+    docs = cases.frame(spark, cases.random_documents())
+    sizes = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(sizes)
+    spark.conf.set(sizes, "-1")
+    try:
+        few = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        monkeypatch.setattr(corpus_pipeline, "BROADCAST_BYTES", -1)
+        many = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(rows_of(few), key=repr) == sorted(rows_of(many), key=repr)
+        assert 0 < few.count() < docs.count()
+    finally:
+        spark.conf.set(sizes, before)
+
+
 def test_spent_tables_are_deleted(spark):
     kept = lambda: {p.name for p in Path(shared_folder(spark)).glob("*")}
     left = lambda before: sorted(name.rsplit("-", 1)[0] for name in kept() - before)
