@@ -35,6 +35,7 @@ VISIBLE = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
 SYMBOL = "\ue000"
 CACHED_PIECES = 400_000
+WORKER_PIECES = 150_000  # of ``encoder``, whose worker keeps them while it does other work
 CACHED_LENGTH = 64
 TOGETHER = 48
 LETTER_BLOCK = 1 << 12
@@ -119,15 +120,17 @@ class Table:
 class PieceCache:
     """Token ids of texts, from those of their distinct pieces; short pieces stay known while a worker lives."""
 
-    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[bytes]], dtype: type, special: Iterable[str]) -> None:
-        self.encode, self.dtype = encode, np.dtype(dtype)
+    def __init__(
+        self, encode: Callable[[list[bytes], np.ndarray], list[bytes]], dtype: type, special: Iterable[str], pieces: int = CACHED_PIECES
+    ) -> None:
+        self.encode, self.dtype, self.pieces = encode, np.dtype(dtype), pieces
         self.special = [token.encode() for token in special]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def recalled(self, parts: list[bytes]) -> tuple[list[bytes | None], list[int]]:
         """What is known of the pieces, and which are new. Of two generations, the older one goes when the younger is full."""
-        if len(self.known) > CACHED_PIECES:
+        if len(self.known) > self.pieces:
             self.older, self.known = self.known, {}
         found = list(map(self.known.get, parts))
         new = []
@@ -421,7 +424,7 @@ def vocabulary(path: str) -> Vocabulary:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceCache:
     words = vocabulary(path)
-    return PieceCache(words.encode_pieces, np.int32, words.special)
+    return PieceCache(words.encode_pieces, np.int32, words.special, WORKER_PIECES)
 
 
 def encode(frame: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -27,6 +27,15 @@ def odd_texts():
     return listed + ["".join(rng.choices(letters, k=rng.randrange(1, 200))) for _ in range(400)]
 
 
+def test_ids_of_a_small_cache_equal_the_library():
+    words = bpe.vocabulary(TOKENIZER)
+    cache = bpe.PieceCache(words.encode_pieces, np.int32, words.special, 10)
+    for text in [*odd_texts()[:60], *odd_texts()[:60]]:
+        ids, _ = cache.texts(next(texts_of(pa.array([text]))))
+        assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert len(cache.known) + len(cache.older) < 400
+
+
 def test_newer_letters_take_little_memory():
     """Each worker looks for them before its first text."""
     tracemalloc.start()
