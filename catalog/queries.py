@@ -24,10 +24,12 @@ from catalog.inputs import (
     uuid_of,
 )
 from distributary.functions.casts import cast_json
+from distributary.functions.errors import settled
 from distributary.functions.event_layout import ATOMIC_FIELDS, EVENTS_TABLE
 from distributary.functions.json_values import get_path, marked, parse_document, plain_text, written_at
 from distributary.functions.payload import decode_payload, decode_strict
 from distributary.functions.schema_uri import (
+    GROUP_COLUMNS,
     KEY_COLUMNS,
     URI_PREFIX,
     column_name,
@@ -858,8 +860,8 @@ def collision_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The lines in two parts, by the number that most of them carry."""
-    lines = enriched_lines(spark, sf_dir)
+    """The lines in two parts, by the number that most of them carry; a line is made before it is looked at, and once."""
+    lines = settled(enriched_lines(spark, sf_dir))
     number = F.get(F.split("value", "\t"), F.lit(TXN_ID)).try_cast("long")
     first = F.coalesce(number % 2 == 0, F.lit(False))
     return lines.where(first), lines.where(~first)
@@ -942,12 +944,12 @@ def widened_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def existing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which tables of the groups that events name are there after a load, and what they say of themselves."""
     database = loaded(spark, sf_dir, "existing")
-    keys = entity_keys(spark, sf_dir).select(table_name(F.struct("vendor", "name", "model")).alias("table_name")).distinct()
-    comments = table_comments(spark, database)
-    there = keys.join(comments, "table_name", "left")
-    present = {name: spark.catalog.tableExists(f"{database}.{name}") for name in [r.table_name for r in keys.collect()]}
-    rows = spark.createDataFrame(sorted(present.items()), "table_name string, is_there boolean")
-    return there.join(rows, "table_name")
+    groups = entity_keys(spark, sf_dir).select(*GROUP_COLUMNS).distinct()
+    names = sorted({r.table_name for r in groups.select(table_name(F.struct(*GROUP_COLUMNS)).alias("table_name")).collect()})
+    present = [(name, spark.catalog.tableExists(f"{database}.{name}")) for name in names]
+    rows = spark.createDataFrame(present, "table_name string, is_there boolean")
+    there = rows.join(table_comments(spark, database), "table_name", "left")
+    return there.select("table_name", "comment", "is_there")
 
 
 @query

@@ -63,7 +63,10 @@ def raw_field(index: int) -> str:
 
 
 def entity_list(box: Column, text: Column, name: str) -> Column:
-    """Entities inside one JSON field (its text, and that as a boxed document), NULL where its envelope is malformed."""
+    """Entities inside one JSON field (its text, and that as a boxed document), NULL where its envelope is malformed.
+
+    Without values there are no entities either, so the values are not asked for a second time to know that.
+    """
     one = name == "unstruct_event"
     source = F.from_json(marked(text), f"data {'' if one else 'array<'}struct<data:string>{'' if one else '>'}")["data"]
     value = F.try_variant_get(box, "$[0].data", VALUE if one else f"array<{VALUE}>")
@@ -73,7 +76,7 @@ def entity_list(box: Column, text: Column, name: str) -> Column:
         F.coalesce(sources, F.array().cast("array<struct<data:string>>")),
         lambda v, w: F.struct(v["schema"].alias("schema"), v["data"].alias("data"), w["data"].alias("written")),
     )
-    return F.when(is_uri(F.try_variant_get(box, "$[0].schema", "string")) & values.isNotNull(), entities)
+    return F.when(is_uri(F.try_variant_get(box, "$[0].schema", "string")), entities)
 
 
 def well_formed(entities: Column) -> Column:
