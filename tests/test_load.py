@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import inputs
-from catalog.queries import halves
+from catalog.queries import existing_tables, halves
 from distributary.functions.event_layout import LINE_FIELDS
 from distributary.functions.schema_uri import URI_PREFIX
 from distributary.operators.shred import INLINE_MODE, Registry, shred_entities
@@ -420,3 +420,10 @@ def test_halves_are_cut_after_lines_are_made(spark):
         assert plan.index("Filter") < plan.index("Generate")
     everything = sorted(r.value for part in parts for r in part.collect())
     assert everything == sorted(r.value for r in inputs.enriched_lines(spark, SF_DIR).collect())
+
+
+def test_existing_tables_parse_the_events_once(spark):
+    """The result joins names and comments that are known by then; the events are not parsed for it again."""
+    found = existing_tables(spark, SF_DIR)
+    assert found.columns == ["table_name", "comment", "is_there"]
+    assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString()
